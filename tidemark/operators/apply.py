@@ -29,6 +29,7 @@ def apply_versions(
     sys: tuple[str, str] | list[str],
     as_of: str | _dt.datetime,
     keep_action: bool = False,
+    hot: DataFrame | None = None,
 ) -> DataFrame:
     """Apply a merge set to a versioned target; returns the whole new target.
 
@@ -40,6 +41,8 @@ def apply_versions(
 
     With ``keep_action`` the result has a column ``__action`` in
     ``history | current | update | insert`` for :func:`merge_summary`.
+    ``hot``: already materialised current rows holding every key of the merge
+    set (the merges pass theirs), so finding inserts does not scan the target again.
     """
     eff, exp = sys
     types = {f.name: f.dataType for f in tgt.schema.fields}
@@ -60,8 +63,11 @@ def apply_versions(
     )
 
     # Only current rows of keys in the merge set can match an insert candidate.
-    hot = join_on(cur, m.select(*canon).distinct(), canon, "left_semi").select(*canon)
-    ins = join_on(m, hot, canon, "left_anti").withColumn(ACTION, F.lit("insert"))
+    if hot is None:
+        hot_on = join_on(cur, m.select(*canon).distinct(), canon, "left_semi").select(*canon)
+    else:
+        hot_on = with_canonical(hot.select(*on), on, "__o", types).select(*canon)
+    ins = join_on(m, hot_on, canon, "left_anti").withColumn(ACTION, F.lit("insert"))
     ins = ins.select(*[F.col(c) if c in ins.columns else F.lit(None).cast(types[c]).alias(c)
                        for c in tgt.columns], ACTION)
 

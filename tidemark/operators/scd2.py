@@ -9,6 +9,7 @@ The small sides are broadcast by AQE when their measured size allows it.
 from __future__ import annotations
 
 import datetime as _dt
+from typing import NamedTuple
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from pyspark.sql import functions as F
 from ..functions.nulls import with_canonical
 from ..functions.periods import SYS_OPEN_END, ts_lit
 from ._joins import join_on
+from ._stage import stage
 from .apply import apply_versions
 from .roles import Resolved, Roles, resolve_roles
 
@@ -28,13 +30,31 @@ def _canon(df: DataFrame, r: Resolved) -> DataFrame:
     return with_canonical(df, r.his, "__h", r.types)
 
 
+class ScdPlan(NamedTuple):
+    merge_set: DataFrame
+    hot: DataFrame
+
+
 def scd2_merge_set(
     src: DataFrame,
     tgt: DataFrame,
     roles: Roles,
     as_of: str | _dt.datetime,
     window: str | None = None,
+    stage_mode: str = "checkpoint",
 ) -> DataFrame:
+    """Versions to insert and to close for a type-2 merge (see :func:`plan_scd2`)."""
+    return plan_scd2(src, tgt, roles, as_of, window, stage_mode).merge_set
+
+
+def plan_scd2(
+    src: DataFrame,
+    tgt: DataFrame,
+    roles: Roles,
+    as_of: str | _dt.datetime,
+    window: str | None = None,
+    stage_mode: str = "checkpoint",
+) -> ScdPlan:
     """Versions to insert and to close for a type-2 merge.
 
     * source row whose key has no identical current version: inserted
@@ -47,6 +67,9 @@ def scd2_merge_set(
       inside it whose key is absent from the source are closed too (full mode).
 
     Columns: key, HIS, system start, system end; exact duplicates collapse.
+    The target is read once: its current versions of the source's keys (and, in
+    full mode, those inside the window) are materialised together with the
+    distinct source rows; both are delta-sized (or window-sized).
     """
     r = resolve_roles(src.schema, tgt.schema, roles, "scd2")
     eff, exp = r.sys
@@ -63,27 +86,39 @@ def scd2_merge_set(
         dels = s.filter(flag == DELETE_FLAG).select(*K).distinct()
     else:
         keep, dels = s, None
-    inp = keep.select(*out_cols, *K, *H).distinct()
+    inp = stage(keep.select(*out_cols, *K, *H).distinct(), K, stage_mode)
     inp_keys = inp.select(*K).distinct()
+    run_keys = s.select(*K).distinct()
 
     cur = _canon(tgt.filter(F.col(exp) > as_of_c), r)
+    keep_cols = [*out_cols, eff, exp, *K, *H]
+    # The one pass over the target: current versions of the source's keys, plus in
+    # full mode the versions inside the window (tagged by whether the key is in the run).
+    if window:
+        tagged = join_on(cur, run_keys.withColumn("__hit", F.lit(True)), K, "left")
+        hit = F.coalesce(F.col("__hit"), F.lit(False))
+        hot = stage(tagged.filter(hit | F.expr(window)).select(*keep_cols, hit.alias("__hit")), K, stage_mode)
+        orphans = hot.filter(~F.col("__hit"))
+        in_run = hot.filter(F.col("__hit"))
+    else:
+        hot = stage(join_on(cur, run_keys, K, "left_semi").select(*keep_cols), K, stage_mode)
+        orphans, in_run = None, hot
 
-    changed = join_on(join_on(cur, inp_keys, K, "left_semi"), inp.select(*K, *H), K + H, "left_anti")
+    changed = join_on(join_on(in_run, inp_keys, K, "left_semi"), inp.select(*K, *H), K + H, "left_anti")
     closing = [changed]
     if dels is not None:
-        closing.append(join_on(cur, dels, K, "left_semi"))
-    if window:
-        run_keys = inp_keys if dels is None else inp_keys.unionByName(dels).distinct()
-        closing.append(join_on(cur.filter(F.expr(window)), run_keys, K, "left_anti"))
-    close = closing[0]
+        closing.append(join_on(in_run, dels, K, "left_semi"))
+    if orphans is not None:
+        closing.append(orphans)
+    close = closing[0].select(*keep_cols)
     for c in closing[1:]:
-        close = close.unionByName(c)
+        close = close.unionByName(c.select(*keep_cols))
     close = close.select(*out_cols, F.col(eff), as_of_c.alias(exp)).distinct()
 
-    insert = join_on(inp, cur.select(*K, *H), K + H, "left_anti").select(
+    insert = join_on(inp, in_run.select(*K, *H), K + H, "left_anti").select(
         *out_cols, as_of_c.alias(eff), open_c.alias(exp)
     )
-    return insert.unionByName(close)
+    return ScdPlan(insert.unionByName(close), hot)
 
 
 def scd2_merge(
@@ -96,5 +131,5 @@ def scd2_merge(
 ) -> DataFrame:
     """The whole new target after a type-2 merge (merge set applied on key + system start)."""
     r = resolve_roles(src.schema, tgt.schema, roles, "scd2")
-    ms = scd2_merge_set(src, tgt, roles, as_of, window)
-    return apply_versions(tgt, ms, r.key + [r.sys[0]], r.sys, as_of, keep_action)
+    p = plan_scd2(src, tgt, roles, as_of, window)
+    return apply_versions(tgt, p.merge_set, r.key + [r.sys[0]], r.sys, as_of, keep_action, hot=p.hot)

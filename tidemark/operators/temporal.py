@@ -1,10 +1,10 @@
 """Bitemporal merge: business period x system period.
 
-One lazy plan per run with a fixed ``as_of``:
+One plan per run with a fixed ``as_of``; hot, inp and norm are materialised:
 
     cur   = target rows with sys_end > as_of
     inp   = source rows (flag 0)  U  deleted versions (flag 1)  U  key-master expiries (flag 1)
-    hot   = cur rows of keys in inp (everything after touches hot only)
+    hot   = cur rows of the source's keys (master keys with KEM), one target pass
     frag  = inp U left_diff(inp, hot - deleted) U right_diff(inp, hot - deleted)
     norm  = coalesced frag per (key, HIS, flag)
     set   = new flag-0 rows [as_of, open)  U  refreshed keeps  U  closed versions
@@ -27,6 +27,7 @@ from ..functions.periods import SYS_OPEN_END, contains_between, contains_point,
 from ._joins import join_on
 from .apply import apply_versions
 from .periods import coalesce_periods, left_diff, neighbour_bounds, right_diff
+from ._stage import stage
 from .roles import Resolved, Roles, resolve_roles
 from .scd2 import DELETE_FLAG
 
@@ -62,8 +63,15 @@ def plan_temporal(
     roles: Roles,
     as_of: str | _dt.datetime,
     driver: DataFrame | None = None,
+    stage_mode: str = "checkpoint",
 ) -> TemporalPlan:
-    """Build every stage of the bitemporal merge (decisions D4-D8, D17-D19, D23)."""
+    """Build every stage of the bitemporal merge (decisions D4-D8, D17-D19, D23).
+
+    The current target is scanned once: its rows of the run's keys (or, with a
+    key master, of the run's master keys) are cut into ``hot``; the input set and
+    the coalesced set are cut too.  Those three are delta-sized and each is read
+    by several branches (see :func:`stage`).
+    """
     r = resolve_roles(src.schema, tgt.schema, roles, "temporal")
     bs, be = r.bus
     eff, exp = r.sys
@@ -77,6 +85,19 @@ def plan_temporal(
     s = _canon(src, r)
     cur = _canon(tgt.filter(F.col(exp) > as_of_c), r)
     base = [*row, *K, *H]
+    drv = None
+    if r.kem:
+        d = driver if driver is not None else src
+        drv = with_canonical(d, r.kem, "__k", r.types).select(
+            *KM, F.col(bs).alias("__m_s"), F.col(be).alias("__m_e")
+        ).distinct()
+        touch_cols = KM
+        touch = s.select(*KM).unionByName(drv.select(*KM)).distinct()
+    else:
+        touch_cols = K
+        touch = s.select(*K).distinct()
+    # Current versions of every key (master key) the run can touch: one pass over the target.
+    hot = stage(join_on(cur, touch, touch_cols, "left_semi").select(*base, eff, exp), K, stage_mode)
 
     if r.opr:
         flag = F.coalesce(F.col(r.opr).cast("string"), F.lit(""))
@@ -88,17 +109,13 @@ def plan_temporal(
     if r.opr:
         # The current version holding the delete row's start is expired whole.
         d = s.filter(flag == DELETE_FLAG).select(*K, F.col(bs).alias("__d_s")).distinct()
-        dels = join_on(cur, d, K, "left_semi", contains_point(F.col(bs), F.col(be), F.col("__d_s")))
+        dels = join_on(hot, d, K, "left_semi", contains_point(F.col(bs), F.col(be), F.col("__d_s")))
         parts.append(dels.select(*base, F.lit(1).alias(FLAG), F.lit("delete").alias(KIND)))
 
     if r.kem:
         # U16: current versions of a driver master key whose period contains the driver
         # period, where the source lacks that full key with that period.
-        drv = driver if driver is not None else src
-        m = with_canonical(drv, r.kem, "__k", r.types).select(
-            *KM, F.col(bs).alias("__m_s"), F.col(be).alias("__m_e")
-        ).distinct()
-        cand = join_on(cur, m, KM, "inner", contains_between(F.col(bs), F.col(be), F.col("__m_s"), F.col("__m_e")))
+        cand = join_on(hot, drv, KM, "inner", contains_between(F.col(bs), F.col(be), F.col("__m_s"), F.col("__m_e")))
         have = s.select(*K, F.col(bs).alias("__m_s"), F.col(be).alias("__m_e")).distinct()
         kem_rows = join_on(cand, have, K + ["__m_s", "__m_e"], "left_anti")
         parts.append(
@@ -112,35 +129,31 @@ def plan_temporal(
     for p in parts[1:]:
         inp = inp.unionByName(p)
     # UNION semantics; a delete and a key-master row for one version keep "delete".
-    inp = inp.groupBy(*base, FLAG).agg(F.min(KIND).alias(KIND))
-
-    run_keys = inp.select(*K).distinct()
-    hot = join_on(cur, run_keys, K, "left_semi")
+    inp = stage(inp.groupBy(*base, FLAG).agg(F.min(KIND).alias(KIND)), K, stage_mode)
 
     # Delete rows stay out of the neighbour windows, and deleted versions are not cut.
     cutters = neighbour_bounds(inp.filter(F.col(KIND) != "delete"), K, bs, be, [FLAG, *H])
     deleted = inp.filter(F.col(KIND) == "delete").select(*K, *H, bs, be)
-    live = join_on(hot, deleted, K + H + [bs, be], "left_anti").select(*base)
+    live = join_on(hot.select(*base), deleted, K + H + [bs, be], "left_anti")
 
     left = left_diff(live, cutters, K, bs, be).withColumn(FLAG, F.lit(0))
     right = right_diff(live, cutters, K, bs, be).withColumn(FLAG, F.lit(1 if r.kem else 0))  # D17
 
     frag = inp.select(*base, FLAG).unionByName(left).unionByName(right)
-    norm = coalesce_periods(frag, K + H + [FLAG], r.key + r.his, bs, be)
+    norm = stage(coalesce_periods(frag, K + H + [FLAG], r.key + r.his, bs, be), K, stage_mode)
 
     ident = K + H + [bs, be]
     norm0 = norm.filter(F.col(FLAG) == 0)
     norm1 = norm.filter(F.col(FLAG) == 1)
-    hot_id = hot.select(*base, eff, exp)
 
-    new = join_on(norm0, hot_id.select(*ident), ident, "left_anti").select(
+    new = join_on(norm0, hot.select(*ident), ident, "left_anti").select(
         *row, as_of_c.alias(eff), open_c.alias(exp)
     )
-    keepers = join_on(hot_id, norm0.select(*ident).distinct(), ident, "left_semi")
+    keepers = join_on(hot, norm0.select(*ident).distinct(), ident, "left_semi")
     refresh = keepers.filter(F.col(exp) != open_c).select(*row, eff, open_c.alias(exp))  # D18
 
     touched = join_on(
-        hot_id,
+        hot,
         inp.select(*K, F.col(bs).alias("__i_s"), F.col(be).alias("__i_e")),
         K,
         "left_semi",
@@ -148,7 +161,7 @@ def plan_temporal(
     )  # D4: only versions that overlap an input row
     close_b = join_on(touched, norm.select(*ident).distinct(), ident, "left_anti")
     close_c = join_on(
-        join_on(hot_id, norm1.select(*ident).distinct(), ident, "left_semi"),
+        join_on(hot, norm1.select(*ident).distinct(), ident, "left_semi"),
         norm0.select(*ident).distinct(),
         ident,
         "left_anti",
@@ -156,8 +169,7 @@ def plan_temporal(
     close = close_b.unionByName(close_c).select(*row, eff, as_of_c.alias(exp)).distinct()
 
     merge_set = new.unionByName(refresh).unionByName(close)
-    nb_out = cutters
-    return TemporalPlan(r, K, H, cur, hot, inp, nb_out, left, right, norm, merge_set)
+    return TemporalPlan(r, K, H, cur, hot, inp, cutters, left, right, norm, merge_set)
 
 
 def temporal_merge_set(
@@ -182,4 +194,4 @@ def temporal_merge(
     """The whole new target: merge set applied on key + business period + HIS."""
     p = plan_temporal(src, tgt, roles, as_of, driver)
     r = p.roles
-    return apply_versions(tgt, p.merge_set, r.key + r.bus + r.his, r.sys, as_of, keep_action)
+    return apply_versions(tgt, p.merge_set, r.key + r.bus + r.his, r.sys, as_of, keep_action, hot=p.hot)

@@ -160,7 +160,7 @@ def temporal_apply(spark: SparkSession, sf: str) -> DataFrame:
     src, tgt = _f2(spark, sf, opr=True)
     p = plan_temporal(src, tgt, F2_ROLES_OPR, fr.AS_OF)
     r = p.roles
-    return present(apply_versions(tgt, p.merge_set, r.key + r.bus + r.his, r.sys, fr.AS_OF))
+    return present(apply_versions(tgt, p.merge_set, r.key + r.bus + r.his, r.sys, fr.AS_OF, hot=p.hot))
 
 
 def temporal_key_master(spark: SparkSession, sf: str) -> DataFrame:
