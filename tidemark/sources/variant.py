@@ -1,10 +1,10 @@
 """Semi-structured records -> named columns.
 
 Schema discovery is a distributed aggregate over *all* records (not one sample
-row): each depth level explodes the objects of the previous one into
-``(path, value)`` pairs and aggregates per ``(path, kind)``, so the work spreads
-over every partition and only the path catalogue (one row per distinct path)
-reaches the driver when :func:`flatten` builds its projection.
+row): one scan lists every ``(path, value)`` of each record down to the depth
+limit and aggregates per ``(path, kind)``, so the work spreads over every
+partition and only the path catalogue (one row per distinct path) reaches the
+driver when :func:`flatten` builds its projection.
 """
 
 from __future__ import annotations
@@ -29,6 +29,20 @@ def value_kind(v: Column) -> Column:
     )
 
 
+def _children(entries: Column) -> Column:
+    """Fields of every object among ``entries`` (array of ``struct(steps, x)``), one level down."""
+    objects = F.filter(entries, lambda e: F.try_variant_get(e["x"], "$", "map<string,variant>").isNotNull())
+    return F.flatten(
+        F.transform(
+            objects,
+            lambda e: F.transform(
+                F.map_entries(F.try_variant_get(e["x"], "$", "map<string,variant>")),
+                lambda kv: F.struct(F.concat(e["steps"], F.array(kv["key"])).alias("steps"), kv["value"].alias("x")),
+            ),
+        )
+    )
+
+
 def discover_paths(df: DataFrame, col: str = "value", max_depth: int = 3, sample: float | None = None) -> DataFrame:
     """Every field path up to ``max_depth`` with its kind.
 
@@ -37,25 +51,29 @@ def discover_paths(df: DataFrame, col: str = "value", max_depth: int = 3, sample
     only).  Objects at depth ``< max_depth`` are entered; array elements never are.
     A path seen with several kinds gets one row per kind.  ``sample`` (a fraction)
     restricts discovery to a random sample, as the reference's one-row read did.
+
+    One scan: the levels are unrolled at plan time into higher-order functions
+    that list every ``(path, value)`` of a record, then one explode feeds one
+    aggregate, combined map-side before its shuffle.
     """
     src = df.sample(fraction=sample, seed=17) if sample else df
-    level = src.select(F.array().cast("array<string>").alias("steps"), F.col(col).alias("__v"))
-    found = None
-    for depth in range(max_depth + 1):
-        kv = level.select(
-            "steps", F.explode(F.try_variant_get("__v", "$", "map<string,variant>")).alias("__key", "__x")
-        ).select(F.concat("steps", F.array("__key")).alias("steps"), F.col("__x").alias("__v"))
-        kv = kv.withColumn("kind", value_kind(F.col("__v")))
-        agg = kv.groupBy("steps", "kind").agg(
-            F.count(F.lit(1)).alias("n_rows"),
-            F.max(F.when(F.col("kind") == "array", F.size(F.try_variant_get("__v", "$", "array<variant>")))).alias(
-                "max_width"
-            ),
-        ).withColumn("depth", F.lit(depth))
-        found = agg if found is None else found.unionByName(agg)
-        level = kv.filter(F.col("kind") == "object").select("steps", "__v")
-    return found.select(
-        "steps", F.array_join("steps", ".").alias("path"), "depth", "kind", "n_rows", "max_width"
+    root = F.array(F.struct(F.array().cast("array<string>").alias("steps"), F.col(col).alias("x")))
+    # Each level is its own column, computed once from the previous one.
+    lv = src.select(_children(root).alias("__l0"))
+    for d in range(1, max_depth + 1):
+        lv = lv.select("*", _children(F.col(f"__l{d - 1}")).alias(f"__l{d}"))
+    every = F.concat(*[F.col(f"__l{d}") for d in range(max_depth + 1)])
+    kv = lv.select(F.explode(every).alias("e")).select(F.col("e.steps").alias("steps"), F.col("e.x").alias("__v"))
+    kv = kv.withColumn("kind", value_kind(F.col("__v")))
+    agg = kv.groupBy("steps", "kind").agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.max(F.when(F.col("kind") == "array", F.size(F.try_variant_get("__v", "$", "array<variant>")))).alias(
+            "max_width"
+        ),
+    )
+    return agg.select(
+        "steps", F.array_join("steps", ".").alias("path"), (F.size("steps") - 1).alias("depth"),
+        "kind", "n_rows", "max_width",
     )
 
 
