@@ -1,8 +1,9 @@
 """Period operators on half-open business periods.
 
-All operators partition by the (canonical) key: windows use
-``Window.partitionBy(key)`` and joins are equi-joins on the key with the period
-test as a residual, so one hash partitioning on the key serves the whole chain.
+Joins are equi-joins on the (canonical) key with the period test as a residual.
+The ordered scans per key (neighbours, islands, overlap checks) run on range
+slices of the key's rows (:mod:`.sequence`), so a key with a huge timeline is
+spread over many tasks instead of one window partition.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from ..functions.periods import (
     ts_lit,
 )
 from ._joins import join_on
+from .sequence import split_islands, split_neighbours, split_running_max_before
 
 
 def _types(df: DataFrame) -> dict:
@@ -26,7 +28,12 @@ def _types(df: DataFrame) -> dict:
 
 
 def neighbour_bounds(
-    df: DataFrame, key: list[str], start: str, end: str, order_extra: list[str] | None = None
+    df: DataFrame,
+    key: list[str],
+    start: str,
+    end: str,
+    order_extra: list[str] | None = None,
+    skew_safe: bool = True,
 ) -> DataFrame:
     """Append ``prev_end`` and ``next_start`` of each row's neighbours within its key.
 
@@ -35,15 +42,21 @@ def neighbour_bounds(
     row's start, but the row's own end when the next row starts inside this row
     and this row's end is not open.  Order: start, end, then ``order_extra`` as a
     tie-break so the result is deterministic.  ``key`` columns are used as given;
-    pass canonical columns for NULL-or-default keys.
+    pass canonical columns for NULL-or-default keys.  ``skew_safe`` cuts a long key
+    into range slices (see :mod:`.sequence`) instead of one window partition.
     """
     t = _types(df)
     open_from = ts_lit(BUS_OPEN_FROM, t[end])
-    w = Window.partitionBy(*key).orderBy(start, end, *(order_extra or []))
-    prev = F.lag(F.col(end)).over(w)
-    nxt = F.lead(F.col(start)).over(w)
-    return df.select(
-        "*",
+    order = [start, end, *(order_extra or [])]
+    if skew_safe:
+        nb = split_neighbours(df, key, order, end, start, "__prev", "__next")
+        prev, nxt = F.col("__prev"), F.col("__next")
+    else:
+        w = Window.partitionBy(*key).orderBy(*order)
+        nb = df.select("*", F.lag(F.col(end)).over(w).alias("__prev"), F.lead(F.col(start)).over(w).alias("__next"))
+        prev, nxt = F.col("__prev"), F.col("__next")
+    return nb.select(
+        *df.columns,
         F.when(prev >= open_from, F.col(start)).otherwise(prev).alias("prev_end"),
         F.when((nxt < F.col(end)) & (F.col(end) < open_from), F.col(end)).otherwise(nxt).alias("next_start"),
     )
@@ -98,18 +111,20 @@ def right_diff(tgt: DataFrame, inp: DataFrame, K: list[str], start: str, end: st
     )
 
 
-def _tag_islands(df: DataFrame, part: list[str], start: str, end: str) -> DataFrame:
+def _tag_islands(df: DataFrame, part: list[str], start: str, end: str, skew_safe: bool = True) -> DataFrame:
+    if skew_safe:
+        return split_islands(df, part, start, end, "__isl")
     w = Window.partitionBy(*part).orderBy(start, end)
     run_end = F.max(F.col(end)).over(w.rowsBetween(Window.unboundedPreceding, -1))
     starts = F.when(run_end.isNull() | (F.col(start) > run_end), F.lit(1)).otherwise(F.lit(0))
     return df.withColumn("__isl_start", starts).withColumn(
         "__isl",
         F.sum("__isl_start").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-    )
+    ).drop("__isl_start")
 
 
 def coalesce_periods(
-    df: DataFrame, part: list[str], carry: list[str], start: str, end: str
+    df: DataFrame, part: list[str], carry: list[str], start: str, end: str, skew_safe: bool = True
 ) -> DataFrame:
     """Gaps-and-islands on canonical partition columns (U20 core).
 
@@ -119,7 +134,7 @@ def coalesce_periods(
     ``carry`` columns take ``max`` per island (raw values whose canonical form is
     equal: NULL and the default give the default).
     """
-    tagged = _tag_islands(df, part, start, end)
+    tagged = _tag_islands(df, part, start, end, skew_safe)
     return tagged.groupBy(*part, "__isl").agg(
         *[F.max(c).alias(c) for c in carry],
         F.min(start).alias(start),
@@ -158,13 +173,8 @@ def check_overlaps(df: DataFrame, key: list[str], start: str, end: str) -> DataF
     """
     K = [f"__k{i}" for i in range(len(key))]
     c = with_canonical(df, key, "__k", _types(df))
-    w = Window.partitionBy(*K).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
-    run_end = F.max(F.col(end)).over(w)
-    return (
-        c.withColumn("overlap_end", run_end)
-        .filter(F.col("overlap_end") > F.col(start))
-        .drop(*K)
-    )
+    marked = split_running_max_before(c, K, [start, end], end, "overlap_end")
+    return marked.filter(F.col("overlap_end") > F.col(start)).drop(*K)
 
 
 def in_period(start: str, end: str, point: Column) -> Column:

@@ -1,0 +1,129 @@
+"""Ordered scans per group that stay distributed when one group is huge.
+
+``Window.partitionBy(key).orderBy(start)`` puts every row of a key into one task;
+a key holding a third of the rows would then run in one task.  Here the rows are
+range-partitioned on (group, order), so a big group is cut into consecutive
+slices across tasks.  Each slice computes its running values locally (a window
+over ``(slice, group)``), a small per-slice summary (one row per slice and group)
+carries the values across slice boundaries in slice order, and a join on
+``(slice, group)`` applies the carry.  The result equals the single-window
+result exactly; only per-slice summaries meet in one place, never a group.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from ..session import ensure_checkpoint_dir
+
+SLICE = "__slice"
+
+
+def _slices(df: DataFrame, part: list[str], order: list[str], partitions: int | None) -> DataFrame:
+    """Rows tagged with their range slice, cut into the checkpoint folder.
+
+    The cut is required, not an optimisation: range bounds come from sampling the
+    input, and an input arriving from a shuffle is read in varying order, so two
+    evaluations could slice differently; the summary branch and the row branch
+    must see the same slices.
+    """
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.repartitionByRange(n, *part, *order).withColumn(SLICE, F.spark_partition_id()).checkpoint(eager=True)
+
+
+def _carry_join(r: DataFrame, summary: DataFrame, part: list[str]) -> DataFrame:
+    keys = [SLICE, *part]
+    ren = {c: f"{c}__s" for c in keys}
+    s = summary.select(*[F.col(c).alias(ren[c]) if c in ren else F.col(c) for c in summary.columns])
+    cond = None
+    for c in keys:
+        e = r[c].eqNullSafe(s[ren[c]])
+        cond = e if cond is None else cond & e
+    return r.join(s, cond, "left").drop(*ren.values())
+
+
+def split_neighbours(
+    df: DataFrame,
+    part: list[str],
+    order: list[str],
+    prev_of: str,
+    next_of: str,
+    prev_out: str = "__prev",
+    next_out: str = "__next",
+    partitions: int | None = None,
+) -> DataFrame:
+    """``lag(prev_of)`` and ``lead(next_of)`` over ``partitionBy(part).orderBy(order)``.
+
+    ``order`` must make rows of a group distinct for a deterministic result (as
+    for the plain window).
+    """
+    r = _slices(df, part, order, partitions)
+    w = Window.partitionBy(SLICE, *part).orderBy(*order)
+    r = r.select(
+        "*",
+        F.lag(F.col(prev_of)).over(w).alias("__lp"),
+        F.lead(F.col(next_of)).over(w).alias("__ln"),
+        F.lag(F.lit(1)).over(w).isNull().alias("__first"),
+        F.lead(F.lit(1)).over(w).isNull().alias("__last"),
+    )
+    pos = F.struct(*[F.col(c) for c in order])
+    summ = r.groupBy(SLICE, *part).agg(
+        F.max_by(F.col(prev_of), pos).alias("__tail"), F.min_by(F.col(next_of), pos).alias("__head")
+    )
+    ws = Window.partitionBy(*part).orderBy(SLICE)
+    summ = summ.select(
+        SLICE, *part, F.lag("__tail").over(ws).alias("__cprev"), F.lead("__head").over(ws).alias("__cnext")
+    )
+    j = _carry_join(r, summ, part)
+    return j.select(
+        *df.columns,
+        F.when(F.col("__first"), F.col("__cprev")).otherwise(F.col("__lp")).alias(prev_out),
+        F.when(F.col("__last"), F.col("__cnext")).otherwise(F.col("__ln")).alias(next_out),
+    )
+
+
+def split_islands(
+    df: DataFrame,
+    part: list[str],
+    start: str,
+    end: str,
+    island_out: str = "__isl",
+    partitions: int | None = None,
+) -> DataFrame:
+    """Island number per row: rows of a group whose periods overlap or meet share one.
+
+    A row opens an island when its start is after the maximum end of every row
+    before it (in ``start, end`` order); the island number is the running count of
+    openings.  Both running values are carried across slices.
+    """
+    order = [start, end]
+    r = _slices(df, part, order, partitions)
+    w = Window.partitionBy(SLICE, *part).orderBy(*order)
+    r = r.withColumn("__lmax", F.max(F.col(end)).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    ws = Window.partitionBy(*part).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    summ = r.groupBy(SLICE, *part).agg(F.max(F.col(end)).alias("__smax"))
+    summ = summ.select(SLICE, *part, F.max("__smax").over(ws).alias("__cmax"))
+    r = _carry_join(r, summ, part)
+    before = F.greatest(F.col("__lmax"), F.col("__cmax"))
+    r = r.withColumn("__open", F.when(before.isNull() | (F.col(start) > before), F.lit(1)).otherwise(F.lit(0)))
+    r = r.withColumn("__lisl", F.sum("__open").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    summ2 = r.groupBy(SLICE, *part).agg(F.sum("__open").alias("__sopen"))
+    summ2 = summ2.select(SLICE, *part, F.coalesce(F.sum("__sopen").over(ws), F.lit(0)).alias("__coff"))
+    r = _carry_join(r, summ2, part)
+    return r.select(*df.columns, (F.col("__coff") + F.col("__lisl")).alias(island_out))
+
+
+def split_running_max_before(
+    df: DataFrame, part: list[str], order: list[str], of: str, out: str, partitions: int | None = None
+) -> DataFrame:
+    """``max(of)`` over all earlier rows of the group (``rowsBetween(unbounded, -1)``)."""
+    r = _slices(df, part, order, partitions)
+    w = Window.partitionBy(SLICE, *part).orderBy(*order)
+    r = r.withColumn("__lmax", F.max(F.col(of)).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    ws = Window.partitionBy(*part).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    summ = r.groupBy(SLICE, *part).agg(F.max(F.col(of)).alias("__smax"))
+    summ = summ.select(SLICE, *part, F.max("__smax").over(ws).alias("__cmax"))
+    r = _carry_join(r, summ, part)
+    return r.select(*df.columns, F.greatest(F.col("__lmax"), F.col("__cmax")).alias(out))
