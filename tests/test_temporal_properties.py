@@ -9,6 +9,8 @@ is untouched; a second run with the same input and as_of changes nothing.
 
 import random
 
+import pytest
+
 from tidemark import Roles, temporal_merge
 
 from conftest import as_of, day, undo
@@ -45,11 +47,12 @@ def value_at(rows, t):
     return None
 
 
-def test_timeline_properties(spark):
+@pytest.mark.parametrize("slice_above", [None, 0], ids=["window", "sliced"])
+def test_timeline_properties(spark, slice_above):
     tgt_rows, src_rows, hist = cases()
     tgt = spark.createDataFrame(tgt_rows, TGT)
     src = spark.createDataFrame(src_rows, "k string, his string, bus_eff_ts timestamp_ntz, bus_exp_ts timestamp_ntz")
-    out = temporal_merge(src, tgt, ROLES, as_of())
+    out = temporal_merge(src, tgt, ROLES, as_of(), slice_above=slice_above)
     rows = out.collect()
 
     cur, closed = {}, []

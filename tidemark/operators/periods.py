@@ -20,7 +20,7 @@ from ..functions.periods import (
     ts_lit,
 )
 from ._joins import join_on
-from .sequence import split_islands, split_neighbours, split_running_max_before
+from .sequence import SLICE_ABOVE, needs_slices, split_islands, split_neighbours, split_running_max_before
 
 
 def _types(df: DataFrame) -> dict:
@@ -33,7 +33,7 @@ def neighbour_bounds(
     start: str,
     end: str,
     order_extra: list[str] | None = None,
-    skew_safe: bool = True,
+    sliced: bool = False,
 ) -> DataFrame:
     """Append ``prev_end`` and ``next_start`` of each row's neighbours within its key.
 
@@ -42,13 +42,13 @@ def neighbour_bounds(
     row's start, but the row's own end when the next row starts inside this row
     and this row's end is not open.  Order: start, end, then ``order_extra`` as a
     tie-break so the result is deterministic.  ``key`` columns are used as given;
-    pass canonical columns for NULL-or-default keys.  ``skew_safe`` cuts a long key
+    pass canonical columns for NULL-or-default keys.  ``sliced`` cuts long keys
     into range slices (see :mod:`.sequence`) instead of one window partition.
     """
     t = _types(df)
     open_from = ts_lit(BUS_OPEN_FROM, t[end])
     order = [start, end, *(order_extra or [])]
-    if skew_safe:
+    if sliced:
         nb = split_neighbours(df, key, order, end, start, "__prev", "__next")
         prev, nxt = F.col("__prev"), F.col("__next")
     else:
@@ -62,12 +62,18 @@ def neighbour_bounds(
     )
 
 
-def period_neighbours(df: DataFrame, key: list[str], start: str, end: str) -> DataFrame:
-    """Public U14 on raw columns: NULL-or-default keys, ``prev_end``/``next_start`` added."""
+def period_neighbours(
+    df: DataFrame, key: list[str], start: str, end: str, slice_above: int | None = SLICE_ABOVE
+) -> DataFrame:
+    """Public U14 on raw columns: NULL-or-default keys, ``prev_end``/``next_start`` added.
+
+    Keys with more than ``slice_above`` rows are scanned in range slices (one
+    counting pass decides); ``None`` never slices, ``0`` always does.
+    """
     K = [f"__k{i}" for i in range(len(key))]
     c = with_canonical(df, key, "__k", _types(df))
     rest = [x for x in df.columns if x not in key + [start, end]]
-    return neighbour_bounds(c, K, start, end, rest).drop(*K)
+    return neighbour_bounds(c, K, start, end, rest, needs_slices(c, K, slice_above)).drop(*K)
 
 
 def left_diff(tgt: DataFrame, inp: DataFrame, K: list[str], start: str, end: str) -> DataFrame:
@@ -111,8 +117,8 @@ def right_diff(tgt: DataFrame, inp: DataFrame, K: list[str], start: str, end: st
     )
 
 
-def _tag_islands(df: DataFrame, part: list[str], start: str, end: str, skew_safe: bool = True) -> DataFrame:
-    if skew_safe:
+def _tag_islands(df: DataFrame, part: list[str], start: str, end: str, sliced: bool = False) -> DataFrame:
+    if sliced:
         return split_islands(df, part, start, end, "__isl")
     w = Window.partitionBy(*part).orderBy(start, end)
     run_end = F.max(F.col(end)).over(w.rowsBetween(Window.unboundedPreceding, -1))
@@ -124,7 +130,7 @@ def _tag_islands(df: DataFrame, part: list[str], start: str, end: str, skew_safe
 
 
 def coalesce_periods(
-    df: DataFrame, part: list[str], carry: list[str], start: str, end: str, skew_safe: bool = True
+    df: DataFrame, part: list[str], carry: list[str], start: str, end: str, sliced: bool = False
 ) -> DataFrame:
     """Gaps-and-islands on canonical partition columns (U20 core).
 
@@ -132,9 +138,10 @@ def coalesce_periods(
     ``[min start, max end)``.  A row opens a new island when it starts after the
     running maximum end of all earlier rows, so nested periods fuse too (D5).
     ``carry`` columns take ``max`` per island (raw values whose canonical form is
-    equal: NULL and the default give the default).
+    equal: NULL and the default give the default).  ``sliced``: scan groups in
+    range slices (for groups too large for one task).
     """
-    tagged = _tag_islands(df, part, start, end, skew_safe)
+    tagged = _tag_islands(df, part, start, end, sliced)
     return tagged.groupBy(*part, "__isl").agg(
         *[F.max(c).alias(c) for c in carry],
         F.min(start).alias(start),
@@ -142,14 +149,17 @@ def coalesce_periods(
     ).drop("__isl")
 
 
-def normalise_periods(df: DataFrame, by: list[str], start: str, end: str) -> DataFrame:
+def normalise_periods(
+    df: DataFrame, by: list[str], start: str, end: str, slice_above: int | None = SLICE_ABOVE
+) -> DataFrame:
     """Public U20: coalesce overlapping or meeting periods of rows equal on ``by``.
 
     Equality is NULL-or-default per column type.  Output: ``by`` columns, start, end.
+    Groups with more than ``slice_above`` rows are scanned in range slices.
     """
     P = [f"__p{i}" for i in range(len(by))]
     c = with_canonical(df.select(*by, start, end), by, "__p", _types(df))
-    out = coalesce_periods(c, P, by, start, end)
+    out = coalesce_periods(c, P, by, start, end, needs_slices(c, P, slice_above))
     return out.select(*by, start, end)
 
 
@@ -164,7 +174,9 @@ def period_envelope(df: DataFrame, key: list[str], start: str, end: str) -> Data
     ).drop(*K)
 
 
-def check_overlaps(df: DataFrame, key: list[str], start: str, end: str) -> DataFrame:
+def check_overlaps(
+    df: DataFrame, key: list[str], start: str, end: str, slice_above: int | None = SLICE_ABOVE
+) -> DataFrame:
     """Rows whose period overlaps an earlier row of the same key (precondition D6).
 
     An earlier row is one ordered before it by (start, end); overlap is tested
@@ -173,7 +185,11 @@ def check_overlaps(df: DataFrame, key: list[str], start: str, end: str) -> DataF
     """
     K = [f"__k{i}" for i in range(len(key))]
     c = with_canonical(df, key, "__k", _types(df))
-    marked = split_running_max_before(c, K, [start, end], end, "overlap_end")
+    if needs_slices(c, K, slice_above):
+        marked = split_running_max_before(c, K, [start, end], end, "overlap_end")
+    else:
+        w = Window.partitionBy(*K).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
+        marked = c.withColumn("overlap_end", F.max(F.col(end)).over(w))
     return marked.filter(F.col("overlap_end") > F.col(start)).drop(*K)
 
 

@@ -18,6 +18,23 @@ from pyspark.sql import functions as F
 from ..session import ensure_checkpoint_dir
 
 SLICE = "__slice"
+# Groups above this many rows are scanned in range slices; smaller ones use one window.
+SLICE_ABOVE = 2_000_000
+
+
+def largest_group(df: DataFrame, part: list[str]) -> int:
+    """Row count of the largest group (an aggregate combined map-side; one number returns)."""
+    row = df.groupBy(*part).count().agg(F.max("count").alias("m")).first()
+    return int(row["m"] or 0) if row is not None else 0
+
+
+def needs_slices(df: DataFrame, part: list[str], slice_above: int | None) -> bool:
+    """Whether a group of ``df`` is too large for one window partition."""
+    if slice_above is None:
+        return False
+    if slice_above <= 0:
+        return True
+    return largest_group(df, part) > slice_above
 
 
 def _slices(df: DataFrame, part: list[str], order: list[str], partitions: int | None) -> DataFrame:

@@ -29,6 +29,7 @@ from .apply import apply_versions
 from .periods import coalesce_periods, left_diff, neighbour_bounds, right_diff
 from ._stage import stage
 from .roles import Resolved, Roles, resolve_roles
+from .sequence import SLICE_ABOVE, largest_group
 from .scd2 import DELETE_FLAG
 
 FLAG = "prog_flag"
@@ -64,13 +65,16 @@ def plan_temporal(
     as_of: str | _dt.datetime,
     driver: DataFrame | None = None,
     stage_mode: str = "checkpoint",
+    slice_above: int | None = SLICE_ABOVE,
 ) -> TemporalPlan:
     """Build every stage of the bitemporal merge (decisions D4-D8, D17-D19, D23).
 
     The current target is scanned once: its rows of the run's keys (or, with a
     key master, of the run's master keys) are cut into ``hot``; the input set and
     the coalesced set are cut too.  Those three are delta-sized and each is read
-    by several branches (see :func:`stage`).
+    by several branches (see :func:`stage`).  When a key holds more than
+    ``slice_above`` rows (measured on those stages), the neighbour and island
+    scans run in range slices instead of one window partition per key.
     """
     r = resolve_roles(src.schema, tgt.schema, roles, "temporal")
     bs, be = r.bus
@@ -131,8 +135,13 @@ def plan_temporal(
     # UNION semantics; a delete and a key-master row for one version keep "delete".
     inp = stage(inp.groupBy(*base, FLAG).agg(F.min(KIND).alias(KIND)), K, stage_mode)
 
+    # One number each from the materialised stages decides the scan strategy.
+    sliced = slice_above is not None and (
+        slice_above <= 0 or 3 * largest_group(inp, K) + largest_group(hot, K) > slice_above
+    )
+
     # Delete rows stay out of the neighbour windows, and deleted versions are not cut.
-    cutters = neighbour_bounds(inp.filter(F.col(KIND) != "delete"), K, bs, be, [FLAG, *H])
+    cutters = neighbour_bounds(inp.filter(F.col(KIND) != "delete"), K, bs, be, [FLAG, *H], sliced)
     deleted = inp.filter(F.col(KIND) == "delete").select(*K, *H, bs, be)
     live = join_on(hot.select(*base), deleted, K + H + [bs, be], "left_anti")
 
@@ -140,7 +149,7 @@ def plan_temporal(
     right = right_diff(live, cutters, K, bs, be).withColumn(FLAG, F.lit(1 if r.kem else 0))  # D17
 
     frag = inp.select(*base, FLAG).unionByName(left).unionByName(right)
-    norm = stage(coalesce_periods(frag, K + H + [FLAG], r.key + r.his, bs, be), K, stage_mode)
+    norm = stage(coalesce_periods(frag, K + H + [FLAG], r.key + r.his, bs, be, sliced), K, stage_mode)
 
     ident = K + H + [bs, be]
     norm0 = norm.filter(F.col(FLAG) == 0)
@@ -190,8 +199,9 @@ def temporal_merge(
     as_of: str | _dt.datetime,
     driver: DataFrame | None = None,
     keep_action: bool = False,
+    slice_above: int | None = SLICE_ABOVE,
 ) -> DataFrame:
     """The whole new target: merge set applied on key + business period + HIS."""
-    p = plan_temporal(src, tgt, roles, as_of, driver)
+    p = plan_temporal(src, tgt, roles, as_of, driver, slice_above=slice_above)
     r = p.roles
     return apply_versions(tgt, p.merge_set, r.key + r.bus + r.his, r.sys, as_of, keep_action, hot=p.hot)
