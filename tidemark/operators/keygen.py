@@ -19,6 +19,7 @@ from ..functions.nulls import with_canonical
 from ..functions.periods import ts_lit
 from ..session import ensure_checkpoint_dir
 from ._joins import join_on
+from ._stage import stage
 from .roles import Resolved, Roles, resolve_roles
 
 # Layout of monotonically_increasing_id(): partition index above bit 33.
@@ -89,11 +90,15 @@ def hub_duplicates(hub: DataFrame, key: list[str], as_of: str | _dt.datetime, hu
     ).drop(*K)
 
 
-def assign_keys(cache: DataFrame, hub: DataFrame, key: list[str], sys_key: str) -> DataFrame:
+def assign_keys(
+    cache: DataFrame, hub: DataFrame, key: list[str], sys_key: str, stage_mode: str = "checkpoint"
+) -> DataFrame:
     """Fill NULL surrogates: ``coalesce(max over all hub rows, 0) + rank in key order`` (U8).
 
     The maximum counts expired hub rows too; the hub is not written.  Adds
-    ``is_new`` (true for generated keys).
+    ``is_new`` (true for generated keys).  The filled cache (one row per distinct
+    key) is materialised once: the key output, the write-back and the metrics
+    all read it.
     """
     max_key = hub.select(F.coalesce(F.max(sys_key), F.lit(0)).alias("m")).scalar()
     known = cache.filter(F.col(sys_key).isNotNull()).withColumn("is_new", F.lit(False))
@@ -104,7 +109,9 @@ def assign_keys(cache: DataFrame, hub: DataFrame, key: list[str], sys_key: str)
     new = numbered.select(
         *key, (max_key + F.col("__rn")).cast(types[sys_key]).alias(sys_key), F.lit(True).alias("is_new")
     )
-    return known.unionByName(new)
+    K2 = [f"__k{i}" for i in range(len(key))]
+    filled = known.unionByName(new)
+    return stage(with_canonical(filled, key, "__k", types), K2, stage_mode).drop(*K2)
 
 
 def keygen(
