@@ -20,7 +20,14 @@ from ..functions.periods import (
     ts_lit,
 )
 from ._joins import join_on
-from .sequence import SLICE_ABOVE, needs_slices, split_islands, split_neighbours, split_running_max_before
+from .sequence import (
+    SLICE_ABOVE,
+    needs_slices,
+    split_islands,
+    split_last_before,
+    split_neighbours,
+    split_running_max_before,
+)
 
 
 def _types(df: DataFrame) -> dict:
@@ -117,6 +124,56 @@ def right_diff(tgt: DataFrame, inp: DataFrame, K: list[str], start: str, end: st
     )
 
 
+def asof_diffs(
+    tgt: DataFrame, inp: DataFrame, K: list[str], start: str, end: str
+) -> tuple[DataFrame, DataFrame]:
+    """Left and right differences (U17, U18) as as-of lookups, linear in the rows of a key.
+
+    With non-overlapping versions per key (what the merges maintain), a version
+    overlapping an input and starting before it is the one holding the input's
+    start strictly inside, and one ending after it holds the input's end strictly
+    inside.  Versions and input points are unioned into one timeline per key; each
+    point carries the last version that started strictly before it (sliced scan),
+    and the fragment rules apply to that one version.  Same result as
+    :func:`left_diff` / :func:`right_diff` under that precondition, without
+    comparing every version of a hot key with every input.
+    """
+    cols = tgt.columns
+    v = F.struct(*[F.col(c) for c in cols])
+    null_v = F.lit(None).cast(tgt.select(v.alias("v")).schema["v"].dataType)
+    t_type = tgt.schema[start].dataType
+    none_t = F.lit(None).cast(t_type)
+    versions = tgt.select(*K, F.col(start).alias("__at"), F.lit(1).alias("__ord"), v.alias("__v"),
+                          F.lit(None).cast("string").alias("__side"), none_t.alias("__i_s"), none_t.alias("__i_e"),
+                          none_t.alias("__i_b"))
+    lefts = inp.select(*K, F.col(start).alias("__at"), F.lit(0).alias("__ord"), null_v.alias("__v"),
+                       F.lit("L").alias("__side"), F.col(start).alias("__i_s"), F.col(end).alias("__i_e"),
+                       F.col("prev_end").alias("__i_b"))
+    rights = inp.select(*K, F.col(end).alias("__at"), F.lit(0).alias("__ord"), null_v.alias("__v"),
+                        F.lit("R").alias("__side"), F.col(start).alias("__i_s"), F.col(end).alias("__i_e"),
+                        F.col("next_start").alias("__i_b"))
+    u = versions.unionByName(lefts).unionByName(rights)
+    # points sort before versions at the same instant: a version must start strictly before the point
+    carried = split_last_before(u, K, ["__at", "__ord"], "__v", "__t").filter(F.col("__side").isNotNull())
+    t_s, t_e = F.col(f"__t.{start}"), F.col(f"__t.{end}")
+    left = carried.filter(
+        (F.col("__side") == "L") & F.col("__t").isNotNull() & (t_e > F.col("__i_s"))
+        & null_or_before(F.col("__i_b"), F.col("__i_s"))
+    ).select(*[
+        F.when(F.col("__i_b") > t_s, F.col("__i_b")).otherwise(t_s).alias(c) if c == start
+        else (F.col("__i_s").alias(c) if c == end else F.col(f"__t.{c}").alias(c)) for c in cols
+    ])
+    right = carried.filter(
+        (F.col("__side") == "R") & F.col("__t").isNotNull() & (t_e > F.col("__i_e"))
+        & null_or_not_meeting(F.col("__i_b"), F.col("__i_e"))
+    ).select(*[
+        F.col("__i_e").alias(c) if c == start
+        else (F.when(F.col("__i_b") < t_e, F.col("__i_b")).otherwise(t_e).alias(c) if c == end
+              else F.col(f"__t.{c}").alias(c)) for c in cols
+    ])
+    return left, right
+
+
 def _tag_islands(df: DataFrame, part: list[str], start: str, end: str, sliced: bool = False) -> DataFrame:
     if sliced:
         return split_islands(df, part, start, end, "__isl")

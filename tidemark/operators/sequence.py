@@ -144,3 +144,18 @@ def split_running_max_before(
     summ = summ.select(SLICE, *part, F.max("__smax").over(ws).alias("__cmax"))
     r = _carry_join(r, summ, part)
     return r.select(*df.columns, F.greatest(F.col("__lmax"), F.col("__cmax")).alias(out))
+
+
+def split_last_before(
+    df: DataFrame, part: list[str], order: list[str], of: str, out: str, partitions: int | None = None
+) -> DataFrame:
+    """The last non-NULL ``of`` among earlier rows of the group (an as-of carry)."""
+    r = _slices(df, part, order, partitions)
+    w = Window.partitionBy(SLICE, *part).orderBy(*order)
+    r = r.withColumn("__loc", F.last(F.col(of), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, -1)))
+    pos = F.when(F.col(of).isNotNull(), F.struct(*[F.col(c) for c in order]))
+    summ = r.groupBy(SLICE, *part).agg(F.max_by(F.col(of), pos).alias("__slast"))
+    ws = Window.partitionBy(*part).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
+    summ = summ.select(SLICE, *part, F.last("__slast", ignorenulls=True).over(ws).alias("__carry"))
+    r = _carry_join(r, summ, part)
+    return r.select(*df.columns, F.coalesce(F.col("__loc"), F.col("__carry")).alias(out))

@@ -26,7 +26,7 @@ from ..functions.nulls import with_canonical
 from ..functions.periods import SYS_OPEN_END, contains_between, contains_point, overlaps, ts_lit
 from ._joins import join_on
 from .apply import apply_versions
-from .periods import coalesce_periods, left_diff, neighbour_bounds, right_diff
+from .periods import asof_diffs, coalesce_periods, left_diff, neighbour_bounds, right_diff
 from ._stage import stage
 from .roles import Resolved, Roles, resolve_roles
 from .sequence import SLICE_ABOVE, largest_group
@@ -145,8 +145,12 @@ def plan_temporal(
     deleted = inp.filter(F.col(KIND) == "delete").select(*K, *H, bs, be)
     live = join_on(hot.select(*base), deleted, K + H + [bs, be], "left_anti")
 
-    left = left_diff(live, cutters, K, bs, be).withColumn(FLAG, F.lit(0))
-    right = right_diff(live, cutters, K, bs, be).withColumn(FLAG, F.lit(1 if r.kem else 0))  # D17
+    if sliced:  # hot keys: as-of lookups instead of pairwise interval joins
+        left, right = asof_diffs(live, cutters, K, bs, be)
+    else:
+        left, right = left_diff(live, cutters, K, bs, be), right_diff(live, cutters, K, bs, be)
+    left = left.withColumn(FLAG, F.lit(0))
+    right = right.withColumn(FLAG, F.lit(1 if r.kem else 0))  # D17
 
     frag = inp.select(*base, FLAG).unionByName(left).unionByName(right)
     norm = stage(coalesce_periods(frag, K + H + [FLAG], r.key + r.his, bs, be, sliced), K, stage_mode)
