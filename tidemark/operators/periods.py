@@ -174,6 +174,43 @@ def asof_diffs(
     return left, right
 
 
+def versions_holding(tgt: DataFrame, points: DataFrame, K: list[str], start: str, end: str, point: str) -> DataFrame:
+    """Distinct ``tgt`` rows whose ``[start, end)`` holds some point of the same key (sliced as-of).
+
+    Each point carries the last version starting at or before it; it counts when
+    it lies before that version's end.  Assumes non-overlapping versions per key.
+    """
+    cols = tgt.columns
+    v = F.struct(*[F.col(c) for c in cols])
+    null_v = F.lit(None).cast(tgt.select(v.alias("v")).schema["v"].dataType)
+    u = tgt.select(*K, F.col(start).alias("__at"), F.lit(0).alias("__ord"), v.alias("__v"),
+                   F.lit(None).cast(tgt.schema[start].dataType).alias("__p")).unionByName(
+        points.select(*K, F.col(point).alias("__at"), F.lit(1).alias("__ord"), null_v.alias("__v"),
+                      F.col(point).alias("__p")))
+    hit = split_last_before(u, K, ["__at", "__ord"], "__v", "__t").filter(
+        F.col("__p").isNotNull() & F.col("__t").isNotNull() & (F.col("__p") < F.col(f"__t.{end}")))
+    return hit.select(*[F.col(f"__t.{c}").alias(c) for c in cols]).distinct()
+
+
+def versions_overlapping(tgt: DataFrame, inp: DataFrame, K: list[str], start: str, end: str) -> DataFrame:
+    """``tgt`` rows overlapping some ``inp`` period of the same key, as one sliced scan.
+
+    A version ``[s, e)`` overlaps an input when the largest end among inputs that
+    start before ``e`` exceeds ``s``; no precondition on overlaps.
+    """
+    cols = tgt.columns
+    v = F.struct(*[F.col(c) for c in cols])
+    null_v = F.lit(None).cast(tgt.select(v.alias("v")).schema["v"].dataType)
+    t_type = tgt.schema[end].dataType
+    u = tgt.select(*K, F.col(end).alias("__at"), F.lit(0).alias("__ord"), v.alias("__v"),
+                   F.lit(None).cast(t_type).alias("__ie")).unionByName(
+        inp.select(*K, F.col(start).alias("__at"), F.lit(1).alias("__ord"), null_v.alias("__v"),
+                   F.col(end).alias("__ie")))
+    m = split_running_max_before(u, K, ["__at", "__ord"], "__ie", "__m").filter(
+        F.col("__v").isNotNull() & (F.col("__m") > F.col(f"__v.{start}")))
+    return m.select(*[F.col(f"__v.{c}").alias(c) for c in cols])
+
+
 def _tag_islands(df: DataFrame, part: list[str], start: str, end: str, sliced: bool = False) -> DataFrame:
     if sliced:
         return split_islands(df, part, start, end, "__isl")

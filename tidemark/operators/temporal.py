@@ -26,7 +26,15 @@ from ..functions.nulls import with_canonical
 from ..functions.periods import SYS_OPEN_END, contains_between, contains_point, overlaps, ts_lit
 from ._joins import join_on
 from .apply import apply_versions
-from .periods import asof_diffs, coalesce_periods, left_diff, neighbour_bounds, right_diff
+from .periods import (
+    asof_diffs,
+    coalesce_periods,
+    left_diff,
+    neighbour_bounds,
+    right_diff,
+    versions_holding,
+    versions_overlapping,
+)
 from ._stage import stage
 from .roles import Resolved, Roles, resolve_roles
 from .sequence import SLICE_ABOVE, largest_group
@@ -110,10 +118,18 @@ def plan_temporal(
         keep = s
     parts = [keep.select(*base, F.lit(0).alias(FLAG), F.lit("source").alias(KIND))]
 
+    # One number each from the source and the materialised hot rows decides the scan strategy.
+    sliced = slice_above is not None and (
+        slice_above <= 0 or 3 * largest_group(s.select(*K), K) + largest_group(hot, K) > slice_above
+    )
+
     if r.opr:
         # The current version holding the delete row's start is expired whole.
         d = s.filter(flag == DELETE_FLAG).select(*K, F.col(bs).alias("__d_s")).distinct()
-        dels = join_on(hot, d, K, "left_semi", contains_point(F.col(bs), F.col(be), F.col("__d_s")))
+        if sliced:
+            dels = versions_holding(hot.select(*base), d, K, bs, be, "__d_s")
+        else:
+            dels = join_on(hot, d, K, "left_semi", contains_point(F.col(bs), F.col(be), F.col("__d_s")))
         parts.append(dels.select(*base, F.lit(1).alias(FLAG), F.lit("delete").alias(KIND)))
 
     if r.kem:
@@ -135,11 +151,6 @@ def plan_temporal(
     # UNION semantics; a delete and a key-master row for one version keep "delete".
     inp = stage(inp.groupBy(*base, FLAG).agg(F.min(KIND).alias(KIND)), K, stage_mode)
 
-    # One number each from the materialised stages decides the scan strategy.
-    sliced = slice_above is not None and (
-        slice_above <= 0 or 3 * largest_group(inp, K) + largest_group(hot, K) > slice_above
-    )
-
     # Delete rows stay out of the neighbour windows, and deleted versions are not cut.
     cutters = neighbour_bounds(inp.filter(F.col(KIND) != "delete"), K, bs, be, [FLAG, *H], sliced)
     deleted = inp.filter(F.col(KIND) == "delete").select(*K, *H, bs, be)
@@ -165,13 +176,17 @@ def plan_temporal(
     keepers = join_on(hot, norm0.select(*ident).distinct(), ident, "left_semi")
     refresh = keepers.filter(F.col(exp) != open_c).select(*row, eff, open_c.alias(exp))  # D18
 
-    touched = join_on(
-        hot,
-        inp.select(*K, F.col(bs).alias("__i_s"), F.col(be).alias("__i_e")),
-        K,
-        "left_semi",
-        overlaps(F.col(bs), F.col(be), F.col("__i_s"), F.col("__i_e")),
-    )  # D4: only versions that overlap an input row
+    # Only versions that overlap an input row
+    if sliced:
+        touched = versions_overlapping(hot.select(*base, eff, exp), inp.select(*K, bs, be), K, bs, be)
+    else:
+        touched = join_on(
+            hot,
+            inp.select(*K, F.col(bs).alias("__i_s"), F.col(be).alias("__i_e")),
+            K,
+            "left_semi",
+            overlaps(F.col(bs), F.col(be), F.col("__i_s"), F.col("__i_e")),
+        )
     close_b = join_on(touched, norm.select(*ident).distinct(), ident, "left_anti")
     close_c = join_on(
         join_on(hot, norm1.select(*ident).distinct(), ident, "left_semi"),
