@@ -22,6 +22,7 @@ HEADLINE = [
     "scd2_apply",
     "temporal_apply",
     "temporal_key_master",
+    "temporal_hot_keys",
     "keygen_target",
     "land_batch_parquet",
     "variant_flatten_array",

@@ -1,4 +1,5 @@
-"""Test frames F1-F5 (FIXTURES.md section 3) built on the driver's tables.
+"""Test frames F1-F5 (FIXTURES.md section 3) built on the driver's tables, and F6 (ours):
+25 nation timelines, so that every key is hot.
 
 The modulus expressions decide *which* rows change, are deleted or are new, so
 each merge has every case to handle; the targets span the whole tables.
@@ -136,3 +137,43 @@ def f5_src(spark: SparkSession, sf_dir: str, tgt: DataFrame | None = None) -> Da
         F.when(F.col("l_orderkey") % 10 == 0, F.col("bus_eff_ts") + _days(40))
         .otherwise(F.col("bus_exp_ts")).alias("bus_exp_ts"),
     )
+
+
+def f6_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few hot keys: each nation's order-date timeline (one order per nation and date).
+
+    The next date per nation comes from the sliced neighbour scan, since every
+    key here is large.
+    """
+    from ..operators.sequence import split_neighbours
+
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
+    c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
+    j = o.join(c, F.col("c_custkey") == F.col("o_custkey"))
+    d = j.groupBy("c_nationkey", "o_orderdate").agg(
+        F.min("o_orderkey").alias("o_orderkey"), F.min_by("o_orderstatus", "o_orderkey").alias("o_orderstatus")
+    )
+    nb = split_neighbours(d, ["c_nationkey"], ["o_orderdate"], "o_orderdate", "o_orderdate", "__p", "__n")
+    return nb.select(
+        "c_nationkey", "o_orderkey", "o_orderstatus", F.col("o_orderdate").alias("bus_eff_ts"),
+        F.coalesce(F.col("__n"), ts_lit(BUS_OPEN)).alias("bus_exp_ts"),
+    )
+
+
+def f6_tgt(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    b = base if base is not None else f6_base(spark, sf_dir)
+    return b.select(
+        "c_nationkey", "o_orderstatus", "bus_eff_ts", "bus_exp_ts",
+        ts_lit(SYS_START).alias("icw_eff_ts"), ts_lit(SYS_OPEN_END).alias("icw_exp_ts"),
+    )
+
+
+def f6_src(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    b = base if base is not None else f6_base(spark, sf_dir)
+    ok = F.col("o_orderkey")
+    return b.filter((ok % 3 == 0) & (F.col("bus_exp_ts") > F.col("bus_eff_ts") + _days(3))).select(
+        "c_nationkey",
+        F.when(ok % 5 == 0, F.lit("X")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
+        (F.col("bus_eff_ts") + _days(3)).alias("bus_eff_ts"),
+        "bus_exp_ts",
+    )
