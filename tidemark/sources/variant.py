@@ -29,15 +29,24 @@ def value_kind(v: Column) -> Column:
     )
 
 
+_MAP = "map<string,variant>"
+_ARR = "array<variant>"
+
+
+def _entry(steps: Column, x: Column) -> Column:
+    """One discovered field: its path, its value, and the value as a map (NULL unless an object)."""
+    return F.struct(steps.alias("steps"), x.alias("x"), F.try_variant_get(x, "$", _MAP).alias("m"))
+
+
 def _children(entries: Column) -> Column:
-    """Fields of every object among ``entries`` (array of ``struct(steps, x)``), one level down."""
-    objects = F.filter(entries, lambda e: F.try_variant_get(e["x"], "$", "map<string,variant>").isNotNull())
+    """Fields of every object among ``entries`` (array of entries), one level down."""
+    objects = F.filter(entries, lambda e: e["m"].isNotNull())
     return F.flatten(
         F.transform(
             objects,
             lambda e: F.transform(
-                F.map_entries(F.try_variant_get(e["x"], "$", "map<string,variant>")),
-                lambda kv: F.struct(F.concat(e["steps"], F.array(kv["key"])).alias("steps"), kv["value"].alias("x")),
+                F.map_entries(e["m"]),
+                lambda kv: _entry(F.concat(e["steps"], F.array(kv["key"])), kv["value"]),
             ),
         )
     )
@@ -52,24 +61,31 @@ def discover_paths(df: DataFrame, col: str = "value", max_depth: int = 3, sample
     A path seen with several kinds gets one row per kind.  ``sample`` (a fraction)
     restricts discovery to a random sample, as the reference's one-row read did.
 
-    One scan: the levels are unrolled at plan time into higher-order functions
-    that list every ``(path, value)`` of a record, then one explode feeds one
-    aggregate, combined map-side before its shuffle.
+    One scan: each depth level is a column computed once from the previous one
+    (higher-order functions over the record's fields, each value converted to a
+    map once), then one explode feeds one aggregate, combined map-side before
+    its shuffle.
     """
     src = df.sample(fraction=sample, seed=17) if sample else df
-    root = F.array(F.struct(F.array().cast("array<string>").alias("steps"), F.col(col).alias("x")))
-    # Each level is its own column, computed once from the previous one.
+    root = F.array(_entry(F.array().cast("array<string>"), F.col(col)))
     lv = src.select(_children(root).alias("__l0"))
     for d in range(1, max_depth + 1):
         lv = lv.select("*", _children(F.col(f"__l{d - 1}")).alias(f"__l{d}"))
     every = F.concat(*[F.col(f"__l{d}") for d in range(max_depth + 1)])
-    kv = lv.select(F.explode(every).alias("e")).select(F.col("e.steps").alias("steps"), F.col("e.x").alias("__v"))
-    kv = kv.withColumn("kind", value_kind(F.col("__v")))
+    kv = lv.select(F.explode(every).alias("e")).select(
+        F.col("e.steps").alias("steps"), F.col("e.x").alias("__v"), F.col("e.m").isNotNull().alias("__obj")
+    )
+    kv = kv.withColumn("__arr", F.when(~F.col("__obj"), F.size(F.try_variant_get("__v", "$", _ARR))))
+    kind = (
+        F.when(F.col("__obj"), F.lit("object"))
+        .when(F.col("__arr").isNotNull() & (F.col("__arr") >= 0), F.lit("array"))
+        .when(F.is_variant_null("__v"), F.lit("null"))
+        .otherwise(F.lit("scalar"))
+    )
+    kv = kv.select("steps", kind.alias("kind"), "__arr")
     agg = kv.groupBy("steps", "kind").agg(
         F.count(F.lit(1)).alias("n_rows"),
-        F.max(F.when(F.col("kind") == "array", F.size(F.try_variant_get("__v", "$", "array<variant>")))).alias(
-            "max_width"
-        ),
+        F.max(F.when(F.col("kind") == "array", F.col("__arr"))).alias("max_width"),
     )
     return agg.select(
         "steps", F.array_join("steps", ".").alias("path"), (F.size("steps") - 1).alias("depth"),
