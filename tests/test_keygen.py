@@ -38,3 +38,15 @@ def test_dense_number_matches_global_order(spark):
     rows = dense_number(df, ["x"], "n", partitions=7).collect()
     pairs = sorted((r.x, r.n) for r in rows)
     assert [n for _, n in pairs] == list(range(1, 5001))
+
+
+def test_duplicate_current_hub_rows_take_smallest(spark):
+    from tidemark.operators.keygen import hub_duplicates
+    h = spark.createDataFrame(
+        [("a", 5, datetime(2020, 1, 1), OPEN), ("a", 3, datetime(2020, 1, 1), OPEN), ("b", 9, datetime(2020, 1, 1), OPEN)],
+        "k string, sk bigint, icw_eff_ts timestamp_ntz, icw_exp_ts timestamp_ntz",
+    )
+    src = spark.createDataFrame([("a",), ("b",)], "k string")
+    got = sorted((r.k, r.sk) for r in lookup_keys(src, h, ["k"], "sk", AS_OF).collect())
+    assert got == [("a", 3), ("b", 9)]
+    assert [(r.k, r.n_current) for r in hub_duplicates(h, ["k"], AS_OF).collect()] == [("a", 2)]

@@ -153,3 +153,19 @@ def test_apply_is_idempotent(spark):
     again = temporal_merge(src, out, ROLES, as_of(), keep_action=True)
     acts = {r["__action"] for r in again.collect()}
     assert acts <= {"history", "current"}
+
+
+def test_normalise_null_equals_default(spark):
+    df = spark.createDataFrame([("k", None, day(1), day(2)), ("k", "", day(2), day(3))],
+                               "k string, h string, s timestamp_ntz, e timestamp_ntz")
+    got = [(r.k, r.h, undo(r.s), undo(r.e)) for r in normalise_periods(df, ["k", "h"], "s", "e").collect()]
+    assert got == [("k", "", 1, 3)]
+
+
+def test_check_overlaps_both_paths(spark):
+    from tidemark import check_overlaps
+    df = spark.createDataFrame([("a", 1, 5), ("a", 3, 4), ("a", 5, 6), ("a", 4, 9), ("b", 1, 2)],
+                               "k string, s int, e int")
+    plain = sorted((r.k, r.s, r.overlap_end) for r in check_overlaps(df, ["k"], "s", "e", slice_above=None).collect())
+    sliced = sorted((r.k, r.s, r.overlap_end) for r in check_overlaps(df, ["k"], "s", "e", slice_above=0).collect())
+    assert plain == sliced == [("a", 3, 5), ("a", 4, 5), ("a", 5, 9)]
