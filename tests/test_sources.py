@@ -67,3 +67,17 @@ def test_schema_diff_and_overlaps(spark):
     p = spark.createDataFrame([("a", 1, 5), ("a", 3, 4), ("a", 5, 6), ("b", 1, 2)], "k string, s int, e int")
     bad = check_overlaps(p, ["k"], "s", "e").collect()
     assert [(r.k, r.s) for r in bad] == [("a", 3)]
+
+
+def test_stream_json_lands_whole_records(spark, tmp_path):
+    src = tmp_path / "js"
+    src.mkdir()
+    (src / "a.json").write_text('{"id": 1, "tags": ["x", "y"]}\n{"id": 2, "extra": {"k": true}}\n')
+    base = scratch_path(spark, "test-json-landing")
+    land_stream(spark, str(src), f"{base}/sink", f"{base}/ckpt", fmt="json")
+    rows = spark.read.parquet(f"{base}/sink").select(
+        F.try_variant_get("value", "$.id", "int").alias("id"),
+        F.try_variant_get("value", "$.tags[1]", "string").alias("t"),
+        F.try_variant_get("value", "$.extra.k", "boolean").alias("k"),
+    ).collect()
+    assert sorted((r.id, r.t, r.k) for r in rows) == [(1, "y", None), (2, None, True)]
