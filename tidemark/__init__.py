@@ -7,7 +7,7 @@ each a function from DataFrames to DataFrames.
 from .functions.nulls import canonical, columntype_default, default_eq, null_default, null_default_join
 from .functions.periods import BUS_OPEN_FROM, SYS_OPEN_END, ts_lit
 from .functions.tokens import explode_tokens
-from .operators.apply import apply_versions, merge_summary
+from .operators.apply import apply_versions, merge_summary, split_applied, write_split
 from .operators.audit import audit, audit_frame
 from .operators.keygen import assign_keys, dense_number, keygen, keygen_summary, lookup_keys
 from .operators.periods import check_overlaps, normalise_periods, period_envelope, period_neighbours

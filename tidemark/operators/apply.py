@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as _dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -81,3 +82,46 @@ def merge_summary(applied: DataFrame) -> DataFrame:
         F.count_if(F.col(ACTION) == "insert").alias("rows_inserted"),
         F.count_if(F.col(ACTION) == "update").alias("rows_updated"),
     )
+
+
+def split_applied(applied: DataFrame, sys: tuple[str, str] | list[str], as_of) -> tuple[DataFrame, DataFrame]:
+    """Cut a merged target (with actions) into ``(closed_now, current)``.
+
+    For a two-table layout, where history is append-only and only the current
+    table is rewritten: ``closed_now`` holds the versions this run closed (append
+    them to history); ``current`` holds every version still current (the new
+    current table). Rows that were history before the run belong to neither.
+    """
+    _, exp = sys
+    types = {f.name: f.dataType for f in applied.schema.fields}
+    still = F.col(exp) > ts_lit(as_of, types[exp])
+    run_rows = applied.filter(F.col(ACTION) != "history")
+    closed = run_rows.filter(~F.coalesce(still, F.lit(False))).drop(ACTION)
+    current = run_rows.filter(still).drop(ACTION)
+    return closed, current
+
+
+def write_split(applied: DataFrame, sys: tuple[str, str] | list[str], as_of, history_path: str, run_path: str) -> str:
+    """Write one merge run in the two-table layout; returns the new current table's path.
+
+    One job writes the run's rows partitioned into ``closed`` and ``current`` under
+    ``run_path`` (a new folder); the closed rows (delta-sized) are then appended
+    to the history table. History is never rewritten, and the table being read is
+    never overwritten. Pass the *current* table as the merge target.
+    """
+    _, exp = sys
+    types = {f.name: f.dataType for f in applied.schema.fields}
+    still = F.coalesce(F.col(exp) > ts_lit(as_of, types[exp]), F.lit(False))
+    part = F.when(still, F.lit("current")).otherwise(F.lit("closed"))
+    (applied.filter(F.col(ACTION) != "history")
+     .withColumn("__part", part).drop(ACTION)
+     .write.partitionBy("__part").parquet(run_path))
+    spark = applied.sparkSession
+    closed_dir = f"{run_path.rstrip('/')}/__part=closed"
+    try:
+        closed = spark.read.parquet(closed_dir)
+    except AnalysisException:  # no version closed in this run: the folder does not exist
+        closed = None
+    if closed is not None:
+        closed.write.mode("append").parquet(history_path)
+    return f"{run_path.rstrip('/')}/__part=current"
