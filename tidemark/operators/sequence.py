@@ -159,3 +159,22 @@ def split_last_before(
     summ = summ.select(SLICE, *part, F.last("__slast", ignorenulls=True).over(ws).alias("__carry"))
     r = _carry_join(r, summ, part)
     return r.select(*df.columns, F.coalesce(F.col("__loc"), F.col("__carry")).alias(out))
+
+
+def lag_lead(
+    df: DataFrame,
+    part: list[str],
+    order: list[str],
+    prev_of: str,
+    next_of: str,
+    prev_out: str,
+    next_out: str,
+    slice_above: int | None = SLICE_ABOVE,
+) -> DataFrame:
+    """``lag``/``lead`` per group: one window while groups are small, range slices beyond."""
+    if needs_slices(df, part, slice_above):
+        return split_neighbours(df, part, order, prev_of, next_of, prev_out, next_out)
+    w = Window.partitionBy(*part).orderBy(*order)
+    return df.select(
+        *df.columns, F.lag(F.col(prev_of)).over(w).alias(prev_out), F.lead(F.col(next_of)).over(w).alias(next_out)
+    )

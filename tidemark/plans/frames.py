@@ -7,7 +7,7 @@ each merge has every case to handle; the targets span the whole tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.periods import SYS_OPEN_END, ts_lit
@@ -51,16 +51,26 @@ def f1_src(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def f2_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One order per (customer, date), the one with the smallest key; the next date closes it.
+
+    The de-duplication is an aggregate (combined map-side), the next date a
+    size-checked per-customer scan.
+    """
+    from ..operators.sequence import lag_lead
+
     o = table(spark, sf_dir, "orders")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    rn = F.row_number().over(Window.partitionBy("o_custkey", "o_orderdate").orderBy("o_orderkey"))
-    o = o.select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate", rn.alias("rn")).filter("rn = 1")
-    j = o.join(c, F.col("c_custkey") == F.col("o_custkey"))
-    nxt = F.lead("o_orderdate").over(Window.partitionBy("o_custkey").orderBy("o_orderdate"))
-    return j.select(
+    first = o.groupBy("o_custkey", "o_orderdate").agg(
+        F.min("o_orderkey").alias("o_orderkey"), F.min_by("o_orderstatus", "o_orderkey").alias("o_orderstatus")
+    )
+    j = first.join(c, F.col("c_custkey") == F.col("o_custkey")).select(
+        "o_orderkey", "o_custkey", "c_nationkey", "o_orderstatus", "o_orderdate"
+    )
+    nb = lag_lead(j, ["o_custkey"], ["o_orderdate"], "o_orderdate", "o_orderdate", "__p", "__n")
+    return nb.select(
         "o_orderkey", "o_custkey", "c_nationkey", "o_orderstatus",
         F.col("o_orderdate").alias("bus_eff_ts"),
-        F.coalesce(nxt, ts_lit(BUS_OPEN)).alias("bus_exp_ts"),
+        F.coalesce(F.col("__n"), ts_lit(BUS_OPEN)).alias("bus_exp_ts"),
     )
 
 
@@ -115,13 +125,13 @@ def f4_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def f5_tgt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One line per (order, line number): the first by part, supplier, ship date (an aggregate)."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    rn = F.row_number().over(
-        Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey", "l_shipdate")
+    first = li.groupBy("l_orderkey", "l_linenumber").agg(
+        F.min_by("l_returnflag", F.struct("l_partkey", "l_suppkey", "l_shipdate")).alias("l_returnflag")
     )
-    li = li.select("l_orderkey", "l_linenumber", "l_returnflag", rn.alias("rn")).filter("rn = 1")
-    return li.join(o, F.col("o_orderkey") == F.col("l_orderkey")).select(
+    return first.join(o, F.col("o_orderkey") == F.col("l_orderkey")).select(
         "l_orderkey", "l_linenumber", "l_returnflag",
         F.col("o_orderdate").alias("bus_eff_ts"), ts_lit(BUS_OPEN).alias("bus_exp_ts"),
         ts_lit(SYS_START).alias("icw_eff_ts"), ts_lit(SYS_OPEN_END).alias("icw_exp_ts"),
