@@ -178,7 +178,8 @@ def test_two_table_layout(spark):
     cur = tgt_frame(spark, [("k", "z", 1, 10), ("j", "y", 1, 20)])
     src = src_frame(spark, [("k", "a", 3, 5)])
     applied = temporal_merge(src, cur, ROLES, as_of(), keep_action=True)
-    new_cur = write_split(applied, ("icw_eff_ts", "icw_exp_ts"), as_of(), f"{base}/history", f"{base}/run1")
+    new_cur, metrics = write_split(applied, ("icw_eff_ts", "icw_exp_ts"), as_of(), f"{base}/history", f"{base}/run1")
+    assert metrics == {"rows_inserted": 3, "rows_updated": 1}
     current = sorted((r.k, r.his, undo(r.bus_eff_ts), undo(r.bus_exp_ts)) for r in spark.read.parquet(new_cur).collect())
     assert current == [("j", "y", 1, 20), ("k", "a", 3, 5), ("k", "z", 1, 3), ("k", "z", 5, 10)]
     hist = [(r.k, r.his, undo(r.bus_eff_ts), undo(r.bus_exp_ts)) for r in spark.read.parquet(f"{base}/history").collect()]

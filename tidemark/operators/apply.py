@@ -13,7 +13,7 @@ from __future__ import annotations
 import datetime as _dt
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..functions.nulls import with_canonical
@@ -101,21 +101,32 @@ def split_applied(applied: DataFrame, sys: tuple[str, str] | list[str], as_of) -
     return closed, current
 
 
-def write_split(applied: DataFrame, sys: tuple[str, str] | list[str], as_of, history_path: str, run_path: str) -> str:
-    """Write one merge run in the two-table layout; returns the new current table's path.
+def write_split(
+    applied: DataFrame, sys: tuple[str, str] | list[str], as_of, history_path: str, run_path: str
+) -> tuple[str, dict]:
+    """Write one merge run in the two-table layout.
 
     One job writes the run's rows partitioned into ``closed`` and ``current`` under
-    ``run_path`` (a new folder); the closed rows (delta-sized) are then appended
-    to the history table. History is never rewritten, and the table being read is
-    never overwritten. Pass the *current* table as the merge target.
+    ``run_path`` (a new folder) and observes the merge metrics on the way; the
+    closed rows (delta-sized) are then appended to the history table. History is
+    never rewritten, and the table being read is never overwritten. Pass the
+    *current* table as the merge target. Returns the new current table's path and
+    ``{"rows_inserted": n, "rows_updated": m}``.
     """
     _, exp = sys
     types = {f.name: f.dataType for f in applied.schema.fields}
     still = F.coalesce(F.col(exp) > ts_lit(as_of, types[exp]), F.lit(False))
     part = F.when(still, F.lit("current")).otherwise(F.lit("closed"))
-    (applied.filter(F.col(ACTION) != "history")
+    obs = Observation("merge_summary")
+    observed = applied.observe(
+        obs,
+        F.count_if(F.col(ACTION) == "insert").alias("rows_inserted"),
+        F.count_if(F.col(ACTION) == "update").alias("rows_updated"),
+    )
+    (observed.filter(F.col(ACTION) != "history")
      .withColumn("__part", part).drop(ACTION)
      .write.partitionBy("__part").parquet(run_path))
+    metrics = dict(obs.get)
     spark = applied.sparkSession
     closed_dir = f"{run_path.rstrip('/')}/__part=closed"
     try:
@@ -124,4 +135,4 @@ def write_split(applied: DataFrame, sys: tuple[str, str] | list[str], as_of, his
         closed = None
     if closed is not None:
         closed.write.mode("append").parquet(history_path)
-    return f"{run_path.rstrip('/')}/__part=current"
+    return f"{run_path.rstrip('/')}/__part=current", metrics
