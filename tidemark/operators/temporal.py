@@ -167,16 +167,25 @@ def plan_temporal(
     norm = stage(coalesce_periods(frag, K + H + [FLAG], r.key + r.his, bs, be, sliced), K, stage_mode)
 
     ident = K + H + [bs, be]
-    norm0 = norm.filter(F.col(FLAG) == 0)
-    norm1 = norm.filter(F.col(FLAG) == 1)
-
-    new = join_on(norm0, hot.select(*ident), ident, "left_anti").select(
-        *row, as_of_c.alias(eff), open_c.alias(exp)
+    # One row per version identity in the coalesced set: is there a flag-0 row, a flag-1 row,
+    # and the flag-0 row's raw values.
+    is0 = F.col(FLAG) == 0
+    flags = norm.groupBy(*ident).agg(
+        F.max(is0.cast("int")).alias("__n0"),
+        F.max((~is0).cast("int")).alias("__n1"),
+        *[F.max(F.when(is0, F.col(c))).alias(f"__r_{c}") for c in r.key + r.his],
+    )
+    both = join_on(hot.select(*base, eff, exp, F.lit(True).alias("__hot")), flags, ident, "full_outer")
+    on_hot = F.coalesce(F.col("__hot"), F.lit(False))
+    n0 = F.coalesce(F.col("__n0"), F.lit(0)) == 1
+    n1 = F.coalesce(F.col("__n1"), F.lit(0)) == 1
+    new = both.filter(~on_hot & n0).select(
+        *[F.col(f"__r_{c}").alias(c) for c in r.key + r.his], bs, be, as_of_c.alias(eff), open_c.alias(exp)
     )
-    keepers = join_on(hot, norm0.select(*ident).distinct(), ident, "left_semi")
-    refresh = keepers.filter(F.col(exp) != open_c).select(*row, eff, open_c.alias(exp))  # D18
+    refresh = both.filter(on_hot & n0 & (F.col(exp) != open_c)).select(*row, eff, open_c.alias(exp))  # D18
+    close_c = both.filter(on_hot & n1 & ~n0).select(*row, eff)  # a flag-0 identical row wins over flag 1
 
-    # Only versions that overlap an input row
+    # Only versions that overlap an input row, and with no identical coalesced row
     if sliced:
         touched = versions_overlapping(hot.select(*base, eff, exp), inp.select(*K, bs, be), K, bs, be)
     else:
@@ -187,13 +196,7 @@ def plan_temporal(
             "left_semi",
             overlaps(F.col(bs), F.col(be), F.col("__i_s"), F.col("__i_e")),
         )
-    close_b = join_on(touched, norm.select(*ident).distinct(), ident, "left_anti")
-    close_c = join_on(
-        join_on(hot, norm1.select(*ident).distinct(), ident, "left_semi"),
-        norm0.select(*ident).distinct(),
-        ident,
-        "left_anti",
-    )  # a flag-0 identical row wins over a flag-1 one
+    close_b = join_on(touched, flags.select(*ident), ident, "left_anti").select(*row, eff)
     close = close_b.unionByName(close_c).select(*row, eff, as_of_c.alias(exp)).distinct()
 
     merge_set = new.unionByName(refresh).unionByName(close)
