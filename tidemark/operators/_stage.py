@@ -13,18 +13,27 @@ from __future__ import annotations
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, scratch_path
 
-MODES = ("checkpoint", "persist", "none")
+MODES = ("table", "checkpoint", "persist", "none")
 
 
 def stage(df: DataFrame, key: list[str] | None = None, mode: str = "checkpoint") -> DataFrame:
-    """Materialise ``df`` (``checkpoint``: reliable, lineage cut; ``persist``: cached,
-    recomputed on loss; ``none``: left lazy)."""
+    """Materialise ``df``.
+
+    ``table``: written as parquet to a new folder under the shared checkpoint root
+    and read back (columnar, compressed; lineage cut); ``checkpoint``: Spark's
+    reliable checkpoint (keeps the key partitioning, lineage cut); ``persist``:
+    cached, recomputed on loss; ``none``: left lazy.
+    """
     if mode not in MODES:
         raise ValueError(f"stage mode must be one of {MODES}, not {mode!r}")
     if mode == "none":
         return df
+    if mode == "table":
+        path = scratch_path(df.sparkSession, "stage")
+        (df.repartition(*key) if key else df).write.parquet(path)
+        return df.sparkSession.read.parquet(path)
     if key:
         df = df.repartition(*key)
     if mode == "persist":
