@@ -255,6 +255,33 @@ def land_batch_parquet(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+_ORDER_COLS = ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate", "o_orderpriority"]
+
+
+def _land_derived(spark: SparkSession, sf: str, fmt: str) -> DataFrame:
+    """Orders written by Spark as ``fmt`` files into the shared folder, then landed."""
+    path = scratch_path(spark, f"orders-{fmt}")
+    w = fr.table(spark, sf, "orders").write
+    if fmt == "csv":
+        w = w.option("header", "true")
+    w.format(fmt).save(path)
+    landed = land_batch(spark, path, fmt, options={"header": "true"} if fmt == "csv" else None)
+    return landed.select(
+        F.regexp_extract("src_file_nm", r"\.([a-z]+)$", 1).alias("file_ext"),
+        *[F.try_variant_get("value", f"$.{c}", "string").alias(c) for c in _ORDER_COLS],
+    )
+
+
+def land_batch_json(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON files land whole: one variant per record (``singleVariantColumn``)."""
+    return _land_derived(spark, sf, "json")
+
+
+def land_batch_csv(spark: SparkSession, sf: str) -> DataFrame:
+    """CSV files land with their header's field names; every field is text."""
+    return _land_derived(spark, sf, "csv")
+
+
 def land_stream_available_now(spark: SparkSession, sf: str) -> DataFrame:
     """Land ``documents`` with an availableNow stream, run it twice, count rows per file."""
     base = scratch_path(spark, "landing")
@@ -330,6 +357,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "explode_tokens": q_explode_tokens,
     "explode_tokens_docs": explode_tokens_docs,
     "land_batch_parquet": land_batch_parquet,
+    "land_batch_json": land_batch_json,
+    "land_batch_csv": land_batch_csv,
     "land_stream_available_now": land_stream_available_now,
     "variant_paths": variant_paths,
     "variant_paths_events": variant_paths_events,
