@@ -90,3 +90,12 @@ def test_role_checks(spark):
         Roles.parse("KEY:k; FOO:x")
     r = Roles.parse("KEY:[k1, k2]; BUS:[s,e]; OPR:op")
     assert r.key == ("k1", "k2") and r.bus == ("s", "e") and r.opr == "op"
+
+
+def test_source_duplicates_report(spark):
+    from tidemark import source_duplicates
+    tgt = tgt_frame(spark, [("k", "a")])
+    src = spark.createDataFrame([("k", "b"), ("k", "b"), ("j", "x"), ("j", "y"), ("m", None), ("m", "")],
+                                "k string, his string")
+    got = sorted((r.k, r.n_versions) for r in source_duplicates(src, tgt, ROLES).collect())
+    assert got == [("j", 2)]  # exact duplicates collapse; NULL equals '' for text

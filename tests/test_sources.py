@@ -81,3 +81,15 @@ def test_stream_json_lands_whole_records(spark, tmp_path):
         F.try_variant_get("value", "$.extra.k", "boolean").alias("k"),
     ).collect()
     assert sorted((r.id, r.t, r.k) for r in rows) == [(1, "y", None), (2, None, True)]
+
+
+def test_create_landing_then_stream(spark, tmp_path):
+    from tidemark import create_landing
+    base = scratch_path(spark, "test-create-landing")
+    empty = create_landing(spark, f"{base}/b_orders")
+    assert empty.count() == 0 and [f.name for f in empty.schema.fields] == ["src_file_nm", "load_ts", "value"]
+    src = tmp_path / "p"
+    src.mkdir()
+    spark.range(4).write.parquet(str(src / "f1"))
+    land_stream(spark, str(src), f"{base}/b_orders", f"{base}/ckpt", options={"recursiveFileLookup": "true"})
+    assert spark.read.parquet(f"{base}/b_orders").count() == 4

@@ -121,6 +121,24 @@ def plan_scd2(
     return ScdPlan(insert.unionByName(close), hot)
 
 
+def source_duplicates(src: DataFrame, tgt: DataFrame, roles: Roles) -> DataFrame:
+    """Source keys carrying more than one distinct HIS row (D16 report).
+
+    Such keys would get two current versions; exact duplicate rows are not
+    reported (they collapse).  Columns: key columns, ``n_versions``.
+    """
+    r = resolve_roles(src.schema, tgt.schema, roles, "scd2")
+    K = [f"__k{i}" for i in range(len(r.key))]
+    H = [f"__h{i}" for i in range(len(r.his))]
+    s = _canon(src, r)
+    if r.opr:
+        s = s.filter(F.coalesce(F.col(r.opr).cast("string"), F.lit("")) != DELETE_FLAG)
+    rows = s.select(*K, *H, *r.key).groupBy(*K, *H).agg(*[F.max(k).alias(k) for k in r.key])
+    return rows.groupBy(*K).agg(
+        *[F.max(k).alias(k) for k in r.key], F.count(F.lit(1)).alias("n_versions")
+    ).filter(F.col("n_versions") > 1).drop(*K)
+
+
 def scd2_merge(
     src: DataFrame,
     tgt: DataFrame,
