@@ -36,3 +36,18 @@ def test_merge_each_batch(spark, tmp_path):
     merge_each_batch(stream, f"{base}/ckpt", apply)
     cur = spark.read.parquet(state["path"]).filter(F.col("icw_exp_ts") > F.lit("2024-06-01").cast("timestamp_ntz"))
     assert sorted((r.k, r.his) for r in cur.collect()) == [("a", "x2"), ("b", "y"), ("c", "z")]
+
+
+def test_land_stream_service_mode(spark, tmp_path):
+    from tidemark import land_stream
+    src = tmp_path / "svc"
+    src.mkdir()
+    spark.range(5).write.parquet(str(src / "f1"))
+    base = scratch_path(spark, "test-stream-service")
+    q = land_stream(spark, str(src), f"{base}/sink", f"{base}/ckpt", trigger="1 second",
+                    options={"recursiveFileLookup": "true"})
+    try:
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    assert spark.read.parquet(f"{base}/sink").count() == 5
