@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.nulls import null_default_join
 from ..functions.tokens import explode_tokens
+from ..operators._stage import stage
 from ..operators.apply import ACTION, apply_versions, merge_summary
 from ..operators.audit import audit, metrics_messages
 from ..operators.keygen import assign_keys, keygen, keygen_summary, lookup_keys
@@ -96,7 +97,8 @@ def audit_append(spark: SparkSession, sf: str) -> DataFrame:
 # ---- bitemporal ---------------------------------------------------------------------------
 
 def _f2(spark: SparkSession, sf: str, opr: bool):
-    base = fr.f2_base(spark, sf)
+    # every merge stage reads the derived frame: cut it once, as an input table would be
+    base = stage(fr.f2_base(spark, sf))
     tgt = fr.f2_tgt(spark, sf, base).drop("c_nationkey")
     src = fr.f2_src(spark, sf, base).drop("c_nationkey")
     if not opr:
@@ -164,7 +166,7 @@ def temporal_apply(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def temporal_key_master(spark: SparkSession, sf: str) -> DataFrame:
-    tgt = fr.f5_tgt(spark, sf)
+    tgt = stage(fr.f5_tgt(spark, sf))
     src = fr.f5_src(spark, sf, tgt)
     return present(plan_temporal(src, tgt, F5_ROLES, fr.AS_OF).merge_set)
 
@@ -174,7 +176,7 @@ F6_ROLES = Roles(key=("c_nationkey",), his=("o_orderstatus",), bus=("bus_eff_ts"
 
 def temporal_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Bitemporal merge set where every key is hot (25 nation timelines), on the sliced path."""
-    base = fr.f6_base(spark, sf)
+    base = stage(fr.f6_base(spark, sf))
     tgt, src = fr.f6_tgt(spark, sf, base), fr.f6_src(spark, sf, base)
     return present(plan_temporal(src, tgt, F6_ROLES, fr.AS_OF, slice_above=0).merge_set)
 
