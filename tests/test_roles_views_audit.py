@@ -33,3 +33,11 @@ def test_audit_frame(spark):
     rows = audit_frame(spark, "scd2_merge", [("Parameters:", "src=a"), ("Merge - rows inserted: 1", None)]).collect()
     assert [r.msg_txt for r in rows] == ["Parameters:", "Merge - rows inserted: 1"]
     assert rows[0].src_nm == "scd2_merge" and rows[0].user_nm and rows[0].role_nm is None
+
+
+def test_schema_diff_tables(spark):
+    from tidemark import schema_diff_tables
+    spark.createDataFrame([], "k string, v int").createOrReplaceTempView("sd_src")
+    spark.createDataFrame([], "k string, w int").createOrReplaceTempView("sd_tgt")
+    got = {r.column_name: r.status for r in schema_diff_tables(spark, "sd_src", "sd_tgt").collect()}
+    assert got == {"k": "both", "v": "source_only", "w": "target_only"}

@@ -11,7 +11,7 @@ from .operators.apply import apply_versions, merge_summary, split_applied, write
 from .operators.audit import audit, audit_frame
 from .operators.keygen import assign_keys, dense_number, keygen, keygen_summary, lookup_keys
 from .operators.periods import check_overlaps, normalise_periods, period_envelope, period_neighbours
-from .operators.roles import Roles, RoleError, resolve_roles, schema_diff
+from .operators.roles import Roles, RoleError, resolve_roles, schema_diff, schema_diff_tables
 from .operators.scd2 import scd2_merge, scd2_merge_set, source_duplicates
 from .operators.temporal import plan_temporal, temporal_merge, temporal_merge_set
 from .sources.landing import create_landing, land_batch, write_table

@@ -209,3 +209,12 @@ def schema_diff(src: DataFrame, tgt: DataFrame, roles: Roles | None = None) -> D
         "src_position", "tgt_position", "src_type", "tgt_type",
         role.alias("role"), status.alias("status"),
     )
+
+
+def schema_diff_tables(spark: SparkSession, source: str, target: str, roles: Roles | None = None) -> DataFrame:
+    """:func:`schema_diff` of two catalogue tables or views, by name.
+
+    Only the table schemas are read (``spark.table(...).schema`` resolves through
+    the session catalogue); no data is scanned.
+    """
+    return schema_diff(spark.table(source), spark.table(target), roles)

@@ -65,14 +65,18 @@ def merge_each_batch(
     stream: DataFrame,
     checkpoint: str,
     apply: Callable[[DataFrame, int], None],
+    trigger: str | None = None,
+    wait: bool = True,
 ) -> StreamingQuery:
-    """Run ``apply(batch_df, batch_id)`` per micro-batch (e.g. a type-2 or bitemporal
-    merge of the landed rows into a target), ``availableNow``, waiting for the end."""
-    q = (
-        stream.writeStream.foreachBatch(apply)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
+    """Run ``apply(batch_df, batch_id)`` per micro-batch, e.g. a type-2 or bitemporal merge
+    of the landed rows into a target (write a new current table per batch).
+
+    ``trigger=None`` drains what is there (``availableNow``) and waits when ``wait``;
+    otherwise a ``processingTime`` interval such as ``'5 minutes'`` for a service.
+    """
+    w = stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if trigger is None else w.trigger(processingTime=trigger)
+    q = w.start()
+    if trigger is None and wait:
+        q.awaitTermination()
     return q
