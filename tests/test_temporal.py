@@ -187,3 +187,13 @@ def test_two_table_layout(spark):
     # the next run reads only the current table; nothing changes for the same input
     again = temporal_merge(src, spark.read.parquet(new_cur), ROLES, as_of(), keep_action=True)
     assert {r["__action"] for r in again.select("__action").distinct().collect()} == {"current"}
+
+
+def test_split_overlapping(spark):
+    from tidemark import split_overlapping
+    df = spark.createDataFrame([("a", "x", 1, 5), ("a", "x", 1, 5), ("a", "y", 3, 8), ("a", "z", 8, 9), ("b", "x", 1, 2)],
+                               "k string, his string, s int, e int")
+    for slice_above in (None, 0):
+        clean, rejected = split_overlapping(df, ["k"], "s", "e", slice_above=slice_above)
+        assert sorted(tuple(r) for r in clean.collect()) == [("a", "x", 1, 5), ("a", "z", 8, 9), ("b", "x", 1, 2)]
+        assert [tuple(r) for r in rejected.collect()] == [("a", "y", 3, 8)]

@@ -287,6 +287,31 @@ def check_overlaps(
     return marked.filter(F.col("overlap_end") > F.col(start)).drop(*K)
 
 
+def split_overlapping(
+    df: DataFrame, key: list[str], start: str, end: str, slice_above: int | None = SLICE_ABOVE
+) -> tuple[DataFrame, DataFrame]:
+    """``(clean, rejected)`` for the D6 precondition: the caller fails on or quarantines ``rejected``.
+
+    Exact duplicate rows collapse first (a merge treats them as one).  A row is
+    rejected when its period overlaps any row of its key ordered before it (by
+    start, end, then every other column, so the split is deterministic); the clean
+    rows then hold no overlapping periods per key.
+    """
+    K = [f"__k{i}" for i in range(len(key))]
+    d = with_canonical(df.dropDuplicates(), key, "__k", _types(df))
+    rest = [c for c in df.columns if c not in key + [start, end]]
+    order = [start, end, *rest]
+    if needs_slices(d, K, slice_above):
+        marked = split_running_max_before(d, K, order, end, "__before")
+    else:
+        w = Window.partitionBy(*K).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        marked = d.withColumn("__before", F.max(F.col(end)).over(w))
+    bad = F.coalesce(F.col("__before") > F.col(start), F.lit(False))
+    clean = marked.filter(~bad).select(*df.columns)
+    rejected = marked.filter(bad).select(*df.columns)
+    return clean, rejected
+
+
 def in_period(start: str, end: str, point: Column) -> Column:
     """``point`` in ``[start, end)`` on named columns."""
     return (point >= F.col(start)) & (point < F.col(end))
