@@ -28,6 +28,17 @@ def largest_group(df: DataFrame, part: list[str]) -> int:
     return int(row["m"] or 0) if row is not None else 0
 
 
+def largest_groups(frames: list[DataFrame], part: list[str]) -> list[int]:
+    """:func:`largest_group` of several frames sharing ``part`` columns, in one job."""
+    tagged = None
+    for i, df in enumerate(frames):
+        t = df.select(*part, F.lit(i).alias("__src"))
+        tagged = t if tagged is None else tagged.unionByName(t)
+    rows = tagged.groupBy("__src", *part).count().groupBy("__src").agg(F.max("count").alias("m")).collect()
+    found = {r["__src"]: int(r["m"]) for r in rows}  # one row per input frame
+    return [found.get(i, 0) for i in range(len(frames))]
+
+
 def needs_slices(df: DataFrame, part: list[str], slice_above: int | None) -> bool:
     """Whether a group of ``df`` is too large for one window partition."""
     if slice_above is None:

@@ -37,7 +37,7 @@ from .periods import (
 )
 from ._stage import stage
 from .roles import Resolved, Roles, resolve_roles
-from .sequence import SLICE_ABOVE, largest_group
+from .sequence import SLICE_ABOVE, largest_groups
 from .scd2 import DELETE_FLAG
 
 FLAG = "prog_flag"
@@ -119,9 +119,13 @@ def plan_temporal(
     parts = [keep.select(*base, F.lit(0).alias(FLAG), F.lit("source").alias(KIND))]
 
     # One number each from the source and the materialised hot rows decides the scan strategy.
-    sliced = slice_above is not None and (
-        slice_above <= 0 or 3 * largest_group(s.select(*K), K) + largest_group(hot, K) > slice_above
-    )
+    if slice_above is None:
+        sliced = False
+    elif slice_above <= 0:
+        sliced = True
+    else:
+        src_max, hot_max = largest_groups([s.select(*K), hot.select(*K)], K)
+        sliced = 3 * src_max + hot_max > slice_above
 
     if r.opr:
         # The current version holding the delete row's start is expired whole.
