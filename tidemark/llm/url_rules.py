@@ -98,9 +98,11 @@ def page_links(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     tag = tag.withColumns({"rel": F.lower(F.trim(_attr(F.col("t"), "rel"))), "equiv": F.lower(F.trim(_attr(F.col("t"), "http-equiv")))})
     canonical = F.when(F.col("rel") == "canonical", F.trim(_attr(F.col("t"), "href")))
     refresh = F.when(F.col("equiv") == "refresh", F.trim(F.regexp_extract(_attr(F.col("t"), "content"), r"(?i)url\s*=\s*'?([^'\s]+)", 1)))
-    href = tag.select("u", F.replace(F.coalesce(canonical, refresh), F.lit("&amp;"), F.lit("&")).alias("href")).where("href <> ''")
+    href = tag.select("u", F.inline(F.array(F.struct(F.replace(F.coalesce(canonical, refresh), F.lit("&amp;"), F.lit("&")).alias("href"))))).where("href <> ''")
     href = href.withColumn("to", resolve(F.col("u"), F.col("href")))
-    return href.select(url_node(F.col("u")).alias("a"), url_node(F.col("to")).alias("b")).where("a IS NOT NULL AND b IS NOT NULL")
+    # a one-row generator: later filters on the ends are not pushed below it, which would copy the long expressions
+    ends = F.array(F.struct(url_node(F.col("u")).alias("a"), url_node(F.col("to")).alias("b")))
+    return href.select(F.inline(ends)).where("a IS NOT NULL AND b IS NOT NULL")
 
 
 def filter_urls(pages: DataFrame, rules: tuple[UrlRule, ...] = RULES, links: DataFrame | None = None,
