@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
+from . import langid as _langid
+from . import quality_pu as _pu
 from . import quality_rules as _rules
 from . import url_rules as _urls
 
@@ -23,7 +25,19 @@ def op3_url_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _urls.filter_urls(_table(spark, sf_dir, "pages"))
 
 
+def op8_quality_pu(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return _pu.score_quality(docs, _pu.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return _langid.identify(docs, _langid.train(docs))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op3_url_rules": op3_url_rules,
+    "op8_quality_pu": op8_quality_pu,
+    "op6_language_id": op6_language_id,
 }
