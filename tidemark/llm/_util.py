@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import sys
+import types
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
@@ -44,6 +47,14 @@ def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     return [b or b"" for b in column.cast(pa.binary()).to_pylist()]
 
 
+def per_process(key: tuple, make):
+    """What ``make()`` returned for ``key`` earlier in this Python worker, else its result now (caches outlive tasks)."""
+    store = sys.modules.setdefault("_corpus_operator_caches", types.ModuleType("_corpus_operator_caches")).__dict__
+    if key not in store:
+        store[key] = make()
+    return store[key]
+
+
 # ---- word hashing over whole batches, vectorised ---------------------------------------------
 
 _U = np.uint64

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
+from . import bpe as _bpe
 from . import langid as _langid
 from . import quality_pu as _pu
 from . import quality_rules as _rules
@@ -35,9 +36,21 @@ def op6_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _langid.identify(docs, _langid.train(docs))
 
 
+def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    out = _bpe.encode_documents(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_multi_50k.tiktoken"), public_tokenizers.PATTERN)
+    return out.select(
+        "doc_id", F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.concat_ws(",", F.col("ids").cast("array<string>")).cast("binary"), 256).alias("ids_sha256"),
+        F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op3_url_rules": op3_url_rules,
+    "op1_byte_bpe": op1_byte_bpe,
     "op8_quality_pu": op8_quality_pu,
     "op6_language_id": op6_language_id,
 }
