@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from .decontam import template_steps
 from .quality_rules import BASE_RULES, METHOD_RULES, STOP_WORDS, SYMBOLS
 from .url_rules import RULES
 
@@ -75,4 +76,36 @@ FROM q LEFT JOIN near ON node = near.a
 """
 
 
-ORACLES: dict[str, str] = {"op9_quality_rules": _op9(), "op3_url_rules": _op3()}
+def _op5(window: int = 8, min_tokens: int = 4, max_needed: int = 6) -> str:
+    def canon(c: str) -> str:
+        for pattern, to in template_steps():
+            for k in (1, 2, 3):
+                to = to.replace(f"{{{k}}}", f"\\{k}")
+            pattern, to = pattern.replace("'", "''"), to.replace("\x01", "' || chr(1) || '")
+            c = f"regexp_replace({c}, '{pattern}', '{to}', 'g')"
+        return f"lower({c})"
+
+    ws = r"[\x20\x09-\x0D]+"
+    bare = r"regexp_replace(lower(x[1]), '^[^\p{L}\p{N}]+|[^\p{L}\p{N}]+$', '', 'g')"
+    prepared = lambda table, idc: f"""(SELECT {idc}, list_transform(z, lambda x: x[2]) AS tok, list_transform(z, lambda x: {bare}) AS raw FROM (
+        SELECT {idc}, list_filter(list_transform(list_zip(string_split_regex(text, '{ws}'), string_split_regex({canon('text')}, '{ws}')), lambda x: [x[1], x[2]]), lambda x: x[2] <> '') AS z
+        FROM {table}))"""
+    return f"""
+WITH item AS (SELECT *, least({window}, len(tok)) AS n, len(tok) - least({window}, len(tok)) + 1 AS item_windows
+              FROM {prepared("(SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)", "item_id")} WHERE len(tok) >= {min_tokens}),
+ig AS (SELECT item_id, n, item_windows, pos, tok[pos:pos + n - 1] AS g, raw[pos:pos + n - 1] AS iraw FROM (SELECT *, unnest(range(1, item_windows + 1)) AS pos FROM item)),
+doc AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, tok, raw FROM {prepared("(SELECT doc_id, text FROM documents WHERE text IS NOT NULL)", "doc_id")}),
+dg AS (SELECT rid, p, n, tok[p:p + n - 1] AS g, raw[p:p + n - 1] AS draw
+       FROM (SELECT rid, tok, raw, n, unnest(range(1, len(tok) - n + 2)) AS p FROM doc, (SELECT DISTINCT n FROM item))),
+m AS (SELECT rid, item_id, item_windows, pos, p - pos AS shift, list_filter(list_transform(range(1, ig.n + 1), lambda i: [ig.g[i], iraw[i], draw[i]]), lambda x: regexp_matches(x[1], '<(num|name|unit)>')) AS slots
+      FROM dg JOIN ig ON dg.g = ig.g AND dg.n = ig.n),
+sl AS (SELECT rid, item_id, shift, unnest(CASE WHEN len(slots) = 0 THEN [NULL] ELSE slots END) AS s FROM m),
+ok AS (SELECT rid, item_id, shift, count(DISTINCT s) AS nab, coalesce(bool_or(s[2] <> s[3]), false) AS changed FROM sl GROUP BY ALL
+       HAVING count(DISTINCT s[2]) = count(DISTINCT s[2:3]) AND count(DISTINCT s[3]) = count(DISTINCT s[2:3]))
+SELECT doc_id, item_id, count(DISTINCT pos) AS n_windows, item_windows::BIGINT AS item_windows, max(nab) AS n_slots, bool_and(changed) AS reparameterised
+FROM m JOIN ok USING (rid, item_id, shift) JOIN doc USING (rid) GROUP BY rid, doc_id, item_id, item_windows
+HAVING count(DISTINCT pos) >= least({max_needed}, ceil(item_windows / 2.0))
+"""
+
+
+ORACLES: dict[str, str] = {"op9_quality_rules": _op9(), "op3_url_rules": _op3(), "op5_decontaminate": _op5()}

@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
 from . import bpe as _bpe
+from . import decontam as _decontam
 from . import html_text as _html
 from . import langid as _langid
 from . import quality_pu as _pu
@@ -52,11 +53,16 @@ def op4_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _html.extract_text(_table(spark, sf_dir, "pages")).withColumn("n_chars", F.length("text").cast("long"))
 
 
+def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op3_url_rules": op3_url_rules,
     "op1_byte_bpe": op1_byte_bpe,
     "op4_html_text": op4_html_text,
+    "op5_decontaminate": op5_decontaminate,
     "op8_quality_pu": op8_quality_pu,
     "op6_language_id": op6_language_id,
 }
