@@ -109,15 +109,30 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     return h, offsets
 
 
+def _join(a: np.ndarray, b: np.ndarray, seed: int) -> np.ndarray:
+    """Hash of two neighbouring runs (order matters)."""
+    x = (a ^ (a >> _U(29))) * _U(0xBF58476D1CE4E5B9 + 2 * seed) + b
+    return (x ^ (x >> _U(32))) * _U(0x94D049BB133111EB)
+
+
 def window_hashes(h: np.ndarray, n: int, seed: int = 0) -> np.ndarray:
-    """Hash of every run of ``n`` consecutive values; runs over text borders are the caller's to mask."""
+    """Hash of every run of ``n`` consecutive values; runs over text borders are the caller's to mask.
+
+    Runs of 1, 2, 4, .. values are joined from halves, then those that make up ``n``.
+    """
     m = len(h) - n + 1
     if m <= 0:
         return np.empty(0, dtype=np.uint64)
-    out = np.full(m, seed + 1, dtype=np.uint64)
-    for i in range(n):
-        out = (out ^ (out >> _U(29))) * _U(0xBF58476D1CE4E5B9) + h[i:i + m]
-    return mix(out)
+    out, done, part, width = None, 0, h, 1
+    while True:
+        if n & width:
+            piece = part[done:done + m]
+            out = piece if out is None else _join(out, piece, seed)
+            done += width
+        if 2 * width > n:
+            return mix(out + _U(seed + n))
+        part = _join(part[:-width], part[width:], seed)
+        width *= 2
 
 
 def slices(sizes: list[int], target: int = 1 << 18):

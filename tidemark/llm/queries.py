@@ -10,8 +10,10 @@ from . import bpe as _bpe
 from . import decontam as _decontam
 from . import html_text as _html
 from . import langid as _langid
+from . import pii as _pii
 from . import quality_pu as _pu
 from . import quality_rules as _rules
+from . import substring as _substring
 from . import url_rules as _urls
 
 
@@ -57,12 +59,23 @@ def op5_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _decontam.find_leaks(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+def op10_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _pii.replace_pii(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = _substring.remove_repeats(_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return out.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op3_url_rules": op3_url_rules,
     "op1_byte_bpe": op1_byte_bpe,
     "op4_html_text": op4_html_text,
     "op5_decontaminate": op5_decontaminate,
+    "op10_pii": op10_pii,
+    "op7_substring_dedup": op7_substring_dedup,
     "op8_quality_pu": op8_quality_pu,
     "op6_language_id": op6_language_id,
 }
