@@ -10,6 +10,7 @@ from . import bpe as _bpe
 from . import decontam as _decontam
 from . import html_text as _html
 from . import langid as _langid
+from . import ngram_join as _join
 from . import pii as _pii
 from . import quality_pu as _pu
 from . import quality_rules as _rules
@@ -68,6 +69,10 @@ def op7_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "n_words", "n_removed", F.sha2(F.coalesce("text", F.lit("")).cast("binary"), 256).alias("kept_sha256"))
 
 
+def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _join.link_documents(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op3_url_rules": op3_url_rules,
@@ -76,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontaminate": op5_decontaminate,
     "op10_pii": op10_pii,
     "op7_substring_dedup": op7_substring_dedup,
+    "op2_ngram_join": op2_ngram_join,
     "op8_quality_pu": op8_quality_pu,
     "op6_language_id": op6_language_id,
 }

@@ -62,37 +62,23 @@ def cells(h: np.ndarray, depth: int, bits: int) -> list[np.ndarray]:
     return [(mix(h + _U(k + 1)) >> _U(64 - bits)) + _U(k << bits) for k in range(depth)]
 
 
-def sketch(docs: DataFrame, window: int = 35, gram: int = 8, depth: int = 2, bits: int = 25, text: str = "text") -> np.ndarray:
-    """Bits of the merged sketch: whether a cell was counted at least twice."""
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept: list[np.ndarray] = []
-
-        def emit():
-            h, n = np.unique(np.concatenate(kept), return_counts=True)
-            kept.clear()
-            all_cells, twice = np.concatenate(cells(h, depth, bits)), np.tile(n > 1, depth)
-            order = np.argsort(all_cells)
-            packed = (all_cells[order] & _U((1 << _BLOCK_BITS) - 1)).astype("<u4") << 1 | twice[order]
-            block = (all_cells[order] >> _U(_BLOCK_BITS)).astype(np.int64)
-            heads = np.flatnonzero(np.diff(block, prepend=-1))
-            return pa.RecordBatch.from_arrays([pa.array(block[heads].astype(np.int32)), pa.array([x.astype("<u4").tobytes() for x in np.split(packed, heads[1:])], pa.binary())], names=["block", "cells"])
-
-        held = 0
-        for b in batches:
-            texts = text_bytes(b.column(0))
-            for i, j in slices([len(t) for t in texts]):
-                h, offsets = word_hashes(texts[i:j])
-                owner = np.repeat(np.arange(j - i), np.diff(offsets))
-                _, place, low = anchors(h, owner, window, gram)
-                if len(place):
-                    kept.append(low[np.flatnonzero(np.diff(place, prepend=-1))])
-                    held += len(kept[-1])
-                if held > 2_000_000:
-                    yield emit()
-                    held = 0
-        if kept:
-            yield emit()
+def pack_cells(h: np.ndarray, depth: int, bits: int) -> pa.RecordBatch:
+    """Cells of the hashes ``h`` by block, each cell with whether its hash comes twice or more."""
+    h, n = np.unique(h, return_counts=True)
+    all_cells, twice = np.concatenate(cells(h, depth, bits)), np.tile(n > 1, depth)
+    order = np.argsort(all_cells)
+    packed = (all_cells[order] & _U((1 << _BLOCK_BITS) - 1)).astype("<u4") << 1 | twice[order]
+    block = (all_cells[order] >> _U(_BLOCK_BITS)).astype(np.int64)
+    heads = np.flatnonzero(np.diff(block, prepend=-1))
+    raw = [x.astype("<u4").tobytes() for x in np.split(packed, heads[1:])]
+    return pa.RecordBatch.from_arrays([pa.array(block[heads].astype(np.int32)), pa.array(raw, pa.binary())], names=["block", "cells"])
+
+
+def merge_cells(parts: DataFrame, depth: int, bits: int) -> np.ndarray:
+    """Bits of the merged sketch of ``block, cells`` rows: whether a cell was counted at least twice.
+
+    A block has a fixed size and is summed as it streams in; the driver gets ``depth * 2 ** bits / 8`` bytes in all.
+    """
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sums: dict[int, np.ndarray] = {}
@@ -100,22 +86,42 @@ def sketch(docs: DataFrame, window: int = 35, gram: int = 8, depth: int = 2, bit
             for block, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 got = np.frombuffer(raw, dtype="<u4")
                 total = sums.setdefault(block, np.zeros(1 << _BLOCK_BITS, dtype=np.uint8))
-                where = got >> 1
-                # cells repeat within one part where two hashes share them
-                add = np.bincount(where, weights=1 + (got & 1), minlength=1 << _BLOCK_BITS)
+                # cells repeat within one part where hashes share them
+                add = np.bincount(got >> 1, weights=1 + (got & 1), minlength=1 << _BLOCK_BITS)
                 np.minimum(total + np.minimum(add, 2), 2, out=total, casting="unsafe")
         for block, total in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([np.packbits(total > 1).tobytes()], pa.binary())], names=["block", "twice"])
 
-    parts = docs.select(text).mapInArrow(count, "block int, cells binary")
-    merged = parts.repartition("block").mapInArrow(merge, "block int, twice binary")
     out = np.zeros((depth << bits) // 8, dtype=np.uint8)
     size = (1 << _BLOCK_BITS) // 8
-    for block, twice in merged.toLocalIterator():  # (depth << bits) / 8 bytes in all
+    for block, twice in parts.repartition("block").mapInArrow(merge, "block int, twice binary").toLocalIterator():
         out[block * size:(block + 1) * size] = np.frombuffer(twice, dtype=np.uint8)
     return out
 
 
+def sketch(docs: DataFrame, window: int = 35, gram: int = 8, depth: int = 2, bits: int = 25, text: str = "text") -> np.ndarray:
+    """Merged sketch of the anchors of all windows: bits of the cells counted at least twice."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        kept, held = [], 0
+        for b in batches:
+            texts = text_bytes(b.column(0))
+            for i, j in slices([len(t) for t in texts]):
+                h, offsets = word_hashes(texts[i:j])
+                owner = np.repeat(np.arange(j - i), np.diff(offsets))
+                _, place, low = anchors(h, owner, window, gram)
+                if len(place):
+                    kept.append(low[np.flatnonzero(np.diff(place, prepend=-1))])
+                    held += len(kept[-1])
+                if held > 2_000_000:
+                    yield pack_cells(np.concatenate(kept), depth, bits)
+                    kept, held = [], 0
+        if kept:
+            yield pack_cells(np.concatenate(kept), depth, bits)
+
+    return merge_cells(docs.select(text).mapInArrow(count, "block int, cells binary"), depth, bits)
+
+
 def estimated(twice: np.ndarray, h: np.ndarray, depth: int, bits: int) -> np.ndarray:
     """Whether every cell of each hash was counted at least twice."""
     out = np.ones(len(h), dtype=bool)
