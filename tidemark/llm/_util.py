@@ -31,6 +31,19 @@ def fold(doc_id: Column, n: int = 5) -> Column:
     return F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % n
 
 
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores before it until ``df`` has no such column."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name = "_" + name
+    return name
+
+
+def without(df: DataFrame, *names: str) -> DataFrame:
+    """``df`` without the columns that an operator adds under these names."""
+    return df.drop(*[c for c in df.columns if c.lower() in names])
+
+
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back (cuts lineage)."""
     spark = df.sparkSession

@@ -6,10 +6,11 @@ its neighbours are compatible. That makes encoding a walk of a non-deterministic
 hypothesis is (last token, bytes read since), it may end a token where those bytes are one that
 is compatible with the last, and exactly one hypothesis has just ended a token at every position.
 :class:`Transducer` runs all hypotheses at once and determinises lazily: a state is the set of
-live hypotheses with the output that each still owes; its transitions are computed when a byte is
-first met in it and kept. Whatever all hypotheses owe in common is emitted at once, so tokens
-leave after a bounded lookahead, no more than a few of the longest tokens. The table of states is
-bounded and starts anew when full.
+live hypotheses (once few tokens remain possible, these stand for the last token, so that states
+recur); its transitions, each with the token that ends there, are computed when a byte is
+first met in it and kept. The tokens that all live hypotheses have in common are emitted once
+more than a few of the longest tokens' bytes are open, so the lookahead is bounded however long a
+piece is. The table of states is bounded and starts anew when full.
 
 Compatibility needs no merging: the parts at the border (the right spine of the one token, the
 left spine of the other) exist side by side in the order of their ranks; the pair is broken when
@@ -53,6 +54,11 @@ class Vocabulary:
             for k in range(1, len(t)):
                 self.prefixes.setdefault(t[:k], -1)
         self.prefixes.update(ranks)
+        self._under: dict[bytes, list[int]] = {}  # longer tokens that begin so
+        for t, i in ranks.items():
+            for k in range(1, len(t)):
+                self._under.setdefault(t[:k], []).append(i)
+        self._narrow: dict[tuple[int, bytes], tuple[int, ...]] = {}
         self._halves: dict[int, tuple[int, int] | None] = {}
         self._right: dict[int, list[tuple[int, int]] | None] = {}
         self._left: dict[int, list[tuple[int, int]] | None] = {}
@@ -114,6 +120,18 @@ class Vocabulary:
                 self._fits.clear()
         return got
 
+    def narrow(self, last: int, read: bytes) -> tuple[int, ...] | None:
+        """The longer tokens that begin with ``read`` and may follow ``last``; None where many begin so."""
+        longer = self._under.get(read, ())
+        if len(longer) > 6:
+            return None
+        got = self._narrow.get((last, read))
+        if got is None:
+            if len(self._narrow) > 500_000:
+                self._narrow.clear()
+            got = self._narrow[(last, read)] = tuple(t for t in longer if self.fits(last, t))
+        return got
+
     def _compatible(self, p: int, t: int) -> bool:
         left, right = self._spine(p, 1), self._spine(t, 0)
         if left is None or right is None:
@@ -139,7 +157,7 @@ class _State:
 
     def __init__(self, hypotheses):
         self.hypotheses = hypotheses
-        self.step: dict[int, tuple[_State, tuple[int, ...]]] = {}
+        self.step: dict[int, tuple[_State, int]] = {}
 
 
 class Transducer:
@@ -147,11 +165,13 @@ class Transducer:
 
     def __init__(self, vocabulary: Vocabulary, max_states: int = 120_000):
         self.v, self.max_states = vocabulary, max_states
+        self.lengths = {i: len(t) for i, t in vocabulary.tokens.items()}
+        self.lookahead = 4 * max(self.lengths.values(), default=1)
         self._reset()
 
     def _reset(self) -> None:
         self.states: dict[tuple, _State] = {}
-        self.start = self._state((((), -1, b""),))
+        self.start = self._state(((-1, b""),))
 
     def _state(self, hypotheses: tuple) -> _State:
         s = self.states.get(hypotheses)
@@ -159,73 +179,96 @@ class Transducer:
             s = self.states[hypotheses] = _State(hypotheses)
         return s
 
-    def _extend(self, s: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
-        """Compute and keep the transition of ``s`` on ``byte``: next state and tokens emitted."""
-        v, b, live = self.v, bytes((byte,)), []
-        for owed, last, read in s.hypotheses:
-            read = read + b
-            token = v.prefixes.get(read)
+    def _extend(self, s: _State, byte: int) -> tuple[_State, int]:
+        """Compute and keep the transition of ``s`` on ``byte``: next state and the token that ends here."""
+        v, b, live, ended = self.v, bytes((byte,)), [], -1
+        prefixes, tokens = v.prefixes, v.tokens
+        for last, read in s.hypotheses:  # the longest come first
+            read += b
+            if type(last) is tuple:  # the tokens that it may still become
+                if (at := prefixes.get(read)) is not None:
+                    if at in last:
+                        ended = at
+                    if rest := tuple(t for t in last if t != at and tokens[t].startswith(read)):
+                        live.append((rest, read))
+                continue
+            token = prefixes.get(read)
             if token is None:
                 continue
-            live.append((owed, last, read))
-            if token >= 0 and v.fits(last, token):
-                live.append(((*owed, token), token, b""))
-        # what all owe in common goes out
-        n = 0
-        if live:
-            first, least = live[0][0], min(len(x[0]) for x in live)
-            while n < least and all(x[0][n] == first[n] for x in live):
-                n += 1
-        out = live[0][0][:n] if live else ()
+            rest = v.narrow(last, read)
+            if rest is None:
+                live.append((last, read))
+            elif rest:
+                live.append((rest, read))
+            if ended < 0 <= token and v.fits(last, token):  # no second one can end here
+                ended = token
+        if ended >= 0:
+            live.append((ended, b""))
         if len(self.states) >= self.max_states:
             self._reset()
-        got = (self._state(tuple((x[0][n:], x[1], x[2]) for x in live)), out)
-        s.step[byte] = got
+        got = s.step[byte] = (self._state(tuple(live)), ended)
         return got
 
+    def _path(self, ends: list[int], at: int) -> list[int]:
+        """Tokens, last first, of the hypothesis that ended a token before byte ``at`` of the open bytes."""
+        out, lengths = [], self.lengths
+        while at:
+            token = ends[at - 1]
+            if token < 0:
+                raise ValueError("the vocabulary lacks a byte of the text")
+            out.append(token)
+            at -= lengths[token]
+        return out
+
+    def _settle(self, s: _State, ends: list[int], out: list[int]) -> None:
+        """Emit the tokens that all live hypotheses have in common; ``ends`` keeps what is open."""
+        paths = [self._path(ends, len(ends) - len(read))[::-1] for _, read in s.hypotheses]
+        n = 0
+        for column in zip(*paths):
+            if any(x != column[0] for x in column):
+                break
+            n += 1
+        out += paths[0][:n]
+        del ends[:sum(self.lengths[t] for t in paths[0][:n])]
+
     def encode(self, piece: bytes) -> tuple[int, ...]:
         """Ids of one piece."""
         whole = self.v.ranks.get(piece)
         if whole is not None and self.v.halves(whole) is None:
             return (whole,)
-        s, out = self.start, []
+        s, ends, out = self.start, [], []
         for byte in piece:
             got = s.step.get(byte)
             if got is None:
                 got = self._extend(s, byte)
-            s, emitted = got
-            if emitted:
-                out += emitted
-        for owed, _, read in s.hypotheses:
-            if not read:
-                return (*out, *owed)
-        raise ValueError(f"the vocabulary lacks a byte of {piece!r}")
+            s, token = got
+            ends.append(token)
+            if len(ends) > self.lookahead:
+                self._settle(s, ends, out)
+        return (*out, *self._path(ends, len(ends))[::-1])
 
 
 class Encoder:
-    """Splits texts by ``pattern`` and encodes every match on its own; keeps ids of frequent pieces."""
+    """Splits texts by ``pattern`` and encodes every match on its own; keeps ids of frequent pieces.
+
+    Two tables of pieces: when the young one is full it becomes the old one, and pieces met again
+    return from there, so frequent pieces are not forgotten.
+    """
 
-    def __init__(self, vocabulary: Vocabulary, pattern: str, max_pieces: int = 250_000):
+    def __init__(self, vocabulary: Vocabulary, pattern: str, max_pieces: int = 150_000):
         self.transducer, self.pattern = Transducer(vocabulary), regex.compile(pattern)
-        self.pieces: dict[str, tuple[int, ...]] = {}
+        self.young: dict[str, tuple[int, ...]] = {}
+        self.old: dict[str, tuple[int, ...]] = {}
         self.max_pieces = max_pieces
 
     def __call__(self, text: str) -> list[int]:
-        pieces, known = self.pattern.findall(text), self.pieces
-        for p in set(pieces).difference(known):
-            if len(known) >= self.max_pieces and p not in known:
-                known.clear()
-                return self._slow(pieces)
-            known[p] = self.transducer.encode(p.encode())
-        return list(itertools.chain.from_iterable(map(known.__getitem__, pieces)))
-
-    def _slow(self, pieces: list[str]) -> list[int]:
-        """The same for the text at which the table of pieces starts anew."""
-        own: dict[str, tuple[int, ...]] = {}
-        for p in pieces:
-            if p not in own:
-                own[p] = self.transducer.encode(p.encode())
-        return list(itertools.chain.from_iterable(map(own.__getitem__, pieces)))
+        pieces = self.pattern.findall(text)
+        if len(self.young) > self.max_pieces:
+            self.old, self.young = self.young, {}
+        young, old, encode = self.young, self.old, self.transducer.encode
+        for p in set(pieces).difference(young):
+            young[p] = old.get(p) or encode(p.encode())
+        return list(itertools.chain.from_iterable(map(young.__getitem__, pieces)))
 
 
 class Utf8Stream:

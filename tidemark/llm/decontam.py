@@ -23,7 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ._util import SPACE_CLASS
+from ._util import SPACE_CLASS, free_name
 
 WS = r"[\x20\x09-\x0D]"
 #: Unit words recognised after a number (parameter).
@@ -120,5 +120,6 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_token
 
 def clean_documents(docs: DataFrame, benchmark: DataFrame, **options) -> DataFrame:
     """``docs`` (all columns) without the contaminated documents; a null doc_id is judged by nothing and stays."""
-    leaks = find_leaks(docs, benchmark, **options).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, F.col("doc_id") == F.col("_leak"), "left_anti")
+    leak = free_name(docs, "_leak")
+    leaks = find_leaks(docs, benchmark, **options).select(F.col("doc_id").alias(leak)).distinct()
+    return docs.join(leaks, docs["doc_id"] == leaks[leak], "left_anti")

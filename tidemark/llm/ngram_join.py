@@ -40,7 +40,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ._util import mix, slices, stage, text_bytes, window_hashes, word_hashes
+from ._util import free_name, mix, slices, stage, text_bytes, window_hashes, word_hashes
 from .components import components
 from .substring import cells, merge_cells, pack_cells
 
@@ -251,6 +251,7 @@ def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int
 
 
 def keep_one_per_group(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
-    """``docs`` (all columns) with one document of each component, the one with the least id."""
-    linked = link_documents(docs, n, percent).where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(linked, F.col("doc_id") == F.col("_gone"), "left_anti")
+    """``docs`` (all columns) with one document of each component, the one with the least id (each row of it; a null id stays)."""
+    gone = free_name(docs, "_gone")
+    linked = link_documents(docs, n, percent).where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
+    return docs.join(linked, docs["doc_id"] == linked[gone], "left_anti")

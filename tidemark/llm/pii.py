@@ -33,7 +33,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ._util import stage
+from ._util import free_name, stage, without
 
 #: Key of the surrogates; production passes its own secret.
 DEFAULT_KEY = b"surrogate key for tests"
@@ -257,6 +257,7 @@ def entity_attempts(docs: DataFrame, key: bytes, max_rounds: int = 50) -> DataFr
 
 def replace_pii(docs: DataFrame, key: bytes = DEFAULT_KEY, broadcast_entities: int = 200_000, count: str | None = "n_entities") -> DataFrame:
     """``docs`` (all columns) with surrogates in ``text``; ``count`` names a column for the number of entities (None: no such column)."""
+    docs = without(docs, count) if count else docs
     again = entity_attempts(docs, key).where("attempt > 0")
     columns, at = docs.columns, docs.columns.index("text")
     schema = T.StructType([*docs.schema.fields, *([T.StructField(count, T.LongType())] if count else [])])
@@ -286,8 +287,10 @@ def replace_pii(docs: DataFrame, key: bytes = DEFAULT_KEY, broadcast_entities: i
 
     held = docs.select("text").where("text <> ''").mapInPandas(detect, "text_key string, kind string, norm string").distinct()
     per_text = held.join(again, ["kind", "norm"]).groupBy("text_key").agg(F.collect_list(F.struct("kind", "norm", "attempt")).alias("_redo"))  # bounded by a text
-    keyed = docs.select("*", F.sha2(F.col("text").cast("binary"), 256).alias("text_key"))
-    joined = keyed.join(per_text, "text_key", "left").select(*[keyed[c] for c in columns], "_redo")
+    name, redo = free_name(docs, "text_key"), free_name(docs, "_redo")
+    keyed = docs.withColumn(name, F.sha2(F.col("text").cast("binary"), 256))
+    per_text = per_text.select(F.col("text_key").alias(name), F.col("_redo").alias(redo))
+    joined = keyed.join(per_text, name, "left").select(*[keyed[c] for c in columns], redo)
     return joined.mapInArrow(lambda batches: run(batches, None), schema)
 
 

@@ -19,7 +19,7 @@ repeated, so only texts that occur once are ever named).
 
 Defined cases: null and empty texts have no words; texts shorter than a window lose none; repeated
 rows lose every word that a window covers; an empty table gives an empty result; all columns of
-the input pass through, the text replaced by the kept words joined by one space (null stays null).
+the input pass through (but for earlier n_words and n_removed), the text replaced by the kept words joined by one space (null stays null).
 """
 
 from __future__ import annotations
@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ._util import mix, slices, text_bytes, window_hashes, word_hashes
+from ._util import free_name, mix, slices, text_bytes, window_hashes, without, word_hashes
 
 _U = np.uint64
 _BLOCK_BITS = 18
@@ -133,7 +133,7 @@ def estimated(twice: np.ndarray, h: np.ndarray, depth: int, bits: int) -> np.nda
 
 def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 8, depth: int = 2, bits: int = 25, text: str = "text") -> DataFrame:
     """``docs`` (all columns, ``text`` the kept words) with ``n_words`` and ``n_removed``."""
-    spark = docs.sparkSession
+    spark, docs = docs.sparkSession, without(docs, "n_words", "n_removed")
     shared = spark.sparkContext.broadcast(sketch(docs, window, gram, depth, bits, text))
 
     def flagged(texts: list[bytes]):
@@ -164,8 +164,10 @@ def remove_repeats(docs: DataFrame, window: int = 35, gram: int = 8, depth: int
     single = found.groupBy("h1", "h2").agg(F.sum(F.col("at").bitwiseAND(F.lit(3))).alias("n"), F.min("doc").alias("doc"), F.min(F.shiftright("at", 2)).alias("place")).where("n = 1")
     unique = single.groupBy("doc").agg(F.collect_list(F.col("place").cast("int")).alias("_unique"))  # bounded by a text
     columns, at_text = docs.columns, docs.columns.index(text)
-    keyed = docs.withColumn("_doc", F.xxhash64(F.col(text)))
-    joined = keyed.join(unique.withColumnRenamed("doc", "_doc"), "_doc", "left").select(*[keyed[c] for c in columns], "_unique")
+    name, places = free_name(docs, "_doc"), free_name(docs, "_unique")
+    keyed = docs.withColumn(name, F.xxhash64(F.col(text)))
+    unique = unique.select(F.col("doc").alias(name), F.col("_unique").alias(places))
+    joined = keyed.join(unique, name, "left").select(*[keyed[c] for c in columns], places)
     schema = T.StructType([*docs.schema.fields, T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType())])
 
     def strip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
