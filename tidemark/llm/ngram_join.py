@@ -4,26 +4,32 @@ The tokens of a text are its distinct ``n``-word shingles. Two texts link when t
 have Jaccard similarity ``percent / 100`` or more. Texts with equal sets form one class, which
 joins once, so copies are never expanded.
 
-Prefixes. Tokens are ordered rare before frequent, then by hash. If a set x links to y, at most
-``tau = |x| - ceil(percent * |x| / 100)`` tokens of x are missing in y. Rare tokens form class 1,
-frequent tokens form further classes by their hash; the prefix of x is extended until
+Prefixes. Tokens are ordered rare before frequent, then by hash. If a set x links to a set y at
+least as large, at most ``x - ceil(2 p x / (100 + p))`` tokens of x are missing in y and at most
+``y - ceil(p y / 100)`` of y in x (sizes; p percent). Rare tokens form class 1, frequent tokens form
+further classes by their hash; with tau missing tokens allowed, a prefix is extended until
 
     (rare tokens) + sum over frequent classes of max(0, tokens - 1)  >=  tau + 1,
 
-and then x and y share a rare token, or two tokens of one frequent class, in both prefixes. So
-the index holds single rare tokens and pairs of frequent tokens of a class. How many frequent
+and then both prefixes share a rare token, or two tokens of one frequent class. So the keys are
+single rare tokens and pairs of frequent tokens of a class: index keys from the first bound, probe
+keys from the second, and pairs meet where the smaller set has an index key. How many frequent
 classes there are follows a set's size, so that a class has a few tokens in the prefix; sets of
-neighbouring sizes meet because a set is indexed at every class count of the sizes up to
-``|x| * 100 / percent``. Any choice of frequent tokens gives the same links; they are tokens whose
+neighbouring sizes meet because a set has index keys for every class count of the sizes up to
+``x * 100 / percent``. Any choice of frequent tokens gives the same links; they are tokens whose
 counts, summed over parts of ``_PART`` tokens where they occur twice or more, reach ``frequent``
 (raised so that at most ``2 ** 21`` tokens can).
 
 Index keys that only one class uses are dropped early by a merged one-row count sketch (it never
 misses a key used twice). Candidates are verified on the whole sets.
 
-Groups. In a key's group every class is compared with the group's least class; components of the
-verified links follow; after that only pairs of a group that lie in different components, and are
-not compared yet, are candidates. Groups of copies and near copies thus cost a pass, not a square.
+Groups. In a key's group every class is compared with one head, the class that shares most of its
+keys; components of the verified links follow, the head leaves the group, and a group inside one
+component is done. Rounds go on while the pairs left would be more than a small multiple of the
+group rows (at most ``star_rounds``); then the pairs across components that were not compared yet
+are compared, large groups block against block inside the tasks. Of keys with the same classes
+only one is kept. Groups of copies and near copies thus cost passes, not a square, and no link between
+components is lost.
 
 Defined cases: null and empty texts, and texts without words, have no tokens and link to nothing
 (their component is their own id); fewer words than ``n`` make one token of the whole sequence;
@@ -37,6 +43,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
@@ -73,38 +80,45 @@ def class_level(size: int) -> int:
     return -1 if size < 16 else (size // 8).bit_length() - 1
 
 
-def signatures(s: np.ndarray, common: np.ndarray, percent: int = 75) -> np.ndarray:
-    """Index keys of a token set; ``common``: sorted frequent tokens."""
+def _pairs_of_classes(hot: np.ndarray, need: int, level: int) -> np.ndarray:
+    """Keys of the shortest run of frequent tokens that adds ``need`` to the prefix count."""
+    if level < 0:
+        return hot[:need]
+    kind = (mix(hot) & _U((1 << level) - 1)).astype(np.int64)
+    order = np.argsort(kind, kind="stable")
+    first = np.zeros(len(hot), dtype=bool)
+    first[order[np.concatenate(([True], kind[order[1:]] != kind[order[:-1]]))]] = True
+    reached = np.cumsum(~first) >= need
+    end = int(np.argmax(reached)) + 1 if reached.any() else len(hot)
+    order = np.argsort(kind[:end], kind="stable")
+    tokens, kind = hot[:end][order], kind[:end][order]
+    out = []
+    for gap in range(1, end):  # pairs of one class, by their distance in the ordered class
+        same = kind[gap:] == kind[:-gap]
+        if not same.any():
+            break
+        out.append(mix(mix(tokens[:-gap][same] + _U(level + 1)) ^ tokens[gap:][same]))
+    return np.concatenate(out) if out else hot[:0]
+
+
+def signatures(s: np.ndarray, common: np.ndarray, percent: int = 75) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of a token set and which of them are index keys; ``common``: sorted frequent tokens."""
     size = len(s)
-    need = size - -(-percent * size // 100) + 1
+    need_probe = size - -(-percent * size // 100) + 1
+    need_index = size - -(-2 * percent * size // (100 + percent)) + 1
+    rare = hot = s
     if len(common):
-        at = np.searchsorted(common, s)
-        often = common[np.minimum(at, len(common) - 1)] == s
-        rare = s[~often]
-    else:
-        rare, often = s, None
-    if len(rare) >= need:
-        return rare[:need]
-    hot, out = s[often], [rare]
-    for level in sorted({class_level(size), class_level(100 * size // percent)}):
-        if level < 0:
-            out.append(hot[:need - len(rare)])
-            continue
-        kind = (mix(hot) & _U((1 << level) - 1)).astype(np.int64)
-        order = np.argsort(kind, kind="stable")
-        first = np.zeros(len(hot), dtype=bool)
-        first[order[np.concatenate(([True], kind[order[1:]] != kind[order[:-1]]))]] = True
-        reached = np.cumsum(~first) >= need - len(rare)
-        end = int(np.argmax(reached)) + 1 if reached.any() else len(hot)
-        tokens, kind = hot[:end], kind[:end]
-        order = np.argsort(kind, kind="stable")
-        tokens, kind = tokens[order], kind[order]
-        for gap in range(1, end):  # pairs of one class, by their distance in the ordered class
-            same = kind[gap:] == kind[:-gap]
-            if not same.any():
-                break
-            out.append(mix(mix(tokens[:-gap][same] + _U(level + 1)) ^ tokens[gap:][same]))
-    return np.concatenate(out)
+        often = common[np.minimum(np.searchsorted(common, s), len(common) - 1)] == s
+        rare, hot = s[~often], s[often]
+    index = [rare[:need_index]]
+    probe = [rare[need_index:need_probe]]
+    if len(rare) < need_index:
+        index += [_pairs_of_classes(hot, need_index - len(rare), level) for level in {class_level(size), class_level(100 * size // percent)}]
+    if len(rare) < need_probe:
+        probe.append(_pairs_of_classes(hot, need_probe - len(rare), class_level(size)))
+    first = np.concatenate(index)
+    keys, at = np.unique(np.concatenate((first, *probe)), return_index=True)
+    return keys, at < len(first)
 
 
 def _sets(docs: DataFrame, n: int) -> DataFrame:
@@ -139,6 +153,67 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
     return docs.mapInArrow(run, "doc_id long, text_key long, size long, name long, token long, times long")
 
 
+def bitmap(s: np.ndarray) -> bytes:
+    """Which hash cells the tokens of a set fill: 4 to 8 cells a token, a power of two in number."""
+    bits = np.zeros(max(64, 4 << (len(s) - 1).bit_length()), dtype=np.uint8)
+    bits[(s & _U(len(bits) - 1)).astype(np.int64)] = 1
+    return np.packbits(bits, bitorder="little").tobytes()
+
+
+def _folded(x: np.ndarray, size: int) -> np.ndarray:
+    while len(x) > size:  # the cell in a half as large table is the hash without its highest bit
+        x = x[:len(x) // 2] | x[len(x) // 2:]
+    return x
+
+
+def may_link(x: bytes, nx: int, y: bytes, ny: int, percent: int) -> bool:
+    """False only if the bitmaps prove that two sets do not link: a cell that only one set fills holds a token of its own."""
+    a, b = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+    size = min(len(a), len(b))
+    a, b = _folded(a, size), _folded(b, size)
+    most = min(nx - int(np.bitwise_count(a & ~b).sum()), ny - int(np.bitwise_count(b & ~a).sum()))
+    return 100 * most >= percent * (nx + ny - most)
+
+
+def prune(pairs: DataFrame, maps: DataFrame, percent: int) -> DataFrame:
+    """Candidate ``(a, b)`` pairs that the classes' bitmaps (``name, size, bits``) do not rule out."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in batches:
+            columns = [t.column(i).to_pylist() for i in range(2, 6)]
+            yes = [may_link(x, nx, y, ny, percent) for x, nx, y, ny in zip(*columns)]
+            yield t.select([0, 1]).filter(pa.array(yes, pa.bool_()))
+
+    end = lambda c: maps.select(F.col("name").alias(c), F.col("bits").alias("x" + c), F.col("size").alias("n" + c))
+    both = pairs.join(end("a"), "a").join(end("b"), "b")
+    return both.select("a", "b", "xa", "na", "xb", "nb").mapInArrow(run, "a long, b long")
+
+
+def compare_blocks(rows: DataFrame, percent: int, block: int = 256) -> DataFrame:
+    """Pairs ``(a, b)`` of different components within a key that sizes and bitmaps do not rule out.
+
+    ``rows``: ``key, name, size, index, component, bits, n`` with the number ``n`` of rows of the key. A key's rows are
+    dealt to blocks of about ``block`` rows, and each task group compares two blocks, so no group grows with its key and
+    only pairs that may link leave it.
+    """
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    own = F.pmod(F.xxhash64("name", F.lit(3)), blocks).cast("int")
+    dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
+    dealt = dealt.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("n", "other")
+
+    def run(g: pd.DataFrame) -> pd.DataFrame:
+        lo, hi = int(g["lo"].iloc[0]), int(g["hi"].iloc[0])
+        rows = list(zip(g["name"], g["size"], g["index"], g["component"], g["bits"], g["own"]))
+        out = []
+        for i, (x, nx, ix, cx, bx, ox) in enumerate(rows):
+            for y, ny, iy, cy, by, oy in rows[i + 1:]:
+                if cx != cy and (lo == hi or ox != oy) and 100 * min(nx, ny) >= percent * max(nx, ny) and (nx <= ny and ix or ny <= nx and iy) and may_link(bx, nx, by, ny, percent):
+                    out.append((min(x, y), max(x, y)))
+        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+
+    return dealt.groupBy("key", "lo", "hi").applyInPandas(run, "a long, b long").distinct()
+
+
 def _overlap(a: np.ndarray, b: np.ndarray) -> int:
     both = np.concatenate((a, b))
     both.sort(kind="stable")
@@ -170,7 +245,7 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 32, bits: int = 27) -> DataFrame:
+def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 32, bits: int = 27, star_rounds: int = 3, small_group: int = 16, broadcast_texts: int = 500_000) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
@@ -184,12 +259,12 @@ def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int
 
     def keys(texts: list[bytes]):
         for s in token_sets(texts, n):
-            yield s, signatures(s, shared.value, percent)
+            yield s, *(signatures(s, shared.value, percent) if len(s) else (s, s))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held = [], 0
         for b in batches:
-            for _, k in keys(text_bytes(b.column(0))):
+            for _, k, _ in keys(text_bytes(b.column(0))):
                 part.append(k)
                 held += len(k)
                 if held >= _PART:
@@ -202,43 +277,91 @@ def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            key, name, size = [], [], []
-            for s, k in keys(text_bytes(b.column(0))):
+            key, name, size, shared_of, indexed, maps = [], [], [], [], [], []
+            for s, k, is_index in keys(text_bytes(b.column(0))):
+                keys_of = len(k)
                 if len(k):
                     c = cells(k, 1, bits)[0].astype(np.int64)
-                    k = np.unique(k[(twice.value[c >> 3] >> (7 - (c & 7)).astype(np.uint8)) & 1 == 1])
+                    again = (twice.value[c >> 3] >> (7 - (c & 7)).astype(np.uint8)) & 1 == 1
+                    k, is_index = k[again], is_index[again]
                 if len(k):
+                    own = set_name(s)
                     key.append(k)
-                    name.append(np.full(len(k), set_name(s)))
+                    name.append(np.full(len(k), own))
                     size.append(np.full(len(k), len(s)))
+                    shared_of.append(np.full(len(k), 1000 * len(k) // keys_of))
+                    indexed.append(is_index)
+                    maps.append((own, len(s), bitmap(s)))
             if key:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(key).view(np.int64)), pa.array(np.concatenate(name)), pa.array(np.concatenate(size))], names=["key", "name", "size"])
-
-    posts = stage(d.select("text").mapInArrow(index, "key long, name long, size long"), "posts")
-    near = lambda x, y: (F.col(x) * 100 >= F.col(y) * percent) & (F.col(y) * 100 >= F.col(x) * percent)
-    heads = posts.groupBy("key").agg(F.min(F.struct("name", "size")).alias("h"), F.max("name").alias("last")).where("h.name <> last")
-    grouped = stage(posts.join(heads.select("key", F.col("h.name").alias("head"), F.col("h.size").alias("head_size")), "key").distinct(), "groups")
-    star = stage(grouped.where("name <> head").where(near("size", "head_size")).select(F.col("name").alias("a"), F.col("head").alias("b")).distinct(), "star")
-
-    # one text per class that any candidate can name
-    named = grouped.select("name").distinct()
-    spot = rows.where("size > 0").groupBy("name").agg(F.min("text_key").alias("text_key")).join(named, "name", "left_semi")
-    texts = stage(d.select("text_key", "text").join(spot, "text_key").groupBy("name").agg(F.min("text").alias("text")), "texts")
-    links = stage(verify(star, texts, n, percent), "links")
-    member = stage(components(links), "members")
-
-    # what is left: pairs of a group in different components that were not compared
-    rest = grouped.where("name <> head").join(member.withColumnRenamed("node", "name"), "name", "left")
-    rest = rest.select("key", "name", "size", F.coalesce("component", "name").alias("component"))
-    mixed = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo <> hi").select("key")
-    open_ = rest.join(mixed, "key", "left_semi")
-    other = open_.select("key", F.col("name").alias("name2"), F.col("size").alias("size2"), F.col("component").alias("component2"))
-    pairs = open_.join(other, "key").where("name < name2 AND component <> component2").where(near("size", "size2"))
-    pairs = pairs.select(F.col("name").alias("a"), F.col("name2").alias("b")).distinct()
-    tested = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-    more = stage(verify(pairs.join(tested, ["a", "b"], "left_anti"), texts, n, percent), "links")
-    if not more.isEmpty():
-        member = stage(components(links.union(more)), "members")
+                keyed = np.concatenate(key).view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(keyed), pa.array(np.concatenate(name)), pa.array(np.concatenate(size)), pa.array(np.concatenate(shared_of)), pa.array(np.concatenate(indexed)), pa.nulls(len(keyed), pa.binary())], names=["key", "name", "size", "central", "index", "bits"])
+                yield pa.RecordBatch.from_arrays([pa.nulls(len(maps), pa.int64()), pa.array([m[0] for m in maps]), pa.array([m[1] for m in maps]), pa.nulls(len(maps), pa.int64()), pa.nulls(len(maps), pa.bool_()), pa.array([m[2] for m in maps], pa.binary())], names=["key", "name", "size", "central", "index", "bits"])
+
+    listed = stage(d.select("text").mapInArrow(index, "key long, name long, size long, central long, index boolean, bits binary"), "posts")
+    posts = listed.where("key IS NOT NULL").select("key", "name", "size", "central", "index")
+    maps = listed.where("key IS NULL").groupBy("name", "size").agg(F.min("bits").alias("bits"))
+
+    def near(size: str, index: str, size2: str, index2: str):
+        """Sizes that can link, the smaller set meeting by an index key."""
+        a, b, ia, ib = map(F.col, (size, size2, index, index2))
+        return (a * 100 >= b * percent) & (b * 100 >= a * percent) & (((a <= b) & ia) | ((b <= a) & ib))
+
+    spot = rows.where("size > 0").groupBy("name").agg(F.min("text_key").alias("text_key"))
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Candidates that link: ruled out by bitmaps first, then verified on one text per class."""
+        likely = stage(prune(pairs, maps, percent), "likely")
+        ends = likely.select(F.col("a").alias("name")).union(likely.select("b")).distinct()
+        wanted = stage(spot.join(ends, "name", "left_semi"), "wanted")
+        small = wanted.count() <= broadcast_texts
+        picked = d.select("text_key", "text").join(F.broadcast(wanted) if small else wanted, "text_key")
+        texts = stage(picked.groupBy("name").agg(F.min("text").alias("text")), "texts")
+        return stage(verify(likely, texts, n, percent), "links")
+
+    member = links = tested = None
+    used = posts.groupBy("key").agg(F.min("name").alias("lo"), F.max("name").alias("hi"), F.max("index").alias("i")).where("i AND lo <> hi").select("key")
+    open_ = posts.join(used, "key", "left_semi").withColumn("component", F.col("name"))
+    for last in [False] * star_rounds + [True]:
+        # a row per class of a key whose classes lie in different components; of keys with the same classes one is enough
+        open_ = open_.distinct()
+        member_hash = F.xxhash64("name", "index")
+        print_ = open_.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.sum(member_hash.cast("decimal(38,0)")).alias("h"), F.expr("bit_xor(xxhash64(name, index, 1))").alias("x"))
+        one = print_.groupBy("n", "h", "x").agg(F.min("key").alias("key")).select("key", "n")
+        open_ = stage(open_.drop("n").join(one, "key"), "open")
+        counts = open_.groupBy("key", "component").agg(F.count(F.lit(1)).alias("c"), F.sum(F.col("index").cast("long")).alias("i"))
+        left = counts.groupBy("key").agg(F.sum("c").alias("n"), F.sum(F.col("c") * F.col("c")).alias("sq"), F.sum("i").alias("i"))
+        n_open, n_pairs = left.agg(F.sum("n"), F.sum(F.least((F.col("n") * F.col("n") - F.col("sq")) / 2, F.col("n") * F.col("i")))).first()
+        if not n_open:
+            break
+        if last or n_pairs <= 2 * n_open:
+            few = open_.where(F.col("n") <= small_group)
+            other = few.select("key", F.col("name").alias("name2"), F.col("size").alias("size2"), F.col("index").alias("index2"), F.col("component").alias("component2"))
+            pairs = few.join(other, "key").where("name < name2 AND component <> component2").where(near("size", "index", "size2", "index2")).select(F.col("name").alias("a"), F.col("name2").alias("b"))
+            many = open_.where(F.col("n") > small_group).join(maps.select("name", "bits"), "name")
+            pairs = pairs.union(compare_blocks(many, percent))
+            last = True
+        else:
+            # the class that shares most of its keys is near the middle of a group
+            heads = open_.groupBy("key").agg(F.max(F.struct("central", "name", "size", "index", "component")).alias("h")).select("key", "h.name", "h.size", "h.index", "h.component")
+            heads = heads.toDF("key", "head", "head_size", "head_index", "head_component")
+            star = open_.join(heads, "key").where("name <> head")
+            pairs = star.where("component <> head_component").where(near("size", "index", "head_size", "head_index")).select(F.least("name", "head").alias("a"), F.greatest("name", "head").alias("b"))
+        pairs = pairs.distinct()
+        if tested is not None:
+            pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        pairs = stage(pairs, "pairs")
+        tested = pairs if tested is None else tested.union(pairs)
+        found = linked(pairs)
+        links = found if links is None else links.union(found)
+        member = stage(components(links), "members")
+        if last:
+            break
+        rest = star.select("key", "name", "size", "central", "index").join(member.withColumnRenamed("node", "name"), "name", "left")
+        rest = rest.withColumn("component", F.coalesce("component", "name"))
+        mixed = rest.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi"), F.max("index").alias("i")).where("i AND lo <> hi").select("key")
+        open_ = rest.join(mixed, "key", "left_semi").select("key", "name", "size", "central", "index", "component")
+    if member is None:
+        member = spark.createDataFrame([], "node long, component long")
 
     # classes to documents: the least id of a component
     classes = rows.where("size > 0 AND doc_id IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("least"))
