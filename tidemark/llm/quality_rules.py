@@ -93,7 +93,8 @@ def text_metrics(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("do
     n_chars = F.length("_t")
     bare = F.translate("_t", " \t\n\x0b\f\r", "")
     lower_stop = lambda w: lower_ascii(w).isin(stop)
-    return df.select(
+    # a one-row generator: a filter on the metrics is not pushed below it, where it would copy (and repeat) all of this
+    row = F.struct(
         *keep,
         F.size("_w").cast("long").alias("n_words"),
         F.length(bare).cast("long").alias("word_chars"),
@@ -105,6 +106,7 @@ def text_metrics(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("do
         F.length(F.regexp_replace("_t", r"\P{Lu}+", "")).cast("long").alias("n_upper"),
         (n_chars - F.length(F.translate("_t", "!", ""))).cast("long").alias("n_bangs"),
     )
+    return df.select(F.inline(F.array(row)))
 
 
 def quality_rules(df: DataFrame, text: str = "text", keep: tuple[str, ...] = ("doc_id",),
