@@ -6,12 +6,29 @@ from tidemark import Roles, RoleError, audit_frame, publish_view, resolve_roles
 
 def test_source_only_column_warns_and_opr_is_exempt():
     src = T.StructType([T.StructField("k", T.StringType()), T.StructField("extra", T.IntegerType()),
-                        T.StructField("op", T.StringType())])
-    tgt = T.StructType([T.StructField("k", T.StringType()), T.StructField("icw_eff_ts", T.TimestampNTZType()),
+                        T.StructField("op", T.StringType()), T.StructField("v", T.StringType())])
+    tgt = T.StructType([T.StructField("k", T.StringType()), T.StructField("v", T.StringType()), T.StructField("icw_eff_ts", T.TimestampNTZType()),
                         T.StructField("icw_exp_ts", T.TimestampNTZType())])
     r = resolve_roles(src, tgt, Roles(key=("K",), opr="op"), "scd2")
-    assert r.key == ["k"] and r.sys == ["icw_eff_ts", "icw_exp_ts"] and r.his == []
-    assert r.warnings == ["WARNING: Source column extra not found on target table"]
+    assert r.key == ["k"] and r.sys == ["icw_eff_ts", "icw_exp_ts"] and r.his == ["v"]
+    assert r.warnings == ["source column extra is left out: the target has no such column"]
+
+
+def test_untracked_columns_are_tracked_and_one_is_needed():
+    f = lambda *names: T.StructType([T.StructField(n, T.StringType()) for n in names])
+    cols = ("k", "a", "b", "icw_eff_ts", "icw_exp_ts")
+    assert resolve_roles(f("k", "a", "b"), f(*cols), Roles(key=("k",), his=("a",)), "scd2").his == ["a", "b"]
+    with pytest.raises(RoleError):
+        resolve_roles(f("k", "a"), f(*cols), Roles(key=("k",), his=("a",)), "scd2")  # b would be blanked
+    with pytest.raises(RoleError):
+        resolve_roles(f("k"), f("k", "icw_eff_ts", "icw_exp_ts"), Roles(key=("k",)), "scd2")
+
+
+def test_keygen_reconciles_source_and_target():
+    f = lambda *names: T.StructType([T.StructField(n, T.StringType()) for n in names])
+    with pytest.raises(RoleError):
+        resolve_roles(f("k", "x"), f("k", "id"), Roles(key=("k",), sys=("id",)), "keygen")
+    assert len(resolve_roles(f("k"), f("k", "y", "id"), Roles(key=("k",), sys=("id",)), "keygen").warnings) == 1
 
 
 def test_sys_count_rules():

@@ -54,8 +54,8 @@ def dense_number(df: DataFrame, order: list[str], out: str = "row_no", partition
     )
 
 
-def _resolve(src: DataFrame, key: list[str], sys_key: str) -> Resolved:
-    return resolve_roles(src.schema, src.schema, Roles(key=tuple(key), sys=(sys_key,)), "keygen")
+def _resolve(src: DataFrame, key: list[str], sys_key: str, tgt: DataFrame | None = None) -> Resolved:
+    return resolve_roles(src.schema, (src if tgt is None else tgt).schema, Roles(key=tuple(key), sys=(sys_key,)), "keygen")
 
 
 def lookup_keys(
@@ -123,15 +123,19 @@ def keygen(
     mode: str = "target",
     hub_exp: str = "icw_exp_ts",
     cache: DataFrame | None = None,
+    tgt: DataFrame | None = None,
 ) -> DataFrame:
     """Source rows with their surrogate key.
 
+    ``tgt``: the table to be written; its columns are reconciled with the source's
+    (a source column it lacks raises, a column it alone has is warned about).
+
     ``mode='target'``: key columns, the other source columns, then ``sys_key``
     (inner join with the key cache; what gets written to a new target).
     ``mode='source'``: the source's own columns with ``sys_key`` set where a key
     was found (left join + ``coalesce``, the write-back form).
     """
-    r = _resolve(src, key, sys_key)
+    r = _resolve(src, key, sys_key, tgt)
     if cache is None:
         cache = assign_keys(lookup_keys(src, hub, r.key, sys_key, as_of, hub_exp), hub, r.key, sys_key)
     types = {f.name: f.dataType for f in src.schema.fields}

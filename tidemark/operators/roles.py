@@ -61,7 +61,7 @@ class Roles:
             found.setdefault(name, []).extend(t for t in toks if t)
         opr = found.get("OPR", [])
         if len(opr) > 1:
-            raise RoleError("Only one Logical-delete (OPR) fields allowed")
+            raise RoleError(f"one delete flag (OPR) at most, not {len(opr)}")
         kem = tuple(found.get("KEM", []))
         return cls(
             key=tuple(kem) + tuple(c for c in found.get("KEY", []) if c not in kem),
@@ -101,12 +101,12 @@ def resolve_roles(src: T.StructType, tgt: T.StructType, roles: Roles, kind: str)
     """
     s_idx, t_idx = _index(src), _index(tgt)
     if not s_idx or not t_idx:
-        raise RoleError("Source and/or Target tables not found")
+        raise RoleError("source and target must both have columns")
 
     def tname(c: str, where: dict[str, T.StructField], label: str) -> str:
         f = where.get(c.upper())
         if f is None:
-            raise RoleError(f"Required column {c} not found on {label} table")
+            raise RoleError(f"the {label} has no column {c}, which a role names")
         return f.name
 
     warnings: list[str] = []
@@ -115,10 +115,17 @@ def resolve_roles(src: T.StructType, tgt: T.StructType, roles: Roles, kind: str)
     if kind == "keygen":
         key = [tname(c, s_idx, "source") for c in roles.key]
         if not key:
-            raise RoleError("Required KEY field(s) not found in target")
+            raise RoleError("no key column is given")
         if len(roles.sys) != 1:
-            raise RoleError("One and only one SYS field permitted")
+            raise RoleError(f"exactly one surrogate (SYS) column is needed, not {len(roles.sys)}")
         sys_col = roles.sys[0]
+        for f in src.fields:  # what is loaded must have a place; a target column without a source stays empty
+            if f.name.upper() not in t_idx and f.name.upper() != sys_col.upper():
+                raise RoleError(f"the target has no column for the source column {f.name}")
+        for f in tgt.fields:
+            if f.name.upper() not in s_idx and f.name.upper() != sys_col.upper():
+                warnings.append(f"target column {f.name} is not filled: the source has no such column")
+                log.warning(warnings[-1])
         types = {f.name: f.dataType for f in src.fields}
         other = [f.name for f in src.fields if f.name.upper() not in {k.upper() for k in key} | {sys_col.upper()}]
         if sys_col.upper() in s_idx:
@@ -136,32 +143,37 @@ def resolve_roles(src: T.StructType, tgt: T.StructType, roles: Roles, kind: str)
     if roles.opr:
         f = s_idx.get(roles.opr.upper())
         if f is None:
-            raise RoleError(f"Required column {roles.opr} not found on source table")
+            raise RoleError(f"the source lacks the delete flag {roles.opr}")
         opr = f.name
 
     if not key:
-        raise RoleError("Required KEY field(s) not found in target")
+        raise RoleError("no key column is given")
     if kind == "temporal" and len(bus) != 2:
-        raise RoleError("Required BUS field(s) not found in target")
+        raise RoleError("a business period takes two BUS columns")
     if kind == "scd2" and bus:
-        raise RoleError("The BUS role is not supported by this function - please use temporal_merge()")
+        raise RoleError("a type-2 merge has no business period; temporal_merge takes BUS columns")
     if len(sys_) != 2:
-        raise RoleError("Required SYS field(s) not found in target")
+        raise RoleError("a system period takes two SYS columns")
 
     taken = {c.upper() for c in key + bus + sys_}
     if roles.his is None:
         his = [f.name for f in tgt.fields if f.name.upper() not in taken]
     else:
         his = [tname(c, t_idx, "target") for c in roles.his]
+        # a target column without a role is tracked like the named ones; it is never blanked
+        named = taken | {c.upper() for c in his}
+        his += [f.name for f in tgt.fields if f.name.upper() not in named]
+    if not his:
+        raise RoleError("a merge needs a tracked (HIS) column")
 
     for f in tgt.fields:
         if f.name.upper() in {c.upper() for c in sys_}:
             continue
         if f.name.upper() in {c.upper() for c in key + bus + his} and f.name.upper() not in s_idx:
-            raise RoleError(f"Required column {f.name} not found on source table")
+            raise RoleError(f"the source lacks the target column {f.name}")
     for f in src.fields:
         if f.name.upper() not in t_idx and (opr is None or f.name.upper() != opr.upper()):
-            msg = f"WARNING: Source column {f.name} not found on target table"
+            msg = f"source column {f.name} is left out: the target has no such column"
             warnings.append(msg)
             log.warning(msg)
     return Resolved(key, [k for k in kem], his, bus, sys_, opr, types, [], warnings)

@@ -67,9 +67,9 @@ def plan_scd2(
       inside it whose key is absent from the source are closed too (full mode).
 
     Columns: key, HIS, system start, system end; exact duplicates collapse.
-    The target is read once: its current versions of the source's keys (and, in
-    full mode, those inside the window) are materialised together with the
-    distinct source rows; both are delta-sized (or window-sized).
+    The current versions of the source's keys (and, in full mode, those inside the
+    window, by a scan of their own that the predicate reaches) are materialised
+    together with the distinct source rows; both are delta-sized (or window-sized).
     """
     r = resolve_roles(src.schema, tgt.schema, roles, "scd2")
     eff, exp = r.sys
@@ -92,12 +92,12 @@ def plan_scd2(
 
     cur = _canon(tgt.filter(F.col(exp) > as_of_c), r)
     keep_cols = [*out_cols, eff, exp, *K, *H]
-    # The one pass over the target: current versions of the source's keys, plus in
-    # full mode the versions inside the window (tagged by whether the key is in the run).
+    # Current versions of the source's keys, plus in full mode the versions inside the window of other keys.
     if window:
-        tagged = join_on(cur, run_keys.withColumn("__hit", F.lit(True)), K, "left")
-        hit = F.coalesce(F.col("__hit"), F.lit(False))
-        hot = stage(tagged.filter(hit | F.expr(window)).select(*keep_cols, hit.alias("__hit")), K, stage_mode)
+        # two scans, so that the window predicate reaches the second one
+        of_run = join_on(cur, run_keys, K, "left_semi").select(*keep_cols, F.lit(True).alias("__hit"))
+        beside = join_on(cur.filter(F.expr(window)), run_keys, K, "left_anti").select(*keep_cols, F.lit(False).alias("__hit"))
+        hot = stage(of_run.unionByName(beside), K, stage_mode)
         orphans = hot.filter(~F.col("__hit"))
         in_run = hot.filter(F.col("__hit"))
     else:
@@ -147,7 +147,7 @@ def scd2_merge(
     window: str | None = None,
     keep_action: bool = False,
 ) -> DataFrame:
-    """The whole new target after a type-2 merge (merge set applied on key + system start)."""
+    """The whole new target after a type-2 merge (merge set applied on key, HIS and system start)."""
     r = resolve_roles(src.schema, tgt.schema, roles, "scd2")
     p = plan_scd2(src, tgt, roles, as_of, window)
-    return apply_versions(tgt, p.merge_set, r.key + [r.sys[0]], r.sys, as_of, keep_action, hot=p.hot)
+    return apply_versions(tgt, p.merge_set, r.key + r.his + [r.sys[0]], r.sys, as_of, keep_action, hot=p.hot)

@@ -19,7 +19,7 @@ from ..operators.apply import ACTION, apply_versions, merge_summary
 from ..operators.audit import audit, metrics_messages
 from ..operators.keygen import assign_keys, keygen, keygen_summary, lookup_keys
 from ..operators.periods import period_envelope, period_neighbours
-from ..operators.roles import Roles, schema_diff
+from ..operators.roles import Roles
 from ..operators.scd2 import scd2_merge, scd2_merge_set
 from ..operators.temporal import plan_temporal
 from ..session import scratch_path
@@ -230,10 +230,6 @@ def q_null_default_join(spark: SparkSession, sf: str) -> DataFrame:
     return j.select("c_custkey", "c_nationkey", "n_nationkey", "n_name")
 
 
-def q_schema_diff(spark: SparkSession, sf: str) -> DataFrame:
-    return schema_diff(fr.table(spark, sf, "customer"), fr.table(spark, sf, "supplier"))
-
-
 def q_explode_tokens(spark: SparkSession, sf: str) -> DataFrame:
     p = fr.table(spark, sf, "part").select("p_partkey", "p_type")
     return explode_tokens(p, "p_type")
@@ -355,7 +351,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keygen_source": keygen_source,
     "keygen_summary": q_keygen_summary,
     "null_default_join": q_null_default_join,
-    "schema_diff": q_schema_diff,
     "explode_tokens": q_explode_tokens,
     "explode_tokens_docs": explode_tokens_docs,
     "land_batch_parquet": land_batch_parquet,

@@ -41,8 +41,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared checkpoint folder the cluster names (``spark.checkpoint.dir``).
 
-    When the session names none (local tests), a fresh folder is created and
-    registered; on a cluster the setting is always read, never replaced.
+    When a local session names none (tests), a fresh folder is created and registered; on a
+    cluster the setting is always read, never replaced, and its absence is an error: a folder of
+    one machine would be out of the other machines' reach.
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -50,6 +51,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.split("[")[0] == "local":
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         d = tempfile.mkdtemp(prefix="tidemark-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d

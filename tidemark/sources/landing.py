@@ -38,10 +38,15 @@ def landing_frame(df: DataFrame, value_col: str | None = None, load_ts: Column |
     )
 
 
+#: Reader options that keep whole records where files of one folder differ: columns of all parquet and ORC files
+#: (a column that a file lacks is null in its rows), and an error when a CSV header is not the one read by.
+_WHOLE = {"parquet": {"mergeSchema": "true"}, "orc": {"mergeSchema": "true"}, "csv": {"enforceSchema": "false"}}
+
+
 def _reader(spark: SparkSession, fmt: str, schema: T.StructType | None, options: dict | None, stream: bool):
     r = spark.readStream if stream else spark.read
     r = r.format(fmt)
-    opts = dict(options or {})
+    opts = {**_WHOLE.get(fmt, {}), **(options or {})}
     value_col = None
     if fmt == "json" and "singleVariantColumn" not in opts and schema is None:
         # JSON lands whole: one variant per record, shapes may differ per file.
@@ -63,7 +68,8 @@ def land_batch(
     """Every record under ``path`` as a landing row (batch twin of :func:`land_stream`).
 
     ``fmt`` is any file source name (parquet, json, csv, orc, text, xml ...);
-    ``options`` go to the reader (e.g. ``pathGlobFilter``, ``header``).
+    ``options`` go to the reader (e.g. ``pathGlobFilter``, ``header``). Files of one folder may differ in their
+    columns: parquet and ORC land the columns of all files, CSV files with another header fail.
     """
     r, value_col = _reader(spark, fmt, schema, options, stream=False)
     return landing_frame(r.load(path), value_col)

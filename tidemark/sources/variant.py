@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from ..functions.names import display_path, normalise_name, unique_names, variant_path
 
 KINDS = ("object", "array", "scalar", "null")
-MAX_COLUMNS = 10_000
 
 
 def value_kind(v: Column) -> Column:
@@ -115,8 +114,6 @@ def _plan_columns(paths: list, max_depth: int) -> list[tuple[str, str, str]]:
                     cols.append((display_path(list(steps), i), variant_path(list(steps), i), "string"))
         else:
             cols.append((name, jp, "string"))
-    if len(cols) > MAX_COLUMNS:
-        raise ValueError(f"{len(cols)} columns would be generated; limit the depth or pass explicit paths")
     return cols
 
 
@@ -126,6 +123,7 @@ def flatten(
     max_depth: int = 3,
     col: str = "value",
     keep: tuple[str, ...] = ("src_file_nm", "load_ts"),
+    max_columns: int | None = None,
 ) -> DataFrame:
     """Flattened view of landing rows.
 
@@ -134,12 +132,27 @@ def flatten(
     array -> raw variant column plus one string column per index up to the widest
     array seen; JSON-null-only -> variant column.  Names are normalised (``leg[2]``
     -> ``leg_2``, other characters -> ``_``) and de-duplicated.  Missing paths and
-    out-of-range indexes give NULL.
+    out-of-range indexes give NULL.  No path at all (an empty landing table) is an error (D21).
+
+    ``max_columns`` bounds the view where records use data as field names: the paths are counted
+    before they are collected, and more paths or columns than that are an error. None: no bound.
     """
     if paths is None:
         paths = discover_paths(df, col, max_depth)
-    rows = paths.collect() if isinstance(paths, DataFrame) else list(paths)
+    if isinstance(paths, DataFrame):
+        if max_columns is not None:
+            paths = paths.persist()
+            n = paths.count()
+            if n > max_columns:
+                raise ValueError(f"{n} paths, more than max_columns={max_columns}; limit the depth or pass the paths")
+        rows = paths.collect()
+    else:
+        rows = list(paths)
+    if not rows:
+        raise ValueError("there is nothing to flatten: the landing table holds no path")
     plan = _plan_columns([r.asDict() if hasattr(r, "asDict") else r for r in rows], max_depth)
+    if max_columns is not None and len(plan) > max_columns:
+        raise ValueError(f"{len(plan)} columns, more than max_columns={max_columns}; limit the depth or pass the paths")
     names = unique_names([normalise_name(n) for n, _, _ in plan])
     out = [F.col(k) for k in keep if k in df.columns]
     for (name, jp, typ), alias in zip(plan, names):
@@ -154,11 +167,3 @@ def publish_view(df: DataFrame, name: str, global_view: bool = False) -> DataFra
     else:
         df.createOrReplaceTempView(name)
     return df
-
-
-def parse_json_records(df: DataFrame, text_col: str, out: str = "value") -> DataFrame:
-    """Turn a JSON text column into a variant column (landing of JSON held as text)."""
-    return df.withColumn(out, F.parse_json(F.col(text_col)))
-
-
-VARIANT_TYPE = T.VariantType()

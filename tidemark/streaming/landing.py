@@ -26,11 +26,12 @@ def landing_stream_frame(
     """Streaming frame of landing rows over the files under ``path``.
 
     File streams need a schema; for non-JSON sources without one it is taken from
-    the files present now (a metadata read).  JSON without a schema lands whole
+    all files present now (a metadata read, done anew at each start, so columns that
+    new files brought are landed by the next start; give a schema to a service that keeps running).  JSON without a schema lands whole
     records as variants, exactly as the batch reader does.
     """
     if schema is None and fmt != "json":
-        schema = spark.read.format(fmt).options(**(options or {})).load(path).schema
+        schema = _reader(spark, fmt, None, options, stream=False)[0].load(path).schema
     r, value_col = _reader(spark, fmt, schema, options, stream=True)
     return landing_frame(r.load(path), value_col)
 
