@@ -68,6 +68,12 @@ def per_process(key: tuple, make):
     return store[key]
 
 
+def text_parts(column: pa.Array, rows: int = 512):
+    """:func:`text_bytes` in runs of rows, so that a batch is never held twice."""
+    for i in range(0, len(column), rows):
+        yield text_bytes(column.slice(i, rows))
+
+
 # ---- word hashing over whole batches, vectorised ---------------------------------------------
 
 _U = np.uint64

@@ -47,12 +47,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ._util import free_name, mix, slices, stage, text_bytes, window_hashes, word_hashes
+from ._util import free_name, mix, slices, stage, text_bytes, text_parts, window_hashes, word_hashes
 from .components import components
 from .substring import cells, merge_cells, pack_cells
 
 _U = np.uint64
-_PART = 2_000_000
+_PART = 1_000_000
 _MAX_FREQUENT = 1 << 21
 
 
@@ -137,7 +137,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
         held = 0
         for b in batches:
             sizes, names = [], []
-            for s in token_sets(text_bytes(b.column(2)), n):
+            for s in (s for texts in text_parts(b.column(2)) for s in token_sets(texts, n)):
                 sizes.append(len(s))
                 names.append(set_name(s))
                 part.append(s)
@@ -245,7 +245,7 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 32, bits: int = 27, star_rounds: int = 3, small_group: int = 16, broadcast_texts: int = 500_000) -> DataFrame:
+def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 32, bits: int = 27, star_rounds: int = 1, small_group: int = 16, broadcast_texts: int = 500_000) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
@@ -257,14 +257,14 @@ def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int
     common = np.sort(often.toPandas()["token"].to_numpy(np.int64).view(np.uint64))
     shared = spark.sparkContext.broadcast(common)
 
-    def keys(texts: list[bytes]):
-        for s in token_sets(texts, n):
+    def keys(column: pa.Array):
+        for s in (s for texts in text_parts(column) for s in token_sets(texts, n)):
             yield s, *(signatures(s, shared.value, percent) if len(s) else (s, s))
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, held = [], 0
         for b in batches:
-            for _, k, _ in keys(text_bytes(b.column(0))):
+            for _, k, _ in keys(b.column(0)):
                 part.append(k)
                 held += len(k)
                 if held >= _PART:
@@ -278,7 +278,7 @@ def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             key, name, size, shared_of, indexed, maps = [], [], [], [], [], []
-            for s, k, is_index in keys(text_bytes(b.column(0))):
+            for s, k, is_index in keys(b.column(0)):
                 keys_of = len(k)
                 if len(k):
                     c = cells(k, 1, bits)[0].astype(np.int64)

@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ._util import free_name, mix, slices, text_bytes, window_hashes, without, word_hashes
+from ._util import free_name, mix, slices, text_bytes, text_parts, window_hashes, without, word_hashes
 
 _U = np.uint64
 _BLOCK_BITS = 18
@@ -105,8 +105,7 @@ def sketch(docs: DataFrame, window: int = 35, gram: int = 8, depth: int = 2, bit
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, held = [], 0
         for b in batches:
-            texts = text_bytes(b.column(0))
-            for i, j in slices([len(t) for t in texts]):
+            for texts, i, j in ((texts, i, j) for texts in text_parts(b.column(0)) for i, j in slices([len(t) for t in texts])):
                 h, offsets = word_hashes(texts[i:j])
                 owner = np.repeat(np.arange(j - i), np.diff(offsets))
                 _, place, low = anchors(h, owner, window, gram)
