@@ -8,6 +8,7 @@ import duckdb
 import pytest
 
 from __spark_entry__ import entry, oracle_sql, queries
+from tidemark.plans.queries import QUERIES
 
 SF = os.environ.get("TIDEMARK_TEST_SF", "/root/testdata/sf0.001")
 TABLES = ("region nation customer supplier part orders lineitem events documents embeddings "
@@ -41,11 +42,11 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    missing = set(queries()) - set(oracle_sql())
+    missing = set(QUERIES) - set(oracle_sql())
     assert not missing
 
 
-@pytest.mark.parametrize("name", sorted(queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = queries()[name](spark, SF)
     rows = [tuple(r) for r in df.collect()]

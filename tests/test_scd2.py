@@ -99,3 +99,12 @@ def test_source_duplicates_report(spark):
                                 "k string, his string")
     got = sorted((r.k, r.n_versions) for r in source_duplicates(src, tgt, ROLES).collect())
     assert got == [("j", 2)]  # exact duplicates collapse; NULL equals '' for text
+
+
+def test_second_run_keeps_the_other_row_of_a_key(spark):
+    """Two tracked rows of one key, then only one of them: the other is closed, this one stays current."""
+    schema = "k string, his string"
+    none = spark.createDataFrame([], schema + ", icw_eff_ts timestamp_ntz, icw_exp_ts timestamp_ntz")
+    one = scd2_merge(spark.createDataFrame([("k", "a"), ("k", "b")], schema), none, ROLES, "2000-02-01 00:00:00")
+    two = scd2_merge(spark.createDataFrame([("k", "a")], schema), one, ROLES, "2000-03-01 00:00:00").collect()
+    assert sorted((r.his, r.icw_exp_ts.year) for r in two) == [("a", 9999), ("b", 2000)]

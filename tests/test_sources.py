@@ -1,3 +1,5 @@
+import pytest
+
 import json
 
 from pyspark.sql import functions as F
@@ -93,3 +95,25 @@ def test_create_landing_then_stream(spark, tmp_path):
     spark.range(4).write.parquet(str(src / "f1"))
     land_stream(spark, str(src), f"{base}/b_orders", f"{base}/ckpt", options={"recursiveFileLookup": "true"})
     assert spark.read.parquet(f"{base}/b_orders").count() == 4
+
+
+def test_landing_keeps_columns_of_all_files(spark, tmp_path):
+    spark.createDataFrame([(1,)], "a int").write.parquet(str(tmp_path / "p"))
+    spark.createDataFrame([(2, 3)], "a int, b int").write.mode("append").parquet(str(tmp_path / "p"))
+    got = land_batch(spark, str(tmp_path / "p")).selectExpr("try_variant_get(value, '$.a', 'int') a", "try_variant_get(value, '$.b', 'int') b").collect()
+    assert sorted(map(tuple, got), key=str) == [(1, None), (2, 3)]
+    for k, text in enumerate(("id,name\n1,x\n", "name,id\nz,3\n")):
+        (tmp_path / "c").mkdir(exist_ok=True)
+        (tmp_path / "c" / f"{k}.csv").write_text(text)
+    with pytest.raises(Exception, match="CSV header"):
+        land_batch(spark, str(tmp_path / "c"), "csv", options={"header": "true"}).collect()
+
+
+def test_flatten_of_nothing_and_column_bound(spark):
+    empty = spark.createDataFrame([], "j string").selectExpr("parse_json(j) AS value")
+    with pytest.raises(ValueError):
+        flatten(empty)
+    wide = spark.createDataFrame([('{"a": 1, "b": 2}',)], "j string").selectExpr("parse_json(j) AS value")
+    assert flatten(wide).columns == ["a", "b"]
+    with pytest.raises(ValueError):
+        flatten(wide, max_columns=1)

@@ -2,7 +2,9 @@
 
 from datetime import datetime
 
-from tidemark import Roles, normalise_periods, temporal_merge, temporal_merge_set
+import pytest
+
+from tidemark import OverlapError, Roles, normalise_periods, temporal_merge, temporal_merge_set
 from tidemark.operators.periods import coalesce_periods
 
 from conftest import INF, as_of, day, undo
@@ -46,6 +48,15 @@ def run(spark, tgt_rows, src_rows, opr=False, roles=ROLES):
     return split(ms)
 
 
+@pytest.mark.parametrize("above", [None, 0, 2_000_000])
+def test_overlaps_are_refused_in_every_layout(spark, above):
+    apart, src = [("k", "z", 1, 9), ("k", "y", 10, 12)], [("k", "a", 30, 40)]
+    for tgt_rows, src_rows in (([("k", "z", 1, 50), ("k", "y", 10, 12)], src), (apart, [("k", "a", 5, 20), ("k", "b", 10, 30)])):
+        with pytest.raises(OverlapError):
+            temporal_merge(src_frame(spark, src_rows), tgt_frame(spark, tgt_rows), ROLES, as_of(), slice_above=above)
+    assert temporal_merge(src_frame(spark, src + src), tgt_frame(spark, apart), ROLES, as_of(), slice_above=above).count() == 3
+
+
 def test_new_key(spark):
     assert run(spark, [("x", "q", 1, 2)], [("k", "a", 1, 5)]) == ([], [("k", "a", 1, 5)], [])
 

@@ -13,7 +13,7 @@ from .operators.keygen import assign_keys, dense_number, hub_duplicates, keygen,
 from .operators.periods import check_overlaps, normalise_periods, period_envelope, period_neighbours, split_overlapping
 from .operators.roles import Roles, RoleError, resolve_roles, schema_diff, schema_diff_tables
 from .operators.scd2 import scd2_merge, scd2_merge_set, source_duplicates
-from .operators.temporal import plan_temporal, temporal_merge, temporal_merge_set
+from .operators.temporal import OverlapError, plan_temporal, temporal_merge, temporal_merge_set
 from .sources.landing import create_landing, land_batch, write_table
 from .sources.variant import discover_paths, flatten, publish_view
 from .streaming.landing import land_stream, merge_each_batch

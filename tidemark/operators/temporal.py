@@ -28,6 +28,7 @@ from ._joins import join_on
 from .apply import apply_versions
 from .periods import (
     asof_diffs,
+    check_overlaps,
     coalesce_periods,
     left_diff,
     neighbour_bounds,
@@ -44,9 +45,20 @@ FLAG = "prog_flag"
 KIND = "__kind"
 
 
+class OverlapError(ValueError):
+    """Periods of one key overlap where a merge needs them apart (precondition D6)."""
+
+
+def refuse_overlaps(df: DataFrame, key: list[str], start: str, end: str, label: str, slice_above: int | None) -> None:
+    """Raise :class:`OverlapError` when periods of a key overlap; equal rows count once."""
+    bad = check_overlaps(df.distinct(), key, start, end, slice_above).select(*key, start, end).limit(1).collect()
+    if bad:
+        raise OverlapError(f"{label} periods overlap, for example {bad[0].asDict()}; split_overlapping sets such rows aside")
+
+
 @dataclass
 class TemporalPlan:
-    """The named intermediate frames of one bitemporal run (all lazy)."""
+    """The named intermediate frames of one bitemporal run (``hot``, ``inp`` and ``norm`` are materialised by building it)."""
 
     roles: Resolved
     K: list[str]
@@ -74,6 +86,7 @@ def plan_temporal(
     driver: DataFrame | None = None,
     stage_mode: str = "checkpoint",
     slice_above: int | None = SLICE_ABOVE,
+    overlaps_checked: bool = False,
 ) -> TemporalPlan:
     """Build every stage of the bitemporal merge (decisions D4-D8, D17-D19, D23).
 
@@ -83,6 +96,11 @@ def plan_temporal(
     by several branches (see :func:`stage`).  When a key holds more than
     ``slice_above`` rows (measured on those stages), the neighbour and island
     scans run in range slices instead of one window partition per key.
+
+    The periods of a key must not overlap among the source rows to be loaded, nor
+    among its current versions: only then is the answer the same in both layouts.
+    Both are checked here and an overlap raises :class:`OverlapError`, unless the
+    caller has done so (``overlaps_checked``).
     """
     r = resolve_roles(src.schema, tgt.schema, roles, "temporal")
     bs, be = r.bus
@@ -116,6 +134,9 @@ def plan_temporal(
         keep = s.filter(flag != DELETE_FLAG)
     else:
         keep = s
+    if not overlaps_checked:
+        refuse_overlaps(keep.select(*row), r.key, bs, be, "source", slice_above)
+        refuse_overlaps(hot.select(*row), r.key, bs, be, "current target", slice_above)
     parts = [keep.select(*base, F.lit(0).alias(FLAG), F.lit("source").alias(KIND))]
 
     # One number each from the source and the materialised hot rows decides the scan strategy.

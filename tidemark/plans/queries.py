@@ -18,7 +18,7 @@ from ..operators._stage import stage
 from ..operators.apply import ACTION, apply_versions, merge_summary
 from ..operators.audit import audit, metrics_messages
 from ..operators.keygen import assign_keys, keygen, keygen_summary, lookup_keys
-from ..operators.periods import period_envelope, period_neighbours
+from ..operators.periods import period_envelope, period_neighbours, split_overlapping
 from ..operators.roles import Roles
 from ..operators.scd2 import scd2_merge, scd2_merge_set
 from ..operators.temporal import plan_temporal
@@ -174,6 +174,16 @@ def temporal_key_master(spark: SparkSession, sf: str) -> DataFrame:
 F6_ROLES = Roles(key=("c_nationkey",), his=("o_orderstatus",), bus=("bus_eff_ts", "bus_exp_ts"))
 
 
+def temporal_overlap_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order as a 200-day period of its customer; periods that overlap an earlier one are set aside."""
+    orders = fr.table(spark, sf, "orders").select(
+        "o_custkey", "o_orderkey", F.col("o_orderdate").alias("bus_eff_ts"),
+        (F.col("o_orderdate") + F.expr("INTERVAL '200' DAY")).alias("bus_exp_ts"),
+    )
+    clean, rejected = split_overlapping(orders, ["o_custkey"], "bus_eff_ts", "bus_exp_ts")
+    return present(clean.withColumn("rejected", F.lit(False)).unionByName(rejected.withColumn("rejected", F.lit(True))))
+
+
 def temporal_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Bitemporal merge set where every key is hot (25 nation timelines), on the sliced path."""
     base = stage(fr.f6_base(spark, sf))
@@ -280,6 +290,17 @@ def land_batch_csv(spark: SparkSession, sf: str) -> DataFrame:
     return _land_derived(spark, sf, "csv")
 
 
+def land_batch_mixed_schema(spark: SparkSession, sf: str) -> DataFrame:
+    """Parquet files of one folder with different columns: the columns of all files land."""
+    path = scratch_path(spark, "orders-mixed")
+    orders = fr.table(spark, sf, "orders")
+    odd = F.col("o_orderkey") % 2 == 1
+    orders.filter(odd).write.parquet(path)
+    orders.filter(~odd).drop("o_orderpriority", "o_totalprice").write.mode("append").parquet(path)
+    landed = land_batch(spark, path)
+    return landed.select(*[F.try_variant_get("value", f"$.{c}", "string").alias(c) for c in _ORDER_COLS if c != "o_orderdate"])
+
+
 def land_stream_available_now(spark: SparkSession, sf: str) -> DataFrame:
     """Land ``documents`` with an availableNow stream, run it twice, count rows per file."""
     base = scratch_path(spark, "landing")
@@ -345,6 +366,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "temporal_apply": temporal_apply,
     "temporal_key_master": temporal_key_master,
     "temporal_hot_keys": temporal_hot_keys,
+    "temporal_overlap_quarantine": temporal_overlap_quarantine,
     "key_lookup": key_lookup,
     "key_assign": key_assign,
     "keygen_target": keygen_target,
@@ -356,6 +378,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "land_batch_parquet": land_batch_parquet,
     "land_batch_json": land_batch_json,
     "land_batch_csv": land_batch_csv,
+    "land_batch_mixed_schema": land_batch_mixed_schema,
     "land_stream_available_now": land_stream_available_now,
     "variant_paths": variant_paths,
     "variant_paths_events": variant_paths_events,
