@@ -202,14 +202,29 @@ def compare_blocks(rows: DataFrame, percent: int, block: int = 256) -> DataFrame
     dealt = dealt.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("n", "other")
 
     def run(g: pd.DataFrame) -> pd.DataFrame:
-        lo, hi = int(g["lo"].iloc[0]), int(g["hi"].iloc[0])
-        rows = list(zip(g["name"], g["size"], g["index"], g["component"], g["bits"], g["own"]))
-        out = []
-        for i, (x, nx, ix, cx, bx, ox) in enumerate(rows):
-            for y, ny, iy, cy, by, oy in rows[i + 1:]:
-                if cx != cy and (lo == hi or ox != oy) and 100 * min(nx, ny) >= percent * max(nx, ny) and (nx <= ny and ix or ny <= nx and iy) and may_link(bx, nx, by, ny, percent):
-                    out.append((min(x, y), max(x, y)))
-        return pd.DataFrame(out, columns=["a", "b"], dtype="int64")
+        """Each row against the later rows, a table of bitmaps of one length at a time."""
+        names, sizes, index, part, own = (g[c].to_numpy() for c in ("name", "size", "index", "component", "own"))
+        one_block, lengths = int(g["lo"].iloc[0]) == int(g["hi"].iloc[0]), g["bits"].map(len).to_numpy()
+        tables = {n: (np.flatnonzero(lengths == n), np.frombuffer(b"".join(g["bits"][lengths == n]), np.uint8).reshape(-1, n)) for n in set(lengths.tolist())}
+        left, right = [], []
+        for i, raw in enumerate(g["bits"]):
+            for n, (at, table) in tables.items():
+                fits = (at > i) & (part[at] != part[i]) & (one_block | (own[at] != own[i]))
+                fits &= 100 * np.minimum(sizes[at], sizes[i]) >= percent * np.maximum(sizes[at], sizes[i])
+                fits &= ((sizes[i] <= sizes[at]) & index[i]) | ((sizes[at] <= sizes[i]) & index[at])
+                if not fits.any():
+                    continue
+                a, b = np.frombuffer(raw, np.uint8), table[fits]
+                a = _folded(a, n)
+                while b.shape[1] > len(a):
+                    b = b[:, :b.shape[1] // 2] | b[:, b.shape[1] // 2:]
+                a, b = a.view(np.uint64), np.ascontiguousarray(b).view(np.uint64)
+                most = np.minimum(sizes[i] - np.bitwise_count(a & ~b).sum(axis=1), sizes[at][fits] - np.bitwise_count(b & ~a).sum(axis=1))
+                likely = at[fits][100 * most >= percent * (sizes[i] + sizes[at][fits] - most)]
+                left += [names[i]] * len(likely)
+                right += names[likely].tolist()
+        ends = np.array([left, right], dtype=np.int64).reshape(2, -1)
+        return pd.DataFrame({"a": ends.min(axis=0), "b": ends.max(axis=0)})
 
     return dealt.groupBy("key", "lo", "hi").applyInPandas(run, "a long, b long").distinct()
 
