@@ -260,7 +260,7 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
     return both.select("a", "b", "ta", "tb").mapInArrow(run, "a long, b long")
 
 
-def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 32, bits: int = 27, star_rounds: int = 1, small_group: int = 16, broadcast_texts: int = 500_000) -> DataFrame:
+def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 32, bits: int = 28, star_rounds: int = 1, small_group: int = 16, broadcast_texts: int = 500_000) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
