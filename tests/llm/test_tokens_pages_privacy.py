@@ -89,6 +89,26 @@ def test_blocks_of_a_marked_page():
     assert html_text.blocks("<main><p>a</p></main><p>b</p>") == [("main", "a"), ("drop", "b")]
 
 
+def test_class_names_never_drop_the_article():
+    main = lambda page: " ".join(t for p, t in html_text.blocks(page) if p == "main")
+    for wrapper in ("site has-sidebar", "no-sidebar", "with-menu", "sidebar", "search", "mainNav menu"):
+        assert main(f"<div class='{wrapper}'><div id='search'><article class='post-42 category-social tag-search'><p>the text</p></article></div></div>") == "the text"
+        assert main(f"<div id=page class='{wrapper}'><main class=comments><p>the text</p></main></div>") == "the text"
+        assert main(f"<article><h1>t</h1><div class='{wrapper}'>most of the text</div></article>") == "t most of the text"
+    assert main("<article class='promo related'>one</article><article class='widget'>two</article>") == "one two"
+    beside = "<div class=sidebar><article>teaser</article></div><div class=comments><article class=comment>a longer answer than the text</article></div>"
+    assert main(f"<div class=widget><article>a whole text<div class='share-buttons'>share</div><p class=cookie-notice>ok?</p></article>{beside}</div>") == "a whole text"
+    assert main("<div class=widget><article>one</article></div><div class=widget><article>two</article></div>") == "one two"
+    assert html_text.blocks("<div class='site sidebar'><p>a</p><nav>b</nav></div>") == [("open", "a"), ("drop", "b")]
+
+
+def test_arrays_judge_what_only_a_class_names(spark):
+    notice = "this site uses cookies to give you the best possible experience here"
+    rows = [(i, f"http://h.org/{i}", f"<div class='site sidebar'><div class='cookie-notice'>{notice}</div><p>text{i} of{i} page{i}</p></div>") for i in range(4)]
+    got = html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.page_id: r.text for r in got} == {i: f"text{i} of{i} page{i}" for i in range(4)}
+
+
 def test_pages_odd_and_repeated_runs(spark):
     menu = "home about products contact imprint privacy terms and conditions of use"
     rows = [(i, f"http://h.org/{i}", f"<div>{menu}</div><div>text{i} only{i} here{i}</div>") for i in range(5)]
