@@ -185,6 +185,21 @@ def test_surrogates_stay_distinct(spark, odd, none, monkeypatch):
     assert got.count() == odd.count() and got.columns == [*odd.columns, "n_entities"] and pii.replace_pii(none).count() == 0
 
 
+MASKED = ("Password: ********", "pwd=______", "token: ......", "Secret:\n------------", "api_key=sk-________________ here", "mail ²@-.org")
+
+
+def test_masked_secrets_and_full_spaces(spark):
+    full = [f"pwd=******{i}" for i in range(10)] + [f"call +1 {i:02d}-{j:02d} now" for i in range(100) for j in range(100)]
+    full += [f"host 192.168.{i}.{j}" for i in range(256) for j in range(256)] + ["password: ١٢٣٤٥٦", "pin +49 ١٢٣ ٤٥٦", "secret: ªªªªªª", "Mr Αβ", "a@b.org"]
+    docs = spark.createDataFrame(list(enumerate([*MASKED, *full])), "doc_id long, text string")
+    out = {r.doc_id: (r.text, r.n_entities) for r in pii.replace_pii(docs).collect()}
+    assert len(out) == len(MASKED) + len(full)
+    assert [out[i] for i in range(len(MASKED))] == [(t, 0) for t in MASKED]
+    new = [out[len(MASKED) + i] for i in range(len(full))]
+    assert all(n == 1 for _, n in new) and len({t for t, _ in new}) == len(full) and not {t for t, _ in new} & set(full)
+    assert not any(c in t for t, _ in new[-5:-3] for c in ("١٢٣", "٤٥٦"))
+
+
 def test_pipeline_stages_and_registration(spark, tmp_path):
     names = __spark_entry__.queries()
     assert {f"op{k}_" for k in range(1, 11)} <= {n[:n.index("_") + 1] for n in names if n.startswith("op")} and "pipeline" in names

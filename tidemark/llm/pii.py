@@ -11,11 +11,14 @@ same script and case, digits digits, separators stay; card numbers keep whether
 holds, IBANs get a right one, given names keep their gender's endings. Over the whole table the
 distinct entities are checked for collisions - two entities with one surrogate, or a surrogate
 that is an entity of the table - and the later of them (by attempt, then normal form) tries again
-until none is left, so distinct entities stay distinct. The attempts that are not 0 are few; they
+until none is left, so distinct entities stay distinct. Where the forms of a type are few, later
+attempts draw from more of them (longer strings and numbers, other address ranges), so the rounds
+end also when every form is taken. The attempts that are not 0 are few; they
 reach the tasks as a broadcast while under ``broadcast_entities`` (counted first), else by a join.
 
 Defined cases: null texts stay null and empty texts empty, with no entities; very long texts are
-searched whole; repeated rows are replaced alike; overlapping finds keep the earliest, then the
+searched whole; repeated rows are replaced alike; strings without a letter or digit to change
+(masked passwords, rules of dashes) are no entities; overlapping finds keep the earliest, then the
 longest; an empty table gives an empty result; all columns of the input pass through unchanged
 except the text. Without entities a text is unchanged byte for byte.
 """
@@ -61,6 +64,19 @@ _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-
 _IP6 = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![0-9A-Za-z:])")
 _NAME = regex.compile(r"(?<![\p{L}])(?:(?P<title>" + "|".join(HONORIFICS) + r")\.?[ ]+(?P<one>\p{Lu}[\p{Ll}'’-]+)(?:[ ](?P<two>\p{Lu}[\p{Ll}'’-]+))?|(?P<given>" + "|".join(_GENDER) + r")[ ](?P<sur>\p{Lu}[\p{Ll}'’-]+))(?![\p{L}])")
 _DIGIT = re.compile(r"\d")
+_LEAD = re.compile(r"AKIA|gh[pousr]_|sk-|xox[abprs]-|eyJ")
+
+
+def _changeable(kind: str, norm: str) -> bool:
+    """Whether a surrogate of this entity can differ from it."""
+    if kind == "secret":
+        lead = _LEAD.match(norm)
+        norm = norm[lead.end():] if lead else norm
+    elif kind == "email":
+        norm = norm.rpartition(".")[0]
+    else:
+        return True
+    return any(c.isalpha() or c.isdecimal() for c in norm)
 
 
 def find_entities(text: str) -> list[tuple[int, int, str, str]]:
@@ -102,6 +118,7 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
     if surnames:  # later mentions by the surname alone
         again = regex.compile(r"(?<![\p{L}])(?:" + "|".join(map(regex.escape, sorted(surnames, key=len, reverse=True))) + r")(?![\p{L}])")
         found += [(*m.span(), "surname", m[0].lower()) for m in again.finditer(text)]
+    found = [x for x in found if _changeable(x[2], x[3])]
     if len(found) > 1:
         found.sort(key=lambda x: (x[0], -x[1]))
         clear, end = [], -1
@@ -141,8 +158,8 @@ def script_of(c: str) -> str:
 
 def _like(c: str, draw: _Draw) -> str:
     """A character of the same class, script and case."""
-    if "0" <= c <= "9":
-        return str(draw(10))
+    if c.isdecimal():
+        return chr(ord(c) - unicodedata.decimal(c) + draw(10))
     if not c.isalpha():
         return c
     letters = _ALPHABETS.get(script_of(c))
@@ -153,7 +170,7 @@ def _like(c: str, draw: _Draw) -> str:
         x = chr((ord(c) & ~0x7F) + draw(128))
         if x.isalpha() and script_of(x) == script_of(c):
             return x
-    return c
+    return _ALPHABETS["LATIN"][draw(26)]
 
 
 def luhn(digits: str) -> bool:
@@ -167,13 +184,16 @@ def luhn(digits: str) -> bool:
 def surrogate(kind: str, norm: str, attempt: int, key: bytes) -> str:
     """Replacement of a normal form: a function of the key, the type, the form and the attempt."""
     draw = _Draw(key, kind, norm, attempt)
+    more = attempt // 4  # a wider space for entities whose own is taken
     if kind == "email":
         local, _, domain = norm.rpartition("@")
         labels = domain.split(".")
-        return "".join(_like(c, draw) for c in local) + "@" + ".".join(["".join(_like(c, draw) for c in x) for x in labels[:-1]] + labels[-1:])
+        return "".join(_like(c, draw) for c in local + "a" * more) + "@" + ".".join(["".join(_like(c, draw) for c in x) for x in labels[:-1]] + labels[-1:])
     if kind == "ip":
         parts = norm.split(".")
         keep = 1 if parts[0] in ("10", "127") else 2 if parts[:2] == ["192", "168"] else 0
+        if more and keep:  # another private range, then any
+            parts, keep = ["10", *parts[1:]], 1 if more < 3 else 0
         return ".".join(parts[:keep] + [str(1 + draw(254)) for _ in parts[keep:]])
     if kind == "ip6":
         return ":".join("".join("0123456789abcdef"[draw(16)] for _ in x) for x in norm.split(":"))
@@ -186,28 +206,28 @@ def surrogate(kind: str, norm: str, attempt: int, key: bytes) -> str:
         number = int("".join(str(int(c, 36)) for c in body + norm[:2] + "00"))
         return f"{norm[:2]}{98 - number % 97:02d}{body}"
     if kind == "secret":
-        lead = re.match(r"AKIA|gh[pousr]_|sk-|xox[abprs]-|eyJ", norm)
+        lead = _LEAD.match(norm)
         n = lead.end() if lead else 0
         if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", norm):
             digits = "0123456789ABCDEF" if norm.upper() == norm else "0123456789abcdef"
             return "".join(digits[draw(16)] for _ in norm)
-        return norm[:n] + "".join(_like(c, draw) for c in norm[n:])
+        return norm[:n] + "".join(_like(c, draw) for c in norm[n:] + "a" * more)
     if kind == "surname" or kind.startswith("given_"):
         script = script_of(norm[0])
         if script not in _SYLLABLES:
-            return "".join(_like(c, draw) for c in norm)
+            return "".join(_like(c, draw) for c in norm + norm[0] * more)
         syllables, ends = _SYLLABLES[script]
         tail = ends["s" if kind == "surname" else kind[-1]]
-        return "".join(syllables[draw(len(syllables))] for _ in range(2 + attempt // 4)) + tail[draw(len(tail))]
+        return "".join(syllables[draw(len(syllables))] for _ in range(2 + more)) + tail[draw(len(tail))]
     code, _, rest = norm.rpartition(" ")  # phone, ssn: the digits but for a country code
-    return f"{code} " * bool(code) + "".join(_like(c, draw) for c in rest)
+    return f"{code} " * bool(code) + "".join(_like(c, draw) for c in rest + "0" * more)
 
 
 def write_like(original: str, kind: str, form: str) -> str:
     """The surrogate's normal form in the writing of the original (separators and case)."""
     if kind in ("phone", "ssn", "card", "iban"):
         chars = iter(re.sub(r"[+ ]", "", form))
-        return "".join(next(chars) if c.isalnum() else c for c in original)
+        return "".join([next(chars) if c.isalnum() else c for c in original]) + "".join(chars)
     if kind in ("email", "ip6"):
         return "".join(x.upper() if c.isupper() else x for c, x in zip(original, form)) if len(original) == len(form) else form
     if kind == "surname" or kind.startswith("given_"):
