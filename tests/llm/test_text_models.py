@@ -94,6 +94,16 @@ def test_bit_sliced_lookup_equals_single_filters(spark):
         assert np.array_equal((masks >> np.uint64(b)) & np.uint64(1), single)
 
 
+def test_one_ngram_names_all_its_languages(spark):
+    rows = [(100 * k + i, f"gemeinsam {own} gemeinsam", lang) for k, (lang, own) in enumerate({"aa": "rovka", "bb": "tulpe", "cc": "quilf", "zz": ""}.items()) for i in range(20)]
+    rows = [(i, t if lang != "zz" else "other words entirely", lang) for i, t, lang in rows] + [(900 + i, "other words entirely", "zz") for i in range(40)]
+    model = langid.train(spark.createDataFrame(rows, "doc_id long, text string, lang string"))
+    h, _ = langid.gram_hashes([" gemeinsam "], model.n)
+    assert set(model.masks(h)[:, 0].tolist()) == {0b111} and model.names[model.default] == "zz"
+    lang, score = model.judge(["gemeinsam", "gemeinsam tulpe", "words"])
+    assert lang == ["aa", "bb", "zz"] and abs(score[0] - 1 / 3) < 0.01 and score[1] > 1 / 3
+
+
 def test_more_languages_than_a_word_has_bits(spark):
     rows = [(10 * k + i, f"{chr(0x4E00 + k * 8)}{chr(0x4E01 + k * 8)}{chr(0x4E02 + k * 8)}{chr(0x4E03 + k * 8)}" * 3, f"l{k:02d}") for k in range(70) for i in range(6)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")

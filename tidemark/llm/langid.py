@@ -4,14 +4,13 @@ Every language learned is one bit. A table of ``slots`` words holds all the lang
 filters side by side: the word at a slot has the bits of the languages that set it, so looking up
 an n-gram in all filters at once is an AND of its ``hashes`` words, whose bits name the languages
 that contain the n-gram. Over a text, the popcount of each language is the number of n-grams it
-contains; what a filter of that fill would answer by chance (``fill ** hashes``) is taken out:
-``(hits - n * fpr) / (1 - fpr)``. The language with the highest corrected share wins; ties go to
-the language first by name. More than 64 languages take further words per slot.
+contains, an n-gram of k languages counting 1/k for each; what a filter of that fill would answer
+by chance (``fill ** hashes``) is taken out: ``(hits - n * fpr) / (1 - fpr)``. The language with
+the highest corrected share wins; ties go to the language first by name. More than 64 languages take further words per slot.
 
 Training counts n-grams over all documents of the training fold, by language, as Spark
-aggregates; an n-gram enters a language's filter when that language holds at least ``min_share``
-of its occurrences, weighted so that each language counts alike (rare n-grams under ``min_count``
-stay out). Only the filters (a fixed size) reach the driver and the tasks.
+aggregates; an n-gram enters the filter of every language in which it makes up at least
+``min_rate`` of all n-grams (and occurs ``min_count`` times, which matters for small folds). Only the filters (a fixed size) reach the driver and the tasks.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; a text none of whose
 n-grams is known gets the language most frequent in training, with score 0; very long texts are read
@@ -85,9 +84,11 @@ class LanguageFilters:
             masks = self.masks(h)
             total = np.bincount(doc, minlength=j - i).astype(float)
             share = np.zeros((j - i, len(self.names)))
+            weight = 1.0 / np.maximum(np.bitwise_count(masks).sum(axis=1), 1)
+            weights = np.bincount(doc, weights=weight, minlength=j - i)
             for b in range(len(self.names)):
-                hits = np.bincount(doc, weights=((masks[:, b // 64] >> _U(b % 64)) & _U(1)).astype(float), minlength=j - i)
-                fixed = (hits - total * self.fpr[b]) / (1 - self.fpr[b])
+                hits = np.bincount(doc, weights=((masks[:, b // 64] >> _U(b % 64)) & _U(1)) * weight, minlength=j - i)
+                fixed = (hits - weights * self.fpr[b]) / (1 - self.fpr[b])
                 share[:, b] = np.clip(fixed / np.maximum(total, 1), 0, 1)
             best = np.argmax(share, axis=1)
             for k in range(j - i):
@@ -100,7 +101,7 @@ class LanguageFilters:
         return lang, score
 
 
-def train(docs: DataFrame, n: int = 4, slots: int = 1 << 20, hashes: int = 3, min_count: int = 3, min_share: float = 0.5) -> LanguageFilters:
+def train(docs: DataFrame, n: int = 4, slots: int = 1 << 20, hashes: int = 3, min_count: int = 3, min_rate: float = 1e-6) -> LanguageFilters:
     """Learn the filters from text and non-null ``lang`` of the training fold."""
     spark = docs.sparkSession
     d = docs.select("text", "lang", fold(F.col("doc_id")).alias("f")).where("f <> 0 AND lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
@@ -126,9 +127,7 @@ def train(docs: DataFrame, n: int = 4, slots: int = 1 << 20, hashes: int = 3, mi
     bit = {name: b for b, name in enumerate(names)}
     number = F.create_map(*[x for name in names for x in (F.lit(name), F.lit(bit[name]))])
     rate = F.create_map(*[x for name in names for x in (F.lit(name), F.lit(1.0 / max(1, totals.get(name, 0))))])
-    weighted = grams.withColumn("r", F.col("c") * rate[F.col("lang")])
-    sums = weighted.groupBy("g").agg(F.sum("r").alias("all"), F.collect_list(F.struct("lang", "r", "c")).alias("each"))  # at most one entry per language
-    chosen = sums.select("g", "all", F.explode("each").alias("e")).where((F.col("e.c") >= min_count) & (F.col("e.r") >= min_share * F.col("all")))
+    chosen = grams.where((F.col("c") >= min_count) & (F.col("c") * rate[F.col("lang")] >= min_rate))
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -137,7 +136,7 @@ def train(docs: DataFrame, n: int = 4, slots: int = 1 << 20, hashes: int = 3, mi
                 s = ((h + _U(k) * ((h >> _U(32)) | _U(1))) % _U(slots)).astype(np.int64)
                 yield pd.DataFrame({"slot": s, "b": b["b"].to_numpy(np.int32)})
 
-    set_bits = chosen.select("g", number[F.col("e.lang")].alias("b")).mapInPandas(place, "slot long, b int")
+    set_bits = chosen.select("g", number[F.col("lang")].alias("b")).mapInPandas(place, "slot long, b int")
     part = set_bits.groupBy("slot", F.expr("b div 64").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(b % 64 as int)))").alias("m"))
     got = part.toPandas()  # at most `slots` rows per word
     table = np.zeros((slots, words), dtype=np.uint64)
