@@ -104,6 +104,20 @@ def test_one_ngram_names_all_its_languages(spark):
     assert lang == ["aa", "bb", "zz"] and abs(score[0] - 1 / 3) < 0.01 and score[1] > 1 / 3
 
 
+def test_filters_grow_with_their_ngrams(spark):
+    rng = np.random.default_rng(3)
+    rows = [(i, " ".join("".join(rng.choice(list(letters), 6)) for _ in range(40)), lang) for lang, letters in (("aa", "abcdefgh"), ("bb", "ijklmnop")) for i in range(60)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    small = langid.train(docs, slots=1 << 10, min_count=1)
+    assert len(small.table) > 1 << 10 and small.fpr.max() <= 0.015
+    bound = langid.train(docs, slots=1 << 10, min_count=1, max_bytes=1 << 14)
+    assert bound.table.nbytes <= 1 << 14 and bound.fpr.max() <= 0.015
+    again = langid.train(docs.crossJoin(spark.range(4).select()), slots=1 << 10, min_count=1, min_rate=2e-4)
+    assert np.array_equal(again.table, langid.train(docs, slots=1 << 10, min_count=1, min_rate=2e-4).table)  # the same at every size
+    got = langid.identify(docs, small).join(docs.select("doc_id", "lang").distinct(), "doc_id")
+    assert got.count() > 0 and set(small.judge([t for _, t, lang in rows if lang == "bb"])[0]) == {"bb"}
+
+
 def test_more_languages_than_a_word_has_bits(spark):
     rows = [(10 * k + i, f"{chr(0x4E00 + k * 8)}{chr(0x4E01 + k * 8)}{chr(0x4E02 + k * 8)}{chr(0x4E03 + k * 8)}" * 3, f"l{k:02d}") for k in range(70) for i in range(6)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")

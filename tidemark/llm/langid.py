@@ -10,7 +10,11 @@ the highest corrected share wins; ties go to the language first by name. More th
 
 Training counts n-grams over all documents of the training fold, by language, as Spark
 aggregates; an n-gram enters the filter of every language in which it makes up at least
-``min_rate`` of all n-grams (and occurs ``min_count`` times, which matters for small folds). Only the filters (a fixed size) reach the driver and the tasks.
+``min_rate`` of all n-grams (and occurs ``min_count`` times, which matters for small folds). So no
+language has more than ``1 / min_rate`` of them, however large the input. They are counted first:
+the filters have ``slots`` words, doubled until the fullest one answers by chance in at most
+``max_fpr`` of cases, and where that takes more than ``max_bytes``, the rate doubles instead. Only
+the filters (at most ``max_bytes``, unless ``slots`` is more) reach the driver and the tasks.
 
 Defined cases: a null text, or one without a letter, is ``und`` with score 0; a text none of whose
 n-grams is known gets the language most frequent in training, with score 0; very long texts are read
@@ -20,6 +24,7 @@ rows are judged alike; empty tables give an empty result; other columns are igno
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -101,7 +106,8 @@ class LanguageFilters:
         return lang, score
 
 
-def train(docs: DataFrame, n: int = 4, slots: int = 1 << 20, hashes: int = 3, min_count: int = 3, min_rate: float = 1e-6) -> LanguageFilters:
+def train(docs: DataFrame, n: int = 4, slots: int = 1 << 20, hashes: int = 3, min_count: int = 3, min_rate: float = 1e-6,
+          max_fpr: float = 0.01, max_bytes: int = 1 << 26) -> LanguageFilters:
     """Learn the filters from text and non-null ``lang`` of the training fold."""
     spark = docs.sparkSession
     d = docs.select("text", "lang", fold(F.col("doc_id")).alias("f")).where("f <> 0 AND lang IS NOT NULL AND text IS NOT NULL").select("text", "lang")
@@ -127,7 +133,16 @@ def train(docs: DataFrame, n: int = 4, slots: int = 1 << 20, hashes: int = 3, mi
     bit = {name: b for b, name in enumerate(names)}
     number = F.create_map(*[x for name in names for x in (F.lit(name), F.lit(bit[name]))])
     rate = F.create_map(*[x for name in names for x in (F.lit(name), F.lit(1.0 / max(1, totals.get(name, 0))))])
-    chosen = grams.where((F.col("c") >= min_count) & (F.col("c") * rate[F.col("lang")] >= min_rate))
+    least = slots
+    while True:
+        chosen = grams.where((F.col("c") >= min_count) & (F.col("c") * rate[F.col("lang")] >= min_rate))
+        most = max((r[1] for r in chosen.groupBy("lang").count().collect()), default=0)  # one row per language
+        slots = least
+        while 1 - math.exp(-hashes * most / slots) > max_fpr ** (1 / hashes):
+            slots *= 2
+        if slots == least or slots * words * 8 <= max_bytes:
+            break
+        min_rate *= 2
 
     def place(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
@@ -138,7 +153,7 @@ def train(docs: DataFrame, n: int = 4, slots: int = 1 << 20, hashes: int = 3, mi
 
     set_bits = chosen.select("g", number[F.col("lang")].alias("b")).mapInPandas(place, "slot long, b int")
     part = set_bits.groupBy("slot", F.expr("b div 64").alias("w")).agg(F.expr("bit_or(shiftleft(1L, cast(b % 64 as int)))").alias("m"))
-    got = part.toPandas()  # at most `slots` rows per word
+    got = part.toPandas()  # at most `slots` rows per word of languages
     table = np.zeros((slots, words), dtype=np.uint64)
     table[got["slot"].to_numpy(np.int64), got["w"].to_numpy(np.int64)] = got["m"].to_numpy(np.int64).view(np.uint64)
     fill = np.array([float(((table[:, b // 64] >> _U(b % 64)) & _U(1)).mean()) for b in range(len(names))])
