@@ -152,6 +152,18 @@ def test_templates_find_copies_and_new_parameters(spark, odd, none):
     assert decontam.find_leaks(odd, bench).count() == 0 and decontam.find_leaks(none, bench).count() == 0 and decontam.find_leaks(docs, bench.limit(0)).count() == 0
 
 
+def test_one_altered_value_loses_no_long_copy(spark):
+    words = "worker carries heavy boxes from old house near river with great care".split()
+    parts = [f"number {k} " + " ".join(w + c for w in words) for k, c in zip((3, 5, 8, 13, 5), "abcde")]
+    item = " and ".join(parts)
+    swapped, once = item.replace("number 13", "number 3"), item[:item.rindex("5")] + "6" + item[item.rindex("5") + 1:]  # another slot's value; one of two equal values
+    docs = spark.createDataFrame([(1, item), (2, swapped), (3, once), (4, "nothing of this kind is here")], "doc_id long, text string")
+    got = {r.doc_id: r for r in decontam.find_leaks(docs, spark.createDataFrame([(10, item)], "item_id long, text string")).collect()}
+    assert set(got) == {1, 2, 3} and not any(r.reparameterised for r in got.values())
+    whole = got[1].n_windows
+    assert whole == got[1].item_windows and all(whole - 8 <= got[k].n_windows < whole and got[k].n_slots >= 3 for k in (2, 3))
+
+
 def test_surrogates_formats_and_coreference():
     text = "Mrs. Mary Smith (mary.smith@mail.example.com, +1 (017) 555-7713) and Иван Петров; Smith paid 4111 1111 1111 1111 or 4111111111111111 from 10.1.2.3, DE89 3704 0044 0532 0130 00."
     new, n = pii.replace_entities(text, b"k", {})

@@ -5,7 +5,8 @@ capitalised words inside a sentence into ``<name>``; other words lose punctuatio
 windows of ``window`` template tokens of the benchmark and of the documents meet in a hash join.
 Matches of one document and item at one shift are an alignment; the raw words under its typed
 placeholders must map one to one in both directions (a re-parameterised question replaces each
-value by one other value everywhere). Consistent alignments of an item are taken together, and a
+value by one other value everywhere). Of other alignments the windows count whose raw words equal
+the item's, so a copy with one value altered is not lost. These windows of an item are taken together, and a
 document is contaminated when they cover ``min(max_needed, half of the item's windows)`` of the
 item's windows or more.
 
@@ -107,11 +108,15 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_token
     aligned = aligned.select("key", "item_id", "item_windows", "at", (F.col("p") - F.col("at")).alias("shift"), F.transform(
         F.filter(F.arrays_zip("itok", "iraw", F.slice("draw", F.col("p") + 1, F.col("n")).alias("draw")), lambda x: x["itok"].rlike("<(num|name|unit)>")),
         lambda x: F.struct(x["iraw"].alias("a"), x["draw"].alias("b"))).alias("slots"))
-    pairs = aligned.select("key", "item_id", "shift", F.explode_outer("slots").alias("s"))
-    consistent = pairs.groupBy("key", "item_id", "shift").agg(
+    aligned = aligned.withColumn("same", F.forall("slots", lambda x: x["a"].eqNullSafe(x["b"])))  # raw words equal the item's
+    pairs = aligned.select("key", "item_id", "shift", "same", F.explode_outer("slots").alias("s"))
+    judged = pairs.groupBy("key", "item_id", "shift").agg(
         F.count_distinct("s.a").alias("na"), F.count_distinct("s.b").alias("nb"), F.count_distinct("s.a", "s.b").alias("nab"),
-        F.coalesce(F.max(F.col("s.a") != F.col("s.b")), F.lit(False)).alias("changed")).where("na = nab AND nb = nab")
-    found = aligned.select("key", "item_id", "item_windows", "at", "shift").join(consistent, ["key", "item_id", "shift"])
+        F.count_distinct(F.when(F.col("same"), F.col("s.a"))).alias("equal"),
+        F.coalesce(F.max(F.col("s.a") != F.col("s.b")), F.lit(False)).alias("changed"))
+    one = F.expr("na = nab AND nb = nab")
+    judged = judged.select("key", "item_id", "shift", one.alias("one"), F.when(one, F.col("nab")).otherwise(F.col("equal")).alias("nab"), (one & F.col("changed")).alias("changed"))
+    found = aligned.select("key", "item_id", "item_windows", "at", "shift", "same").join(judged, ["key", "item_id", "shift"]).where("one OR same")
     leaks = found.groupBy("key", "item_id", "item_windows").agg(
         F.count_distinct("at").cast("long").alias("n_windows"), F.max("nab").alias("n_slots"), F.min("changed").alias("reparameterised"))
     leaks = leaks.where(F.col("n_windows") >= needed)
