@@ -15,6 +15,7 @@ from . import pii as _pii
 from . import quality_pu as _pu
 from . import quality_rules as _rules
 from . import substring as _substring
+from . import token_counts as _counts
 from . import url_rules as _urls
 
 
@@ -73,6 +74,12 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _join.link_documents(_table(spark, sf_dir, "documents"))
 
 
+def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return _counts.count_tokens(_table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), limit=512)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_quality_rules": op9_quality_rules,
     "op3_url_rules": op3_url_rules,
@@ -84,4 +91,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_join": op2_ngram_join,
     "op8_quality_pu": op8_quality_pu,
     "op6_language_id": op6_language_id,
+    "op12_token_counts": op12_token_counts,
 }
