@@ -108,4 +108,21 @@ HAVING count(DISTINCT pos) >= least({max_needed}, ceil(item_windows / 2.0))
 """
 
 
-ORACLES: dict[str, str] = {"op9_quality_rules": _op9(), "op3_url_rules": _op3(), "op5_decontaminate": _op5()}
+def _op11(positives: int = 5, negatives: int = 10, low: int = 30, high: int = 90) -> str:
+    return f"""
+WITH v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (SELECT a.vec_id AS anchor_id, b.vec_id AS other_id, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+           FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id),
+pos AS (SELECT anchor_id, other_id AS positive_id, score AS positive_score FROM scored WHERE same
+        QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, other_id) <= {positives})
+SELECT p.anchor_id, positive_id, (row_number() OVER w)::INTEGER AS rank, other_id AS negative_id, positive_score, score AS negative_score
+FROM pos p JOIN scored s ON s.anchor_id = p.anchor_id AND NOT same AND {low} * positive_score <= 100 * score AND 100 * score <= {high} * positive_score
+WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id) QUALIFY row_number() OVER w <= {negatives}
+"""
+
+
+ORACLES: dict[str, str] = {"op9_quality_rules": _op9(), "op3_url_rules": _op3(), "op5_decontaminate": _op5(),
+                           "op11_hard_negatives": _op11()}

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F  # noqa: F401
 
 from . import bpe as _bpe
 from . import decontam as _decontam
+from . import hard_negatives as _negatives
 from . import html_text as _html
 from . import langid as _langid
 from . import ngram_join as _join
@@ -74,6 +75,11 @@ def op2_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _join.link_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return _negatives.mine_hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -91,5 +97,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_ngram_join": op2_ngram_join,
     "op8_quality_pu": op8_quality_pu,
     "op6_language_id": op6_language_id,
+    "op11_hard_negatives": op11_hard_negatives,
     "op12_token_counts": op12_token_counts,
 }
