@@ -106,12 +106,11 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> _U(33))
 
 
-def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """64-bit hash of every word of ``texts``, and offsets of each text's words (len + 1).
+def hashed_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """The texts' bytes joined by a space, starts and stops of all words in them, their hashes, and offsets of each text's words.
 
     A word's hash is a polynomial over per-byte random values, taken from one running sum over
-    the joined bytes, then mixed with the word's length; the texts are joined by a space, so no
-    word spans two of them.
+    the joined bytes, then mixed with the word's length; no word spans two texts.
     """
     n = len(texts)
     joined = np.frombuffer(b" ".join(texts) + b" ", dtype=np.uint8)
@@ -124,8 +123,12 @@ def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
     sums = np.zeros(len(joined) + 1, dtype=np.uint64)
     np.cumsum(_BYTE[joined] * p[:-1], out=sums[1:])
     h = mix((sums[stops] - sums[starts]) * q[starts] + (stops - starts).astype(np.uint64) * _U(0xD6E8FEB86659FD93))
-    offsets = np.concatenate(([0], np.searchsorted(starts, ends)))
-    return h, offsets
+    return joined, starts, stops, h, np.concatenate(([0], np.searchsorted(starts, ends)))
+
+
+def word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hash of every word of ``texts``, and offsets of each text's words (len + 1)."""
+    return hashed_words(texts)[3:]
 
 
 def _join(a: np.ndarray, b: np.ndarray, seed: int) -> np.ndarray:

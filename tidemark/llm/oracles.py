@@ -124,5 +124,28 @@ WINDOW w AS (PARTITION BY p.anchor_id, positive_id ORDER BY score DESC, other_id
 """
 
 
+def _op13(least: int = 30, top: int = 2000, scale: int = 2_000_000, held: int = 80) -> str:
+    up, low = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+    grams = " UNION ALL ".join(
+        f"SELECT lang, {m} AS m, w[i:i + {m - 1}] AS p FROM (SELECT lang, w, unnest(range(1, len(w) - {m} + 2)) AS i FROM piece)" for m in range(1, 5))
+    return rf"""
+WITH piece AS (SELECT lang, list_filter(string_split_regex(x, '[\x20\x09]+'), lambda w: w <> '') AS w FROM (
+       SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''), '{up}', '{low}'), '[.,;:!?\x0A-\x0D]')) AS x FROM documents)),
+f AS MATERIALIZED (SELECT lang, m, p, count(*) AS a FROM ({grams}) GROUP BY ALL),
+total AS (SELECT lang, sum(a)::BIGINT AS n FROM f WHERE m = 1 GROUP BY lang),
+cand AS MATERIALIZED (SELECT * FROM f WHERE m > 1 AND a >= {least}),
+inner_ AS (SELECT lang, p[i:i + j - 1] AS p, max(a) AS most
+           FROM (SELECT lang, p, m, a, j, unnest(range(1, m - j + 2)) AS i FROM (SELECT *, unnest(range(2, m)) AS j FROM cand)) GROUP BY ALL),
+kept AS (SELECT c.* FROM cand c LEFT JOIN inner_ i ON i.lang = c.lang AND i.p = c.p WHERE most IS NULL OR 100 * most < {held} * c.a),
+cut AS (SELECT c.lang, c.p, c.a, c.k, x.a AS l, y.a AS r, ({scale}::HUGEINT * c.a) // (x.a + y.a) AS score
+        FROM (SELECT *, unnest(range(1, m)) AS k FROM kept) c
+        JOIN f x ON x.lang = c.lang AND x.p = c.p[1:c.k] JOIN f y ON y.lang = c.lang AND y.p = c.p[c.k + 1:c.m]),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, k) = 1)
+SELECT lang, row_number() OVER w AS rank, array_to_string(p, ' ') AS phrase, a, l, r, n, score::BIGINT AS score
+FROM best JOIN total USING (lang)
+WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) QUALIFY row_number() OVER w <= {top}
+"""
+
+
 ORACLES: dict[str, str] = {"op9_quality_rules": _op9(), "op3_url_rules": _op3(), "op5_decontaminate": _op5(),
-                           "op11_hard_negatives": _op11()}
+                           "op11_hard_negatives": _op11(), "op13_phrases": _op13()}

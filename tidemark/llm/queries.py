@@ -12,6 +12,7 @@ from . import hard_negatives as _negatives
 from . import html_text as _html
 from . import langid as _langid
 from . import ngram_join as _join
+from . import phrases as _phrases
 from . import pii as _pii
 from . import quality_pu as _pu
 from . import quality_rules as _rules
@@ -80,6 +81,10 @@ def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _negatives.mine_hard_negatives(_table(spark, sf_dir, "embeddings").withColumn("label", moved), F.col("vec_id") % 100 == 0)
 
 
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _phrases.mine_phrases(_table(spark, sf_dir, "documents"))
+
+
 def op12_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -99,4 +104,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_language_id": op6_language_id,
     "op11_hard_negatives": op11_hard_negatives,
     "op12_token_counts": op12_token_counts,
+    "op13_phrases": op13_phrases,
 }
