@@ -48,13 +48,13 @@ def run(spark, tgt_rows, src_rows, opr=False, roles=ROLES):
     return split(ms)
 
 
-@pytest.mark.parametrize("above", [None, 0, 2_000_000])
+@pytest.mark.parametrize("above", [None, 1, 2_000_000])
 def test_overlaps_are_refused_in_every_layout(spark, above):
     apart, src = [("k", "z", 1, 9), ("k", "y", 10, 12)], [("k", "a", 30, 40)]
     for tgt_rows, src_rows in (([("k", "z", 1, 50), ("k", "y", 10, 12)], src), (apart, [("k", "a", 5, 20), ("k", "b", 10, 30)])):
         with pytest.raises(OverlapError):
-            temporal_merge(src_frame(spark, src_rows), tgt_frame(spark, tgt_rows), ROLES, as_of(), slice_above=above)
-    assert temporal_merge(src_frame(spark, src + src), tgt_frame(spark, apart), ROLES, as_of(), slice_above=above).count() == 3
+            temporal_merge(src_frame(spark, src_rows), tgt_frame(spark, tgt_rows), ROLES, as_of(), slice_rows=above)
+    assert temporal_merge(src_frame(spark, src + src), tgt_frame(spark, apart), ROLES, as_of(), slice_rows=above).count() == 3
 
 
 def test_new_key(spark):
@@ -177,8 +177,8 @@ def test_check_overlaps_both_paths(spark):
     from tidemark import check_overlaps
     df = spark.createDataFrame([("a", 1, 5), ("a", 3, 4), ("a", 5, 6), ("a", 4, 9), ("b", 1, 2)],
                                "k string, s int, e int")
-    plain = sorted((r.k, r.s, r.overlap_end) for r in check_overlaps(df, ["k"], "s", "e", slice_above=None).collect())
-    sliced = sorted((r.k, r.s, r.overlap_end) for r in check_overlaps(df, ["k"], "s", "e", slice_above=0).collect())
+    plain = sorted((r.k, r.s, r.overlap_end) for r in check_overlaps(df, ["k"], "s", "e", slice_rows=None).collect())
+    sliced = sorted((r.k, r.s, r.overlap_end) for r in check_overlaps(df, ["k"], "s", "e", slice_rows=1).collect())
     assert plain == sliced == [("a", 3, 5), ("a", 4, 5), ("a", 5, 9)]
 
 
@@ -204,7 +204,7 @@ def test_split_overlapping(spark):
     from tidemark import split_overlapping
     df = spark.createDataFrame([("a", "x", 1, 5), ("a", "x", 1, 5), ("a", "y", 3, 8), ("a", "z", 8, 9), ("b", "x", 1, 2)],
                                "k string, his string, s int, e int")
-    for slice_above in (None, 0):
-        clean, rejected = split_overlapping(df, ["k"], "s", "e", slice_above=slice_above)
+    for slice_rows in (None, 1):
+        clean, rejected = split_overlapping(df, ["k"], "s", "e", slice_rows=slice_rows)
         assert sorted(tuple(r) for r in clean.collect()) == [("a", "x", 1, 5), ("a", "z", 8, 9), ("b", "x", 1, 2)]
         assert [tuple(r) for r in rejected.collect()] == [("a", "y", 3, 8)]

@@ -47,12 +47,12 @@ def value_at(rows, t):
     return None
 
 
-@pytest.mark.parametrize("slice_above", [None, 0], ids=["window", "sliced"])
-def test_timeline_properties(spark, slice_above):
+@pytest.mark.parametrize("slice_rows", [None, 1], ids=["window", "sliced"])
+def test_timeline_properties(spark, slice_rows):
     tgt_rows, src_rows, hist = cases()
     tgt = spark.createDataFrame(tgt_rows, TGT)
     src = spark.createDataFrame(src_rows, "k string, his string, bus_eff_ts timestamp_ntz, bus_exp_ts timestamp_ntz")
-    out = temporal_merge(src, tgt, ROLES, as_of(), slice_above=slice_above)
+    out = temporal_merge(src, tgt, ROLES, as_of(), slice_rows=slice_rows)
     rows = out.collect()
 
     cur, closed = {}, []

@@ -10,7 +10,7 @@ from .functions.tokens import explode_tokens
 from .operators.apply import apply_versions, merge_summary, split_applied, write_split
 from .operators.audit import audit, audit_frame
 from .operators.keygen import assign_keys, dense_number, hub_duplicates, keygen, keygen_summary, lookup_keys
-from .operators.periods import check_overlaps, normalise_periods, period_envelope, period_neighbours, split_overlapping
+from .operators.periods import check_overlaps, envelope_versions, normalise_periods, period_envelope, period_neighbours, split_overlapping
 from .operators.roles import Roles, RoleError, resolve_roles, schema_diff, schema_diff_tables
 from .operators.scd2 import scd2_merge, scd2_merge_set, source_duplicates
 from .operators.temporal import OverlapError, plan_temporal, temporal_merge, temporal_merge_set

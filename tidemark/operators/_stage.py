@@ -3,8 +3,8 @@
 The merges read their input set, the current versions of the touched keys and
 the coalesced set several times each; left lazy, every branch would recompute the
 whole upstream plan (and re-scan the target).  These stages are delta-sized, so
-they are cut once into the shared checkpoint folder (``spark.checkpoint.dir``),
-hash-partitioned on the key so later key joins and windows start co-located.  A
+they are cut once into the shared checkpoint folder (``spark.checkpoint.dir``), as
+they lie: dealing them by key would put every row of a hot key into one task.  A
 lost executor re-reads the checkpoint instead of recomputing.
 """
 
@@ -18,12 +18,12 @@ from ..session import ensure_checkpoint_dir, scratch_path
 MODES = ("table", "checkpoint", "persist", "none")
 
 
-def stage(df: DataFrame, key: list[str] | None = None, mode: str = "checkpoint") -> DataFrame:
+def stage(df: DataFrame, mode: str = "checkpoint") -> DataFrame:
     """Materialise ``df``.
 
     ``table``: written as parquet to a new folder under the shared checkpoint root
     and read back (columnar, compressed; lineage cut); ``checkpoint``: Spark's
-    reliable checkpoint (keeps the key partitioning, lineage cut); ``persist``:
+    reliable checkpoint (keeps the partitioning, lineage cut); ``persist``:
     cached, recomputed on loss; ``none``: left lazy.
     """
     if mode not in MODES:
@@ -32,10 +32,8 @@ def stage(df: DataFrame, key: list[str] | None = None, mode: str = "checkpoint")
         return df
     if mode == "table":
         path = scratch_path(df.sparkSession, "stage")
-        (df.repartition(*key) if key else df).write.parquet(path)
+        df.write.parquet(path)
         return df.sparkSession.read.parquet(path)
-    if key:
-        df = df.repartition(*key)
     if mode == "persist":
         return df.persist(StorageLevel.MEMORY_AND_DISK)
     ensure_checkpoint_dir(df.sparkSession)

@@ -1,33 +1,19 @@
 """Period operators on half-open business periods.
 
-Joins are equi-joins on the (canonical) key with the period test as a residual.
-The ordered scans per key (neighbours, islands, overlap checks) run on range
-slices of the key's rows (:mod:`.sequence`), so a key with a huge timeline is
-spread over many tasks instead of one window partition.
+All ordered work per key (neighbours, remainders, islands, overlaps, holding versions) is a scan of the
+key's events in time order (:mod:`.timeline`), linear in its rows; no version of a key is compared with
+every input of it, and keys with many rows are cut into time slices before they are dealt.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.nulls import with_canonical
-from ..functions.periods import (
-    BUS_OPEN_FROM,
-    null_or_before,
-    null_or_not_meeting,
-    overlaps,
-    ts_lit,
-)
+from ..functions.periods import BUS_OPEN_FROM, contains_between, ts_lit, within
 from ._joins import join_on
-from .sequence import (
-    SLICE_ABOVE,
-    needs_slices,
-    split_islands,
-    split_last_before,
-    split_neighbours,
-    split_running_max_before,
-)
+from .timeline import SLICE, Layout, carried, measure, undealt
 
 
 def _types(df: DataFrame) -> dict:
@@ -40,7 +26,7 @@ def neighbour_bounds(
     start: str,
     end: str,
     order_extra: list[str] | None = None,
-    sliced: bool = False,
+    slice_rows: int | None = None,
 ) -> DataFrame:
     """Append ``prev_end`` and ``next_start`` of each row's neighbours within its key.
 
@@ -49,19 +35,13 @@ def neighbour_bounds(
     row's start, but the row's own end when the next row starts inside this row
     and this row's end is not open.  Order: start, end, then ``order_extra`` as a
     tie-break so the result is deterministic.  ``key`` columns are used as given;
-    pass canonical columns for NULL-or-default keys.  ``sliced`` cuts long keys
-    into range slices (see :mod:`.sequence`) instead of one window partition.
+    pass canonical columns for NULL-or-default keys.
     """
-    t = _types(df)
-    open_from = ts_lit(BUS_OPEN_FROM, t[end])
-    order = [start, end, *(order_extra or [])]
-    if sliced:
-        nb = split_neighbours(df, key, order, end, start, "__prev", "__next")
-        prev, nxt = F.col("__prev"), F.col("__next")
-    else:
-        w = Window.partitionBy(*key).orderBy(*order)
-        nb = df.select("*", F.lag(F.col(end)).over(w).alias("__prev"), F.lead(F.col(start)).over(w).alias("__next"))
-        prev, nxt = F.col("__prev"), F.col("__next")
+    open_from = ts_lit(BUS_OPEN_FROM, _types(df)[end])
+    lay = measure([(df, start)], key, slice_rows)
+    nb = carried(lay.deal(df, start), lay, [start, end, *(order_extra or [])],
+                 [("__prev", "last", F.struct(F.col(end).alias("x"))), ("__next", "next", F.struct(F.col(start).alias("x")))])
+    prev, nxt = F.col("__prev.x"), F.col("__next.x")
     return nb.select(
         *df.columns,
         F.when(prev >= open_from, F.col(start)).otherwise(prev).alias("prev_end"),
@@ -69,192 +49,49 @@ def neighbour_bounds(
     )
 
 
-def period_neighbours(
-    df: DataFrame, key: list[str], start: str, end: str, slice_above: int | None = SLICE_ABOVE
-) -> DataFrame:
+def period_neighbours(df: DataFrame, key: list[str], start: str, end: str, slice_rows: int | None = None) -> DataFrame:
     """Public U14 on raw columns: NULL-or-default keys, ``prev_end``/``next_start`` added.
 
-    Keys with more than ``slice_above`` rows are scanned in range slices (one
-    counting pass decides); ``None`` never slices, ``0`` always does.
+    ``slice_rows``: rows above which a key is cut into time slices (default: its fair share of a task).
     """
     K = [f"__k{i}" for i in range(len(key))]
     c = with_canonical(df, key, "__k", _types(df))
     rest = [x for x in df.columns if x not in key + [start, end]]
-    return neighbour_bounds(c, K, start, end, rest, needs_slices(c, K, slice_above)).drop(*K)
+    return neighbour_bounds(c, K, start, end, rest, slice_rows).drop(*K)
 
 
-def left_diff(tgt: DataFrame, inp: DataFrame, K: list[str], start: str, end: str) -> DataFrame:
-    """Target fragments before each overlapping input.
+def islands(df: DataFrame, layout: Layout, within_key: list[str], carry: list[str], start: str, end: str) -> DataFrame:
+    """Gaps-and-islands (U20 core) on rows dealt by ``layout``.
 
-    ``inp`` carries ``K``, ``start``, ``end`` and ``prev_end``.  For a target version
-    overlapping an input and starting before it, when the input has no previous
-    neighbour or one ending before its start: ``[max(tgt.start, prev_end), inp.start)``.
-    Returns the target's columns with the period replaced.
+    Rows equal on the layout's key and ``within_key`` whose periods overlap or meet become one row
+    ``[min start, max end)``.  A row opens a new island when it starts after the running maximum end of
+    all earlier rows, so nested periods fuse too (D5); an island is named by its first start.
+    ``carry`` columns take ``max`` per island (raw values whose canonical form is
+    equal: NULL and the default give the default).
     """
-    i = inp.select(*K, F.col(start).alias("__i_s"), F.col(end).alias("__i_e"), F.col("prev_end").alias("__i_prev"))
-    cond = (
-        overlaps(F.col(start), F.col(end), F.col("__i_s"), F.col("__i_e"))
-        & (F.col(start) < F.col("__i_s"))
-        & null_or_before(F.col("__i_prev"), F.col("__i_s"))
-    )
-    j = join_on(tgt, i, K, "inner", cond)
-    new_s = F.when(F.col("__i_prev") > F.col(start), F.col("__i_prev")).otherwise(F.col(start))
-    return j.select(
-        *[new_s.alias(c) if c == start else (F.col("__i_s").alias(c) if c == end else F.col(c)) for c in tgt.columns]
-    )
+    group = layout.part + within_key
+    marked = carried(df, layout, [start, end], [("__reach", "max", F.col(end))], within_key)
+    first = F.when(F.col("__reach").isNull() | (F.col(start) > F.col("__reach")), F.col(start))
+    marked = marked.withColumn("__first", first)
+    named = carried(marked, layout, [start, end], [("__isl", "last", F.col("__first"))], within_key)
+    return named.withColumn("__isl", F.coalesce("__first", "__isl")).groupBy(*group, "__isl").agg(
+        *[F.max(c).alias(c) for c in carry], F.min(start).alias(start), F.max(end).alias(end)).drop("__isl")
 
 
-def right_diff(tgt: DataFrame, inp: DataFrame, K: list[str], start: str, end: str) -> DataFrame:
-    """Target fragments after each overlapping input.
+def coalesce_periods(df: DataFrame, part: list[str], carry: list[str], start: str, end: str, slice_rows: int | None = None) -> DataFrame:
+    """:func:`islands` of undealt rows; columns ``part``, ``carry``, ``start``, ``end``."""
+    lay = measure([(df, start)], part, slice_rows)
+    return islands(lay.deal(df, start), lay, [], carry, start, end).select(*part, *carry, start, end)
 
-    For a target version overlapping an input and ending after it, when the input
-    has no next neighbour or one not starting at its end:
-    ``[inp.end, min(next_start, tgt.end))``.
-    """
-    i = inp.select(*K, F.col(start).alias("__i_s"), F.col(end).alias("__i_e"), F.col("next_start").alias("__i_next"))
-    cond = (
-        overlaps(F.col(start), F.col(end), F.col("__i_s"), F.col("__i_e"))
-        & (F.col(end) > F.col("__i_e"))
-        & null_or_not_meeting(F.col("__i_next"), F.col("__i_e"))
-    )
-    j = join_on(tgt, i, K, "inner", cond)
-    new_e = F.when(F.col("__i_next") < F.col(end), F.col("__i_next")).otherwise(F.col(end))
-    return j.select(
-        *[F.col("__i_e").alias(c) if c == start else (new_e.alias(c) if c == end else F.col(c)) for c in tgt.columns]
-    )
 
-
-def asof_diffs(
-    tgt: DataFrame, inp: DataFrame, K: list[str], start: str, end: str
-) -> tuple[DataFrame, DataFrame]:
-    """Left and right differences (U17, U18) as as-of lookups, linear in the rows of a key.
-
-    With non-overlapping versions per key (what the merges maintain), a version
-    overlapping an input and starting before it is the one holding the input's
-    start strictly inside, and one ending after it holds the input's end strictly
-    inside.  Versions and input points are unioned into one timeline per key; each
-    point carries the last version that started strictly before it (sliced scan),
-    and the fragment rules apply to that one version.  Same result as
-    :func:`left_diff` / :func:`right_diff` under that precondition, without
-    comparing every version of a hot key with every input.
-    """
-    cols = tgt.columns
-    v = F.struct(*[F.col(c) for c in cols])
-    null_v = F.lit(None).cast(tgt.select(v.alias("v")).schema["v"].dataType)
-    t_type = tgt.schema[start].dataType
-    none_t = F.lit(None).cast(t_type)
-    versions = tgt.select(*K, F.col(start).alias("__at"), F.lit(1).alias("__ord"), v.alias("__v"),
-                          F.lit(None).cast("string").alias("__side"), none_t.alias("__i_s"), none_t.alias("__i_e"),
-                          none_t.alias("__i_b"))
-    lefts = inp.select(*K, F.col(start).alias("__at"), F.lit(0).alias("__ord"), null_v.alias("__v"),
-                       F.lit("L").alias("__side"), F.col(start).alias("__i_s"), F.col(end).alias("__i_e"),
-                       F.col("prev_end").alias("__i_b"))
-    rights = inp.select(*K, F.col(end).alias("__at"), F.lit(0).alias("__ord"), null_v.alias("__v"),
-                        F.lit("R").alias("__side"), F.col(start).alias("__i_s"), F.col(end).alias("__i_e"),
-                        F.col("next_start").alias("__i_b"))
-    u = versions.unionByName(lefts).unionByName(rights)
-    # points sort before versions at the same instant: a version must start strictly before the point
-    carried = split_last_before(u, K, ["__at", "__ord"], "__v", "__t").filter(F.col("__side").isNotNull())
-    t_s, t_e = F.col(f"__t.{start}"), F.col(f"__t.{end}")
-    left = carried.filter(
-        (F.col("__side") == "L") & F.col("__t").isNotNull() & (t_e > F.col("__i_s"))
-        & null_or_before(F.col("__i_b"), F.col("__i_s"))
-    ).select(*[
-        F.when(F.col("__i_b") > t_s, F.col("__i_b")).otherwise(t_s).alias(c) if c == start
-        else (F.col("__i_s").alias(c) if c == end else F.col(f"__t.{c}").alias(c)) for c in cols
-    ])
-    right = carried.filter(
-        (F.col("__side") == "R") & F.col("__t").isNotNull() & (t_e > F.col("__i_e"))
-        & null_or_not_meeting(F.col("__i_b"), F.col("__i_e"))
-    ).select(*[
-        F.col("__i_e").alias(c) if c == start
-        else (F.when(F.col("__i_b") < t_e, F.col("__i_b")).otherwise(t_e).alias(c) if c == end
-              else F.col(f"__t.{c}").alias(c)) for c in cols
-    ])
-    return left, right
-
-
-def versions_holding(tgt: DataFrame, points: DataFrame, K: list[str], start: str, end: str, point: str) -> DataFrame:
-    """Distinct ``tgt`` rows whose ``[start, end)`` holds some point of the same key (sliced as-of).
-
-    Each point carries the last version starting at or before it; it counts when
-    it lies before that version's end.  Assumes non-overlapping versions per key.
-    """
-    cols = tgt.columns
-    v = F.struct(*[F.col(c) for c in cols])
-    null_v = F.lit(None).cast(tgt.select(v.alias("v")).schema["v"].dataType)
-    u = tgt.select(*K, F.col(start).alias("__at"), F.lit(0).alias("__ord"), v.alias("__v"),
-                   F.lit(None).cast(tgt.schema[start].dataType).alias("__p")).unionByName(
-        points.select(*K, F.col(point).alias("__at"), F.lit(1).alias("__ord"), null_v.alias("__v"),
-                      F.col(point).alias("__p")))
-    hit = split_last_before(u, K, ["__at", "__ord"], "__v", "__t").filter(
-        F.col("__p").isNotNull() & F.col("__t").isNotNull() & (F.col("__p") < F.col(f"__t.{end}")))
-    return hit.select(*[F.col(f"__t.{c}").alias(c) for c in cols]).distinct()
-
-
-def versions_overlapping(tgt: DataFrame, inp: DataFrame, K: list[str], start: str, end: str) -> DataFrame:
-    """``tgt`` rows overlapping some ``inp`` period of the same key, as one sliced scan.
-
-    A version ``[s, e)`` overlaps an input when the largest end among inputs that
-    start before ``e`` exceeds ``s``; no precondition on overlaps.
-    """
-    cols = tgt.columns
-    v = F.struct(*[F.col(c) for c in cols])
-    null_v = F.lit(None).cast(tgt.select(v.alias("v")).schema["v"].dataType)
-    t_type = tgt.schema[end].dataType
-    u = tgt.select(*K, F.col(end).alias("__at"), F.lit(0).alias("__ord"), v.alias("__v"),
-                   F.lit(None).cast(t_type).alias("__ie")).unionByName(
-        inp.select(*K, F.col(start).alias("__at"), F.lit(1).alias("__ord"), null_v.alias("__v"),
-                   F.col(end).alias("__ie")))
-    m = split_running_max_before(u, K, ["__at", "__ord"], "__ie", "__m").filter(
-        F.col("__v").isNotNull() & (F.col("__m") > F.col(f"__v.{start}")))
-    return m.select(*[F.col(f"__v.{c}").alias(c) for c in cols])
-
-
-def _tag_islands(df: DataFrame, part: list[str], start: str, end: str, sliced: bool = False) -> DataFrame:
-    if sliced:
-        return split_islands(df, part, start, end, "__isl")
-    w = Window.partitionBy(*part).orderBy(start, end)
-    run_end = F.max(F.col(end)).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    starts = F.when(run_end.isNull() | (F.col(start) > run_end), F.lit(1)).otherwise(F.lit(0))
-    return df.withColumn("__isl_start", starts).withColumn(
-        "__isl",
-        F.sum("__isl_start").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)),
-    ).drop("__isl_start")
-
-
-def coalesce_periods(
-    df: DataFrame, part: list[str], carry: list[str], start: str, end: str, sliced: bool = False
-) -> DataFrame:
-    """Gaps-and-islands on canonical partition columns (U20 core).
-
-    Rows with equal ``part`` whose periods overlap or meet become one row
-    ``[min start, max end)``.  A row opens a new island when it starts after the
-    running maximum end of all earlier rows, so nested periods fuse too (D5).
-    ``carry`` columns take ``max`` per island (raw values whose canonical form is
-    equal: NULL and the default give the default).  ``sliced``: scan groups in
-    range slices (for groups too large for one task).
-    """
-    tagged = _tag_islands(df, part, start, end, sliced)
-    return tagged.groupBy(*part, "__isl").agg(
-        *[F.max(c).alias(c) for c in carry],
-        F.min(start).alias(start),
-        F.max(end).alias(end),
-    ).drop("__isl")
-
-
-def normalise_periods(
-    df: DataFrame, by: list[str], start: str, end: str, slice_above: int | None = SLICE_ABOVE
-) -> DataFrame:
+def normalise_periods(df: DataFrame, by: list[str], start: str, end: str, slice_rows: int | None = None) -> DataFrame:
     """Public U20: coalesce overlapping or meeting periods of rows equal on ``by``.
 
     Equality is NULL-or-default per column type.  Output: ``by`` columns, start, end.
-    Groups with more than ``slice_above`` rows are scanned in range slices.
     """
     P = [f"__p{i}" for i in range(len(by))]
     c = with_canonical(df.select(*by, start, end), by, "__p", _types(df))
-    out = coalesce_periods(c, P, by, start, end, needs_slices(c, P, slice_above))
-    return out.select(*by, start, end)
+    return coalesce_periods(c, P, by, start, end, slice_rows).select(*by, start, end)
 
 
 def period_envelope(df: DataFrame, key: list[str], start: str, end: str) -> DataFrame:
@@ -268,9 +105,27 @@ def period_envelope(df: DataFrame, key: list[str], start: str, end: str) -> Data
     ).drop(*K)
 
 
-def check_overlaps(
-    df: DataFrame, key: list[str], start: str, end: str, slice_above: int | None = SLICE_ABOVE
-) -> DataFrame:
+def envelope_versions(inp: DataFrame, versions: DataFrame, key: list[str], start: str, end: str) -> DataFrame:
+    """Versions touched by their key's envelope of input periods, and how.
+
+    ``versions`` (all columns) of the keys of ``inp`` that lie inside the envelope ``[env_start, env_end)`` (``inside``),
+    hold its first instant (``holds_start``) or hold an instant just before its end but reach beyond it (``holds_end``).
+    The envelope is one row per key, so each version meets one row, whatever the size of its key; the current
+    remainder before or after the envelope is ``[start, env_start)`` or ``[env_end, end)`` of the versions that hold them.
+    """
+    K = [f"__k{i}" for i in range(len(key))]
+    env = with_canonical(period_envelope(inp, key, start, end), key, "__k", _types(inp)).select(*K, "env_start", "env_end")
+    j = join_on(with_canonical(versions, key, "__k", _types(versions)), env, K)
+    s, e, a, b = (F.col(c) for c in (start, end, "env_start", "env_end"))
+    out = j.withColumns({
+        "inside": within(s, e, a, b),
+        "holds_start": (a >= s) & (a < e),
+        "holds_end": (b > s) & (b < e),
+    })
+    return out.where("inside OR holds_start OR holds_end").drop(*K)
+
+
+def check_overlaps(df: DataFrame, key: list[str], start: str, end: str, slice_rows: int | None = None) -> DataFrame:
     """Rows whose period overlaps an earlier row of the same key (precondition D6).
 
     An earlier row is one ordered before it by (start, end); overlap is tested
@@ -279,39 +134,50 @@ def check_overlaps(
     """
     K = [f"__k{i}" for i in range(len(key))]
     c = with_canonical(df, key, "__k", _types(df))
-    if needs_slices(c, K, slice_above):
-        marked = split_running_max_before(c, K, [start, end], end, "overlap_end")
-    else:
-        w = Window.partitionBy(*K).orderBy(start, end).rowsBetween(Window.unboundedPreceding, -1)
-        marked = c.withColumn("overlap_end", F.max(F.col(end)).over(w))
-    return marked.filter(F.col("overlap_end") > F.col(start)).drop(*K)
+    lay = measure([(c, start)], K, slice_rows)
+    marked = carried(lay.deal(c, start), lay, [start, end], [("overlap_end", "max", F.col(end))])
+    return marked.filter(F.col("overlap_end") > F.col(start)).select(*df.columns, "overlap_end")
 
 
-def split_overlapping(
-    df: DataFrame, key: list[str], start: str, end: str, slice_above: int | None = SLICE_ABOVE
-) -> tuple[DataFrame, DataFrame]:
+def split_overlapping(df: DataFrame, key: list[str], start: str, end: str, slice_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
     """``(clean, rejected)`` for the D6 precondition: the caller fails on or quarantines ``rejected``.
 
     Exact duplicate rows collapse first (a merge treats them as one).  A row is
     rejected when its period overlaps any row of its key ordered before it (by
     start, end, then every other column, so the split is deterministic); the clean
-    rows then hold no overlapping periods per key.
+    rows then hold no overlapping periods per key.  :func:`resolve_overlapping` keeps more rows.
     """
     K = [f"__k{i}" for i in range(len(key))]
     d = with_canonical(df.dropDuplicates(), key, "__k", _types(df))
     rest = [c for c in df.columns if c not in key + [start, end]]
-    order = [start, end, *rest]
-    if needs_slices(d, K, slice_above):
-        marked = split_running_max_before(d, K, order, end, "__before")
-    else:
-        w = Window.partitionBy(*K).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
-        marked = d.withColumn("__before", F.max(F.col(end)).over(w))
+    lay = measure([(d, start)], K, slice_rows)
+    marked = carried(lay.deal(d, start), lay, [start, end, *rest], [("__before", "max", F.col(end))])
     bad = F.coalesce(F.col("__before") > F.col(start), F.lit(False))
-    clean = marked.filter(~bad).select(*df.columns)
-    rejected = marked.filter(bad).select(*df.columns)
-    return clean, rejected
+    return marked.filter(~bad).select(*df.columns), marked.filter(bad).select(*df.columns)
+
 
+def containing(versions: DataFrame, inner: DataFrame, part: list[str], start: str, end: str, inner_start: str, inner_end: str,
+               slice_rows: int | None = None) -> DataFrame:
+    """``versions`` joined with the ``inner`` periods of their ``part`` that they contain, both ends inclusive.
 
-def in_period(start: str, end: str, point: Column) -> Column:
-    """``point`` in ``[start, end)`` on named columns."""
-    return (point >= F.col(start)) & (point < F.col(end))
+    Groups of more than ``slice_rows`` rows (1,024) are not compared pair by pair.  A sweep over the starts first drops
+    versions that contain no period (the least end of the periods that start in or after them is beyond
+    theirs) and periods that no version contains (no version that starts before them reaches their end).  The rest
+    meets in time tiles: a period in the tile of its start, a version in every tile it spans.
+    """
+    most = 1024 if slice_rows is None else slice_rows
+    lay = measure([(versions, start), (inner, inner_start)], part, most)
+    fits = contains_between(F.col(start), F.col(end), F.col(inner_start), F.col(inner_end))
+    if lay.cuts is None:
+        return join_on(versions, inner, part, "inner", fits)
+    v, p = F.struct(*versions.columns), F.struct(*inner.columns)
+    none = lambda df, x: F.lit(None).cast(df.select(x.alias("x")).schema["x"].dataType)
+    events = versions.select(*part, F.col(start).alias("__at"), F.lit(0).alias("__o"), F.col(end).alias("__end"), v.alias("__v"), none(inner, p).alias("__p")).unionByName(
+        inner.select(*part, F.col(inner_start).alias("__at"), F.lit(1).alias("__o"), F.col(inner_end).alias("__end"), none(versions, v).alias("__v"), p.alias("__p")))
+    swept = carried(lay.deal(events, "__at"), lay, ["__at", "__o"], [
+        ("__reach", "max", F.when(F.col("__o") == 0, F.col("__end"))), ("__least", "min_after", F.when(F.col("__o") == 1, F.col("__end")))])
+    left = swept.where("__o = 0 AND __least <= __end").select("__v.*")
+    right = swept.where("__o = 1 AND __reach >= __end").select("__p.*")
+    tiled = lay.slice_of(left, start, end)
+    tiled = tiled.withColumn(SLICE, F.explode(F.sequence(SLICE, F.greatest(SLICE, f"{SLICE}1")))).drop(f"{SLICE}1")
+    return undealt(join_on(tiled, lay.slice_of(right, inner_start).drop("__cut"), [*part, SLICE], "inner", fits))

@@ -86,7 +86,7 @@ def plan_scd2(
         dels = s.filter(flag == DELETE_FLAG).select(*K).distinct()
     else:
         keep, dels = s, None
-    inp = stage(keep.select(*out_cols, *K, *H).distinct(), K, stage_mode)
+    inp = stage(keep.select(*out_cols, *K, *H).distinct(), mode=stage_mode)  # lies by key and HIS, so a hot key is spread
     inp_keys = inp.select(*K).distinct()
     run_keys = s.select(*K).distinct()
 
@@ -97,11 +97,11 @@ def plan_scd2(
         # two scans, so that the window predicate reaches the second one
         of_run = join_on(cur, run_keys, K, "left_semi").select(*keep_cols, F.lit(True).alias("__hit"))
         beside = join_on(cur.filter(F.expr(window)), run_keys, K, "left_anti").select(*keep_cols, F.lit(False).alias("__hit"))
-        hot = stage(of_run.unionByName(beside), K, stage_mode)
+        hot = stage(of_run.unionByName(beside), mode=stage_mode)
         orphans = hot.filter(~F.col("__hit"))
         in_run = hot.filter(F.col("__hit"))
     else:
-        hot = stage(join_on(cur, run_keys, K, "left_semi").select(*keep_cols), K, stage_mode)
+        hot = stage(join_on(cur, run_keys, K, "left_semi").select(*keep_cols), mode=stage_mode)
         orphans, in_run = None, hot
 
     changed = join_on(join_on(in_run, inp_keys, K, "left_semi"), inp.select(*K, *H), K + H, "left_anti")

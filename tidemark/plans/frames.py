@@ -7,10 +7,11 @@ each merge has every case to handle; the targets span the whole tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.periods import SYS_OPEN_END, ts_lit
+from ..operators.periods import neighbour_bounds
 
 AS_OF = "2024-06-01 00:00:00"
 SYS_START = "2020-01-01 00:00:00"
@@ -50,28 +51,25 @@ def f1_src(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def f2_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One order per (customer, date), the one with the smallest key; the next date closes it.
+def _apart(df: DataFrame, key: list[str], date: str, tie: str) -> DataFrame:
+    """``bus_eff_ts``: the date, later by a millisecond for each earlier row of the same key and date, so no row is lost to a tie."""
+    nth = F.row_number().over(Window.partitionBy(*key, date).orderBy(tie)) - 1
+    return df.withColumn("bus_eff_ts", F.col(date) + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), nth.cast("decimal(18,6)") / 1000))
 
-    The de-duplication is an aggregate (combined map-side), the next date a
-    size-checked per-customer scan.
-    """
-    from ..operators.sequence import lag_lead
 
-    o = table(spark, sf_dir, "orders")
+def _closed_by_next(df: DataFrame, key: list[str], tie: str) -> DataFrame:
+    """``bus_exp_ts``: the start of the key's next row, or open."""
+    nb = neighbour_bounds(df, key, "bus_eff_ts", "bus_eff_ts", [tie])
+    return nb.withColumn("bus_exp_ts", F.coalesce("next_start", ts_lit(BUS_OPEN))).drop("prev_end", "next_start")
+
+
+def f2_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order from its date to the customer's next one."""
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    first = o.groupBy("o_custkey", "o_orderdate").agg(
-        F.min("o_orderkey").alias("o_orderkey"), F.min_by("o_orderstatus", "o_orderkey").alias("o_orderstatus")
-    )
-    j = first.join(c, F.col("c_custkey") == F.col("o_custkey")).select(
-        "o_orderkey", "o_custkey", "c_nationkey", "o_orderstatus", "o_orderdate"
-    )
-    nb = lag_lead(j, ["o_custkey"], ["o_orderdate"], "o_orderdate", "o_orderdate", "__p", "__n")
-    return nb.select(
-        "o_orderkey", "o_custkey", "c_nationkey", "o_orderstatus",
-        F.col("o_orderdate").alias("bus_eff_ts"),
-        F.coalesce(F.col("__n"), ts_lit(BUS_OPEN)).alias("bus_exp_ts"),
-    )
+    j = o.join(c, F.col("c_custkey") == F.col("o_custkey"))
+    nb = _closed_by_next(_apart(j, ["o_custkey"], "o_orderdate", "o_orderkey"), ["o_custkey"], "o_orderkey")
+    return nb.select("o_orderkey", "o_custkey", "c_nationkey", "o_orderstatus", "bus_eff_ts", "bus_exp_ts")
 
 
 def f2_tgt(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
@@ -125,14 +123,12 @@ def f4_docs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def f5_tgt(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One line per (order, line number): the first by part, supplier, ship date (an aggregate)."""
+    """Every line; lines of an order that share a number are told apart by ``l_copy``."""
     li = table(spark, sf_dir, "lineitem")
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate")
-    first = li.groupBy("l_orderkey", "l_linenumber").agg(
-        F.min_by("l_returnflag", F.struct("l_partkey", "l_suppkey", "l_shipdate")).alias("l_returnflag")
-    )
-    return first.join(o, F.col("o_orderkey") == F.col("l_orderkey")).select(
-        "l_orderkey", "l_linenumber", "l_returnflag",
+    copy = F.row_number().over(Window.partitionBy("l_orderkey", "l_linenumber").orderBy("l_partkey", "l_suppkey", "l_shipdate", "l_returnflag"))
+    return li.withColumn("l_copy", copy).join(o, F.col("o_orderkey") == F.col("l_orderkey")).select(
+        "l_orderkey", "l_linenumber", "l_copy", "l_returnflag",
         F.col("o_orderdate").alias("bus_eff_ts"), ts_lit(BUS_OPEN).alias("bus_exp_ts"),
         ts_lit(SYS_START).alias("icw_eff_ts"), ts_lit(SYS_OPEN_END).alias("icw_exp_ts"),
     )
@@ -141,7 +137,7 @@ def f5_tgt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def f5_src(spark: SparkSession, sf_dir: str, tgt: DataFrame | None = None) -> DataFrame:
     t = tgt if tgt is not None else f5_tgt(spark, sf_dir)
     return t.filter((F.col("l_orderkey") % 5 == 0) & (F.col("l_linenumber") != 2)).select(
-        "l_orderkey", "l_linenumber",
+        "l_orderkey", "l_linenumber", "l_copy",
         F.when(F.col("l_linenumber") == 3, F.lit("Z")).otherwise(F.col("l_returnflag")).alias("l_returnflag"),
         (F.col("bus_eff_ts") + _days(10)).alias("bus_eff_ts"),
         F.when(F.col("l_orderkey") % 10 == 0, F.col("bus_eff_ts") + _days(40))
@@ -149,25 +145,21 @@ def f5_src(spark: SparkSession, sf_dir: str, tgt: DataFrame | None = None) -> Da
     )
 
 
-def f6_base(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Few hot keys: each nation's order-date timeline (one order per nation and date).
+def f5_driver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A driver table of its own: two periods for some orders, also of orders that the source lacks."""
+    o = table(spark, sf_dir, "orders").filter(F.col("o_orderkey") % 3 == 0)
+    first = o.select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_orderdate") + _days(10)).alias("bus_eff_ts"), (F.col("o_orderdate") + _days(40)).alias("bus_exp_ts"))
+    later = o.filter(F.col("o_orderkey") % 2 == 0).select(F.col("o_orderkey").alias("l_orderkey"), (F.col("o_orderdate") + _days(50)).alias("bus_eff_ts"), ts_lit(BUS_OPEN).alias("bus_exp_ts"))
+    return first.unionByName(later)
 
-    The next date per nation comes from the sliced neighbour scan, since every
-    key here is large.
-    """
-    from ..operators.sequence import split_neighbours
 
+def f6_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Few hot keys: each nation's orders as one timeline, an order from its date to the nation's next one."""
     o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     j = o.join(c, F.col("c_custkey") == F.col("o_custkey"))
-    d = j.groupBy("c_nationkey", "o_orderdate").agg(
-        F.min("o_orderkey").alias("o_orderkey"), F.min_by("o_orderstatus", "o_orderkey").alias("o_orderstatus")
-    )
-    nb = split_neighbours(d, ["c_nationkey"], ["o_orderdate"], "o_orderdate", "o_orderdate", "__p", "__n")
-    return nb.select(
-        "c_nationkey", "o_orderkey", "o_orderstatus", F.col("o_orderdate").alias("bus_eff_ts"),
-        F.coalesce(F.col("__n"), ts_lit(BUS_OPEN)).alias("bus_exp_ts"),
-    )
+    nb = _closed_by_next(_apart(j, ["c_nationkey"], "o_orderdate", "o_orderkey"), ["c_nationkey"], "o_orderkey")
+    return nb.select("c_nationkey", "o_orderkey", "o_orderstatus", "bus_eff_ts", "bus_exp_ts")
 
 
 def f6_tgt(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
@@ -179,11 +171,12 @@ def f6_tgt(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> D
 
 
 def f6_src(spark: SparkSession, sf_dir: str, base: DataFrame | None = None) -> DataFrame:
+    """Inputs that begin an hour into a version where it lasts so long, else with it."""
     b = base if base is not None else f6_base(spark, sf_dir)
-    ok = F.col("o_orderkey")
-    return b.filter((ok % 3 == 0) & (F.col("bus_exp_ts") > F.col("bus_eff_ts") + _days(3))).select(
+    ok, hour = F.col("o_orderkey"), F.col("bus_eff_ts") + F.expr("INTERVAL 1 HOUR")
+    return b.filter(ok % 3 == 0).select(
         "c_nationkey",
         F.when(ok % 5 == 0, F.lit("X")).otherwise(F.col("o_orderstatus")).alias("o_orderstatus"),
-        (F.col("bus_eff_ts") + _days(3)).alias("bus_eff_ts"),
+        F.when(F.col("bus_exp_ts") > hour, hour).otherwise(F.col("bus_eff_ts")).alias("bus_eff_ts"),
         "bus_exp_ts",
     )

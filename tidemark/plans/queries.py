@@ -18,7 +18,7 @@ from ..operators._stage import stage
 from ..operators.apply import ACTION, apply_versions, merge_summary
 from ..operators.audit import audit, metrics_messages
 from ..operators.keygen import assign_keys, keygen, keygen_summary, lookup_keys
-from ..operators.periods import period_envelope, period_neighbours, split_overlapping
+from ..operators.periods import envelope_versions, normalise_periods, period_envelope, period_neighbours, split_overlapping
 from ..operators.roles import Roles
 from ..operators.scd2 import scd2_merge, scd2_merge_set
 from ..operators.temporal import plan_temporal
@@ -53,7 +53,7 @@ F1_ROLES_OPR = Roles(key=("c_custkey",), his=("c_mktsegment", "c_acctbal", "c_na
 F1_WINDOW = "c_nationkey < 10"
 F2_ROLES = Roles(key=("o_custkey",), his=("o_orderstatus",), bus=("bus_eff_ts", "bus_exp_ts"))
 F2_ROLES_OPR = Roles(key=("o_custkey",), his=("o_orderstatus",), bus=("bus_eff_ts", "bus_exp_ts"), opr="opr")
-F5_ROLES = Roles(key=("l_linenumber",), kem=("l_orderkey",), his=("l_returnflag",), bus=("bus_eff_ts", "bus_exp_ts"))
+F5_ROLES = Roles(key=("l_linenumber", "l_copy"), kem=("l_orderkey",), his=("l_returnflag",), bus=("bus_eff_ts", "bus_exp_ts"))
 
 
 # ---- type 2 -------------------------------------------------------------------------------
@@ -134,18 +134,18 @@ def q_period_envelope(spark: SparkSession, sf: str) -> DataFrame:
     versions holding its first or last instant."""
     src, tgt = _f2(spark, sf, opr=False)
     env = period_envelope(src, ["o_custkey"], "bus_eff_ts", "bus_exp_ts")
-    cur = tgt.filter(F.col("icw_exp_ts") > F.lit(fr.AS_OF).cast("timestamp_ntz")).select(
-        F.col("o_custkey").alias("t_key"), F.col("bus_eff_ts").alias("t_s"), F.col("bus_exp_ts").alias("t_e")
-    )
-    j = env.join(cur, F.coalesce(F.col("o_custkey"), F.lit(0)) == F.coalesce(F.col("t_key"), F.lit(0)), "left")
-    inside = (F.col("env_start") <= F.col("t_s")) & (F.col("env_end") >= F.col("t_e"))
-    edge = ((F.col("env_start") >= F.col("t_s")) & (F.col("env_start") < F.col("t_e"))) | (
-        (F.col("env_end") > F.col("t_s")) & (F.col("env_end") < F.col("t_e"))
-    )
-    out = j.groupBy("o_custkey", "env_start", "env_end").agg(
-        F.count_if(inside).alias("n_inside"), F.count_if(edge).alias("n_boundary")
-    )
-    return present(out)
+    cur = tgt.filter(F.col("icw_exp_ts") > F.lit(fr.AS_OF).cast("timestamp_ntz"))
+    near = envelope_versions(src, cur, ["o_custkey"], "bus_eff_ts", "bus_exp_ts").groupBy("o_custkey").agg(
+        F.count_if("inside").alias("n_inside"), F.count_if(F.expr("holds_start OR holds_end")).alias("n_boundary"))
+    out = env.join(near, "o_custkey", "left")
+    return present(out.select("o_custkey", "env_start", "env_end", F.coalesce("n_inside", F.lit(0)).alias("n_inside"), F.coalesce("n_boundary", F.lit(0)).alias("n_boundary")))
+
+
+def period_coalesce(spark: SparkSession, sf: str) -> DataFrame:
+    """Every order as a 30-day period: periods of one customer and status that overlap or meet become one."""
+    orders = fr.table(spark, sf, "orders").select(
+        "o_custkey", "o_orderstatus", F.col("o_orderdate").alias("bus_eff_ts"), (F.col("o_orderdate") + F.expr("INTERVAL '30' DAY")).alias("bus_exp_ts"))
+    return present(normalise_periods(orders, ["o_custkey", "o_orderstatus"], "bus_eff_ts", "bus_exp_ts"))
 
 
 def temporal_merge_set(spark: SparkSession, sf: str) -> DataFrame:
@@ -171,6 +171,13 @@ def temporal_key_master(spark: SparkSession, sf: str) -> DataFrame:
     return present(plan_temporal(src, tgt, F5_ROLES, fr.AS_OF).merge_set)
 
 
+def temporal_key_driver(spark: SparkSession, sf: str) -> DataFrame:
+    """Key-master expiry steered by a driver table with periods of its own."""
+    tgt = stage(fr.f5_tgt(spark, sf))
+    src = fr.f5_src(spark, sf, tgt)
+    return present(plan_temporal(src, tgt, F5_ROLES, fr.AS_OF, driver=fr.f5_driver(spark, sf)).merge_set)
+
+
 F6_ROLES = Roles(key=("c_nationkey",), his=("o_orderstatus",), bus=("bus_eff_ts", "bus_exp_ts"))
 
 
@@ -188,7 +195,7 @@ def temporal_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Bitemporal merge set where every key is hot (25 nation timelines), on the sliced path."""
     base = stage(fr.f6_base(spark, sf))
     tgt, src = fr.f6_tgt(spark, sf, base), fr.f6_src(spark, sf, base)
-    return present(plan_temporal(src, tgt, F6_ROLES, fr.AS_OF, slice_above=0).merge_set)
+    return present(plan_temporal(src, tgt, F6_ROLES, fr.AS_OF, slice_rows=256).merge_set)
 
 
 # ---- keys ---------------------------------------------------------------------------------
@@ -365,7 +372,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "temporal_delete": temporal_delete,
     "temporal_apply": temporal_apply,
     "temporal_key_master": temporal_key_master,
+    "temporal_key_driver": temporal_key_driver,
     "temporal_hot_keys": temporal_hot_keys,
+    "period_coalesce": period_coalesce,
     "temporal_overlap_quarantine": temporal_overlap_quarantine,
     "key_lookup": key_lookup,
     "key_assign": key_assign,
