@@ -84,6 +84,22 @@ def merge_summary(applied: DataFrame) -> DataFrame:
     )
 
 
+def observed(applied: DataFrame, obs: Observation) -> DataFrame:
+    """``applied`` (with actions), its inserted and updated rows counted by ``obs`` while it is written."""
+    return applied.observe(
+        obs,
+        F.count_if(F.col(ACTION) == "insert").alias("rows_inserted"),
+        F.count_if(F.col(ACTION) == "update").alias("rows_updated"),
+    )
+
+
+def write_merged(applied: DataFrame, path: str) -> dict:
+    """Write a merged target (with actions) to a new ``path`` in one job; returns the rows inserted and updated in it."""
+    obs = Observation()
+    observed(applied, obs).drop(ACTION).write.parquet(path)
+    return dict(obs.get)
+
+
 def split_applied(applied: DataFrame, sys: tuple[str, str] | list[str], as_of) -> tuple[DataFrame, DataFrame]:
     """Cut a merged target (with actions) into ``(closed_now, current)``.
 
@@ -117,13 +133,8 @@ def write_split(
     types = {f.name: f.dataType for f in applied.schema.fields}
     still = F.coalesce(F.col(exp) > ts_lit(as_of, types[exp]), F.lit(False))
     part = F.when(still, F.lit("current")).otherwise(F.lit("closed"))
-    obs = Observation("merge_summary")
-    observed = applied.observe(
-        obs,
-        F.count_if(F.col(ACTION) == "insert").alias("rows_inserted"),
-        F.count_if(F.col(ACTION) == "update").alias("rows_updated"),
-    )
-    (observed.filter(F.col(ACTION) != "history")
+    obs = Observation()
+    (observed(applied, obs).filter(F.col(ACTION) != "history")
      .withColumn("__part", part).drop(ACTION)
      .write.partitionBy("__part").parquet(run_path))
     metrics = dict(obs.get)

@@ -60,3 +60,9 @@ def audit(spark: SparkSession, path: str, src_nm: str, rows: DataFrame) -> DataF
     )
     out.write.mode("append").parquet(path)
     return spark.read.parquet(path)
+
+
+def audit_run(spark: SparkSession, path: str, run_id: str, src_nm: str, messages: list[tuple[str, str | None]]) -> DataFrame:
+    """Log the messages of one run under its id; a run that is repeated replaces its rows instead of adding some."""
+    audit_frame(spark, src_nm, messages).write.mode("overwrite").parquet(f"{path.rstrip('/')}/run_id={run_id}")
+    return spark.read.parquet(path)

@@ -111,7 +111,7 @@ def assign_keys(
     )
     K2 = [f"__k{i}" for i in range(len(key))]
     filled = known.unionByName(new)
-    return stage(with_canonical(filled, key, "__k", types), K2, stage_mode).drop(*K2)
+    return stage(with_canonical(filled, key, "__k", types).repartition(*K2), stage_mode).drop(*K2)
 
 
 def keygen(

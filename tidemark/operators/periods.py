@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.nulls import with_canonical
 from ..functions.periods import BUS_OPEN_FROM, contains_between, ts_lit, within
+from ..session import ensure_checkpoint_dir
 from ._joins import join_on
 from .timeline import SLICE, Layout, carried, measure, undealt
 
@@ -156,6 +157,40 @@ def split_overlapping(df: DataFrame, key: list[str], start: str, end: str, slice
     return marked.filter(~bad).select(*df.columns), marked.filter(bad).select(*df.columns)
 
 
+def resolve_overlapping(df: DataFrame, key: list[str], start: str, end: str, slice_rows: int | None = None) -> tuple[DataFrame, DataFrame]:
+    """``(clean, rejected)`` with as many clean rows per key as there can be: always the earliest end goes on.
+
+    From a row that is kept, the next one kept is the first by (end, start, other columns) of those that start at or after its
+    end.  One scan gives every row that successor; the rows on the chain from a key's first row are found by
+    doubling: after k rounds of one join each a pointer spans 2^k rows, so a chain of a million rows takes
+    twenty rounds and no key is walked in one task.  Exact duplicates collapse first; rows that do not end after they
+    start, or have no start or end, are rejected.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    K = [f"__k{i}" for i in range(len(key))]
+    rest = [c for c in df.columns if c not in key + [start, end]]
+    d = with_canonical(df.dropDuplicates(), key, "__k", _types(df)).withColumn("__id", F.monotonically_increasing_id()).checkpoint(eager=True)
+    sound = d.where(F.col(start) < F.col(end))
+    rank = F.struct(end, start, *rest, *key, "__id")
+    rows = sound.select(*K, F.col(start).alias("__at"), F.lit(1).alias("__o"), rank.alias("__rank"), F.lit(None).cast("long").alias("__asks"))
+    asks = sound.select(*K, F.col(end).alias("__at"), F.lit(0).alias("__o"), F.lit(None).cast(rows.schema["__rank"].dataType).alias("__rank"), F.col("__id").alias("__asks"))
+    events = rows.unionByName(asks)
+    lay = measure([(events, "__at")], K, slice_rows)
+    hop = carried(lay.deal(events, "__at"), lay, ["__at", "__o"], [("__next", "min_after", F.col("__rank"))])
+    hop = hop.where("__asks IS NOT NULL AND __next IS NOT NULL").select(F.col("__asks").alias("id"), F.col("__next.__id").alias("to")).checkpoint(eager=True)
+    kept = sound.groupBy(*K).agg(F.min(rank).alias("r")).select(F.col("r.__id").alias("id")).checkpoint(eager=True)
+    while True:
+        more = kept.join(hop, "id").select(F.col("to").alias("id"))
+        grown = kept.union(more).distinct().checkpoint(eager=True)
+        far = hop.select("id", F.col("to").alias("via")).join(hop.select(F.col("id").alias("via"), "to"), "via").select("id", "to").checkpoint(eager=True)
+        kept, hop = grown, far
+        if not hop.limit(1).count():
+            break
+    named = kept.withColumnRenamed("id", "__id")
+    return d.join(named, "__id", "left_semi").select(*df.columns), d.join(named, "__id", "left_anti").select(*df.columns)
+
+
 def containing(versions: DataFrame, inner: DataFrame, part: list[str], start: str, end: str, inner_start: str, inner_end: str,
                slice_rows: int | None = None) -> DataFrame:
     """``versions`` joined with the ``inner`` periods of their ``part`` that they contain, both ends inclusive.

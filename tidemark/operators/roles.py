@@ -54,9 +54,9 @@ class Roles:
             name, cols = part.split(":", 1)
             name = name.strip().upper()
             if name == "UPD":
-                raise RoleError("The UPD role is no longer supported")
+                raise RoleError("UPD is not a role here: every changed column is tracked through HIS")
             if name not in ROLE_NAMES:
-                raise RoleError(f"Unknown role(s) detected - {name}")
+                raise RoleError(f"{name} is none of the roles {', '.join(ROLE_NAMES)}")
             toks = [t.strip() for t in cols.replace("[", " ").replace("]", " ").replace(",", " ").split()]
             found.setdefault(name, []).extend(t for t in toks if t)
         opr = found.get("OPR", [])

@@ -15,17 +15,18 @@ from pyspark.sql import types as T
 from ..functions.nulls import null_default_join
 from ..functions.tokens import explode_tokens
 from ..operators._stage import stage
-from ..operators.apply import ACTION, apply_versions, merge_summary
-from ..operators.audit import audit, metrics_messages
+from ..operators.apply import ACTION, apply_versions, merge_summary, write_merged
+from ..operators.audit import audit_run
+from ..operators.buckets import create_buckets, merge_buckets, read_buckets
 from ..operators.keygen import assign_keys, keygen, keygen_summary, lookup_keys
-from ..operators.periods import envelope_versions, normalise_periods, period_envelope, period_neighbours, split_overlapping
+from ..operators.periods import envelope_versions, normalise_periods, period_envelope, period_neighbours, resolve_overlapping, split_overlapping
 from ..operators.roles import Roles
 from ..operators.scd2 import scd2_merge, scd2_merge_set
 from ..operators.temporal import plan_temporal
 from ..session import scratch_path
-from ..sources.landing import land_batch
-from ..sources.variant import discover_paths, flatten
-from ..streaming.landing import land_stream
+from ..sources.landing import land_batch, read_landing, write_table
+from ..sources.variant import discover_paths, flatten, persist_view
+from ..streaming.landing import land_stream, land_stream_checked
 from . import frames as fr
 
 TS_FORMAT = "yyyy-MM-dd HH:mm:ss.SSS"
@@ -88,9 +89,11 @@ def scd2_merge_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def audit_append(spark: SparkSession, sf: str) -> DataFrame:
-    """Merge metrics appended to an audit table in the shared folder, read back."""
-    rows = metrics_messages(scd2_merge_summary(spark, sf), "Merge - rows inserted / updated")
-    logged = audit(spark, scratch_path(spark, "audit_log"), "scd2_merge", rows)
+    """One merge written, its rows counted by that write, and logged under a run id; the run is logged twice and stands once."""
+    metrics = write_merged(_scd2_applied(spark, sf), scratch_path(spark, "scd2_merged"))
+    path = scratch_path(spark, "audit_log")
+    for _ in range(2):
+        logged = audit_run(spark, path, "run-1", "scd2_merge", [("Versions written", ", ".join(f"{k}: {v}" for k, v in metrics.items()))])
     return logged.select("src_nm", "msg_txt", "extra_txt")
 
 
@@ -165,6 +168,16 @@ def temporal_apply(spark: SparkSession, sf: str) -> DataFrame:
     return present(apply_versions(tgt, p.merge_set, r.key + r.bus + r.his, r.sys, fr.AS_OF, hot=p.hot))
 
 
+def temporal_bucketed(spark: SparkSession, sf: str) -> DataFrame:
+    """The same merge into a bucketed table: only buckets of the run's keys are rewritten, closed versions are added."""
+    src, tgt = _f2(spark, sf, opr=True)
+    path = scratch_path(spark, "bucketed")
+    create_buckets(tgt, path, ["o_custkey"], buckets=32)
+    for _ in range(2):  # the second run finds its work done
+        merge_buckets(spark, path, src, F2_ROLES_OPR, fr.AS_OF, "run-1", buckets=32)
+    return present(read_buckets(spark, path, "icw_exp_ts").select(*tgt.columns))
+
+
 def temporal_key_master(spark: SparkSession, sf: str) -> DataFrame:
     tgt = stage(fr.f5_tgt(spark, sf))
     src = fr.f5_src(spark, sf, tgt)
@@ -191,6 +204,16 @@ def temporal_overlap_quarantine(spark: SparkSession, sf: str) -> DataFrame:
     return present(clean.withColumn("rejected", F.lit(False)).unionByName(rejected.withColumn("rejected", F.lit(True))))
 
 
+def temporal_overlap_resolved(spark: SparkSession, sf: str) -> DataFrame:
+    """The same periods, as many kept per customer as there can be without overlap."""
+    orders = fr.table(spark, sf, "orders").select(
+        "o_custkey", "o_orderkey", F.col("o_orderdate").alias("bus_eff_ts"),
+        (F.col("o_orderdate") + F.make_dt_interval((F.col("o_orderkey") % 400 + 1).cast("int"))).alias("bus_exp_ts"),
+    )
+    clean, rejected = resolve_overlapping(orders, ["o_custkey"], "bus_eff_ts", "bus_exp_ts")
+    return present(clean.withColumn("rejected", F.lit(False)).unionByName(rejected.withColumn("rejected", F.lit(True))))
+
+
 def temporal_hot_keys(spark: SparkSession, sf: str) -> DataFrame:
     """Bitemporal merge set where every key is hot (25 nation timelines), on the sliced path."""
     base = stage(fr.f6_base(spark, sf))
@@ -225,6 +248,22 @@ def keygen_source(spark: SparkSession, sf: str) -> DataFrame:
     return keygen(src, hub, ["c_name"], "cust_id", fr.AS_OF, mode="source")
 
 
+def keygen_written(spark: SparkSession, sf: str) -> DataFrame:
+    """Keys written to a new target and, by a second run over the grown hub, found again: no key is made twice."""
+    src, hub = _f3(spark, sf)
+    target, grown = scratch_path(spark, "keyed"), scratch_path(spark, "hub")
+    lacking = spark.createDataFrame([], "c_name string, o_orderkey long, o_totalprice double, cust_id long")
+    write_table(keygen(src, hub, ["c_name"], "cust_id", fr.AS_OF, mode="target", tgt=lacking), target)
+    keyed = spark.read.parquet(target)
+    old = hub.where(F.col("icw_exp_ts") > F.lit(fr.AS_OF).cast("timestamp_ntz")).select("c_name")
+    new = keyed.select("c_name", "cust_id").distinct().join(old, "c_name", "left_anti")
+    template = hub.select("icw_eff_ts", "icw_exp_ts").where(F.col("icw_exp_ts") > F.lit(fr.AS_OF).cast("timestamp_ntz")).limit(1)
+    write_table(hub.unionByName(new.join(F.broadcast(template)).select(*hub.columns)), grown)
+    again = keygen(src, spark.read.parquet(grown), ["c_name"], "cust_id", fr.AS_OF, mode="target", tgt=keyed)
+    write_table(again, target, mode="overwrite")
+    return spark.read.parquet(target)
+
+
 def q_keygen_summary(spark: SparkSession, sf: str) -> DataFrame:
     src, hub = _f3(spark, sf)
     cache = assign_keys(lookup_keys(src, hub, ["c_name"], "cust_id", fr.AS_OF), hub, ["c_name"], "cust_id")
@@ -322,6 +361,55 @@ def land_stream_available_now(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def land_batch_orc(spark: SparkSession, sf: str) -> DataFrame:
+    return _land_derived(spark, sf, "orc")
+
+
+def land_batch_xml(spark: SparkSession, sf: str) -> DataFrame:
+    """XML files land with their elements' names."""
+    path = scratch_path(spark, "orders-xml")
+    fr.table(spark, sf, "orders").select(*_ORDER_COLS).write.format("xml").option("rowTag", "order").save(path)
+    landed = land_batch(spark, path, "xml", options={"rowTag": "order", "inferSchema": "false"})
+    return landed.select(*[F.try_variant_get("value", f"$.{c}", "string").alias(c) for c in _ORDER_COLS if c not in ("o_orderdate", "o_totalprice")])
+
+
+def land_batch_text(spark: SparkSession, sf: str) -> DataFrame:
+    """Text files land line by line."""
+    path = scratch_path(spark, "orders-text")
+    fr.table(spark, sf, "orders").select(F.concat_ws(" ", "o_orderkey", "o_custkey", "o_orderpriority").alias("value")).write.text(path)
+    return land_batch(spark, path, "text").select(F.try_variant_get("value", "$.value", "string").alias("line"))
+
+
+def land_stream_new_column(spark: SparkSession, sf: str) -> DataFrame:
+    """A running landing service meets files with columns that the first files lacked; it lands them without a restart."""
+    base, orders = scratch_path(spark, "drift"), fr.table(spark, sf, "orders")
+    odd = F.col("o_orderkey") % 2 == 1
+    orders.where(odd).select("o_orderkey", "o_custkey").write.parquet(f"{base}/in/a")
+    q = land_stream_checked(spark, f"{base}/in", f"{base}/landing", f"{base}/bad", f"{base}/ckpt", options={"recursiveFileLookup": "true", "pathGlobFilter": "*.parquet"}, trigger="100 milliseconds")
+    try:
+        q.processAllAvailable()
+        orders.where(~odd).select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority").write.parquet(f"{base}/in/b")
+        q.processAllAvailable()
+    finally:
+        q.stop()
+    landed = read_landing(spark, f"{base}/landing")
+    return landed.select(*[F.try_variant_get("value", f"$.{c}", "string").alias(c) for c in ("o_orderkey", "o_custkey", "o_orderstatus", "o_orderpriority")])
+
+
+def land_json_quarantine(spark: SparkSession, sf: str) -> DataFrame:
+    """JSON lines of all orders, every seventh cut short: whole records land, broken ones are set aside with their text."""
+    base = scratch_path(spark, "malformed")
+    body = F.to_json(F.struct("o_orderkey", "o_orderstatus"))
+    broken = F.when(F.col("o_orderkey") % 7 == 0, F.expr("left(body, length(body) - 3)")).otherwise(F.col("body"))
+    fr.table(spark, sf, "orders").withColumn("body", body).select(broken.alias("value")).write.text(f"{base}/in")
+    for _ in range(2):  # the second run finds no new file
+        land_stream_checked(spark, f"{base}/in", f"{base}/landing", f"{base}/bad", f"{base}/ckpt", "json", options={"pathGlobFilter": "*.txt"})
+    landed = read_landing(spark, f"{base}/landing").select(
+        F.lit("landed").alias("side"), F.try_variant_get("value", "$.o_orderkey", "string").alias("o_orderkey"), F.try_variant_get("value", "$.o_orderstatus", "string").alias("content"))
+    bad = spark.read.parquet(f"{base}/bad").select(F.lit("set aside").alias("side"), F.regexp_extract("bad_record", "([0-9]+)", 1).alias("o_orderkey"), F.col("bad_record").alias("content"))
+    return landed.unionByName(bad)
+
+
 def _f4_landed(spark: SparkSession, sf: str) -> DataFrame:
     d = fr.f4_docs(spark, sf)
     return d.select("src_file_nm", F.localtimestamp().alias("load_ts"), F.parse_json("body").alias("value"))
@@ -356,6 +444,23 @@ def variant_flatten_array(spark: SparkSession, sf: str) -> DataFrame:
     return _f4_flat(spark, sf).select("id", F.to_json("tags").alias("tags"), "tags_0", "tags_1")
 
 
+def variant_flatten_all(spark: SparkSession, sf: str) -> DataFrame:
+    """The whole flattened view: every column of every record."""
+    flat = _f4_flat(spark, sf)
+    return flat.select(_basename().alias("src_file_nm"), "id", F.to_json("ship_to").alias("ship_to"), "ship_to_cust", "ship_to_status", F.to_json("tags").alias("tags"), "tags_0", "tags_1")
+
+
+def variant_persistent_view(spark: SparkSession, sf: str) -> DataFrame:
+    """A catalogue view over a landing table, read by another session; rows landed after it was made show in it."""
+    path, view = scratch_path(spark, "landing-table"), "v_landed_orders"
+    landed = _f4_landed(spark, sf)
+    odd = F.try_variant_get("value", "$.id", "bigint") % 2 == 1
+    write_table(landed.where(odd), path)
+    persist_view(spark, f"parquet.`{path}`", view)
+    write_table(landed.where(~odd), path, mode="append")
+    return spark.newSession().table(view).select("id", "ship_to_cust", "ship_to_status", "tags_0", "tags_1")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_delta": scd2_delta,
     "scd2_delete": scd2_delete,
@@ -373,6 +478,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "temporal_apply": temporal_apply,
     "temporal_key_master": temporal_key_master,
     "temporal_key_driver": temporal_key_driver,
+    "temporal_bucketed": temporal_bucketed,
+    "temporal_overlap_resolved": temporal_overlap_resolved,
     "temporal_hot_keys": temporal_hot_keys,
     "period_coalesce": period_coalesce,
     "temporal_overlap_quarantine": temporal_overlap_quarantine,
@@ -381,12 +488,18 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keygen_target": keygen_target,
     "keygen_source": keygen_source,
     "keygen_summary": q_keygen_summary,
+    "keygen_written": keygen_written,
     "null_default_join": q_null_default_join,
     "explode_tokens": q_explode_tokens,
     "explode_tokens_docs": explode_tokens_docs,
     "land_batch_parquet": land_batch_parquet,
     "land_batch_json": land_batch_json,
     "land_batch_csv": land_batch_csv,
+    "land_batch_orc": land_batch_orc,
+    "land_batch_xml": land_batch_xml,
+    "land_batch_text": land_batch_text,
+    "land_stream_new_column": land_stream_new_column,
+    "land_json_quarantine": land_json_quarantine,
     "land_batch_mixed_schema": land_batch_mixed_schema,
     "land_stream_available_now": land_stream_available_now,
     "variant_paths": variant_paths,
@@ -394,4 +507,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "variant_flatten_scalar": variant_flatten_scalar,
     "variant_flatten_nested": variant_flatten_nested,
     "variant_flatten_array": variant_flatten_array,
+    "variant_flatten_all": variant_flatten_all,
+    "variant_persistent_view": variant_persistent_view,
 }

@@ -8,6 +8,8 @@ files across tasks like any other read.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
+from pyspark.errors import PySparkException as SparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -75,6 +77,68 @@ def land_batch(
     return landing_frame(r.load(path), value_col)
 
 
+BAD = "bad_record"
+
+
+def _header(spark: SparkSession, file: str, options: dict) -> tuple[str, ...]:
+    return tuple(spark.read.format("csv").options(**{**options, "inferSchema": "false"}).load(file).columns)
+
+
+def _named(options: dict) -> bool:
+    return str(options.get("header", "false")).lower() == "true"
+
+
+def land_files(spark: SparkSession, files: list[str], fmt: str, schema: T.StructType | None = None, options: dict | None = None) -> DataFrame:
+    """The records of ``files`` as landing rows with ``bad_record``: the raw text of a record that is malformed, else NULL.
+
+    Each file is read by its own columns: parquet and ORC files by the columns of all of them (by their own, where types
+    conflict), CSV files with a header in groups of equal headers.  JSON lines are parsed one by one, so a broken one is
+    set aside with its text (``multiLine``: a file is one record); CSV and XML records that do not fit are found
+    by the reader.  A bad record has a NULL value.
+    """
+    opts = {k: v for k, v in (options or {}).items() if k not in ("pathGlobFilter", "recursiveFileLookup")}
+    none = F.lit(None).cast("string").alias(BAD)
+    if fmt == "json":
+        whole = str(opts.get("multiLine", "false")).lower() == "true"
+        lines = spark.read.option("wholetext", whole).text(files).where(F.trim("value") != "")
+        value = F.try_parse_json("value")
+        return lines.select(F.col("_metadata.file_path").alias("src_file_nm"), F.localtimestamp().alias("load_ts"), value.alias("value"),
+                            F.when(value.isNull(), F.col("value")).alias(BAD))
+    if fmt in ("csv", "xml"):
+        groups: dict[tuple, list[str]] = {}
+        if fmt == "csv" and schema is None and _named(opts):
+            for f in files:
+                groups.setdefault(_header(spark, f, opts), []).append(f)
+        else:
+            groups[()] = list(files)
+        out = None
+        for names, some in groups.items():
+            own = schema or (T.StructType([T.StructField(c, T.StringType()) for c in names]) if names else spark.read.format(fmt).options(**opts).load(some).schema)
+            own = T.StructType([f for f in own.fields if f.name != "__bad"])
+            read = spark.read.format(fmt).options(**opts).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "__bad")
+            df = read.schema(T.StructType([*own.fields, T.StructField("__bad", T.StringType())])).load(some)
+            value = F.when(F.col("__bad").isNull(), F.to_variant_object(F.struct(*[F.col(f"`{c}`") for c in own.fieldNames()])))
+            one = df.select(F.col("_metadata.file_path").alias("src_file_nm"), F.localtimestamp().alias("load_ts"), value.alias("value"), F.col("__bad").alias(BAD))
+            out = one if out is None else out.unionByName(one)
+        return out
+    r, value_col = _reader(spark, fmt, schema, opts, stream=False)
+    try:
+        return landing_frame(r.load(files), value_col).withColumn(BAD, none)
+    except (AnalysisException, SparkException) as e:
+        if "MERGE" not in str(e).upper() or len(files) == 1:
+            raise
+    out = None  # columns of one name and two types: each file by its own
+    for f in files:
+        one = landing_frame(r.load(f), value_col).withColumn(BAD, none)
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+def read_landing(spark: SparkSession, path: str) -> DataFrame:
+    """The landing rows under ``path`` (a sink of :func:`..streaming.landing.land_stream_checked` or of a batch)."""
+    return spark.read.schema(LANDING_SCHEMA).parquet(path)
+
+
 def create_landing(spark: SparkSession, path: str, replace: bool = True) -> DataFrame:
     """(Re)create an empty landing table at ``path`` (U2); earlier content is dropped.
 
@@ -92,8 +156,3 @@ def write_table(df: DataFrame, path: str, mode: str = "overwrite", partition_by:
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)
-
-
-def append_rows(df: DataFrame, path: str) -> None:
-    """``INSERT ... SELECT`` into a parquet table."""
-    df.write.mode("append").parquet(path)

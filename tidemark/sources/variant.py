@@ -9,7 +9,7 @@ driver when :func:`flatten` builds its projection.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,14 +18,13 @@ from ..functions.names import display_path, normalise_name, unique_names, varian
 KINDS = ("object", "array", "scalar", "null")
 
 
-def value_kind(v: Column) -> Column:
-    """``object | array | null | scalar`` of a variant value (JSON null is ``null``)."""
-    return (
-        F.when(F.try_variant_get(v, "$", "map<string,variant>").isNotNull(), F.lit("object"))
-        .when(F.try_variant_get(v, "$", "array<variant>").isNotNull(), F.lit("array"))
-        .when(F.is_variant_null(v), F.lit("null"))
-        .otherwise(F.lit("scalar"))
-    )
+def top_fields(schema: str | None) -> dict[str, str]:
+    """Top-level fields and their types of a text that ``schema_of_variant_agg`` returns; none unless it is an object."""
+    if not schema or not schema.startswith("OBJECT<"):
+        return {}
+    parts = schema.split("`")  # names with other characters stand in backquotes
+    parts[::2] = [p.replace("OBJECT<", "STRUCT<") for p in parts[::2]]
+    return {f.name: f.dataType.simpleString() for f in T.DataType.fromDDL("`".join(parts)).fields}
 
 
 _MAP = "map<string,variant>"
@@ -123,7 +122,7 @@ def flatten(
     max_depth: int = 3,
     col: str = "value",
     keep: tuple[str, ...] = ("src_file_nm", "load_ts"),
-    max_columns: int | None = None,
+    max_columns: int | None = 10_000,
 ) -> DataFrame:
     """Flattened view of landing rows.
 
@@ -134,30 +133,33 @@ def flatten(
     -> ``leg_2``, other characters -> ``_``) and de-duplicated.  Missing paths and
     out-of-range indexes give NULL.  No path at all (an empty landing table) is an error (D21).
 
-    ``max_columns`` bounds the view where records use data as field names: the paths are counted
-    before they are collected, and more paths or columns than that are an error. None: no bound.
+    ``max_columns`` bounds the view where records use data as field names: more paths or columns
+    than that are an error. None: no bound.
     """
     if paths is None:
         paths = discover_paths(df, col, max_depth)
     if isinstance(paths, DataFrame):
-        if max_columns is not None:
-            paths = paths.persist()
-            n = paths.count()
-            if n > max_columns:
-                raise ValueError(f"{n} paths, more than max_columns={max_columns}; limit the depth or pass the paths")
-        rows = paths.collect()
+        # at most one row more than the bound reaches the driver
+        rows = (paths if max_columns is None else paths.limit(max_columns + 1)).collect()
+        if max_columns is not None and len(rows) > max_columns:
+            raise ValueError(f"more than max_columns={max_columns} paths; limit the depth or pass the paths")
     else:
         rows = list(paths)
+    plan = _view_columns(rows, max_depth)
+    if max_columns is not None and len(plan) > max_columns:
+        raise ValueError(f"{len(plan)} columns, more than max_columns={max_columns}; limit the depth or pass the paths")
+    out = [F.col(k) for k in keep if k in df.columns]
+    return df.select(*out, *[F.try_variant_get(F.col(col), path, kind).alias(alias) for alias, path, kind in plan])
+
+
+def _view_columns(paths: DataFrame | list, max_depth: int) -> list[tuple[str, str, str]]:
+    """(column name, json path, type) of a flattened view."""
+    rows = paths.collect() if isinstance(paths, DataFrame) else list(paths)
     if not rows:
         raise ValueError("there is nothing to flatten: the landing table holds no path")
     plan = _plan_columns([r.asDict() if hasattr(r, "asDict") else r for r in rows], max_depth)
-    if max_columns is not None and len(plan) > max_columns:
-        raise ValueError(f"{len(plan)} columns, more than max_columns={max_columns}; limit the depth or pass the paths")
     names = unique_names([normalise_name(n) for n, _, _ in plan])
-    out = [F.col(k) for k in keep if k in df.columns]
-    for (name, jp, typ), alias in zip(plan, names):
-        out.append(F.try_variant_get(F.col(col), jp, typ).alias(alias))
-    return df.select(*out)
+    return [(alias, path, kind) for (_, path, kind), alias in zip(plan, names)]
 
 
 def publish_view(df: DataFrame, name: str, global_view: bool = False) -> DataFrame:
@@ -167,3 +169,28 @@ def publish_view(df: DataFrame, name: str, global_view: bool = False) -> DataFra
     else:
         df.createOrReplaceTempView(name)
     return df
+
+
+def view_sql(table: str, paths: DataFrame | list, max_depth: int = 3, col: str = "value", keep: tuple[str, ...] = ("src_file_nm", "load_ts")) -> str:
+    """The ``SELECT`` behind a flattened view of ``table`` (a catalogue name, or ``parquet.`path```)."""
+    text = lambda s: "'" + s.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    name = lambda s: "`" + s.replace("`", "``") + "`"
+    columns = [name(k) for k in keep]
+    columns += [f"try_variant_get({name(col)}, {text(path)}, '{kind}') AS {name(alias)}" for alias, path, kind in _view_columns(paths, max_depth)]
+    return f"SELECT {', '.join(columns)} FROM {table}"
+
+
+def persist_view(spark: SparkSession, table: str, view: str, paths: DataFrame | list | None = None, max_depth: int = 3, col: str = "value") -> bool:
+    """Create or replace the catalogue view ``view`` over a landing table (U6, S11); says whether its text is new.
+
+    The view holds text only, so every session of the catalogue reads it, and later landed rows show in it.  It is replaced in
+    one statement, and only when the discovered paths give another text than the one it has.
+    """
+    if paths is None:
+        paths = discover_paths(spark.sql(f"SELECT * FROM {table}"), col, max_depth)
+    sql = view_sql(table, paths, max_depth, col)
+    if spark.catalog.tableExists(view) and spark.sql(f"SHOW TBLPROPERTIES {view}").where(F.col("key") == "flattened.sql").select("value").collect() == [(sql,)]:
+        return False
+    quoted = sql.replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"CREATE OR REPLACE VIEW {view} TBLPROPERTIES ('flattened.sql' = '{quoted}') AS {sql}")
+    return True
