@@ -70,6 +70,15 @@ def test_join_odd_inputs(spark, odd, none):
     assert link_documents(none, bits=18).count() == 0
 
 
+def test_one_id_with_two_texts(spark):
+    """The id is one node for the links; of its texts none is lost."""
+    a, b = " ".join(f"a{i}" for i in range(40)), " ".join(f"b{i}" for i in range(40))
+    df = spark.createDataFrame([(1, a), (5, a), (5, b), (5, b), (7, b), (9, "some other words that stand alone here"), (None, a), (None, a)], "doc_id long, text string")
+    assert {(r.doc_id, r.component_id) for r in link_documents(df, bits=18).collect()} == {(1, 1), (5, 1), (7, 1), (9, 9), (None, None)}
+    kept = sorted((str(r.doc_id), r.text) for r in keep_one_per_group(df).collect())
+    assert kept == [("1", a), ("5", b), ("9", "some other words that stand alone here"), ("None", a), ("None", a)]
+
+
 def test_prefix_keys_meet_and_bitmaps_never_reject_links():
     rng = np.random.default_rng(5)
     for n in (1, 2, 4, 7, 15, 16, 20, 33, 64, 150):

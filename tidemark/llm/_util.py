@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import sys
 import types
 
@@ -68,6 +70,16 @@ def per_process(key: tuple, make):
     return store[key]
 
 
+def give_back() -> None:
+    """Return memory that this Python process freed but still holds (workers outlive tasks and runs)."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library: nothing to do
+        pass
+
+
 def text_parts(column: pa.Array, rows: int = 512):
     """:func:`text_bytes` in runs of rows, so that a batch is never held twice."""
     for i in range(0, len(column), rows):

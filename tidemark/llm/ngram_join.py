@@ -33,7 +33,7 @@ components is lost.
 
 Defined cases: null and empty texts, and texts without words, have no tokens and link to nothing
 (their component is their own id); fewer words than ``n`` make one token of the whole sequence;
-very long texts are read whole; rows with the same id are one node; a null id has a null
+very long texts are read whole; rows with the same id are one node, whatever their texts; a null id has a null
 component; an empty table gives an empty result; other columns are ignored. Sets and tokens are
 named by 64-bit hashes.
 """
@@ -47,12 +47,12 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ._util import free_name, mix, slices, stage, text_bytes, text_parts, window_hashes, word_hashes
+from ._util import free_name, give_back, mix, slices, stage, text_bytes, text_parts, window_hashes, word_hashes
 from .components import components
 from .substring import cells, merge_cells, pack_cells
 
 _U = np.uint64
-_PART = 1_000_000
+_PART = 250_000
 _MAX_FREQUENT = 1 << 21
 
 
@@ -145,6 +145,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
                 if held >= _PART:
                     yield counted()
                     held = 0
+            give_back()
             empty = pa.nulls(b.num_rows, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), empty, empty], names=["doc_id", "text_key", "size", "name", "token", "times"])
         if part:
@@ -262,11 +263,34 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
 
 def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 32, bits: int = 28, star_rounds: int = 1, small_group: int = 16, broadcast_texts: int = 500_000) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
+    rows, member = _classes(docs, n, percent, frequent, bits, star_rounds, small_group, broadcast_texts)
+    # the sets of one document hang together
+    whole = rows.where("size > 0 AND doc_id IS NOT NULL").join(member, "name", "left").select("doc_id", F.coalesce("component", "name").alias("component"))
+    several = whole.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("doc_id", "a")
+    tied = stage(whole.join(several, "doc_id").where("component <> a").select("a", F.col("component").alias("b")).distinct(), "tied")
+    if tied.limit(1).count():
+        over = components(tied).select(F.col("node").alias("component"), F.col("component").alias("over"))
+        member = member.join(over, "component", "left").select("name", F.coalesce("over", "component").alias("component")).union(over.select(F.col("component").alias("name"), F.col("over").alias("component")))
+        member = stage(member.groupBy("name").agg(F.min("component").alias("component")), "members")
+
+    # classes to documents: the least id of a component
+    classes = rows.where("size > 0 AND doc_id IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("least"))
+    classes = classes.join(member, "name", "left").select("name", "least", F.coalesce("component", "name").alias("component"))
+    lowest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
+    by_class = classes.join(lowest, "component").select("name", "component_id")
+    out = rows.join(by_class, "name", "left")
+    own = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
+
+
+def _classes(docs: DataFrame, n: int, percent: int, frequent: int, bits: int, star_rounds: int, small_group: int, broadcast_texts: int) -> tuple[DataFrame, DataFrame]:
+    """Rows ``doc_id, text_key, size, name`` of all texts, and ``name, component`` of the classes that link."""
     spark = docs.sparkSession
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     first = stage(_sets(d, n), "sets")
     rows = first.where("size IS NOT NULL").select("doc_id", "text_key", "size", "name")
     total = rows.agg(F.sum("size")).first()[0] or 0
+    bits = min(bits, max(18, (4 * total).bit_length()))  # of the counted tokens about a third become keys
     least = max(frequent, -(-total // _MAX_FREQUENT))  # so at most _MAX_FREQUENT tokens reach it
     often = first.where("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("t")).where(F.col("t") >= least).select("token")
     common = np.sort(often.toPandas()["token"].to_numpy(np.int64).view(np.uint64))
@@ -287,11 +311,13 @@ def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int
                     part, held = [], 0
         if held:
             yield pack_cells(np.concatenate(part), 1, bits)
+        part.clear()
+        give_back()
 
     twice = spark.sparkContext.broadcast(merge_cells(d.select("text").mapInArrow(count, "block int, cells binary"), 1, bits))
 
     def index(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
+        for b in (whole.slice(i, 512) for whole in batches for i in range(0, whole.num_rows, 512)):
             key, name, size, shared_of, indexed, maps = [], [], [], [], [], []
             for s, k, is_index in keys(b.column(0)):
                 keys_of = len(k)
@@ -313,6 +339,8 @@ def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int
                 yield pa.RecordBatch.from_arrays([pa.nulls(len(maps), pa.int64()), pa.array([m[0] for m in maps]), pa.array([m[1] for m in maps]), pa.nulls(len(maps), pa.int64()), pa.nulls(len(maps), pa.bool_()), pa.array([m[2] for m in maps], pa.binary())], names=["key", "name", "size", "central", "index", "bits"])
 
     listed = stage(d.select("text").mapInArrow(index, "key long, name long, size long, central long, index boolean, bits binary"), "posts")
+    for used in (shared, twice):
+        used.destroy()
     posts = listed.where("key IS NOT NULL").select("key", "name", "size", "central", "index")
     maps = listed.where("key IS NULL").groupBy("name", "size").agg(F.min("bits").alias("bits"))
 
@@ -377,19 +405,24 @@ def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int
         open_ = rest.join(mixed, "key", "left_semi").select("key", "name", "size", "central", "index", "component")
     if member is None:
         member = spark.createDataFrame([], "node long, component long")
+    return rows, member.withColumnRenamed("node", "name")
 
-    # classes to documents: the least id of a component
-    classes = rows.where("size > 0 AND doc_id IS NOT NULL").groupBy("name").agg(F.min("doc_id").alias("least"))
-    classes = classes.join(member.withColumnRenamed("node", "name"), "name", "left").select("name", "least", F.coalesce("component", "name").alias("component"))
-    lowest = classes.groupBy("component").agg(F.min("least").alias("component_id"))
-    by_class = classes.join(lowest, "component").select("name", "component_id")
-    out = rows.join(by_class, "name", "left")
-    own = F.when(F.col("size") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
-    return out.select("doc_id", F.col("size").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), own).alias("component_id"))
 
+def keep_one_per_group(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 32, bits: int = 28, star_rounds: int = 1, small_group: int = 16, broadcast_texts: int = 500_000) -> DataFrame:
+    """``docs`` (all columns) with one row of each group of linked texts, one with the least id; rows with a null id or without words stay.
 
-def keep_one_per_group(docs: DataFrame, n: int = 5, percent: int = 75) -> DataFrame:
-    """``docs`` (all columns) with one document of each component, the one with the least id (each row of it; a null id stays)."""
-    gone = free_name(docs, "_gone")
-    linked = link_documents(docs, n, percent).where("doc_id <> component_id").select(F.col("doc_id").alias(gone)).distinct()
-    return docs.join(linked, docs["doc_id"] == linked[gone], "left_anti")
+    Groups are of texts here, so where one id has two texts that do not link, neither is lost.
+    """
+    rows, member = _classes(docs, n, percent, frequent, bits, star_rounds, small_group, broadcast_texts)
+    own = rows.where("size > 0 AND doc_id IS NOT NULL").join(member, "name", "left")
+    own = own.groupBy(F.coalesce("component", "name").alias("component"), "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
+    first = own.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
+    own = stage(own.join(first, "component").select("doc_id", "text_key", "n", (F.struct("doc_id", "text_key") == F.col("first")).alias("stays")), "kept")
+    i, t = free_name(docs, "_id"), free_name(docs, "_text_key")
+    keyed = docs.withColumns({i: F.col("doc_id").cast("long"), t: F.xxhash64("text")})
+    on = lambda d: d.select(F.col("doc_id").alias(i), F.col("text_key").alias(t))
+    kept = keyed.join(on(own.where("NOT stays")), [i, t], "left_anti")
+    again = own.where("stays AND n > 1")
+    if again.limit(1).count():  # the row that stays is there more than once
+        kept = kept.join(on(again), [i, t], "left_anti").union(keyed.join(on(again), [i, t], "left_semi").dropDuplicates([i, t]))
+    return kept.select(*docs.columns)
