@@ -8,8 +8,8 @@ files across tasks like any other read.
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.errors import PySparkException as SparkException
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -124,12 +124,15 @@ def land_files(spark: SparkSession, files: list[str], fmt: str, schema: T.Struct
     r, value_col = _reader(spark, fmt, schema, opts, stream=False)
     try:
         return landing_frame(r.load(files), value_col).withColumn(BAD, none)
-    except (AnalysisException, SparkException) as e:
-        if "MERGE" not in str(e).upper() or len(files) == 1:
+    except (Py4JJavaError, PySparkException) as e:
+        if "MERGE_SCHEMAS" not in str(e) or len(files) == 1:
             raise
-    out = None  # columns of one name and two types: each file by its own
+    alike: dict[str, list[str]] = {}  # a name with two types: files of one schema together
     for f in files:
-        one = landing_frame(r.load(f), value_col).withColumn(BAD, none)
+        alike.setdefault(spark.read.format(fmt).options(**opts).load(f).schema.json(), []).append(f)
+    out = None
+    for some in alike.values():
+        one = landing_frame(r.load(some), value_col).withColumn(BAD, none)
         out = one if out is None else out.unionByName(one)
     return out
 
