@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import gc
 import sys
@@ -9,7 +10,7 @@ import types
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import ensure_checkpoint_dir, scratch_path
 
@@ -55,6 +56,18 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextlib.contextmanager
+def small_batches(spark: SparkSession, rows: int = 2000):
+    """Rows of long texts go to Python ``rows`` at a time for what runs inside (Spark's default is 10,000)."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(min(rows, int(before) if int(before) > 0 else rows)))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:
     """UTF-8 bytes of each value, null as empty."""
     if isinstance(column, pa.ChunkedArray):

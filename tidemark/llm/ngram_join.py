@@ -47,7 +47,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ._util import free_name, give_back, mix, slices, stage, text_bytes, text_parts, window_hashes, word_hashes
+from ._util import free_name, give_back, mix, slices, small_batches, stage, text_bytes, text_parts, window_hashes, word_hashes
 from .components import components
 from .substring import cells, merge_cells, pack_cells
 
@@ -263,7 +263,8 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
 
 def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 32, bits: int = 28, star_rounds: int = 1, small_group: int = 16, broadcast_texts: int = 500_000) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
-    rows, member = _classes(docs, n, percent, frequent, bits, star_rounds, small_group, broadcast_texts)
+    with small_batches(docs.sparkSession):
+        rows, member = _classes(docs, n, percent, frequent, bits, star_rounds, small_group, broadcast_texts)
     # the sets of one document hang together
     whole = rows.where("size > 0 AND doc_id IS NOT NULL").join(member, "name", "left").select("doc_id", F.coalesce("component", "name").alias("component"))
     several = whole.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("doc_id", "a")
@@ -413,7 +414,8 @@ def keep_one_per_group(docs: DataFrame, n: int = 5, percent: int = 75, frequent:
 
     Groups are of texts here, so where one id has two texts that do not link, neither is lost.
     """
-    rows, member = _classes(docs, n, percent, frequent, bits, star_rounds, small_group, broadcast_texts)
+    with small_batches(docs.sparkSession):
+        rows, member = _classes(docs, n, percent, frequent, bits, star_rounds, small_group, broadcast_texts)
     own = rows.where("size > 0 AND doc_id IS NOT NULL").join(member, "name", "left")
     own = own.groupBy(F.coalesce("component", "name").alias("component"), "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
     first = own.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))
