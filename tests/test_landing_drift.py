@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark import discover_paths, land_files, land_stream_checked, persist_view, read_landing, schema_log
 from tidemark.session import scratch_path
-from tidemark.sources.variant import top_fields, view_sql
+from tidemark.sources.variant import save_paths, saved_paths, top_fields, view_sql
 
 RECURSE = {"recursiveFileLookup": "true"}
 
@@ -82,3 +82,33 @@ def test_persistent_view(spark):
     with pytest.raises(ValueError):
         view_sql(table, [])
     spark.sql(f"DROP VIEW {view}")
+
+
+def listed(df):
+    return sorted((r.path, r.depth, r.kind, r.n_rows, r.max_width) for r in df.collect())
+
+
+ROWS = ['{"a":1,"b":{"c":null,"d":[1,2]},"m":1}', '{"a":null,"b":{"c":2},"m":{"x":[1],"y":{"z":1}}}', '{"b":null,"m":"s"}', '{"e":[],"f":{}}', '{"e":[1,2,3],"b":{"d":null}}']
+
+
+def test_paths_of_plain_and_mixed_kinds(spark):
+    df = spark.createDataFrame([(r,) for r in ROWS], "j string").select(F.parse_json("j").alias("value"))
+    want = [("a", 0, "null", 1, None), ("a", 0, "scalar", 1, None), ("b", 0, "null", 1, None), ("b", 0, "object", 3, None), ("b.c", 1, "null", 1, None), ("b.c", 1, "scalar", 1, None),
+            ("b.d", 1, "array", 1, 2), ("b.d", 1, "null", 1, None), ("e", 0, "array", 2, 3), ("f", 0, "object", 1, None), ("m", 0, "object", 1, None), ("m", 0, "scalar", 2, None),
+            ("m.x", 1, "array", 1, 1), ("m.y", 1, "object", 1, None), ("m.y.z", 2, "scalar", 1, None)]
+    assert listed(discover_paths(df)) == want
+    with_array = df.unionByName(spark.sql("SELECT parse_json('[1]') AS value"))  # a record that is no object: the general scan
+    assert listed(discover_paths(with_array)) == want
+    assert listed(discover_paths(df, max_depth=0)) == [w for w in want if w[1] == 0]
+    assert discover_paths(df.limit(0)).count() == 0
+    odd = spark.createDataFrame([('{"q\\"x":{"y":1}}',)], "j string").select(F.parse_json("j").alias("value"))
+    assert [r[0] for r in listed(discover_paths(odd))] == ['q"x', 'q"x.y']
+
+
+def test_saved_paths_equal_a_full_run(spark):
+    df = spark.createDataFrame([(i, r) for i, r in enumerate(ROWS * 2)], "i int, j string").select("i", F.parse_json("j").alias("value"))
+    state = scratch_path(spark, "paths")
+    for k in range(3):
+        save_paths(discover_paths(df.where(F.col("i") % 3 == k)), state, k)
+    save_paths(discover_paths(df.where(F.col("i") % 3 == 1)), state, 1)  # repeated
+    assert listed(saved_paths(spark, state)) == listed(discover_paths(df))

@@ -16,7 +16,7 @@ from .operators.roles import Roles, RoleError, resolve_roles, schema_diff, schem
 from .operators.scd2 import scd2_merge, scd2_merge_set, source_duplicates
 from .operators.temporal import OverlapError, plan_temporal, temporal_merge, temporal_merge_set
 from .sources.landing import create_landing, land_batch, land_files, read_landing, write_table
-from .sources.variant import discover_paths, flatten, persist_view, publish_view
+from .sources.variant import discover_paths, flatten, persist_view, publish_view, save_paths, saved_paths
 from .streaming.landing import SchemaDrift, land_stream, land_stream_checked, merge_each_batch, schema_log
 
 __all__ = [n for n in dir() if not n.startswith("_")]

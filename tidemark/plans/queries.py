@@ -25,7 +25,7 @@ from ..operators.scd2 import scd2_merge, scd2_merge_set
 from ..operators.temporal import plan_temporal
 from ..session import scratch_path
 from ..sources.landing import land_batch, read_landing, write_table
-from ..sources.variant import discover_paths, flatten, persist_view
+from ..sources.variant import discover_paths, flatten, persist_view, saved_paths
 from ..streaming.landing import land_stream, land_stream_checked
 from . import frames as fr
 
@@ -421,6 +421,16 @@ def variant_paths(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def variant_paths_incremental(spark: SparkSession, sf: str) -> DataFrame:
+    """The same paths from two streamed batches, each discovered once and saved."""
+    base = scratch_path(spark, "paths")
+    d = fr.f4_docs(spark, sf)
+    for part in (0, 1):
+        d.where(F.col("o_orderkey") % 2 == part).select("body").write.text(f"{base}/in/{part}")
+        land_stream_checked(spark, f"{base}/in", f"{base}/landing", f"{base}/bad", f"{base}/ckpt", "json", options={"recursiveFileLookup": "true", "pathGlobFilter": "*.txt"}, paths=f"{base}/paths")
+    return saved_paths(spark, f"{base}/paths").select("path", "depth", "kind", "n_rows", F.col("max_width").cast("bigint").alias("max_width"))
+
+
 def variant_paths_events(spark: SparkSession, sf: str) -> DataFrame:
     ev = fr.table(spark, sf, "events").select(F.parse_json("props").alias("value"))
     return discover_paths(ev, "value", max_depth=3).select(
@@ -503,6 +513,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "land_batch_mixed_schema": land_batch_mixed_schema,
     "land_stream_available_now": land_stream_available_now,
     "variant_paths": variant_paths,
+    "variant_paths_incremental": variant_paths_incremental,
     "variant_paths_events": variant_paths_events,
     "variant_flatten_scalar": variant_flatten_scalar,
     "variant_flatten_nested": variant_flatten_nested,

@@ -1,10 +1,10 @@
 """Semi-structured records -> named columns.
 
 Schema discovery is a distributed aggregate over *all* records (not one sample
-row): one scan lists every ``(path, value)`` of each record down to the depth
-limit and aggregates per ``(path, kind)``, so the work spreads over every
-partition and only the path catalogue (one row per distinct path) reaches the
-driver when :func:`flatten` builds its projection.
+row): the merged schema names the paths, one aggregate counts them, and only the
+path catalogue (one row per distinct path) reaches the driver when
+:func:`flatten` builds its projection.  Catalogues of landed batches are saved and merged,
+so that a growing landing table is never discovered anew.
 """
 
 from __future__ import annotations
@@ -18,13 +18,18 @@ from ..functions.names import display_path, normalise_name, unique_names, varian
 KINDS = ("object", "array", "scalar", "null")
 
 
+def schema_type(schema: str) -> T.DataType:
+    """The type that a text of ``schema_of_variant_agg`` names, objects as structs."""
+    parts = schema.split("`")  # names with other characters stand in backquotes
+    parts[::2] = [p.replace("OBJECT<", "STRUCT<") for p in parts[::2]]
+    return T.DataType.fromDDL("`".join(parts))
+
+
 def top_fields(schema: str | None) -> dict[str, str]:
     """Top-level fields and their types of a text that ``schema_of_variant_agg`` returns; none unless it is an object."""
     if not schema or not schema.startswith("OBJECT<"):
         return {}
-    parts = schema.split("`")  # names with other characters stand in backquotes
-    parts[::2] = [p.replace("OBJECT<", "STRUCT<") for p in parts[::2]]
-    return {f.name: f.dataType.simpleString() for f in T.DataType.fromDDL("`".join(parts)).fields}
+    return {f.name: f.dataType.simpleString() for f in schema_type(schema).fields}
 
 
 _MAP = "map<string,variant>"
@@ -50,27 +55,35 @@ def _children(entries: Column) -> Column:
     )
 
 
-def discover_paths(df: DataFrame, col: str = "value", max_depth: int = 3, sample: float | None = None) -> DataFrame:
-    """Every field path up to ``max_depth`` with its kind.
+#: More paths than this are counted by the general scan: one expression a path would not fit generated code.
+_MOST_EXPRESSIONS = 300
+
+
+def _tree(dtype: T.DataType, steps: tuple[str, ...], max_depth: int) -> list[tuple[tuple[str, ...], T.DataType]]:
+    """(steps, type) of the fields of an object and of the objects in it, down to ``max_depth``."""
+    out = []
+    for f in dtype.fields:
+        path = (*steps, f.name)
+        out.append((path, f.dataType))
+        if isinstance(f.dataType, T.StructType) and len(path) <= max_depth:
+            out += _tree(f.dataType, path, max_depth)
+    return out
 
-    Columns: ``steps array<string>``, ``path`` (steps joined by ``.``), ``depth``
-    (0 = top level), ``kind``, ``n_rows``, ``max_width`` (largest array size, arrays
-    only).  Objects at depth ``< max_depth`` are entered; array elements never are.
-    A path seen with several kinds gets one row per kind.  ``sample`` (a fraction)
-    restricts discovery to a random sample, as the reference's one-row read did.
 
-    One scan: each depth level is a column computed once from the previous one
+def _scan_entries(df: DataFrame, entries: Column, max_depth: int, own: bool) -> DataFrame:
+    """``steps, kind, n_rows, max_width`` of the fields below ``entries`` (and of the entries themselves, if ``own``).
+
+    Each depth level is a column computed once from the previous one
     (higher-order functions over the record's fields, each value converted to a
-    map once), then one explode feeds one aggregate, combined map-side before
-    its shuffle.
+    map once), then one explode feeds one aggregate, combined map-side before its shuffle.
     """
-    src = df.sample(fraction=sample, seed=17) if sample else df
-    root = F.array(_entry(F.array().cast("array<string>"), F.col(col)))
-    lv = src.select(_children(root).alias("__l0"))
-    for d in range(1, max_depth + 1):
-        lv = lv.select("*", _children(F.col(f"__l{d - 1}")).alias(f"__l{d}"))
-    every = F.concat(*[F.col(f"__l{d}") for d in range(max_depth + 1)])
-    kv = lv.select(F.explode(every).alias("e")).select(
+    lv = df.select(entries.alias("__l"))
+    names = ["__l"] if own else []
+    for d in range(max_depth + 1):
+        inner = F.filter(F.col("__l" if d == 0 else f"__l{d - 1}"), lambda e: F.size(e["steps"]) <= max_depth)
+        lv = lv.select("*", _children(inner).alias(f"__l{d}"))
+        names.append(f"__l{d}")
+    kv = lv.select(F.explode(F.concat(*[F.col(n) for n in names])).alias("e")).select(
         F.col("e.steps").alias("steps"), F.col("e.x").alias("__v"), F.col("e.m").isNotNull().alias("__obj")
     )
     kv = kv.withColumn("__arr", F.when(~F.col("__obj"), F.size(F.try_variant_get("__v", "$", _ARR))))
@@ -81,16 +94,82 @@ def discover_paths(df: DataFrame, col: str = "value", max_depth: int = 3, sample
         .otherwise(F.lit("scalar"))
     )
     kv = kv.select("steps", kind.alias("kind"), "__arr")
-    agg = kv.groupBy("steps", "kind").agg(
+    return kv.groupBy("steps", "kind").agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.max(F.when(F.col("kind") == "array", F.col("__arr"))).alias("max_width"),
     )
+
+
+def discover_paths(df: DataFrame, col: str = "value", max_depth: int = 3, sample: float | None = None) -> DataFrame:
+    """Every field path up to ``max_depth`` with its kind.
+
+    Columns: ``steps array<string>``, ``path`` (steps joined by ``.``), ``depth``
+    (0 = top level), ``kind``, ``n_rows``, ``max_width`` (largest array size, arrays
+    only).  Objects at depth ``< max_depth`` are entered; array elements never are.
+    A path seen with several kinds gets one row per kind.  ``sample`` (a fraction)
+    restricts discovery to a random sample, as the reference's one-row read did.
+
+    Spark's merged schema of all records names the paths (one aggregate, a job of its own); one more aggregate counts each of
+    them by its path expression.  Only below paths of mixed kinds, and for records that are no objects, are the fields listed record by record.
+    """
+    src = df.sample(fraction=sample, seed=17) if sample else df
+    found = src.agg(F.schema_of_variant_agg(col).alias("s")).first()["s"]
+    nodes = _tree(schema_type(found), (), max_depth) if found and found.startswith("OBJECT<") else None
+    awkward = nodes is None or len(nodes) > _MOST_EXPRESSIONS or any(c in x for steps, _ in nodes for x in steps for c in '"\\')
+    if awkward:
+        root = F.array(_entry(F.array().cast("array<string>"), F.col(col)))
+        agg = _scan_entries(src, root, max_depth, own=False)
+    else:
+        plain = [(steps, t) for steps, t in nodes if not isinstance(t, T.VariantType)]
+        mixed = [steps for steps, t in nodes if isinstance(t, T.VariantType)]
+        agg = _count_paths(src, col, plain)
+        if mixed:
+            literal = lambda steps: F.array(*[F.lit(x) for x in steps])
+            entries = F.array(*[_entry(literal(s), F.try_variant_get(col, variant_path(list(s)), "variant")) for s in mixed])
+            agg = agg.unionByName(_scan_entries(src, F.filter(entries, lambda e: e["x"].isNotNull()), max_depth, own=True))
+    return _presented(agg)
+
+
+def _count_paths(src: DataFrame, col: str, nodes: list[tuple[tuple[str, ...], T.DataType]]) -> DataFrame:
+    """Rows of each path that has one kind (and nulls), from one aggregate."""
+    exprs, rows = [], []
+    for i, (steps, t) in enumerate(nodes):
+        path = variant_path(list(steps))
+        v = F.try_variant_get(col, path, "variant")
+        kind = "object" if isinstance(t, T.StructType) else "array" if isinstance(t, T.ArrayType) else "null" if isinstance(t, T.NullType) else "scalar"
+        is_null = F.coalesce(F.is_variant_null(v), F.lit(False))
+        exprs += [F.count(v).alias(f"n{i}"), F.count_if(is_null).alias(f"z{i}")]
+        width = F.lit(None).cast("int")
+        if kind == "array":
+            exprs.append(F.max(F.size(F.try_variant_get(col, path, _ARR))).alias(f"w{i}"))
+            width = F.col(f"w{i}")
+        name = F.array(*[F.lit(x) for x in steps]).alias("steps")
+        n = F.col(f"n{i}") - F.col(f"z{i}") if kind != "null" else F.lit(0).cast("long")
+        rows.append(F.struct(name, F.lit(kind).alias("kind"), n.alias("n_rows"), width.alias("max_width")))
+        rows.append(F.struct(name, F.lit("null").alias("kind"), F.col(f"z{i}").alias("n_rows"), F.lit(None).cast("int").alias("max_width")))
+    if not rows:
+        return src.sparkSession.createDataFrame([], "steps array<string>, kind string, n_rows long, max_width int")
+    return src.agg(*exprs).select(F.inline(F.array(*rows))).where("n_rows > 0")
+
+
+def _presented(agg: DataFrame) -> DataFrame:
     return agg.select(
         "steps", F.array_join("steps", ".").alias("path"), (F.size("steps") - 1).alias("depth"),
         "kind", "n_rows", "max_width",
     )
 
 
+def save_paths(paths: DataFrame, state: str, batch: int | str) -> None:
+    """Keep the paths of one landed batch under ``state``; a batch that is repeated replaces its own."""
+    paths.select("steps", "kind", "n_rows", "max_width").write.mode("overwrite").parquet(f"{state.rstrip('/')}/batch={batch}")
+
+
+def saved_paths(spark: SparkSession, state: str) -> DataFrame:
+    """The paths of all saved batches together: what :func:`discover_paths` gives for all their rows, without reading them."""
+    kept = spark.read.schema("steps array<string>, kind string, n_rows long, max_width int").parquet(state)
+    return _presented(kept.groupBy("steps", "kind").agg(F.sum("n_rows").alias("n_rows"), F.max("max_width").alias("max_width")))
+
+
 def _plan_columns(paths: list, max_depth: int) -> list[tuple[str, str, str]]:
     """(name, json path, output type) per column, in path order, from discovered rows."""
     by_path: dict[tuple, dict] = {}

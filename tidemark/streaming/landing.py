@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sources.landing import _reader, land_files, landing_frame
-from ..sources.variant import top_fields
+from ..sources.landing import LANDING_SCHEMA, _reader, land_files, landing_frame
+from ..sources.variant import discover_paths, save_paths, top_fields
 
 
 def landing_stream_frame(
@@ -88,6 +88,7 @@ def land_stream_checked(
     options: dict | None = None,
     on_drift: str = "widen",
     max_files: int = 1000,
+    paths: str | None = None,
     trigger: str | None = None,
     wait: bool = True,
 ) -> StreamingQuery:
@@ -99,7 +100,8 @@ def land_stream_checked(
     load time, raw text), and one to the schema log under ``checkpoint``; a batch that is repeated after a failure
     overwrites its own folders, so nothing lands twice.  Records read, landed and set aside are counted while they
     are written and must agree.  ``on_drift="fail"`` raises :class:`SchemaDrift` before anything of the batch is written
-    when a file has a field, or a type of a field, that no batch had before; the files stay to be landed.
+    when a file has a field, or a type of a field, that no batch had before; the files stay to be landed.  ``paths``: a folder
+    in which the paths of each batch are saved (:func:`..sources.variant.saved_paths` has those of all).
     """
     if on_drift not in ("widen", "fail"):
         raise ValueError("on_drift is 'widen' or 'fail'")
@@ -133,6 +135,8 @@ def land_stream_checked(
         counts = [F.count(F.lit(1)).alias("n"), F.count_if(is_bad).alias("bad")]
         rows.observe(good, *counts).where(~is_bad).drop("bad_record").write.mode("overwrite").parquet(f"{sink.rstrip('/')}/batch_id={batch_id}")
         rows.observe(bad, *counts).where(is_bad).drop("value").write.mode("overwrite").parquet(f"{quarantine.rstrip('/')}/batch_id={batch_id}")
+        if paths is not None:
+            save_paths(discover_paths(own.read.schema(LANDING_SCHEMA).parquet(f"{sink.rstrip('/')}/batch_id={batch_id}")), paths, batch_id)
         if good.get != bad.get:
             raise RuntimeError(f"batch {batch_id}: the files changed while they were landed ({good.get}, then {bad.get})")
 
