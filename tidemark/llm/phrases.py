@@ -225,8 +225,7 @@ def _shards(docs: DataFrame, depth: int, shard: int, words, pairs, bounds: np.nd
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, p = (x.value if x is not None else None for x in (words, pairs))
-        held, seen, totals = [], np.empty(0, dtype=_U), {}
-        size = 0
+        held, seen, totals, size = [], np.empty(0, dtype=_U), {}, 0
 
         def row(slice_=None, paths=None, label=None, lang=None, word=None) -> pa.RecordBatch:
             n = len(paths if paths is not None else label)
@@ -262,10 +261,14 @@ def _shards(docs: DataFrame, depth: int, shard: int, words, pairs, bounds: np.nd
                         for t, n in zip(*(x.tolist() for x in np.unique(owner, return_counts=True))):
                             name = int(_labelled(_EMPTY, salts[lo + i + t])[0])
                             totals[name] = totals.get(name, 0) + n
-                    if strings:
-                        first, at = np.unique(label, return_index=True)
-                        new = _has(w, first) & ~np.isin(first, seen)
-                        first, at = first[new], at[new]
+                    if strings:  # the words of frequent pairs, once a task
+                        known = _has(w, label)
+                        link = np.flatnonzero(follows[:-1] & known[:-1] & known[1:]) if len(label) else follows
+                        link = link[_has(p, pair_hash(label[link], label[link + 1]))] if len(link) else np.empty(0, np.int64)
+                        at = np.union1d(link, link + 1)
+                        first, once = np.unique(label[at], return_index=True)
+                        new = ~np.isin(first, seen)
+                        first, at = first[new], at[once[new]]
                         if len(first):
                             raw = joined.tobytes()
                             yield row(label=first.view(np.int64), lang=[langs[lo + i + int(owner[k])] for k in at],
@@ -281,7 +284,7 @@ def _shards(docs: DataFrame, depth: int, shard: int, words, pairs, bounds: np.nd
                     size += len(label)
                     if size >= shard:
                         yield from flush()
-                        held, seen, totals, size = [], np.empty(0, dtype=_U), {}, 0
+                        held, totals, size = [], {}, 0
         if held:
             yield from flush()
 
@@ -326,7 +329,7 @@ def _united(parts: DataFrame, depth: int, ranges: int, least: int, bounds: np.nd
         if waiting:
             yield from frequent(now, *unite(waiting))
 
-    rows = parts.where("paths IS NOT NULL").select("slice", "paths").repartition(ranges, "slice").sortWithinPartitions("slice")
+    rows = parts.where("paths IS NOT NULL").select("slice", "paths").repartitionById(ranges, F.col("slice")).sortWithinPartitions("slice")
     found = rows.mapInArrow(run, "p1 long, p2 long, p3 long, p4 long, m int, a long")
     return found.groupBy("p1", "p2", "p3", "p4", "m").agg(F.sum("a").alias("a")).where(F.col("a") >= least)
 
@@ -366,8 +369,8 @@ def bitmap(hashes: DataFrame, column: Column, most: int) -> np.ndarray:
     return out
 
 
-def count_phrases(docs: DataFrame, least: int = 30, shard: int = 2_000_000, range_bytes: int = 16 << 20) -> tuple[DataFrame, DataFrame]:
-    """Phrases of one to four words counted ``least`` times or more (``p1 .. p4, m, a``) and ``label, lang, word`` of their words.
+def count_phrases(docs: DataFrame, least: int = 30, shard: int = 3_000_000, range_bytes: int = 32 << 20) -> tuple[DataFrame, DataFrame]:
+    """Phrases of one to four words counted ``least`` times or more (``p1 .. p4, m, a``), and ``label, lang, word`` of the words of the longer ones.
 
     ``docs``: ``text, lang``. The phrase of the empty word alone counts all words of its language.
     """
@@ -384,13 +387,13 @@ def count_phrases(docs: DataFrame, least: int = 30, shard: int = 2_000_000, rang
 
     single, _ = one_pass(1, None, None)
     words = spark.sparkContext.broadcast(bitmap(single, F.col("p1"), 27))
-    double, parts = one_pass(2, words, None, strings=True)
-    named = parts.where("label IS NOT NULL").groupBy("label").agg(F.min("lang").alias("lang"), F.min("word").alias("word"))
-    named = stage(named.join(single.select(F.col("p1").alias("label")), "label", "left_semi"), "words")
+    double, _ = one_pass(2, words, None)
     # the pairs' hash, as pair_hash has it
     hashed = double.select("p1", "p2").mapInArrow(_hash_pairs, "h long")
     pairs = spark.sparkContext.broadcast(bitmap(hashed, F.col("h"), 28))
-    longer, _ = one_pass(_DEPTH, words, pairs)
+    longer, parts = one_pass(_DEPTH, words, pairs, strings=True)
+    named = parts.where("label IS NOT NULL").groupBy("label").agg(F.min("lang").alias("lang"), F.min("word").alias("word"))
+    named = stage(named, "words")
     words.destroy()
     pairs.destroy()
     return single.union(double).union(longer), named
