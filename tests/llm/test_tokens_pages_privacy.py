@@ -227,3 +227,39 @@ def test_pipeline_stages_and_registration(spark, tmp_path):
         kept = after
     last = corpus_pipeline.STAGES[-1][1](spark, kept, sf)
     assert last.count() == kept.count() and last.where("NOT round_trip").count() == 0
+
+
+def test_one_form_for_each_entity(spark):
+    forms = lambda t: [x[2:] for x in pii.find_entities(t)]
+    assert forms("+15551234567 / +1 555 123 4567 / +1 (555) 123-4567") == [("phone", "+1 5551234567")] * 3
+    assert forms("+49 30 1234567 or 030 1234567, 555 123 4567, and 12 345 678 times") == [("phone", "+49 301234567"), ("phone", "0301234567"), ("phone", "5551234567")]
+    assert forms("2001:db8::1 = 2001:0DB8:0:0:0:0:0:1, at 10:20:30, std::vector, ::1") == [("ip6", "2001:0db8:0000:0000:0000:0000:0000:0001")] * 2
+    assert forms("Mr Alex Smith; Dr Alex Smith; Alex Smith. Alex's dog") == [("given", "alex"), ("surname", "smith")] * 3 + [("given", "alex")]
+    assert forms("Mr. O'Neil; my name is Priya Sharma; 王小明先生, 王小明") == [("surname", "o'neil"), ("given", "priya"), ("surname", "sharma"), ("surname", "王小明"), ("surname", "王小明")]
+    for clean in ("Will the Rose Garden open in May? A New York Times story.", "ratio 100 200 3000 4 and 1 000 000 000", "a::b c:d:e"):
+        assert forms(clean) == []
+
+
+def test_table_is_distinct_and_coreferent(spark):
+    """Every entity has one surrogate everywhere, no two share one, none is an entity of the table; genders follow titles."""
+    rows = [f"Ms {n} Smith wrote to {m}@mail.org from 10.0.0.{k}" for k, (n, m) in enumerate((n, m) for n in ("Robin", "Kim", "Alexis") for m in "abcd")]
+    rows += ["Dr Robin Miller and Kim Smith. Robin left", "Mr Sam Lee; Sam Lee", *[f"code: secret={d:06d}"[:40] for d in range(40)], *[f"token={d}aaaaa" for d in range(10)]]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    out = {r.doc_id: r.text for r in pii.replace_pii(docs).collect()}
+    pairs = {}
+    for i, t in enumerate(rows):
+        new, shift = out[i], 0
+        found = pii.find_entities(t)
+        for n, (s, e, kind, norm) in enumerate(found):
+            until = found[n + 1][0] if n + 1 < len(found) else len(t)
+            tail = t[e:until]
+            end = new.index(tail, s + shift + 1) if tail else len(new)
+            pairs.setdefault((kind, norm), set()).add(new[s + shift:end].lower())
+            shift = end - e
+    assert all(len(x) == 1 for x in pairs.values())
+    flat = [(k, *x) for (k, _), x in pairs.items()]
+    assert len(flat) == len(set(flat)) and not {(k, x) for k, x in flat} & set(pairs)
+    female = ("lia", "nna", "ssa", "rina")
+    assert all(next(iter(pairs["given", n])).endswith(female) for n in ("robin", "kim", "alexis")) and not next(iter(pairs["given", "sam"])).endswith(female)
+    full = spark.createDataFrame([(d, f"secret={d:06d}") for d in range(300)] + [(i, f"secret=a{i}bbbb") for i in range(10)], "doc_id long, text string")
+    assert len({r.text for r in pii.replace_pii(full).collect()}) == 310

@@ -2,13 +2,16 @@
 
 Detection finds e-mail addresses, phone numbers, IP addresses, card and other long account
 numbers, IBANs, social security numbers, secrets (tokens, keys, passwords) and person names (after
-an honorific, or a listed given name followed by a surname). Each entity has a normal form, so
-that every way of writing it is one entity (coreference): digits only for numbers, lower case for
-addresses, one component for each part of a name.
+an honorific or a phrase that introduces a person, before a Chinese form of address, or a listed given name
+followed by a surname; a name that only its shape shows stays). Each entity has a normal form, so
+that every way of writing it is one entity (coreference): country code and digits for phone numbers, digits only for other
+numbers, lower case and all groups for addresses, one component for each part of a name, whichever title stands before it.
+Later mentions of either component alone are found too.
 
 A surrogate is a keyed function of type, normal form and attempt: letters become letters of the
 same script and case, digits digits, separators stay; card numbers keep whether their check digit
-holds, IBANs get a right one, given names keep their gender's endings. Over the whole table the
+holds, IBANs get a right one. A given name's gender belongs to the entity: the listed one, else the one its titles
+in the whole table say (female, if they differ), else by its ending; its surrogate has that gender's endings. Over the whole table the
 distinct entities are checked for collisions - two entities with one surrogate, or a surrogate
 that is an entity of the table - and the later of them (by attempt, then normal form) tries again
 until none is left, so distinct entities stay distinct. Where the forms of a type are few, later
@@ -27,6 +30,7 @@ from __future__ import annotations
 
 import hashlib
 import hmac
+import ipaddress
 import re
 import unicodedata
 from collections.abc import Iterator
@@ -56,13 +60,22 @@ _HEX = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,}|[0-9A-F]{32,})(?![0-9A-Za-z
 _PEM = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----\s*(.+?)\s*-----END", re.S)
 _NUMBER = re.compile(
     r"(?P<ip>(?<![\d.])\d{1,3}(?:\.\d{1,3}){3}(?!\.?\d))"
-    r"|(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,2}|\d{2,4}(?:[ .-]?\d{2,4}){1,3})(?!\d)|\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-]))"
+    r"|(?P<phone>\+\d{1,3}[ .-]?(?:\(\d{1,4}\)[ .-]?\d{2,4}(?:[ .-]?\d{2,4}){1,2}|\d{2,4}(?:[ .-]?\d{2,4}){1,3})(?!\d)|\(\d{3}\) ?\d{3}[ .-]\d{4}(?!\d)|(?<![\d-])\d{3}[.-]\d{3}[.-]\d{4}(?![\d-])|(?<![\d.,/-])(?<!\d )\d{3} \d{3} \d{4}(?![\d/-]|[.,]\d| \d)|(?<![\d.,/-])(?<!\d )0\d{2,4}[ /-]\d{6,8}(?![\d/-]|[.,]\d| \d))"
     r"|(?P<ssn>(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-]))"
     r"|(?P<card>(?<![\d])(?:\d{13,19}|\d{4}([ -])\d{4}\5\d{4}\5\d{1,7}|\d{4}([ -])\d{6}\6\d{5})(?!\d))"
 )
 _IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-_IP6 = re.compile(r"(?<![0-9A-Za-z:])(?:[0-9a-fA-F]{1,4}:){7}[0-9a-fA-F]{1,4}(?![0-9A-Za-z:])")
-_NAME = regex.compile(r"(?<![\p{L}])(?:(?P<title>" + "|".join(HONORIFICS) + r")\.?[ ]+(?P<one>\p{Lu}[\p{Ll}'’-]+)(?:[ ](?P<two>\p{Lu}[\p{Ll}'’-]+))?|(?P<given>" + "|".join(_GENDER) + r")[ ](?P<sur>\p{Lu}[\p{Ll}'’-]+))(?![\p{L}])")
+_IP6 = re.compile(r"(?<![0-9A-Za-z:.])(?:[0-9a-fA-F]{0,4}:){2,7}[0-9a-fA-F]{0,4}(?![0-9A-Za-z:.])")
+#: Country codes of one and two digits (fixed values, ITU E.164); all others have three.
+_CODES = {"1", "7", *"20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98".split()}
+#: A name's word: capital, perhaps O' or parts joined by hyphens; a possessive 's is no part of it.
+_CAP = r"(?:\p{Lu}['’](?=\p{Lu}))?\p{Lu}\p{Ll}+(?:[-’']\p{Lu}\p{Ll}+)*"
+#: Phrases after which a person's name stands.
+_CUES = r"(?:[Mm]y name is|[Nn]ame ?:|[Aa]uthor ?:|[Cc]ontact ?:|[Ss]incerely,|[Rr]egards,|[Ss]igned,|[Ii]ch heiße|[Mm]ein [Nn]ame ist|[Jj]e m['’]appelle|[Mm]e llamo|[Mm]i nombre es|[Мм]еня зовут)"
+_NAME = regex.compile(r"(?<![\p{L}])(?:(?P<title>" + "|".join(HONORIFICS) + rf")\.?[ ]+(?P<one>{_CAP})(?:[ ](?P<two>{_CAP}))?|(?P<given>" + "|".join(_GENDER) + rf")[ ](?P<sur>{_CAP})|{_CUES}\s+(?P<first>{_CAP})(?:[ ](?P<last>{_CAP}))?)(?![\p{{L}}])")
+#: The commonest Chinese family names (a list, extended by its users) before a form of address, or any name after an introduction.
+_HAN_FAMILY = "王李张刘陈杨赵黄周吴徐孙胡朱高林何郭马罗梁宋郑谢韩唐冯于董萧程曹袁邓许傅沈曾彭吕苏卢蒋蔡贾丁魏薛叶阎余潘杜戴夏钟汪田任姜范方石姚谭廖邹熊金陆郝孔白崔康毛邱秦江史顾侯邵孟龙万段雷钱汤尹黎易常武乔贺赖龚文"
+_HAN = regex.compile(rf"(?:[{_HAN_FAMILY}]\p{{Han}}{{1,2}}(?=先生|女士|小姐|教授|老师|医生|博士))|(?<=我叫|名叫|名字是)[{_HAN_FAMILY}]\p{{Han}}{{1,2}}")
 _DIGIT = re.compile(r"\d")
 _LEAD = re.compile(r"AKIA|gh[pousr]_|sk-|xox[abprs]-|eyJ")
 
@@ -79,8 +92,36 @@ def _changeable(kind: str, norm: str) -> bool:
     return any(c.isalpha() or c.isdecimal() for c in norm)
 
 
-def find_entities(text: str) -> list[tuple[int, int, str, str]]:
-    """``(start, end, type, normal form)`` of the entities of a whole text, in order, without overlaps."""
+def phone_form(written: str) -> str:
+    """Digits of a phone number, after its country code and a space where it is written with one."""
+    digits = re.sub(r"\D", "", written)
+    if written[0] != "+":
+        return digits
+    n = next((k for k in (1, 2) if digits[:k] in _CODES), 3)
+    return f"+{digits[:n]} {digits[n:]}"
+
+
+def ip6_form(written: str) -> str | None:
+    """All groups of an IPv6 address; None if it is none, or names no host (``::``, ``::1``)."""
+    if sum(map(bool, written.split(":"))) < 3:
+        return None
+    try:
+        return ipaddress.IPv6Address(written).exploded
+    except ValueError:
+        return None
+
+
+def gender_of(name: str) -> str:
+    """Gender of a given name (lower case): the listed one, else by its ending."""
+    listed = _GENDER.get(name.capitalize())
+    return listed or ("f" if name.endswith(("a", "ie", "ette", "elle", "ine", "я", "а")) else "m")
+
+
+def find_entities(text: str, genders: dict[str, str] | None = None) -> list[tuple[int, int, str, str]]:
+    """``(start, end, type, normal form)`` of the entities of a whole text, in order, without overlaps.
+
+    ``genders`` takes up what titles say of given names that are not listed.
+    """
     found: list[tuple[int, int, str, str]] = []
     if "@" in text:
         found += [(m.start(), m.end(), "email", m[0].lower()) for m in _EMAIL.finditer(text)]
@@ -97,27 +138,30 @@ def find_entities(text: str) -> list[tuple[int, int, str, str]]:
             kind = m.lastgroup or ("ip" if m["ip"] else "phone" if m["phone"] else "ssn" if m["ssn"] else "card")
             if kind == "ip" and any(int(x) > 255 for x in m[0].split(".")):
                 continue
-            norm = m[0] if kind == "ip" else re.sub(r"\D", "", m[0])
-            if kind == "phone" and m[0][0] == "+" and not m[0][1:].isdigit():  # the country code stays
-                code = re.match(r"\+\d+", m[0])[0]
-                norm = f"{code} {norm[len(code) - 1:]}"
+            norm = m[0] if kind == "ip" else phone_form(m[0]) if kind == "phone" else re.sub(r"\D", "", m[0])
             found.append((*m.span(), kind, norm))
         found += [(*m.span(), "iban", m[0].replace(" ", "")) for m in _IBAN.finditer(text)]
-        if text.count(":") >= 7:
-            found += [(*m.span(), "ip6", m[0].lower()) for m in _IP6.finditer(text)]
+    if "::" in text or text.count(":") >= 7:
+        found += [(*m.span(), "ip6", form) for m in _IP6.finditer(text) if (form := ip6_form(m[0]))]
     for m in _NAME.finditer(text):
         if m["given"]:
-            parts = [("given", "given_" + _GENDER[m["given"]]), ("sur", "surname")]
+            parts = [("given", "given"), ("sur", "surname")]
+        elif m["first"]:
+            parts = [("first", "given"), *([("last", "surname")] if m["last"] else [])]
         elif m["two"]:
+            parts = [("one", "given"), ("two", "surname")]
             gender = HONORIFICS[m["title"]]
-            parts = [("one", "given_" + (gender if gender != "n" else _GENDER.get(m["one"], "n"))), ("two", "surname")]
+            if genders is not None and gender != "n" and m["one"].capitalize() not in _GENDER:
+                genders[m["one"].lower()] = min(gender, genders.get(m["one"].lower(), gender))
         else:
             parts = [("one", "surname")]
         found += [(*m.span(g), kind, m[g].lower()) for g, kind in parts]
-    surnames = {text[s:e] for s, e, k, _ in found if k == "surname"}
-    if surnames:  # later mentions by the surname alone
-        again = regex.compile(r"(?<![\p{L}])(?:" + "|".join(map(regex.escape, sorted(surnames, key=len, reverse=True))) + r")(?![\p{L}])")
-        found += [(*m.span(), "surname", m[0].lower()) for m in again.finditer(text)]
+    if not text.isascii():
+        found += [(*m.span(), "surname", m[0]) for m in _HAN.finditer(text)]
+    named = {text[s:e]: k for s, e, k, _ in found if k in ("surname", "given")}
+    if named:  # later mentions by one component alone
+        again = regex.compile(r"(?<![\p{L}])(?:" + "|".join(map(regex.escape, sorted(named, key=len, reverse=True))) + r")(?![\p{L}--\p{Han}])", regex.V1)
+        found += [(*m.span(), named[m[0]], m[0].lower()) for m in again.finditer(text)]
     found = [x for x in found if _changeable(x[2], x[3])]
     if len(found) > 1:
         found.sort(key=lambda x: (x[0], -x[1]))
@@ -181,8 +225,8 @@ def luhn(digits: str) -> bool:
     return total % 10 == 0
 
 
-def surrogate(kind: str, norm: str, attempt: int, key: bytes) -> str:
-    """Replacement of a normal form: a function of the key, the type, the form and the attempt."""
+def surrogate(kind: str, norm: str, attempt: int, key: bytes, gender: str = "") -> str:
+    """Replacement of a normal form: a function of the key, the type, the form, the attempt, and a given name's gender."""
     draw = _Draw(key, kind, norm, attempt)
     more = attempt // 4  # a wider space for entities whose own is taken
     if kind == "email":
@@ -202,7 +246,7 @@ def surrogate(kind: str, norm: str, attempt: int, key: bytes) -> str:
         good = next(str(d) for d in range(10) if luhn(body + str(d)))
         return body + (good if luhn(norm) else str((int(good) + 1 + draw(9)) % 10))
     if kind == "iban":
-        body = "".join(_like(c, draw) for c in norm[4:])
+        body = "".join(_like(c, draw) for c in norm[4:] + "0" * more)
         number = int("".join(str(int(c, 36)) for c in body + norm[:2] + "00"))
         return f"{norm[:2]}{98 - number % 97:02d}{body}"
     if kind == "secret":
@@ -210,17 +254,18 @@ def surrogate(kind: str, norm: str, attempt: int, key: bytes) -> str:
         n = lead.end() if lead else 0
         if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", norm):
             digits = "0123456789ABCDEF" if norm.upper() == norm else "0123456789abcdef"
-            return "".join(digits[draw(16)] for _ in norm)
+            return "".join(digits[draw(16)] for _ in norm + "0" * more)
         return norm[:n] + "".join(_like(c, draw) for c in norm[n:] + "a" * more)
-    if kind == "surname" or kind.startswith("given_"):
+    if kind in ("surname", "given"):
         script = script_of(norm[0])
         if script not in _SYLLABLES:
             return "".join(_like(c, draw) for c in norm + norm[0] * more)
         syllables, ends = _SYLLABLES[script]
-        tail = ends["s" if kind == "surname" else kind[-1]]
+        tail = ends["s" if kind == "surname" else gender or gender_of(norm)]
         return "".join(syllables[draw(len(syllables))] for _ in range(2 + more)) + tail[draw(len(tail))]
     code, _, rest = norm.rpartition(" ")  # phone, ssn: the digits but for a country code
-    return f"{code} " * bool(code) + "".join(_like(c, draw) for c in rest + "0" * more)
+    trunk = "0" * (kind == "phone" and rest[:1] == "0")  # the zero before an area code stays
+    return f"{code} " * bool(code) + trunk + "".join(_like(c, draw) for c in rest[len(trunk):] + "0" * more)
 
 
 def write_like(original: str, kind: str, form: str) -> str:
@@ -228,57 +273,70 @@ def write_like(original: str, kind: str, form: str) -> str:
     if kind in ("phone", "ssn", "card", "iban"):
         chars = iter(re.sub(r"[+ ]", "", form))
         return "".join([next(chars) if c.isalnum() else c for c in original]) + "".join(chars)
+    if kind == "ip6" and len(original) != len(form):  # written short: without leading zeros
+        form = ":".join(format(int(x, 16), "x") for x in form.split(":"))
+        return form.upper() if original.upper() == original else form
     if kind in ("email", "ip6"):
         return "".join(x.upper() if c.isupper() else x for c, x in zip(original, form)) if len(original) == len(form) else form
-    if kind == "surname" or kind.startswith("given_"):
+    if kind in ("surname", "given"):
         return form.upper() if original.isupper() and len(original) > 1 else form[:1].upper() + form[1:]
     return form
 
 
-def replace_entities(text: str, key: bytes, attempts: dict[tuple[str, str], int]) -> tuple[str, int]:
+def _drawn(drawn: dict[tuple[str, str], tuple[int, str]], kind: str, norm: str, key: bytes) -> tuple[int, bytes, str]:
+    attempt, gender = drawn.get((kind, norm), (0, ""))
+    return attempt, key, gender
+
+
+def replace_entities(text: str, key: bytes, drawn: dict[tuple[str, str], tuple[int, str]]) -> tuple[str, int]:
     """The text with its entities replaced, and how many there were."""
     found = find_entities(text)
     if not found:
         return text, 0
     out, at = [], 0
     for start, end, kind, norm in found:
-        out += [text[at:start], write_like(text[start:end], kind, surrogate(kind, norm, attempts.get((kind, norm), 0), key))]
+        out += [text[at:start], write_like(text[start:end], kind, surrogate(kind, norm, *_drawn(drawn, kind, norm, key)))]
         at = end
     return "".join(out) + text[at:], len(found)
 
 
-def entity_attempts(docs: DataFrame, key: bytes, max_rounds: int = 50) -> DataFrame:
-    """``kind, norm, attempt`` of every distinct entity of ``docs``, free of collisions."""
+def entity_attempts(docs: DataFrame, key: bytes) -> DataFrame:
+    """``kind, norm, attempt, gender`` of every distinct entity of ``docs``, free of collisions (gender: only where titles gave it).
+
+    Rounds go on until none is left: each fourth attempt of an entity draws from a wider space, so no space stays full.
+    """
 
     def detect(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            seen = {(k, n) for t in b["text"] if t for _, _, k, n in find_entities(t)}
-            yield pd.DataFrame(sorted(seen), columns=["kind", "norm"])
+            seen, genders = set(), {}
+            for t in b["text"]:
+                if t:
+                    seen.update((k, n) for _, _, k, n in find_entities(t, genders))
+            yield pd.DataFrame([(k, n, genders.get(n) if k == "given" else None) for k, n in sorted(seen)], columns=["kind", "norm", "gender"])
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for b in batches:
-            yield b.assign(form=[surrogate(k, n, a, key) for k, n, a in zip(b["kind"], b["norm"], b["attempt"])])
+            yield b.assign(form=[surrogate(k, n, a, key, g or "") for k, n, g, a in zip(b["kind"], b["norm"], b["gender"], b["attempt"])])
 
-    schema = "kind string, norm string, attempt int, form string"
-    found = docs.select("text").where("text <> ''").mapInPandas(detect, "kind string, norm string").distinct()
+    schema = "kind string, norm string, gender string, attempt int, form string"
+    found = docs.select("text").where("text <> ''").mapInPandas(detect, "kind string, norm string, gender string").groupBy("kind", "norm").agg(F.min("gender").alias("gender"))
     e = stage(found.withColumn("attempt", F.lit(0)).mapInPandas(draw, schema), "entities")
-    for _ in range(max_rounds):
+    while True:
         first = e.groupBy("kind", "form").agg(F.min(F.struct("attempt", "norm")).alias("w"), F.count(F.lit(1)).alias("n")).where("n > 1")
         shared = e.join(first, ["kind", "form"]).where((F.col("norm") != F.col("w.norm"))).select("kind", "norm")
         known = e.select("kind", F.col("norm").alias("form"))
         real = e.join(known, ["kind", "form"], "left_semi").select("kind", "norm")
-        bad = shared.union(real).distinct().withColumn("again", F.lit(True))
+        bad = stage(shared.union(real).distinct().withColumn("again", F.lit(True)), "collisions")
         if bad.isEmpty():
-            return e.select("kind", "norm", "attempt")
-        step = e.join(bad, ["kind", "norm"], "left").select("kind", "norm", (F.col("attempt") + F.when(F.col("again"), 1).otherwise(0)).cast("int").alias("attempt"))
+            return e.select("kind", "norm", "attempt", "gender")
+        step = e.join(bad, ["kind", "norm"], "left").select("kind", "norm", "gender", (F.col("attempt") + F.when(F.col("again"), 1).otherwise(0)).cast("int").alias("attempt"))
         e = stage(step.mapInPandas(draw, schema), "entities")
-    raise RuntimeError(f"surrogates still collide after {max_rounds} rounds")
 
 
 def replace_pii(docs: DataFrame, key: bytes = DEFAULT_KEY, broadcast_entities: int = 200_000, count: str | None = "n_entities") -> DataFrame:
     """``docs`` (all columns) with surrogates in ``text``; ``count`` names a column for the number of entities (None: no such column)."""
     docs = without(docs, count) if count else docs
-    again = entity_attempts(docs, key).where("attempt > 0")
+    again = entity_attempts(docs, key).where("attempt > 0 OR gender IS NOT NULL")
     columns, at = docs.columns, docs.columns.index("text")
     schema = T.StructType([*docs.schema.fields, *([T.StructField(count, T.LongType())] if count else [])])
     small = again.count() <= broadcast_entities
@@ -288,7 +346,7 @@ def replace_pii(docs: DataFrame, key: bytes = DEFAULT_KEY, broadcast_entities: i
             own = b.column(len(columns)).to_pylist() if attempts is None else None
             texts, numbers = [], []
             for i, t in enumerate(b.column(at).to_pylist()):
-                redo = attempts if own is None else {(x["kind"], x["norm"]): x["attempt"] for x in own[i] or ()}
+                redo = attempts if own is None else {(x["kind"], x["norm"]): (x["attempt"], x["gender"] or "") for x in own[i] or ()}
                 new, n = replace_entities(t, key, redo) if t else (t, 0)
                 texts.append(new)
                 numbers.append(n)
@@ -296,7 +354,7 @@ def replace_pii(docs: DataFrame, key: bytes = DEFAULT_KEY, broadcast_entities: i
             yield pa.RecordBatch.from_arrays([*out, *([pa.array(numbers, pa.int64())] if count else [])], names=schema.names)
 
     if small:
-        attempts = {(r[0], r[1]): r[2] for r in again.collect()}
+        attempts = {(r[0], r[1]): (r[2], r[3] or "") for r in again.collect()}
         shared = docs.sparkSession.sparkContext.broadcast(attempts)
         return docs.mapInArrow(lambda batches: run(batches, shared.value), schema)
 
@@ -306,7 +364,7 @@ def replace_pii(docs: DataFrame, key: bytes = DEFAULT_KEY, broadcast_entities: i
             yield pd.DataFrame(sorted(rows), columns=["text_key", "kind", "norm"])
 
     held = docs.select("text").where("text <> ''").mapInPandas(detect, "text_key string, kind string, norm string").distinct()
-    per_text = held.join(again, ["kind", "norm"]).groupBy("text_key").agg(F.collect_list(F.struct("kind", "norm", "attempt")).alias("_redo"))  # bounded by a text
+    per_text = held.join(again, ["kind", "norm"]).groupBy("text_key").agg(F.collect_list(F.struct("kind", "norm", "attempt", "gender")).alias("_redo"))  # bounded by a text
     name, redo = free_name(docs, "text_key"), free_name(docs, "_redo")
     keyed = docs.withColumn(name, F.sha2(F.col("text").cast("binary"), 256))
     per_text = per_text.select(F.col("text_key").alias(name), F.col("_redo").alias(redo))
