@@ -10,13 +10,17 @@ the item's, so a copy with one value altered is not lost. These windows of an it
 document is contaminated when they cover ``min(max_needed, half of the item's windows)`` of the
 item's windows or more.
 
+Names are typed by their capitals, so a lower- or upper-cased copy shows only the windows without names.
+Items with fewer of those than are needed are searched a second time, by windows of bare lower-case words. Items of fewer
+than ``min_tokens`` words are no windows; they are found where they make up a whole line of a document, case aside.
+
 The benchmark side is broadcast only when its counted windows stay under ``broadcast_windows``;
 beyond that the join shuffles on the window hash. Texts are matched by their 128-bit key, so raw
 words are fetched for matched texts only, once per text.
 
 Defined cases: null and empty texts and items match nothing; an item of fewer template tokens
-than ``window`` but at least ``min_tokens`` is one window of its own length, shorter ones are
-not searched for; very long texts are read whole; repeated documents are each reported; repeated
+than ``window`` but at least ``min_tokens`` is one window of its own length; a copy in which every word has a capital
+is found by its numbers and units only; very long texts are read whole; repeated documents are each reported; repeated
 items are reported under each id; empty tables give an empty result; other columns are ignored.
 """
 
@@ -24,7 +28,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ._util import SPACE_CLASS, free_name
+from ._util import SPACE_CLASS, free_name, stage
 
 WS = r"[\x20\x09-\x0D]"
 #: Unit words recognised after a number (parameter).
@@ -60,6 +64,11 @@ def _tokens(canon: Column) -> Column:
     return F.filter(F.split(canon, SPACE_CLASS), lambda w: w != "")
 
 
+def bare(text: Column) -> Column:
+    """Letters, digits and white space of a text, in lower case."""
+    return F.regexp_replace(F.lower(text), r"[^\p{L}\p{N}\x20\x09-\x0D]+", "")
+
+
 def _raw_words(text: Column, canon: Column) -> Column:
     """Raw words in step with the template's tokens (words that are only punctuation are in neither)."""
     pair = F.arrays_zip(F.split(text, SPACE_CLASS).alias("r"), F.split(canon, SPACE_CLASS).alias("t"))
@@ -72,16 +81,25 @@ def _windows(tokens: str, n: int) -> Column:
     return F.when(F.size(w) >= n, F.transform(F.sequence(F.lit(0), F.size(w) - n), lambda i: F.xxhash64(F.lit(n), *[F.get(w, i + k) for k in range(n)]))).otherwise(F.array().cast("array<bigint>"))
 
 
+def _spread(t: DataFrame, sizes: list[int]) -> DataFrame:
+    """``key, p, h``: the windows of these sizes of each row's tokens."""
+    if len(sizes) == 1:
+        return t.select("key", F.posexplode(_windows("tok", sizes[0])).alias("p", "h"))
+    every = F.concat(*[F.transform(_windows("tok", n), lambda h, i: F.struct(h.alias("h"), i.alias("p"))) for n in sizes])
+    return t.select("key", F.inline(every)).select("key", "p", "h")
+
+
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_tokens: int = 4, max_needed: int = 6,
                units: tuple[str, ...] = UNITS, broadcast_windows: int = 1_000_000) -> DataFrame:
     """``doc_id, item_id, n_windows, item_windows, n_slots, reparameterised`` per contaminated document and item."""
-    items = benchmark.select("item_id", "text").where("text IS NOT NULL").distinct()
-    items = items.withColumn("canon", template(F.col("text"), units)).withColumn("tok", _tokens(F.col("canon"))).withColumn("raw", _raw_words(F.col("text"), F.col("canon")))
-    items = items.withColumn("n", F.least(F.lit(window), F.size("tok"))).where(F.col("n") >= min_tokens)
+    every_item = benchmark.select("item_id", "text").where("text IS NOT NULL").distinct()
+    every_item = every_item.withColumn("canon", template(F.col("text"), units)).withColumn("tok", _tokens(F.col("canon"))).withColumn("raw", _raw_words(F.col("text"), F.col("canon")))
+    items = every_item.withColumn("n", F.least(F.lit(window), F.size("tok"))).where(F.col("n") >= min_tokens)
     by_size = F.coalesce(*[F.when(F.col("n") == n, _windows("tok", n)) for n in range(min_tokens, window + 1)])
     items = items.withColumn("item_windows", F.size("tok") - F.col("n") + 1)
     grams = items.select("item_id", "n", "item_windows", "tok", "raw", F.posexplode(by_size).alias("at", "h"))
     grams = grams.select("item_id", "n", "item_windows", "at", "h", F.slice("tok", F.col("at") + 1, F.col("n")).alias("itok"), F.slice("raw", F.col("at") + 1, F.col("n")).alias("iraw"))
+    grams = stage(grams, "grams")  # read by every branch below
     # counting settles the window sizes in use and whether the benchmark may be broadcast
     seen = {r[0]: r[1] for r in grams.groupBy("n").count().collect()}  # at most window - min_tokens + 1 rows
     sizes, total = sorted(seen) or [window], sum(seen.values())
@@ -89,15 +107,12 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_token
 
     d = docs.select("doc_id", "text").where("text IS NOT NULL")
     t = d.select(_key(F.col("text")).alias("key"), _tokens(template(F.col("text"), units)).alias("tok"))
-    every = F.concat(*[F.transform(_windows("tok", n), lambda h, i: F.struct(h.alias("h"), i.alias("p"))) for n in sizes]) if len(sizes) > 1 else None
-    if every is None:
-        spread = t.select("key", F.posexplode(_windows("tok", sizes[0])).alias("p", "h"))
-    else:
-        spread = t.select("key", F.inline(every)).select("key", "p", "h")
+    spread = _spread(t, sizes)
     hit = spread.join(F.broadcast(hashes) if total <= broadcast_windows else hashes, "h", "left_semi").distinct()
-    match = hit.join(grams.select("item_id", "n", "item_windows", "at", "h"), "h")
+    match = stage(hit.join(grams.select("item_id", "n", "item_windows", "at", "h"), "h").select("key", "p", "item_id", "n", "item_windows", "at"), "matches")
     needed = F.least(F.lit(max_needed), F.ceil(F.col("item_windows") / 2))
     near = match.groupBy("key", "item_id", "item_windows").agg(F.count_distinct("at").alias("m")).where(F.col("m") >= needed).select("key", "item_id")
+    near = stage(near, "near")
     match = match.join(near, ["key", "item_id"], "left_semi")
 
     # the raw words of matched texts, once per text
@@ -108,7 +123,7 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_token
     aligned = aligned.select("key", "item_id", "item_windows", "at", (F.col("p") - F.col("at")).alias("shift"), F.transform(
         F.filter(F.arrays_zip("itok", "iraw", F.slice("draw", F.col("p") + 1, F.col("n")).alias("draw")), lambda x: x["itok"].rlike("<(num|name|unit)>")),
         lambda x: F.struct(x["iraw"].alias("a"), x["draw"].alias("b"))).alias("slots"))
-    aligned = aligned.withColumn("same", F.forall("slots", lambda x: x["a"].eqNullSafe(x["b"])))  # raw words equal the item's
+    aligned = stage(aligned.withColumn("same", F.forall("slots", lambda x: x["a"].eqNullSafe(x["b"]))), "aligned")  # raw words equal the item's
     pairs = aligned.select("key", "item_id", "shift", "same", F.explode_outer("slots").alias("s"))
     judged = pairs.groupBy("key", "item_id", "shift").agg(
         F.count_distinct("s.a").alias("na"), F.count_distinct("s.b").alias("nb"), F.count_distinct("s.a", "s.b").alias("nab"),
@@ -120,6 +135,31 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_token
     leaks = found.groupBy("key", "item_id", "item_windows").agg(
         F.count_distinct("at").cast("long").alias("n_windows"), F.max("nab").alias("n_slots"), F.min("changed").alias("reparameterised"))
     leaks = leaks.where(F.col("n_windows") >= needed)
+
+    # items that a copy in another case would not show
+    nameless = F.sum((~F.array_contains("itok", "<name>")).cast("int"))
+    named = stage(grams.groupBy("item_id", "item_windows").agg(nameless.alias("free")).where(F.col("free") < needed).select("item_id").distinct(), "named")
+    more = []
+    if named.limit(1).count():
+        again = every_item.join(named, "item_id", "left_semi").select("item_id", _tokens(bare(F.col("text"))).alias("tok")).withColumn("n", F.least(F.lit(window), F.size("tok")))
+        again = again.where(F.col("n") >= min_tokens).withColumn("item_windows", F.size("tok") - F.col("n") + 1)
+        plain = stage(again.select("item_id", "item_windows", "n", F.posexplode(by_size).alias("at", "h")), "plain")
+        lengths = sorted(r[0] for r in plain.select("n").distinct().collect()) or [window]
+        words = _spread(d.select(_key(F.col("text")).alias("key"), _tokens(bare(F.col("text"))).alias("tok")), lengths).select("key", "h")
+        wanted = plain.select("h").distinct()
+        equal = words.join(F.broadcast(wanted) if total <= broadcast_windows else wanted, "h", "left_semi").distinct().join(plain, "h")
+        equal = equal.groupBy("key", "item_id", "item_windows").agg(F.count_distinct("at").cast("long").alias("n_windows"))
+        more.append(equal.where(F.col("n_windows") >= needed))
+    short = every_item.where((F.size("tok") > 0) & (F.size("tok") < min_tokens)).select("item_id", F.concat_ws(" ", _tokens(bare(F.col("text")))).alias("line")).where("line <> ''")
+    short = stage(short.distinct(), "short")
+    if short.limit(1).count():
+        longest = short.agg(F.max(F.length("line"))).first()[0]
+        line = F.concat_ws(" ", _tokens(bare(F.col("line"))))
+        lines = d.select(_key(F.col("text")).alias("key"), F.explode(F.split("text", "\n")).alias("line")).where(F.length("line") <= 8 * longest + 64).withColumn("line", line)
+        more.append(lines.join(short, "line").select("key", "item_id").distinct().select("key", "item_id", F.lit(1).alias("item_windows"), F.lit(1).cast("long").alias("n_windows")))
+    for found in more:
+        found = found.select("key", "item_id", "item_windows", "n_windows", F.lit(0).cast("long").alias("n_slots"), F.lit(False).alias("reparameterised"))
+        leaks = leaks.unionByName(found.join(leaks, ["key", "item_id"], "left_anti"))
     return keyed.select("doc_id", "key").join(leaks, "key").select("doc_id", "item_id", "n_windows", F.col("item_windows").cast("long").alias("item_windows"), "n_slots", "reparameterised")
 
 

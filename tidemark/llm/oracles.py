@@ -90,21 +90,39 @@ def _op5(window: int = 8, min_tokens: int = 4, max_needed: int = 6) -> str:
     prepared = lambda table, idc: f"""(SELECT {idc}, list_transform(z, lambda x: x[2]) AS tok, list_transform(z, lambda x: {bare}) AS raw FROM (
         SELECT {idc}, list_filter(list_transform(list_zip(string_split_regex(text, '{ws}'), string_split_regex({canon('text')}, '{ws}')), lambda x: [x[1], x[2]]), lambda x: x[2] <> '') AS z
         FROM {table}))"""
+    bared = rf"list_filter(string_split_regex(regexp_replace(lower(text), '[^\p{{L}}\p{{N}}\x20\x09-\x0D]+', '', 'g'), '{ws}'), lambda x: x <> '')"
+    enough = f"count(DISTINCT pos) >= least({max_needed}, ceil(item_windows / 2.0))"
     return f"""
-WITH item AS (SELECT *, least({window}, len(tok)) AS n, len(tok) - least({window}, len(tok)) + 1 AS item_windows
+WITH src AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, text FROM documents WHERE text IS NOT NULL),
+item AS (SELECT *, least({window}, len(tok)) AS n, len(tok) - least({window}, len(tok)) + 1 AS item_windows
               FROM {prepared("(SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)", "item_id")} WHERE len(tok) >= {min_tokens}),
 ig AS (SELECT item_id, n, item_windows, pos, tok[pos:pos + n - 1] AS g, raw[pos:pos + n - 1] AS iraw FROM (SELECT *, unnest(range(1, item_windows + 1)) AS pos FROM item)),
-doc AS MATERIALIZED (SELECT row_number() OVER () AS rid, doc_id, tok, raw FROM {prepared("(SELECT doc_id, text FROM documents WHERE text IS NOT NULL)", "doc_id")}),
+doc AS MATERIALIZED {prepared("src", "rid, doc_id")},
 dg AS (SELECT rid, p, n, tok[p:p + n - 1] AS g, raw[p:p + n - 1] AS draw
        FROM (SELECT rid, tok, raw, n, unnest(range(1, len(tok) - n + 2)) AS p FROM doc, (SELECT DISTINCT n FROM item))),
 m AS (SELECT rid, item_id, item_windows, pos, p - pos AS shift, list_filter(list_transform(range(1, ig.n + 1), lambda i: [ig.g[i], iraw[i], draw[i]]), lambda x: regexp_matches(x[1], '<(num|name|unit)>')) AS slots
       FROM dg JOIN ig ON dg.g = ig.g AND dg.n = ig.n),
-sl AS (SELECT rid, item_id, shift, unnest(CASE WHEN len(slots) = 0 THEN [NULL] ELSE slots END) AS s FROM m),
-ok AS (SELECT rid, item_id, shift, count(DISTINCT s) AS nab, coalesce(bool_or(s[2] <> s[3]), false) AS changed FROM sl GROUP BY ALL
-       HAVING count(DISTINCT s[2]) = count(DISTINCT s[2:3]) AND count(DISTINCT s[3]) = count(DISTINCT s[2:3]))
-SELECT doc_id, item_id, count(DISTINCT pos) AS n_windows, item_windows::BIGINT AS item_windows, max(nab) AS n_slots, bool_and(changed) AS reparameterised
-FROM m JOIN ok USING (rid, item_id, shift) JOIN doc USING (rid) GROUP BY rid, doc_id, item_id, item_windows
-HAVING count(DISTINCT pos) >= least({max_needed}, ceil(item_windows / 2.0))
+mm AS (SELECT *, len(list_filter(slots, lambda x: x[2] <> x[3])) = 0 AS same FROM m),
+sl AS (SELECT rid, item_id, shift, same, unnest(CASE WHEN len(slots) = 0 THEN [NULL] ELSE slots END) AS s FROM mm),
+ok AS (SELECT rid, item_id, shift, count(DISTINCT s) AS pairs, coalesce(bool_or(s[2] <> s[3]), false) AS changed, count(DISTINCT CASE WHEN same THEN s[2] END) AS equal,
+              count(DISTINCT s[2]) = count(DISTINCT s[2:3]) AND count(DISTINCT s[3]) = count(DISTINCT s[2:3]) AS one FROM sl GROUP BY ALL),
+typed AS (SELECT rid, item_id, item_windows, count(DISTINCT pos) AS n_windows, max(CASE WHEN one THEN pairs ELSE equal END) AS n_slots, bool_and(one AND changed) AS reparameterised
+          FROM mm JOIN ok USING (rid, item_id, shift) WHERE one OR same GROUP BY ALL
+          HAVING {enough}),
+named AS (SELECT item_id FROM ig GROUP BY item_id, item_windows HAVING count(*) FILTER (NOT list_contains(g, '<name>')) < least({max_needed}, ceil(item_windows / 2.0))),
+bitem AS (SELECT item_id, w, least({window}, len(w)) AS n FROM (SELECT DISTINCT item_id, {bared} AS w FROM benchmark WHERE text IS NOT NULL AND item_id IN (SELECT item_id FROM named)) WHERE len(w) >= {min_tokens}),
+bg AS (SELECT item_id, n, len(w) - n + 1 AS item_windows, pos, w[pos:pos + n - 1] AS g FROM (SELECT *, unnest(range(1, len(w) - n + 2)) AS pos FROM bitem)),
+bdoc AS (SELECT rid, {bared} AS w FROM src),
+bdg AS (SELECT rid, n, w[p:p + n - 1] AS g FROM (SELECT rid, w, n, unnest(range(1, len(w) - n + 2)) AS p FROM bdoc, (SELECT DISTINCT n FROM bitem))),
+plain AS (SELECT rid, item_id, item_windows, count(DISTINCT pos) AS n_windows FROM bdg JOIN bg ON bdg.g = bg.g AND bdg.n = bg.n
+          WHERE NOT EXISTS (SELECT 1 FROM typed t WHERE t.rid = bdg.rid AND t.item_id = bg.item_id) GROUP BY ALL HAVING {enough}),
+short AS (SELECT DISTINCT item_id, array_to_string({bared}, ' ') AS line FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)
+          WHERE item_id IN (SELECT item_id FROM {prepared("(SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)", "item_id")} WHERE len(tok) BETWEEN 1 AND {min_tokens - 1})),
+lined AS (SELECT DISTINCT rid, item_id FROM (SELECT rid, array_to_string({bared}, ' ') AS line FROM (SELECT rid, unnest(string_split(text, chr(10))) AS text FROM src)) JOIN short USING (line) WHERE line <> ''),
+found AS (SELECT rid, item_id, n_windows, item_windows, n_slots, reparameterised FROM typed
+          UNION ALL SELECT rid, item_id, n_windows, item_windows, 0, false FROM plain
+          UNION ALL SELECT rid, item_id, 1, 1, 0, false FROM lined)
+SELECT doc_id, item_id, n_windows, item_windows::BIGINT AS item_windows, n_slots, reparameterised FROM found JOIN src USING (rid)
 """
 
 
