@@ -263,3 +263,18 @@ def test_table_is_distinct_and_coreferent(spark):
     assert all(next(iter(pairs["given", n])).endswith(female) for n in ("robin", "kim", "alexis")) and not next(iter(pairs["given", "sam"])).endswith(female)
     full = spark.createDataFrame([(d, f"secret={d:06d}") for d in range(300)] + [(i, f"secret=a{i}bbbb") for i in range(10)], "doc_id long, text string")
     assert len({r.text for r in pii.replace_pii(full).collect()}) == 310
+
+
+CUT_PAGE = """<!DOCTYPE html><html><head><title>T</title></head><body class='x'><nav><a href="/a?b>c">menu</a></nav><article><h1>Head &amp; line</h1>
+<p title="a > b" data-x='c > d'>One <b>two</b> three.</p><!-- no > text --><p id=don't>Four</p><div class="discussion"><p>said so</p></div></article><footer>end</footer></body></html>"""
+
+
+def test_pages_cut_anywhere_leave_no_markup():
+    main = lambda page: " ".join(t for part, t in html_text.blocks(page) if part == "main")
+    assert main(CUT_PAGE) == "Head & line One two three. Four"
+    for n in range(len(CUT_PAGE) + 1):
+        for part, t in html_text.blocks(CUT_PAGE[:n]):
+            assert "<" not in t and ">" not in t and "href" not in t and "title" not in t, (n, part, t)
+        assert "Head & line One two three. Four said so".startswith(main(CUT_PAGE[:n]).replace("&am", "").replace("&a", "").rstrip("&").rstrip()) or "&" in main(CUT_PAGE[:n])
+    assert html_text.blocks('<article><p title="x>lost text') == [] and html_text.blocks('<article>kept <a href="http://exa') == [("main", "kept")]
+    assert main("<article>" + "<p a='" * 20_000) == ""  # no quadratic search
