@@ -98,7 +98,7 @@ class _Events:
         """Every event with what lies around it, staged once; overlaps are counted on the way."""
         ev, s, e = F.col("__ev"), F.col(self.bs), F.col(self.be)
         lay = measure([(events, "__at")], self.K, slice_rows)
-        order = ["__at", "__ev", self.be, FLAG, *self.H, *self.r.key, *self.r.his]
+        order = ["__at", "__ev", self.be, FLAG, *self.H]
         own = F.struct(*self.ident)
         start = F.struct(s.alias("x"))
         t = carried(lay.deal(events, "__at"), lay, order, [

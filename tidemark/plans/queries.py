@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.nulls import null_default_join
+from ..functions.nulls import canonical, columntype_default, null_default_join
 from ..functions.tokens import explode_tokens
 from ..operators._stage import stage
 from ..operators.apply import ACTION, apply_versions, merge_summary, write_merged
@@ -24,7 +24,7 @@ from ..operators.roles import Roles
 from ..operators.scd2 import scd2_merge, scd2_merge_set
 from ..operators.temporal import plan_temporal
 from ..session import scratch_path
-from ..sources.landing import land_batch, read_landing, write_table
+from ..sources.landing import create_landing, land_batch, read_landing, write_table
 from ..sources.variant import discover_paths, flatten, persist_view, saved_paths
 from ..streaming.landing import land_stream, land_stream_checked
 from . import frames as fr
@@ -74,6 +74,12 @@ def scd2_window(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def scd2_reconciled(spark: SparkSession, sf: str) -> DataFrame:
+    """The same merge from a role string and a source with other column order, spelling and one column too many."""
+    src = fr.f1_src(spark, sf).select("opr", F.lit("x").alias("loaded_by"), "c_nationkey", F.col("c_acctbal").alias("C_ACCTBAL"), "c_mktsegment", F.col("c_custkey").alias("C_CUSTKEY"))
+    return present(scd2_merge_set(src, fr.f1_tgt(spark, sf), Roles.parse("KEY:[C_Custkey]; OPR:opr"), fr.AS_OF))
+
+
 def _scd2_applied(spark: SparkSession, sf: str) -> DataFrame:
     return scd2_merge(
         fr.f1_src(spark, sf), fr.f1_tgt(spark, sf), F1_ROLES_OPR, fr.AS_OF, window=F1_WINDOW, keep_action=True
@@ -361,6 +367,45 @@ def land_stream_available_now(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def land_recreated(spark: SparkSession, sf: str) -> DataFrame:
+    """A landing table is filled in two appends, made anew, and filled again: the earlier rows are gone."""
+    path, orders = scratch_path(spark, "recreated"), f"{sf.rstrip('/')}/orders.parquet"
+    landed = land_batch(spark, orders)
+    odd = F.try_variant_get("value", "$.o_orderkey", "bigint") % 2 == 1
+    create_landing(spark, path)
+    write_table(landed, path, mode="append")
+    create_landing(spark, path)
+    for part in (odd, ~odd):
+        write_table(landed.where(part), path, mode="append")
+    return read_landing(spark, path).select(_basename().alias("src_file_nm"), F.try_variant_get("value", "$.o_orderkey", "string").alias("o_orderkey"))
+
+
+def land_load_times(spark: SparkSession, sf: str) -> DataFrame:
+    """One load time for all rows of a load, between its begin and its end."""
+    path = scratch_path(spark, "times")
+    now = lambda: spark.range(1).select(F.localtimestamp().alias("t")).first()["t"]
+    begin = now()
+    write_table(land_batch(spark, f"{sf.rstrip('/')}/orders.parquet"), path)
+    end = now()
+    t = F.col("load_ts")
+    return read_landing(spark, path).groupBy(_basename().alias("src_file_nm")).agg(
+        F.count(F.lit(1)).alias("n_rows"), F.count_distinct(t).alias("n_times"), F.every((t >= F.lit(begin)) & (t <= F.lit(end))).alias("in_time"))
+
+
+def null_defaults(spark: SparkSession, sf: str) -> DataFrame:
+    """The NULL default of each type family, by schema and by type name, over all orders."""
+    o = fr.table(spark, sf, "orders")
+    third = F.col("o_orderkey") % 3 == 0
+    cols = {"o_orderstatus": "TEXT", "o_totalprice": "REAL", "o_custkey": "NUMBER", "o_orderdate": "TIMESTAMP_NTZ"}
+    gaps = o.select("o_orderkey", F.when(~third, F.col("o_orderdate").cast("date")).alias("day"), *[F.when(~third, F.col(c)).alias(c) for c in cols])
+    types = {f.name: f.dataType for f in gaps.schema.fields}
+    by_name = lambda c, family: F.coalesce(F.col(c), F.expr(columntype_default(family)).cast(types[c]))
+    return present(gaps.select(
+        "o_orderkey", canonical("day", types["day"]).cast("string").alias("day"),
+        *[canonical(c, types[c]).alias(c) for c in cols], by_name("o_orderstatus", "TEXT").alias("status_by_name"), by_name("o_custkey", "NUMBER").alias("cust_by_name"),
+        by_name("day", "DATE").cast("string").alias("day_by_name")))
+
+
 def land_batch_orc(spark: SparkSession, sf: str) -> DataFrame:
     return _land_derived(spark, sf, "orc")
 
@@ -475,6 +520,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "scd2_delta": scd2_delta,
     "scd2_delete": scd2_delete,
     "scd2_window": scd2_window,
+    "scd2_reconciled": scd2_reconciled,
     "scd2_apply": scd2_apply,
     "merge_summary": scd2_merge_summary,
     "audit_append": audit_append,
@@ -499,6 +545,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "keygen_source": keygen_source,
     "keygen_summary": q_keygen_summary,
     "keygen_written": keygen_written,
+    "null_defaults": null_defaults,
     "null_default_join": q_null_default_join,
     "explode_tokens": q_explode_tokens,
     "explode_tokens_docs": explode_tokens_docs,
@@ -506,6 +553,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "land_batch_json": land_batch_json,
     "land_batch_csv": land_batch_csv,
     "land_batch_orc": land_batch_orc,
+    "land_recreated": land_recreated,
+    "land_load_times": land_load_times,
     "land_batch_xml": land_batch_xml,
     "land_batch_text": land_batch_text,
     "land_stream_new_column": land_stream_new_column,
