@@ -5,12 +5,12 @@ DataFrame, which is written as Parquet and read again as the next one's ``docs``
 return the columns of ``documents``. ``run`` applies them to ``documents``.
 
 Defined cases: documents with a null text go through unless the classifier rejects them; a null
-doc_id is never a near copy and never contaminated by id; empty tables give empty results.
+doc_id is never a near copy and never contaminated by id; of a repeated row one stays; a document with two unlike texts
+keeps both; other columns pass through all stages but the last; empty tables give empty results.
 """
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tidemark.llm import bpe, decontam, ngram_join, pii, quality_pu
@@ -46,6 +46,8 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of each document, their number, and whether they decode to the text again."""
+    import public_tokenizers  # needed by this stage alone
+
     path = public_tokenizers.path("byte_bpe_multi_50k.tiktoken")
     out = bpe.encode_documents(docs, path, public_tokenizers.PATTERN, keep=("doc_id", "lang", "source", "text"))
     return out.select("doc_id", "lang", "source", F.size("ids").cast("long").alias("n_tokens"), "ids",
