@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import contextlib
 import ctypes
 import gc
+import re
 import sys
 import types
 
@@ -56,16 +56,15 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-@contextlib.contextmanager
-def small_batches(spark: SparkSession, rows: int = 2000):
-    """Rows of long texts go to Python ``rows`` at a time for what runs inside (Spark's default is 10,000)."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
-    before = spark.conf.get(name)
-    spark.conf.set(name, str(min(rows, int(before) if int(before) > 0 else rows)))
-    try:
-        yield
-    finally:
-        spark.conf.set(name, before)
+def bound_batches(spark: SparkSession, size: int = 4 << 20) -> None:
+    """From now on rows go to Python in batches of at most ``size`` bytes in this session (Spark's default is 64 MB).
+
+    A result may run long after the call that defined it, so the setting stays; a lower one is left as it is.
+    """
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    now = int(re.sub(r"\D", "", spark.conf.get(name)) or 0)
+    if not 0 < now <= size:
+        spark.conf.set(name, str(size))
 
 
 def text_bytes(column: pa.Array | pa.ChunkedArray) -> list[bytes]:

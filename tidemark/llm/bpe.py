@@ -38,7 +38,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, types as T
 
-from ._util import per_process
+from ._util import bound_batches, per_process
 
 _NEVER = 1 << 60
 
@@ -314,6 +314,7 @@ def encode_documents(docs: DataFrame, path: str, pattern: str, text: str = "text
 
     ``path`` is the vocabulary file, which every executor can read (it comes with the tokenizer package).
     """
+    bound_batches(docs.sparkSession)
     fields = [docs.schema[c] for c in keep]
     schema = T.StructType([*fields, T.StructField("ids", T.ArrayType(T.IntegerType(), False), False), T.StructField("decoded", T.StringType(), False)])
 

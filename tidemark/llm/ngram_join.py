@@ -47,7 +47,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ._util import free_name, give_back, mix, slices, small_batches, stage, text_bytes, text_parts, window_hashes, word_hashes
+from ._util import bound_batches, free_name, give_back, mix, slices, stage, text_bytes, text_parts, window_hashes, word_hashes
 from .components import components
 from .substring import cells, merge_cells, pack_cells
 
@@ -225,6 +225,9 @@ def compare_blocks(rows: DataFrame, percent: int, block: int = 256) -> DataFrame
                 left += [names[i]] * len(likely)
                 right += names[likely].tolist()
         ends = np.array([left, right], dtype=np.int64).reshape(2, -1)
+        if len(left) > 10_000:
+            left, right = None, None
+            give_back()
         return pd.DataFrame({"a": ends.min(axis=0), "b": ends.max(axis=0)})
 
     return dealt.groupBy("key", "lo", "hi").applyInPandas(run, "a long, b long").distinct()
@@ -255,6 +258,8 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
                 both = _overlap(x, y)
                 yes[k] = 100 * both >= percent * (len(x) + len(y) - both)
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(yes))
+        kept.clear()
+        give_back()
 
     left = pairs.join(texts.select(F.col("name").alias("a"), F.col("text").alias("ta")), "a")
     both = left.join(texts.select(F.col("name").alias("b"), F.col("text").alias("tb")), "b")
@@ -263,8 +268,7 @@ def verify(pairs: DataFrame, texts: DataFrame, n: int, percent: int) -> DataFram
 
 def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int = 32, bits: int = 28, star_rounds: int = 1, small_group: int = 16, broadcast_texts: int = 500_000) -> DataFrame:
     """``doc_id, n_shingles, component_id`` for every row of ``docs``."""
-    with small_batches(docs.sparkSession):
-        rows, member = _classes(docs, n, percent, frequent, bits, star_rounds, small_group, broadcast_texts)
+    rows, member = _classes(docs, n, percent, frequent, bits, star_rounds, small_group, broadcast_texts)
     # the sets of one document hang together
     whole = rows.where("size > 0 AND doc_id IS NOT NULL").join(member, "name", "left").select("doc_id", F.coalesce("component", "name").alias("component"))
     several = whole.groupBy("doc_id").agg(F.min("component").alias("a"), F.max("component").alias("b")).where("a <> b").select("doc_id", "a")
@@ -287,6 +291,7 @@ def link_documents(docs: DataFrame, n: int = 5, percent: int = 75, frequent: int
 def _classes(docs: DataFrame, n: int, percent: int, frequent: int, bits: int, star_rounds: int, small_group: int, broadcast_texts: int) -> tuple[DataFrame, DataFrame]:
     """Rows ``doc_id, text_key, size, name`` of all texts, and ``name, component`` of the classes that link."""
     spark = docs.sparkSession
+    bound_batches(spark)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_key"), "text")
     first = stage(_sets(d, n), "sets")
     rows = first.where("size IS NOT NULL").select("doc_id", "text_key", "size", "name")
@@ -414,8 +419,7 @@ def keep_one_per_group(docs: DataFrame, n: int = 5, percent: int = 75, frequent:
 
     Groups are of texts here, so where one id has two texts that do not link, neither is lost.
     """
-    with small_batches(docs.sparkSession):
-        rows, member = _classes(docs, n, percent, frequent, bits, star_rounds, small_group, broadcast_texts)
+    rows, member = _classes(docs, n, percent, frequent, bits, star_rounds, small_group, broadcast_texts)
     own = rows.where("size > 0 AND doc_id IS NOT NULL").join(member, "name", "left")
     own = own.groupBy(F.coalesce("component", "name").alias("component"), "doc_id", "text_key").agg(F.count(F.lit(1)).alias("n"))
     first = own.groupBy("component").agg(F.min(F.struct("doc_id", "text_key")).alias("first"))

@@ -40,7 +40,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ._util import free_name, stage, without
+from ._util import bound_batches, free_name, stage, without
 
 #: Key of the surrogates; production passes its own secret.
 DEFAULT_KEY = b"surrogate key for tests"
@@ -335,6 +335,7 @@ def entity_attempts(docs: DataFrame, key: bytes) -> DataFrame:
 
 def replace_pii(docs: DataFrame, key: bytes = DEFAULT_KEY, broadcast_entities: int = 200_000, count: str | None = "n_entities") -> DataFrame:
     """``docs`` (all columns) with surrogates in ``text``; ``count`` names a column for the number of entities (None: no such column)."""
+    bound_batches(docs.sparkSession)
     docs = without(docs, count) if count else docs
     again = entity_attempts(docs, key).where("attempt > 0 OR gender IS NOT NULL")
     columns, at = docs.columns, docs.columns.index("text")

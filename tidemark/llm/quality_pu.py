@@ -31,7 +31,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ._util import fold
+from ._util import bound_batches, fold, give_back
 
 FEATURES = ("log_words", "symbols", "bangs", "upper_words", "distinct_words", "repeats", "word_length", "digits", "single_chars", "stops", "line_length", "dup_lines")
 _DIGITS = b"0123456789"
@@ -117,6 +117,7 @@ def fit_nnpu(p: np.ndarray, u: np.ndarray, prior: float, steps: int = 800, rate:
 def train(docs: DataFrame, labels: DataFrame, max_positives: int = 10_000, max_unlabelled: int = 20_000,
           prior: float | None = None) -> PuModel:
     """Fit on the training fold (``crc32(doc_id) mod 5 <> 0``) of ``docs`` and ``labels``."""
+    bound_batches(docs.sparkSession)
     lab = labels.select("doc_id", "quality").where("doc_id IS NOT NULL AND quality IS NOT NULL").where(fold(F.col("doc_id")) != 0)
     lab = lab.groupBy("doc_id").agg(F.min("quality").alias("q"))
     d = docs.select("doc_id", "text").where("doc_id IS NOT NULL").where(fold(F.col("doc_id")) != 0)
@@ -165,5 +166,6 @@ def quality_filter(docs: DataFrame, model: PuModel, threshold: float = 0.3) -> D
             texts = b.column(at).to_pylist()
             if texts:
                 yield b.filter(pa.array(model.score(features_of(texts)) >= threshold))
+        give_back()
 
     return docs.mapInArrow(run, docs.schema)
