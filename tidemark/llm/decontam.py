@@ -15,7 +15,8 @@ Items with fewer of those than are needed are searched a second time, by windows
 than ``min_tokens`` words are no windows; they are found where they make up a whole line of a document, case aside.
 
 The benchmark side is broadcast only when its counted windows stay under ``broadcast_windows``;
-beyond that the join shuffles on the window hash. Texts are matched by their 128-bit key, so raw
+beyond that the join shuffles on the window hash; so are the keys of matched texts under ``broadcast_texts``,
+of about 50 bytes each. Texts are matched by their 128-bit key, so raw
 words are fetched for matched texts only, once per text.
 
 Defined cases: null and empty texts and items match nothing; an item of fewer template tokens
@@ -90,7 +91,7 @@ def _spread(t: DataFrame, sizes: list[int]) -> DataFrame:
 
 
 def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_tokens: int = 4, max_needed: int = 6,
-               units: tuple[str, ...] = UNITS, broadcast_windows: int = 1_000_000) -> DataFrame:
+               units: tuple[str, ...] = UNITS, broadcast_windows: int = 1_000_000, broadcast_texts: int = 300_000) -> DataFrame:
     """``doc_id, item_id, n_windows, item_windows, n_slots, reparameterised`` per contaminated document and item."""
     every_item = benchmark.select("item_id", "text").where("text IS NOT NULL").distinct()
     every_item = every_item.withColumn("canon", template(F.col("text"), units)).withColumn("tok", _tokens(F.col("canon"))).withColumn("raw", _raw_words(F.col("text"), F.col("canon")))
@@ -117,7 +118,8 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame, window: int = 8, min_token
 
     # the raw words of matched texts, once per text
     keyed = d.withColumn("key", _key(F.col("text")))
-    texts = keyed.join(near.select("key").distinct(), "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))
+    keys = stage(near.select("key").distinct(), "keys")
+    texts = keyed.join(F.broadcast(keys) if keys.count() <= broadcast_texts else keys, "key", "left_semi").groupBy("key").agg(F.min("text").alias("text"))
     raws = texts.select("key", _raw_words(F.col("text"), template(F.col("text"), units)).alias("draw"))
     aligned = match.join(raws, "key").join(grams.select("item_id", "at", "n", "itok", "iraw").distinct(), ["item_id", "at", "n"])
     aligned = aligned.select("key", "item_id", "item_windows", "at", (F.col("p") - F.col("at")).alias("shift"), F.transform(
