@@ -83,7 +83,12 @@ def per_process(key: tuple, make):
 
 
 def give_back() -> None:
-    """Return memory that this Python process freed but still holds (workers outlive tasks and runs)."""
+    """Drop what :func:`per_process` keeps, and return memory that this Python process freed but still holds.
+
+    Workers outlive tasks and runs, so one that encoded texts before would go on holding the encoder's tables.
+    """
+    if "_corpus_operator_caches" in sys.modules:
+        sys.modules["_corpus_operator_caches"].__dict__.clear()
     gc.collect()
     pa.default_memory_pool().release_unused()
     try:

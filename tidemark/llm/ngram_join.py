@@ -125,6 +125,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
     """Rows ``doc_id, text_key, size, name`` of the texts, and rows ``token, times`` of tokens met twice or more in a part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        give_back()
         part: list[np.ndarray] = []
 
         def counted() -> pa.RecordBatch:
