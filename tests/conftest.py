@@ -15,7 +15,8 @@ INF = "inf"
 
 @pytest.fixture(scope="session")
 def spark():
-    s = local_session("4", shuffle_partitions=4, app="tidemark-tests")
+    # small frames: compiling code for each plan would take longer than running it
+    s = local_session("4", shuffle_partitions=2, app="tidemark-tests", extra={"spark.sql.codegen.wholeStage": "false", "spark.sql.execution.rangeExchange.sampleSizePerPartition": "20"})
     yield s
     s.stop()
 

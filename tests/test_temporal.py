@@ -48,7 +48,7 @@ def run(spark, tgt_rows, src_rows, opr=False, roles=ROLES):
     return split(ms)
 
 
-@pytest.mark.parametrize("above", [None, 1, 2_000_000])
+@pytest.mark.parametrize("above", [None, 1])
 def test_overlaps_are_refused_in_every_layout(spark, above):
     apart, src = [("k", "z", 1, 9), ("k", "y", 10, 12)], [("k", "a", 30, 40)]
     for tgt_rows, src_rows in (([("k", "z", 1, 50), ("k", "y", 10, 12)], src), (apart, [("k", "a", 5, 20), ("k", "b", 10, 30)])):

@@ -78,7 +78,7 @@ def test_hot_key_is_spread(spark):
         same(p.merge_set, whole.merge_set)
     finally:
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
-        spark.conf.set("spark.sql.shuffle.partitions", "4")
+        spark.conf.set("spark.sql.shuffle.partitions", "2")
 
 
 @pytest.mark.parametrize("seed", range(2))

@@ -38,15 +38,6 @@ def audit_frame(spark: SparkSession, src_nm: str, messages: list[tuple[str, str
     )
 
 
-def metrics_messages(metrics: DataFrame, label: str) -> DataFrame:
-    """Turn a one-row metrics frame into audit messages ``'<label> - name: value'``, lazily."""
-    cols = metrics.columns
-    parts = F.array(*[F.concat(F.lit(f"{c}: "), F.col(c).cast("string")) for c in cols])
-    return metrics.select(
-        F.lit(label).alias("msg_txt"), F.array_join(parts, ", ").alias("extra_txt")
-    )
-
-
 def audit(spark: SparkSession, path: str, src_nm: str, rows: DataFrame) -> DataFrame:
     """Append ``rows`` (``msg_txt, extra_txt``) to the audit table at ``path``; returns them."""
     out = rows.select(

@@ -55,12 +55,34 @@ class TemporalPlan:
     cur: DataFrame
     hot: DataFrame
     timeline: DataFrame
-    inp: DataFrame
-    neighbours: DataFrame
-    left: DataFrame
-    right: DataFrame
     norm: DataFrame
     merge_set: DataFrame
+    events: _Events
+
+    def _part(self, part: Column) -> DataFrame:
+        return self.events.fragments(self.timeline, part).select(*self.events.row_columns, *self.K, *self.H, FLAG)
+
+    @property
+    def inp(self) -> DataFrame:
+        """Inputs and deleted versions."""
+        return self._part(self.events.loaded)
+
+    @property
+    def left(self) -> DataFrame:
+        """Remainders of versions before an input."""
+        return self._part(self.events.left)
+
+    @property
+    def right(self) -> DataFrame:
+        """Remainders of versions after an input."""
+        return self._part(self.events.right)
+
+    @property
+    def neighbours(self) -> DataFrame:
+        """Inputs with the bounds of the inputs around them."""
+        ev = self.events
+        inputs = self.timeline.where(F.col("__ev") == _L)
+        return inputs.select(*ev.row_columns, *self.K, *self.H, FLAG, ev.prev_end.alias("prev_end"), ev.next_start.alias("next_start"))
 
 
 def _canon(df: DataFrame, r: Resolved) -> DataFrame:
@@ -76,6 +98,7 @@ class _Events:
         self.bs, self.be = r.bus
         self.eff, self.exp = r.sys
         self.ident = [*r.key, *r.his, *H, self.bs, self.be]
+        self.row_columns = [*r.key, *r.his, self.bs, self.be]
         self.open = ts_lit(BUS_OPEN_FROM, r.types[self.be])
 
     def _event(self, df: DataFrame, kind: int, at: str, flag: int | None, source: bool) -> DataFrame:
@@ -241,8 +264,6 @@ def plan_temporal(
         every = every.unionByName(e)
     t, lay = ev.scan(every, slice_rows, not overlaps_checked)
 
-    inputs = t.where(F.col("__ev") == _L)
-    neighbours = inputs.select(*base, FLAG, ev.prev_end.alias("prev_end"), ev.next_start.alias("next_start"))
     frag = ev.fragments(t, ev.loaded, ev.left, ev.right)
     if lay.cuts is not None:  # a remainder may begin in another slice
         frag = lay.deal(frag, bs)
@@ -273,10 +294,7 @@ def plan_temporal(
         F.when(is_new, as_of_c).otherwise(F.col(eff)).alias(eff), F.when(is_close, as_of_c).otherwise(open_c).alias(exp),
     ).dropDuplicates().select(*row, eff, exp)
 
-    def part_of(part: Column) -> DataFrame:
-        return ev.fragments(t, part).select(*base, FLAG)
-
-    return TemporalPlan(r, K, H, cur, hot, t, part_of(ev.loaded), neighbours, part_of(ev.left), part_of(ev.right), norm, merge_set)
+    return TemporalPlan(r, K, H, cur, hot, t, norm, merge_set, ev)
 
 
 def temporal_merge_set(
