@@ -34,13 +34,18 @@ def explode_tokens(
     upper: bool = True,
     pos_col: str = "token_no",
     token_col: str = "token",
+    distinct_col: str | None = None,
 ) -> DataFrame:
     """One row per non-empty token of ``col``: all other columns, 1-based position, token.
 
+    ``distinct_col``: a column with how many different tokens the row's text has, so that counting them needs no shuffle.
+
     A narrow transformation: splitting and exploding happen inside the scan's
     partition, with no shuffle; the whole text of every row is tokenised.
     """
     keep = [F.col(c) for c in df.columns if c != col]
-    return df.select(
-        *keep, F.posexplode(token_array(col, delims, upper)).alias(pos_col, token_col)
-    ).withColumn(pos_col, F.col(pos_col) + F.lit(1))
+    tokens = token_array(col, delims, upper)
+    if distinct_col is not None:
+        df = df.select(*keep, tokens.alias("__tokens")).withColumn(distinct_col, F.size(F.array_distinct("__tokens")))
+        keep, tokens = [*keep, F.col(distinct_col)], F.col("__tokens")
+    return df.select(*keep, F.posexplode(tokens).alias(pos_col, token_col)).withColumn(pos_col, F.col(pos_col) + F.lit(1))

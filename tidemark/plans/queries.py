@@ -14,6 +14,7 @@ from pyspark.sql import types as T
 
 from ..functions.nulls import canonical, columntype_default, null_default_join
 from ..functions.tokens import explode_tokens
+from ..operators._joins import join_on
 from ..operators._stage import stage
 from ..operators.apply import ACTION, apply_versions, merge_summary, write_merged
 from ..operators.audit import audit_run
@@ -301,11 +302,20 @@ def q_explode_tokens(spark: SparkSession, sf: str) -> DataFrame:
 def explode_tokens_docs(spark: SparkSession, sf: str) -> DataFrame:
     """Whole document texts split on the delimiter set: tokens per document."""
     d = fr.table(spark, sf, "documents").select("doc_id", "text")
-    t = explode_tokens(d, "text", upper=False)
-    return t.groupBy("doc_id").agg(
-        F.count(F.lit(1)).alias("n_tokens"), F.count_distinct("token").alias("n_distinct"),
-        F.max("token_no").alias("last_no"),
-    )
+    t = explode_tokens(d, "text", upper=False, distinct_col="n_distinct")
+    # tokens stay in the task that splits their text; only one row a document is dealt
+    each = stage(t.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n_tokens"), F.max("n_distinct").cast("long").alias("n_distinct"),
+        F.max("token_no").alias("last_no"), F.count_if(F.col("token_no") == 1).alias("n_texts"),
+    ), "table")
+    again = stage(each.where("n_texts > 1").select("doc_id"), "table")
+    if again.isEmpty():
+        return each.drop("n_texts")
+    # texts that share a doc_id meet in one task, and their tokens are compared
+    shared = explode_tokens(join_on(d, again, ["doc_id"], "left_semi").repartition("doc_id"), "text", upper=False)
+    shared = shared.groupBy("doc_id").agg(F.count_distinct("token").alias("n_all"))
+    out = join_on(each, shared, ["doc_id"], "left")
+    return out.select("doc_id", "n_tokens", F.coalesce("n_all", "n_distinct").alias("n_distinct"), "last_no")
 
 
 def land_batch_parquet(spark: SparkSession, sf: str) -> DataFrame:
