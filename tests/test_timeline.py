@@ -108,3 +108,31 @@ def test_envelope_versions(spark):
     v = spark.createDataFrame([("k", 1, 9), ("k", 9, 12), ("k", 12, 40), ("k", 40, 50), ("x", 10, 20), ("", 5, 7)], "k string, s int, e int")
     got = sorted((r.s, r.inside, r.holds_start, r.holds_end) for r in envelope_versions(inp, v, ["k"], "s", "e").collect())
     assert got == [(5, False, True, True), (9, False, True, False), (12, True, False, False)]
+
+
+def test_instants_are_looked_up_by_heads(spark):
+    rows = spark.range(3000).selectExpr("'a' AS k", "cast(id * 7 % 3000 AS int) AS s").unionByName(spark.createDataFrame([("a", None), ("b", 5), (None, 1)], "k string, s int"))
+    lay = measure([(rows, "s")], ["k"], 5)
+    cuts = lay.cuts.first()
+    assert len(cuts["__cuts"]) > 500 and cuts["__heads"] == cuts["__cuts"][::32]  # a row meets some 50 of them
+    for k, s, n, cut in lay.slice_of(rows, "s").select("k", "s", SLICE, "__cut").collect():
+        assert n == (sum(c <= s for c in cuts["__cuts"]) if k == "a" and s is not None else 0) and cut == (k == "a")
+
+
+def test_keys_are_counted_by_bucket_first(spark, monkeypatch):
+    many = spark.range(20000).selectExpr("id AS k", "cast(id % 9 AS int) AS s")
+    seen, real = [], type(many).groupBy
+    monkeypatch.setattr(type(many), "groupBy", lambda df, *by: seen.append([str(b) for b in by]) or real(df, *by))
+    assert measure([(many, "s")], ["k"]).cuts is None
+    assert seen and ["k"] not in seen
+
+
+@pytest.mark.parametrize("rows", [None, 2])
+def test_versions_with_several_system_ends_are_settled_as_one(spark, rows):
+    roles = Roles(key=("k",), his=("his",), bus=("bus_eff_ts", "bus_exp_ts"))
+    src = spark.createDataFrame([("a", "x", day(1), day(5)), ("a", "y", day(5), day(9))], "k string, his string, bus_eff_ts timestamp_ntz, bus_exp_ts timestamp_ntz")
+    ends = [day(200), day(300), OPEN_SYS]
+    tgt = spark.createDataFrame([("a", h, day(s), day(e), day(0), x) for h, s, e in (("x", 1, 5), ("z", 5, 9)) for x in ends], TGT)
+    got = plan_temporal(src, tgt, roles, as_of(), slice_rows=rows).merge_set
+    assert sorted((r.his, r.icw_eff_ts, r.icw_exp_ts) for r in got.collect()) == [("x", day(0), OPEN_SYS), ("y", day(100), OPEN_SYS), ("z", day(0), day(100))]
+    assert "Deduplicate" not in got._jdf.queryExecution().analyzed().toString()  # the merge set is not dealt once more

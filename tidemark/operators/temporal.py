@@ -35,7 +35,7 @@ from .apply import apply_versions
 from .periods import containing, islands
 from .roles import Resolved, Roles, resolve_roles
 from .scd2 import DELETE_FLAG
-from .timeline import Layout, carried, measure
+from .timeline import SLICE, Layout, carried, measure
 
 FLAG = "prog_flag"
 _R, _L, _V, _D = 1, 2, 3, 4  # at one instant in this order
@@ -138,13 +138,15 @@ class _Events:
         touched = F.coalesce(F.col("__deleted") | (F.col("__reach_l") > s) | (F.col("__next_l.x") < e), F.lit(False))
         t = t.withColumn("__touched", (ev == _V) & touched)
         # rows equal to the one before count once
-        bad_v = (ev == _V) & (F.col("__reach_v") > s) & ~F.coalesce(F.col("__last_v") == own, F.lit(False))
-        bad_s = (ev == _L) & F.col("__src") & (F.col("__reach_s") > s)
+        t = t.withColumns({
+            "__bad_v": F.coalesce((ev == _V) & (F.col("__reach_v") > s) & ~F.coalesce(F.col("__last_v") == own, F.lit(False)), F.lit(False)),
+            "__bad_s": F.coalesce((ev == _L) & F.col("__src") & (F.col("__reach_s") > s), F.lit(False)),
+        }).drop("__last_v", "__reach_l", "__reach_v", "__reach_s", "__next_d")
         obs = Observation()
         ensure_checkpoint_dir(t.sparkSession)
-        t = t.observe(obs, F.count_if(bad_v).alias("v"), F.count_if(bad_s).alias("s")).checkpoint(eager=True)
+        t = t.observe(obs, F.count_if("__bad_v").alias("v"), F.count_if("__bad_s").alias("s")).checkpoint(eager=True)
         found = obs.get if check else {"v": 0, "s": 0}
-        for label, n, bad in (("current target", found["v"], bad_v), ("source", found["s"], bad_s)):
+        for label, n, bad in (("current target", found["v"], "__bad_v"), ("source", found["s"], "__bad_s")):
             if n:
                 row = t.where(bad).select(*self.r.key, self.bs, self.be).first()
                 raise OverlapError(f"{n} {label} periods overlap, for example {row.asDict()}; split_overlapping sets such rows aside")
@@ -257,7 +259,7 @@ def plan_temporal(
         have = s.select(*K, F.col(bs).alias("__m_s"), F.col(be).alias("__m_e")).distinct()
         expiring = join_on(held, have, [*K, "__m_s", "__m_e"], "left_anti")
         expiring = expiring.select(*raw, F.col("__m_s").alias(bs), F.col("__m_e").alias(be), *K, *H).distinct()
-        events.append(ev.inputs(expiring, 1, False))
+        events.append(ev.inputs(stage(expiring), 1, False))  # read by the layout, and twice by the scan
 
     every = events[0]
     for e in events[1:]:
@@ -277,14 +279,17 @@ def plan_temporal(
         F.max((~is0).cast("int")).alias("__n1"),
         *[F.max(F.when(is0, F.col(c))).alias(f"__r_{c}") for c in raw],
     )
-    versions = t.where(F.col("__ev") == _V).select(*base, eff, exp, "__touched", F.lit(True).alias("__hot"))
+    # Rows that a version stands in several times, or with several system ends, are settled as one, where they lie.
+    own = [*base, eff] + ([SLICE] if lay.cuts is not None else [])
+    versions = t.where(F.col("__ev") == _V).groupBy(*own).agg(
+        F.bool_or("__touched").alias("__touched"), F.bool_or(F.col(exp) != open_c).alias("__ends"), F.lit(True).alias("__hot")).drop(SLICE)
     both = join_on(versions, flags, ident, "full_outer")
     on_hot = F.coalesce(F.col("__hot"), F.lit(False))
     n0 = F.coalesce(F.col("__n0"), F.lit(0)) == 1
     n1 = F.coalesce(F.col("__n1"), F.lit(0)) == 1
     fate = (
         F.when(~on_hot & n0, F.lit("new"))
-        .when(on_hot & n0 & (F.col(exp) != open_c), F.lit("refresh"))  # D18
+        .when(on_hot & n0 & F.col("__ends"), F.lit("refresh"))  # D18
         # a flag-0 identical row wins over flag 1; D4: only versions that overlap an input, with no identical coalesced row
         .when(on_hot & ~n0 & (n1 | F.col("__touched")), F.lit("close"))
     )
@@ -292,7 +297,7 @@ def plan_temporal(
     merge_set = both.withColumn("__fate", fate).where("__fate IS NOT NULL").select(
         *ident, *[F.when(is_new, F.col(f"__r_{c}")).otherwise(F.col(c)).alias(c) for c in raw],
         F.when(is_new, as_of_c).otherwise(F.col(eff)).alias(eff), F.when(is_close, as_of_c).otherwise(open_c).alias(exp),
-    ).dropDuplicates().select(*row, eff, exp)
+    ).select(*row, eff, exp)
 
     return TemporalPlan(r, K, H, cur, hot, t, norm, merge_set, ev)
 

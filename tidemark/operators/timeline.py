@@ -23,6 +23,11 @@ from ._joins import join_on
 
 SLICE = "__slice"
 _CUTS = "__cuts"
+_HEADS = "__heads"
+#: Every so many cuts one is a head: an instant is looked up among the heads, then among the cuts after its head.
+_STRIDE = 32
+#: Keys are counted by bucket of their hash first: no key has more rows than its bucket.
+_BUCKETS = 1 << 16
 #: Keys of up to this many rows are never cut: a task sorts them at once.
 WHOLE_ROWS = 20_000
 #: Slices a key is cut into at most.
@@ -48,8 +53,10 @@ class Layout:
             return df
         # at most 8 rows and cuts for every task of the cluster (see measure), so they go to all of them
         j = join_on(df, F.broadcast(self.cuts), self.part, "left")
-        passed = lambda instant: F.size(F.filter(_CUTS, lambda c: c <= F.col(instant)))
-        at = [F.coalesce(passed(i), F.lit(0)) for i in instants]
+        upto = lambda cuts, instant: F.size(F.filter(cuts, lambda c: c <= F.col(instant)))
+        heads = [f"__head{i}" for i in range(len(instants))]
+        j = j.withColumns({h: F.greatest(upto(F.col(_HEADS), i) - 1, F.lit(0)) * _STRIDE for h, i in zip(heads, instants)})
+        at = [F.coalesce(F.col(h) + upto(F.slice(_CUTS, F.col(h) + 1, _STRIDE), i), F.lit(0)) for h, i in zip(heads, instants)]
         at = [F.when(F.col(_CUTS).isNotNull(), a).otherwise(0).alias(n) for a, n in zip(at, names)]
         return j.select(*df.columns, *at, *([F.col(_CUTS).isNotNull().alias("__cut")] if len(instants) == 1 else []))
 
@@ -72,18 +79,22 @@ def measure(frames: list[tuple[DataFrame, str]], part: list[str], rows: int | No
     for df, at in frames:
         one = df.select(*part, F.col(at).alias("__at"))
         every = one if every is None else every.unionByName(one)
-    sizes = every.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
-    total, largest = sizes.agg(F.sum("__n"), F.max("__n")).first()
     tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bucket = F.pmod(F.xxhash64(*part), F.lit(_BUCKETS if rows is None else 16 * _BUCKETS))
+    total, largest = every.groupBy(bucket.alias("__b")).agg(F.count(F.lit(1)).alias("__n")).agg(F.sum("__n"), F.max("__n")).first()
     most = rows if rows is not None else max(WHOLE_ROWS, (total or 0) // (8 * tasks))
     if (largest or 0) <= most:
         return Layout(part)
+    sizes = every.groupBy(*part).agg(F.count(F.lit(1)).alias("__n"))
+    if (sizes.agg(F.max("__n")).first()[0] or 0) <= most:
+        return Layout(part)
     hot = sizes.where(F.col("__n") > most).withColumn("__n", F.least(F.lit(MOST_SLICES), F.ceil(F.col("__n") / most)))
     shares = [k / MOST_SLICES for k in range(1, MOST_SLICES)]
     marks = join_on(every, hot, part).groupBy(*part).agg(F.percentile_approx("__at", shares, 4 * MOST_SLICES).alias("__q"), F.max("__n").alias("__n"))
     picked = F.transform(F.sequence(F.lit(1), F.col("__n") - 1), lambda i: F.get("__q", (F.floor(i * MOST_SLICES / F.col("__n")) - 1).cast("int")))
     ensure_checkpoint_dir(spark)
-    return Layout(part, marks.select(*part, F.array_sort(F.array_distinct(picked)).alias(_CUTS)).checkpoint(eager=True))
+    cuts = marks.select(*part, F.array_sort(F.array_distinct(picked)).alias(_CUTS))
+    return Layout(part, cuts.withColumn(_HEADS, F.filter(_CUTS, lambda _, i: i % _STRIDE == 0)).checkpoint(eager=True))
 
 
 def carried(df: DataFrame, layout: Layout, order: list[str], wanted: list[tuple[str, str, Column]], within: list[str] | None = None) -> DataFrame:
