@@ -315,3 +315,28 @@ def test_pipeline_against_brute_force(spark, tmp_path, reference):
     for name, stage in corpus_pipeline.STAGES:
         empty = stage(spark, docs.limit(0), str(tmp_path))
         assert empty.count() == 0 and (name == "encode" or empty.columns == docs.columns)
+
+
+def test_a_host_has_one_suffix_array(spark, tmp_path, monkeypatch):
+    menu = "one menu of eight words that is repeated"
+    rows = [(i, f"http://{'a' if i < 30 else 'b'}.org/{i}", f"<p>{menu}</p><p>own{i} words</p>") for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(5)
+    real, out = html_text.suffix_runs, str(tmp_path)
+
+    def counted(streams, run):
+        import uuid
+        with open(f"{out}/{uuid.uuid4().hex}", "w") as f:
+            f.write(str(len(streams)))
+        return real(streams, run)
+
+    monkeypatch.setattr(html_text, "suffix_runs", counted)
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "4")
+    try:
+        whole = sorted(tuple(r) for r in html_text.extract_text(pages).collect())
+        sizes = sorted(int(f.read_text()) for f in tmp_path.iterdir())
+        parts = sorted(tuple(r) for r in html_text.extract_text(pages, array_bytes=200).collect())
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    assert sizes == [10, 30]
+    assert whole == parts == [(i, u, f"own{i} words") for i, u, _ in rows]
