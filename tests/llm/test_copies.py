@@ -6,6 +6,7 @@ from collections import Counter
 
 import numpy as np
 
+from tidemark.llm import ngram_join, substring
 from tidemark.llm.components import components
 from tidemark.llm.ngram_join import bitmap, class_level, keep_one_per_group, link_documents, may_link, signatures, token_sets
 from tidemark.llm.substring import remove_repeats
@@ -134,3 +135,46 @@ def test_substring_odd_inputs(odd, none):
     by = {r.doc_id: r for r in got}
     assert by[1].text is None and by[2].text == "" and by[6].n_words == 60_000 and by[6].n_removed == 60_000
     assert remove_repeats(none, bits=18).count() == 0
+
+
+def test_sketch_blocks_merge_in_parallel_tasks(spark, monkeypatch):
+    rng, frame = np.random.default_rng(3), type(spark.range(1))
+    parts = [rng.integers(0, 400, n).astype(np.uint64) for n in (1, 50, 300, 300)]
+    rows = [tuple(r) for p in parts for r in zip(*(c.to_pylist() for c in substring.pack_cells(p, 2, 19).columns))]
+    plans, real = [], frame.toLocalIterator
+
+    def seen(self, *args, **options):
+        plans.append(self._jdf.queryExecution().executedPlan().toString())
+        return real(self, *args, **options)
+
+    monkeypatch.setattr(frame, "toLocalIterator", seen)
+    twice = substring.merge_cells(spark.createDataFrame(rows, "block int, cells binary").repartition(3), 2, 19)
+    assert plans and not any("MapInArrow" in p or "Exchange" in p for p in plans)  # what is iterated is merged already
+    cell, n = np.unique(np.concatenate([np.concatenate(substring.cells(p, 2, 19)) for p in parts]), return_counts=True)
+    assert np.flatnonzero(np.unpackbits(twice)).tolist() == cell[n > 1].tolist()
+
+
+def test_blocks_compared_like_single_pairs(spark):
+    rng = np.random.default_rng(5)
+    rows = []
+    for key, n in ((1, 90), (2, 30), (3, 1)):
+        base = rng.integers(0, 1 << 63, 260).astype(np.uint64)
+        for k in range(n):
+            size = int(rng.choice([5, 15, 16, 17, 20, 60, 64, 65, 80, 200, 250]))
+            s = np.unique(np.concatenate((base[:size - size // 9], rng.integers(0, 1 << 63, size // 9).astype(np.uint64))))
+            rows.append((key, 1000 * key + k, len(s), bool(rng.integers(0, 2)), int(rng.integers(0, 3)), ngram_join.bitmap(s), n))
+    expect = set()
+    for a in rows:
+        for b in rows:
+            (x, y) = (a, b) if a[2] <= b[2] else (b, a)
+            if a[0] == b[0] and a[1] < b[1] and a[4] != b[4] and 100 * x[2] >= 75 * y[2] and (x[3] or x[2] == y[2] and y[3]) and ngram_join.may_link(x[5], x[2], y[5], y[2], 75):
+                expect.add((a[1], b[1]))
+    df = spark.createDataFrame(rows, "key long, name long, size long, index boolean, component long, bits binary, n long")
+    kept = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "7")  # groups go over the batches
+    try:
+        got = [tuple(r) for r in ngram_join.compare_blocks(df, 75, block=16).collect()]
+    finally:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
+    assert len(expect) > 100 and len(got) == len(set(got)) and set(got) == expect
+    assert ngram_join.compare_blocks(df.limit(0), 75).count() == 0

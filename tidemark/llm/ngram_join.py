@@ -43,11 +43,10 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from ._util import bound_batches, free_name, give_back, mix, slices, stage, text_bytes, text_parts, window_hashes, word_hashes
+from ._util import bound_batches, free_name, give_back, mix, slices, stage, text_bytes, text_parts, trim, window_hashes, word_hashes
 from .components import components
 from .substring import cells, merge_cells, pack_cells
 
@@ -146,7 +145,7 @@ def _sets(docs: DataFrame, n: int) -> DataFrame:
                 if held >= _PART:
                     yield counted()
                     held = 0
-            give_back()
+            trim()
             empty = pa.nulls(b.num_rows, pa.int64())
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(sizes, pa.int64()), pa.array(names, pa.int64()), empty, empty], names=["doc_id", "text_key", "size", "name", "token", "times"])
         if part:
@@ -203,35 +202,75 @@ def compare_blocks(rows: DataFrame, percent: int, block: int = 256) -> DataFrame
     dealt = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     dealt = dealt.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("n", "other")
 
-    def run(g: pd.DataFrame) -> pd.DataFrame:
-        """Each row against the later rows, a table of bitmaps of one length at a time."""
-        names, sizes, index, part, own = (g[c].to_numpy() for c in ("name", "size", "index", "component", "own"))
-        one_block, lengths = int(g["lo"].iloc[0]) == int(g["hi"].iloc[0]), g["bits"].map(len).to_numpy()
-        tables = {n: (np.flatnonzero(lengths == n), np.frombuffer(b"".join(g["bits"][lengths == n]), np.uint8).reshape(-1, n)) for n in set(lengths.tolist())}
-        left, right = [], []
-        for i, raw in enumerate(g["bits"]):
-            for n, (at, table) in tables.items():
-                fits = (at > i) & (part[at] != part[i]) & (one_block | (own[at] != own[i]))
-                fits &= 100 * np.minimum(sizes[at], sizes[i]) >= percent * np.maximum(sizes[at], sizes[i])
-                fits &= ((sizes[i] <= sizes[at]) & index[i]) | ((sizes[at] <= sizes[i]) & index[at])
-                if not fits.any():
-                    continue
-                a, b = np.frombuffer(raw, np.uint8), table[fits]
-                a = _folded(a, n)
-                while b.shape[1] > len(a):
-                    b = b[:, :b.shape[1] // 2] | b[:, b.shape[1] // 2:]
-                a, b = a.view(np.uint64), np.ascontiguousarray(b).view(np.uint64)
-                most = np.minimum(sizes[i] - np.bitwise_count(a & ~b).sum(axis=1), sizes[at][fits] - np.bitwise_count(b & ~a).sum(axis=1))
-                likely = at[fits][100 * most >= percent * (sizes[i] + sizes[at][fits] - most)]
-                left += [names[i]] * len(likely)
-                right += names[likely].tolist()
-        ends = np.array([left, right], dtype=np.int64).reshape(2, -1)
-        if len(left) > 10_000:
-            left, right = None, None
-            give_back()
-        return pd.DataFrame({"a": ends.min(axis=0), "b": ends.max(axis=0)})
-
-    return dealt.groupBy("key", "lo", "hi").applyInPandas(run, "a long, b long").distinct()
+    def likely_of(names: np.ndarray, sizes: np.ndarray, index: np.ndarray, part: np.ndarray, own: np.ndarray, maps: list[bytes], one_block: bool) -> tuple[np.ndarray, np.ndarray]:
+        """All pairs of a group that sizes and indexes allow, a few megabytes of bitmaps at a time."""
+        order = np.argsort(sizes, kind="stable")
+        names, sizes, index, part, own = (x[order] for x in (names, sizes, index, part, own))
+        maps = [maps[k] for k in order.tolist()]
+        lengths = np.fromiter(map(len, maps), np.int64, len(maps))
+        # by size each row meets the later ones up to the greatest size that can link
+        last = np.searchsorted(sizes, 100 * sizes // percent, side="right")
+        n = last - np.arange(len(sizes)) - 1
+        i = np.repeat(np.arange(len(sizes)), n)
+        j = np.arange(len(i)) - np.repeat(np.cumsum(n) - last, n)
+        fits = (part[i] != part[j]) & (one_block | (own[i] != own[j])) & (index[i] | (sizes[i] == sizes[j]) & index[j])
+        i, j = i[fits], j[fits]
+        tables, place = {}, np.zeros(len(maps), np.int64)
+        for size in np.unique(lengths[np.union1d(i, j)]).tolist():
+            at = np.flatnonzero(lengths == size)
+            place[at] = np.arange(len(at))
+            tables[size, size] = np.frombuffer(b"".join(maps[k] for k in at.tolist()), np.uint8).reshape(-1, size)
+
+        def table(size: int, width: int) -> np.ndarray:
+            if (size, width) not in tables:
+                x = tables[size, size]
+                while x.shape[1] > width:
+                    x = x[:, :x.shape[1] // 2] | x[:, x.shape[1] // 2:]
+                tables[size, width] = np.ascontiguousarray(x)
+            return tables[size, width].view(np.uint64)
+
+        yes = np.zeros(len(i), dtype=bool)
+        kind = lengths[i] << 32 | lengths[j]
+        for both in np.unique(kind).tolist():
+            size, other = both >> 32, both & 0xFFFFFFFF
+            pairs = np.flatnonzero(kind == both)
+            a, b = table(size, min(size, other)), table(other, min(size, other))
+            for at in np.array_split(pairs, -(-len(pairs) * min(size, other) // (1 << 21))):
+                x, y, nx, ny = a[place[i[at]]], b[place[j[at]]], sizes[i[at]], sizes[j[at]]
+                most = np.minimum(nx - np.bitwise_count(x & ~y).sum(axis=1, dtype=np.int64), ny - np.bitwise_count(y & ~x).sum(axis=1, dtype=np.int64))
+                yes[at] = 100 * most >= percent * (nx + ny - most)
+        return names[i[yes]], names[j[yes]]
+
+    columns = ["key", "lo", "hi", "name", "size", "index", "component", "own", "bits"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Groups lie together; the last one of a batch may go on in the next."""
+        rest: list[pa.RecordBatch] = []
+
+        def compared(t: pa.Table, cuts: list[int]) -> pa.RecordBatch:
+            names, sizes, index, part, own = (t.column(c).to_numpy() for c in columns[3:8])
+            one_block, maps = t.column("lo").to_numpy() == t.column("hi").to_numpy(), t.column("bits").to_pylist()
+            found = [likely_of(names[x:y], sizes[x:y], index[x:y], part[x:y], own[x:y], maps[x:y], bool(one_block[x])) for x, y in zip(cuts[:-1], cuts[1:])]
+            left, right = (np.concatenate([f[k] for f in found]) for k in (0, 1))
+            return pa.RecordBatch.from_arrays([pa.array(np.minimum(left, right)), pa.array(np.maximum(left, right))], names=["a", "b"])
+
+        for b in batches:
+            t = pa.Table.from_batches([*rest, b])
+            key, lo, hi = (t.column(c).to_numpy() for c in columns[:3])
+            heads = np.flatnonzero((key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])) + 1
+            if len(heads):
+                yield compared(t.slice(0, int(heads[-1])), [0, *heads.tolist()])
+                rest = t.slice(int(heads[-1])).to_batches()
+            else:
+                rest = t.to_batches()
+            trim()
+        if rest:
+            t = pa.Table.from_batches(rest)
+            yield compared(t, [0, t.num_rows])
+        trim()
+
+    grouped = dealt.select(*columns).repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi")
+    return grouped.mapInArrow(run, "a long, b long").distinct()
 
 
 def _overlap(a: np.ndarray, b: np.ndarray) -> int:

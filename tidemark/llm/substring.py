@@ -30,7 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F, types as T
 
-from ._util import free_name, mix, slices, text_bytes, text_parts, window_hashes, without, word_hashes
+from ._util import free_name, mix, slices, stage, text_bytes, text_parts, window_hashes, without, word_hashes
 
 _U = np.uint64
 _BLOCK_BITS = 18
@@ -77,7 +77,8 @@ def pack_cells(h: np.ndarray, depth: int, bits: int) -> pa.RecordBatch:
 def merge_cells(parts: DataFrame, depth: int, bits: int) -> np.ndarray:
     """Bits of the merged sketch of ``block, cells`` rows: whether a cell was counted at least twice.
 
-    A block has a fixed size and is summed as it streams in; the driver gets ``depth * 2 ** bits / 8`` bytes in all.
+    A block has a fixed size and is summed as it streams in, at the cells that a part fills only; blocks are merged in parallel
+    tasks and staged, and the driver reads ``depth * 2 ** bits / 8`` bytes of them in all.
     """
 
     def merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -86,15 +87,17 @@ def merge_cells(parts: DataFrame, depth: int, bits: int) -> np.ndarray:
             for block, raw in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 got = np.frombuffer(raw, dtype="<u4")
                 total = sums.setdefault(block, np.zeros(1 << _BLOCK_BITS, dtype=np.uint8))
-                # cells repeat within one part where hashes share them
-                add = np.bincount(got >> 1, weights=1 + (got & 1), minlength=1 << _BLOCK_BITS)
-                np.minimum(total + np.minimum(add, 2), 2, out=total, casting="unsafe")
+                cell, times = got >> 1, 1 + (got & 1)
+                heads = np.flatnonzero(np.diff(cell, prepend=cell[0] + 1))  # in order; cells repeat within one part where hashes share them
+                cell, times = cell[heads], np.add.reduceat(times, heads)
+                total[cell] = np.minimum(total[cell] + np.minimum(times, 2), 2)
         for block, total in sums.items():
             yield pa.RecordBatch.from_arrays([pa.array([block], pa.int32()), pa.array([np.packbits(total > 1).tobytes()], pa.binary())], names=["block", "twice"])
 
     out = np.zeros((depth << bits) // 8, dtype=np.uint8)
     size = (1 << _BLOCK_BITS) // 8
-    for block, twice in parts.repartition("block").mapInArrow(merge, "block int, twice binary").toLocalIterator():
+    # staged first: an iterator over the merge itself would run its tasks one after the other
+    for block, twice in stage(parts.repartition("block").mapInArrow(merge, "block int, twice binary"), "cells").toLocalIterator():
         out[block * size:(block + 1) * size] = np.frombuffer(twice, dtype=np.uint8)
     return out
 
