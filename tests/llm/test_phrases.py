@@ -7,6 +7,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from tidemark.llm import phrases
 from tidemark.llm.phrases import CountTransducer, mine_phrases, order_key, unite
 
 FINISHED = ["lang", "rank", "phrase", "a", "l", "r", "n", "score"]
@@ -93,3 +94,30 @@ def test_equal_tails_are_shared():
     assert [len(x[0]) for x in t.levels] == [1, 1, 1]
     t = CountTransducer.build(np.arange(5, dtype=np.uint64), places, np.array([7, 1, 7, 2]))
     assert [len(x[0]) for x in t.levels] == [1, 2, 2]
+
+
+def test_counts_places_and_unions_equal_brute_force():
+    rng = np.random.default_rng(6)
+    words = rng.integers(1, 1 << 63, 300).astype(np.uint64) * np.uint64(2)
+    words[:100] >>= np.uint64(40)  # labels that begin alike
+    for depth in (1, 2, 4):
+        parts, expect = [], Counter()
+        for n in (0, 1, 400, 3000):
+            rows = words[np.minimum(rng.zipf(1.2, (n, depth)), 300) - 1]
+            expect.update(map(tuple, rows.tolist()))
+            if n:
+                labels, places, counts = phrases.counted(rows)
+                assert dict(zip(map(tuple, labels[places].tolist()), counts.tolist())) == Counter(map(tuple, rows.tolist()))
+                parts.append((labels[places], counts))
+        rows, counts = phrases.unite(parts)
+        assert [tuple(r) for r in rows.tolist()] == sorted(expect) and counts.tolist() == [expect[r] for r in sorted(expect)]
+
+
+def test_labels_are_new_once():
+    rng, seen, known = np.random.default_rng(7), phrases.SeenLabels(bits=3), set()
+    words = rng.integers(1, 1 << 63, 60).astype(np.uint64) * np.uint64(2)
+    for _ in range(30):
+        some = words[rng.integers(0, 60, 25)]
+        new = some[seen.new(some)].tolist()
+        assert sorted(new) == sorted(set(some.tolist()) - known)
+        known.update(new)

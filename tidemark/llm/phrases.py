@@ -131,10 +131,18 @@ def unite(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.nd
     rows, counts = np.concatenate([r for r, _ in parts]), np.concatenate([c for _, c in parts])
     if len(parts) == 1 or not len(rows):
         return rows, counts
-    order = np.lexsort(rows.T[::-1])
-    rows, counts = rows[order], counts[order]
-    heads = np.flatnonzero(np.concatenate(([True], (rows[1:] != rows[:-1]).any(axis=1))))
-    return rows[heads], np.add.reduceat(counts, heads)
+    keys = [rows[:, 0]]
+    if rows.shape[1] > 1:  # two labels in one number, by their places
+        labels = distinct(rows)[0]
+        place = places_of(labels, rows).reshape(rows.shape)
+        keys = [place[:, d] * len(labels) + place[:, d + 1] for d in range(0, rows.shape[1], 2)]
+    order = np.argsort(keys[0], kind="stable") if len(keys) == 1 else np.lexsort(keys[::-1])
+    new = np.zeros(len(order), dtype=bool)
+    new[0] = True
+    for key in keys:
+        new[1:] |= key[order[1:]] != key[order[:-1]]
+    heads = np.flatnonzero(new)
+    return rows[order[heads]], np.add.reduceat(counts[order], heads)
 
 
 # ---- texts to labels and runs -------------------------------------------------------------------
@@ -203,21 +211,65 @@ def runs(label: np.ndarray, follows: np.ndarray, depth: int, words, pairs) -> np
     return np.stack((label[at], label[at + 1], label[at + 2], last), axis=1)
 
 
+def distinct(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct values and how often each occurs (a plain sort; no order of places is needed)."""
+    x = np.sort(values, axis=None)
+    heads = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1]))) if len(x) else np.empty(0, np.int64)
+    return x[heads], np.diff(heads, append=len(x))
+
+
+def places_of(labels: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Place of each value (all occur) among the sorted distinct ``labels``: labels are hashes, so their first bits nearly say it."""
+    bits = max(1, min(22, len(labels).bit_length() + 1))
+    start = np.searchsorted(labels, np.arange(1 << bits, dtype=_U) << _U(64 - bits))
+    values = values.ravel()
+    place = start[(values >> _U(64 - bits)).astype(np.int64)]
+    left = np.flatnonzero(labels[place] != values)
+    for _ in range(8):
+        place[left] += 1
+        left = left[labels[np.minimum(place[left], len(labels) - 1)] != values[left]]
+        if not len(left):
+            return place
+    place[left] = np.searchsorted(labels, values[left])  # where many labels begin alike
+    return place
+
+
 def counted(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Sorted distinct labels, distinct rows as places among them (in order), and their counts."""
-    labels, place = np.unique(rows, return_inverse=True)
-    place = place.reshape(rows.shape).astype(np.int64)
+    labels, times = distinct(rows)
     if rows.shape[1] == 1:
-        return labels, np.arange(len(labels))[:, None], np.bincount(place[:, 0], minlength=len(labels))
-    pairs = [np.unique(place[:, d] * len(labels) + place[:, d + 1], return_inverse=True) for d in range(0, rows.shape[1], 2)]
-    key, n = pairs[0][1].astype(np.int64), len(labels)
+        return labels, np.arange(len(labels))[:, None], times
+    place, n = places_of(labels, rows).reshape(rows.shape), len(labels)
+    if rows.shape[1] == 2:
+        key, count = distinct(place[:, 0] * n + place[:, 1])
+        return labels, np.stack((key // n, key % n), axis=1), count
+    pairs = [np.unique(place[:, d] * n + place[:, d + 1], return_inverse=True) for d in range(0, rows.shape[1], 2)]
+    key = pairs[0][1].astype(np.int64)
     for _, at in pairs[1:]:
         key = key * len(pairs[1][0]) + at
-    key, count = np.unique(key, return_counts=True)
-    whole = [pairs[0][0][key]] if len(pairs) == 1 else [pairs[0][0][key // len(pairs[1][0])], pairs[1][0][key % len(pairs[1][0])]]
+    key, count = distinct(key)
+    whole = [pairs[0][0][key // len(pairs[1][0])], pairs[1][0][key % len(pairs[1][0])]]
     return labels, np.stack([c for p in whole for c in (p // n, p % n)], axis=1), count
 
 
+class SeenLabels:
+    """Labels met before in a task: a table of one label a slot settles nearly all, a set the rest."""
+
+    def __init__(self, bits: int = 18):
+        self.shift, self.table, self.all = _U(64 - bits), np.zeros(1 << bits, dtype=_U), set()
+
+    def new(self, labels: np.ndarray) -> np.ndarray:
+        """Places of the labels (never 0) that were not met before, the first of each."""
+        some = np.flatnonzero(self.table[(labels >> self.shift).astype(np.int64)] != labels)
+        if not len(some):
+            return some
+        first, once = np.unique(labels[some], return_index=True)
+        fresh = np.fromiter((x not in self.all for x in first.tolist()), bool, len(first))
+        self.all.update(first[fresh].tolist())
+        self.table[(first >> self.shift).astype(np.int64)] = first
+        return some[once[fresh]]
+
+
 # ---- the passes ---------------------------------------------------------------------------------
 
 def _shards(docs: DataFrame, depth: int, shard: int, words, pairs, bounds: np.ndarray, strings: bool = False) -> DataFrame:
@@ -225,7 +277,7 @@ def _shards(docs: DataFrame, depth: int, shard: int, words, pairs, bounds: np.nd
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w, p = (x.value if x is not None else None for x in (words, pairs))
-        held, seen, totals, size = [], np.empty(0, dtype=_U), {}, 0
+        held, seen, totals, size = [], SeenLabels(), {}, 0
 
         def row(slice_=None, paths=None, label=None, lang=None, word=None) -> pa.RecordBatch:
             n = len(paths if paths is not None else label)
@@ -265,21 +317,19 @@ def _shards(docs: DataFrame, depth: int, shard: int, words, pairs, bounds: np.nd
                         known = _has(w, label)
                         link = np.flatnonzero(follows[:-1] & known[:-1] & known[1:]) if len(label) else follows
                         link = link[_has(p, pair_hash(label[link], label[link + 1]))] if len(link) else np.empty(0, np.int64)
-                        at = np.union1d(link, link + 1)
-                        first, once = np.unique(label[at], return_index=True)
-                        new = ~np.isin(first, seen)
-                        first, at = first[new], at[once[new]]
-                        if len(first):
+                        linked = np.zeros(len(label), dtype=bool)
+                        linked[link] = linked[link + 1] = True
+                        at = np.flatnonzero(linked)
+                        at = at[seen.new(label[at])]
+                        if len(at):
                             raw = joined.tobytes()
-                            yield row(label=first.view(np.int64), lang=[langs[lo + i + int(owner[k])] for k in at],
+                            yield row(label=label[at].view(np.int64), lang=[langs[lo + i + int(owner[k])] for k in at],
                                       word=[raw[starts[k]:stops[k]].decode("utf-8", "replace") for k in at])
-                            seen = np.union1d(seen, first)
                         names = sorted({langs[lo + i + int(t)] for t in np.unique(owner)})
                         empty = np.array([_labelled(_EMPTY, _U(lang_salt(x)))[0] for x in names], dtype=_U)
-                        unseen = ~np.isin(empty, seen)
-                        if unseen.any():
-                            yield row(label=empty[unseen].view(np.int64), lang=[x for x, u in zip(names, unseen) if u], word=[""] * int(unseen.sum()))
-                            seen = np.union1d(seen, empty)
+                        unseen = seen.new(empty)
+                        if len(unseen):
+                            yield row(label=empty[unseen].view(np.int64), lang=[names[k] for k in unseen], word=[""] * len(unseen))
                     held.append((label, follows))
                     size += len(label)
                     if size >= shard:
