@@ -340,3 +340,18 @@ def test_a_host_has_one_suffix_array(spark, tmp_path, monkeypatch):
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", kept)
     assert sizes == [10, 30]
     assert whole == parts == [(i, u, f"own{i} words") for i, u, _ in rows]
+
+
+def test_runs_are_counted_on_whole_pages(spark):
+    menu, words = "home about products contact imprint privacy terms and conditions of use", "a paragraph of ten words that several pages have alike"
+    rows = [(i, f"http://m.org/{i}", f"<div>{menu}</div><article>text{i} of{i}</article>") for i in range(5)]  # one menu, five articles
+    rows += [(10 + i, f"http://a.org/{i}", f"<article>{words} and own{i}</article>") for i in range(2)]  # in two articles and open
+    rows += [(20, "http://m.org/x", f"<div>{menu}</div><p>open text</p>"), (21, "http://a.org/x", f"<p>{words}</p><p>open text</p>")]
+    rows += [(30 + i, f"http://b.org/{i}", f"<article>{words} and own{i}</article>") for i in range(4)]
+    rows += [(40 + i, f"http://c.org/{i}", "<div>one two three four</div><article>five six seven eight</article>" * (i < 2) or "<p>one two three four five six seven eight</p>") for i in range(3)]
+    for array_bytes in (1 << 22, 120):
+        got = html_text.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string"), array_bytes=array_bytes).collect()
+        text = {r.page_id: r.text for r in got}
+        assert len(got) == len(rows) and text[20] == text[21] == "open text"
+        assert all(text[i] == f"text{i} of{i}" for i in range(5)) and all(text[30 + i] == f"{words} and own{i}" for i in range(4))
+        assert text[42] == "one two three four five six seven eight"  # no run goes from the menu into the article
