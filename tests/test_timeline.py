@@ -136,3 +136,35 @@ def test_versions_with_several_system_ends_are_settled_as_one(spark, rows):
     got = plan_temporal(src, tgt, roles, as_of(), slice_rows=rows).merge_set
     assert sorted((r.his, r.icw_eff_ts, r.icw_exp_ts) for r in got.collect()) == [("x", day(0), OPEN_SYS), ("y", day(100), OPEN_SYS), ("z", day(0), day(100))]
     assert "Deduplicate" not in got._jdf.queryExecution().analyzed().toString()  # the merge set is not dealt once more
+
+
+def test_stages_free_their_shuffles_and_the_timeline_lies_in_columns(spark, tmp_path):
+    import time
+    from pathlib import Path
+
+    from tidemark.operators._stage import stage
+    from tidemark.operators.roles import Roles
+    from tidemark.operators.temporal import plan_temporal
+
+    def shuffled():
+        dirs = spark.sparkContext._jsc.sc().env().blockManager().diskBlockManager().localDirsString()
+        return {f for d in dirs for f in Path(d).rglob("shuffle_*.data")}
+
+    before, name = shuffled(), "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    held = spark.conf.get(name, None)
+    for mode in ("checkpoint", "table"):
+        df = spark.range(5000).repartition(3, F.col("id") % 7)
+        assert len(stage(df, mode).collect()) == 5000
+    for _ in range(100):  # the files go in the background
+        left = shuffled() - before
+        if not left:
+            break
+        time.sleep(0.1)
+    assert not left and spark.conf.get(name, None) == held
+
+    ts = "timestamp'2020-01-0{} 00:00:00'"
+    tgt = spark.sql(f"select 1 as k, 'a' as v, {ts.format(1)} as bus_eff_ts, {ts.format(9)} as bus_exp_ts, {ts.format(1)} as icw_eff_ts, timestamp'9999-12-31 00:00:00' as icw_exp_ts")
+    src = spark.sql(f"select 1 as k, 'b' as v, {ts.format(3)} as bus_eff_ts, {ts.format(4)} as bus_exp_ts")
+    plan = plan_temporal(src, tgt, Roles(key=("k",), his=("v",), bus=("bus_eff_ts", "bus_exp_ts")), "2024-06-01 00:00:00")
+    assert plan.timeline.inputFiles() and all(f.endswith(".parquet") for f in plan.timeline.inputFiles())
+    assert sorted((r.v, r.bus_eff_ts.day, r.bus_exp_ts.day) for r in plan.merge_set.collect()) == [("a", 1, 3), ("a", 1, 9), ("a", 4, 9), ("b", 3, 4)]

@@ -26,7 +26,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from ..functions.nulls import with_canonical
+from ..functions.nulls import canonical, with_canonical
 from ..functions.periods import BUS_OPEN_FROM, SYS_OPEN_END, null_or_before, null_or_not_meeting, ts_lit
 from ..session import ensure_checkpoint_dir
 from ._joins import join_on
@@ -141,10 +141,22 @@ class _Events:
         t = t.withColumns({
             "__bad_v": F.coalesce((ev == _V) & (F.col("__reach_v") > s) & ~F.coalesce(F.col("__last_v") == own, F.lit(False)), F.lit(False)),
             "__bad_s": F.coalesce((ev == _L) & F.col("__src") & (F.col("__reach_s") > s), F.lit(False)),
-        }).drop("__last_v", "__reach_l", "__reach_v", "__reach_s", "__next_d")
+        })
+        t = t.withColumns({
+            "__prev": F.col(f"__last_l.{self.be}"),
+            "__alone": F.coalesce(F.col("__last_l") == F.struct(*self.ident, FLAG), F.lit(False)),  # at an input's end: no other input starts between
+            "__live": F.when(ev.isin(_L, _R), F.col("__live")),
+        }).drop("__last_v", "__last_l", "__reach_l", "__reach_v", "__reach_s", "__next_d", "__at", "__src")
         obs = Observation()
         ensure_checkpoint_dir(t.sparkSession)
-        t = t.observe(obs, F.count_if("__bad_v").alias("v"), F.count_if("__bad_s").alias("s")).checkpoint(eager=True)
+        kinds = t.dtypes
+        t = t.observe(obs, F.count_if("__bad_v").alias("v"), F.count_if("__bad_s").alias("s"))
+        # in columns and compressed it takes a fraction of a checkpoint's rows; a checkpoint keeps cut rows spread as they were dealt,
+        # and holds the void and interval columns that a table has not
+        rows = lay.cuts is not None or any(x in k for _, k in kinds for x in ("void", "interval"))
+        t = stage(t, "checkpoint" if rows else "table")
+        # read back, canonical columns are never NULL again
+        t = t.withColumns({h: canonical(h, self.r.types[c]) for h, c in [*zip(self.K, self.r.key), *zip(self.H, self.r.his)]})
         found = obs.get if check else {"v": 0, "s": 0}
         for label, n, bad in (("current target", found["v"], "__bad_v"), ("source", found["s"], "__bad_s")):
             if n:
@@ -160,7 +172,7 @@ class _Events:
 
     @property
     def prev_end(self) -> Column:
-        prev = F.col(f"__last_l.{self.be}")
+        prev = F.col("__prev")
         return F.when(prev >= self.open, F.col(self.bs)).otherwise(prev)
 
     @property
@@ -179,8 +191,7 @@ class _Events:
     def right(self) -> Column:
         """At an input's end: what remains of the version that holds it, up to the next input (none starts inside)."""
         e, ve, nxt = F.col(self.be), F.col(f"__live.{self.be}"), F.col("__next_l.x")
-        alone = F.col("__last_l") == F.struct(*self.ident, FLAG)  # no other input starts between
-        cut = (F.col("__ev") == _R) & alone & (ve > e) & null_or_not_meeting(nxt, e)
+        cut = (F.col("__ev") == _R) & F.col("__alone") & (ve > e) & null_or_not_meeting(nxt, e)
         return F.when(cut, self.row("__live.", e, F.when(nxt < ve, nxt).otherwise(ve), 1 if self.r.kem else 0))
 
     @property
@@ -267,8 +278,8 @@ def plan_temporal(
     t, lay = ev.scan(every, slice_rows, not overlaps_checked)
 
     frag = ev.fragments(t, ev.loaded, ev.left, ev.right)
-    if lay.cuts is not None:  # a remainder may begin in another slice
-        frag = lay.deal(frag, bs)
+    # a remainder may begin in another slice; dealt by the whole key, islands and their fates need no shuffle of their own
+    frag = lay.deal(frag, bs)
     norm = islands(frag, lay, [*H, FLAG], raw, bs, be)
 
     # A version and the coalesced rows of its identity (one with flag 0, one with flag 1 at most) settle its fate.
